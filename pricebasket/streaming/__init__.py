@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The original pipeline is a full-refresh batch; it has no stream, watermark,
+window-over-time or state.  Its only time dependence is the as-of date,
+which every operator here takes as a parameter.
+"""
