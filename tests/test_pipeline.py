@@ -1,0 +1,99 @@
+"""The whole refresh over six small inputs in the original schemas.
+
+Scenario (dates 2019-07-25 .. 07-30 = d1 .. d6):
+* basket line E01.114.01 "MLÉKO POLOTUČNÉ" searched as "MLÉKO": hits 101 (pos 1),
+  103 (pos 2, block-listed) and 104 (pos 9, beyond the top 8);
+* 101 changed its id to 102 (same barcode in the image URL): 101 has d1, d2, d4,
+  102 has d6 -> one item "[101,102]" with gaps d3 and d5;
+* basket line E01.113.01 "CHLÉB" searched as "CHLÉB": item 201 on every day.
+"""
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+
+from pricebasket.functions.rules import BasketRules
+from pricebasket.plans import pipeline
+from pricebasket.sources import inputs as IN
+
+D = [dt.date(2019, 7, 25) + dt.timedelta(days=i) for i in range(6)]
+AS_OF = dt.date(2019, 8, 1)
+IMG = "https://img.example/a/b/c/{}/p.jpg"
+
+
+def _inputs(spark):
+    hist = []
+    for i in (0, 1, 3):
+        hist.append(("101", "Mléko 1l", "20", "", "u101", IMG.format("8590001"), D[i].isoformat(), "k"))
+    hist.append(("102", "Mléko 1l nové", "22", "", "u102", IMG.format("8590001"), D[5].isoformat(), "k"))
+    for d in D:
+        hist.append(("103", "Mléko 2l", "30", "", "u103", IMG.format("8590003"), d.isoformat(), "k"))
+        hist.append(("201", "Chléb", "30", "", "u201", IMG.format("8590201"), d.isoformat(), "k"))
+    raw = {
+        "price_history": (hist, "itemId string, itemName string, currentPrice string, originalPrice string, "
+                                "itemUrl string, itemImage string, date string, p_key string"),
+        "search_hits": ([("MLÉKO", "101", "1"), ("MLÉKO", "103", "2"), ("MLÉKO", "104", "9"),
+                         ("CHLÉB", "201", "1")], "itesco_nazev string, productId string, poradi string"),
+        "search_results": ([(" E01.114.01 ", "MLÉKO POLOTUČNÉ", "MLÉKO", None),
+                            ("E01.113.01", "CHLÉB", "CHLÉB", None)],
+                           "csu_id string, csu_nazev string, itesco_nazev string, itesco_notes string"),
+        "blocklist": ([(" 103_E01_114_01 ",)], "id string"),
+        "product_details": ([("101", "Mléko", "20", "1", "l", "l", "CZ"), ("102", "Mléko", "22", "1", "l", "l", "CZ"),
+                             ("201", "Chléb", "30", "0.5", "", "kg", "")],
+                            "itemId string, title string, price_new string, package_amount string, "
+                            "unit_price_per_unit string, package_unit string, country_new string"),
+        "taxonomy": ([("POTRAVINY", "MLÉKO A VEJCE", "E01.114.01", "1", "l", "0.5"),
+                      ("POTRAVINY", "PEČIVO", "E01.113.01", "1", "ks", "0.25")],
+                     "nazev_hlavni_kategorie string, nazev_nadkategorie string, ecoicop string, "
+                     "merna_jednotka string, empty string, Vaha string"),
+    }
+    return {k: IN.conform(spark.createDataFrame(rows, schema), IN.INPUTS[k]) for k, (rows, schema) in raw.items()}
+
+
+@pytest.fixture(scope="module")
+def out(spark):
+    rules = BasketRules(manual_products=(), min_days=3, epoch=D[0])
+    return pipeline.run(_inputs(spark), AS_OF, rules)
+
+
+def test_facts(out):
+    f = out["facts"].collect()
+    assert {r.it_product_id_array for r in f} == {"[101,102]", "[201]"}
+    milk = sorted((r for r in f if r.it_product_id_array == "[101,102]"), key=lambda r: r.date)
+    assert [r.date for r in milk] == [D[0], D[1], D[3], D[5]]
+    assert [r.csuRelevantPrice for r in milk] == [20, 20, 20, 22]
+    assert {r.csu_product for r in milk} == {"Mléko polotučné"}
+    assert {r.csu_main_category for r in milk} == {"Potraviny"}
+    bread = [r for r in f if r.it_product_id_array == "[201]"]
+    assert {r.csuRelevantPrice for r in bread} == {30} and {r.price_per_unit for r in bread} == {60}
+    assert {r.unit for r in bread} == {"kg"} and {r.country for r in bread} == {None}
+
+
+def test_selection(out):
+    s = {r.it_product_id_array: r for r in out["selection_final"].collect()}
+    assert set(s) == {"[101,102]", "[201]"}
+    assert s["[101,102]"].days_in_history == 4
+    assert s["[101,102]"].avg_csuRelevantPrice == Decimal("20.50")
+
+
+def test_full_history_fills_gaps(out):
+    h = {(r.it_product_id_array, r.date): r for r in out["full_history"].collect()}
+    assert len(h) == 12
+    d3 = h[("[101,102]", D[2])]
+    assert (d3.filled, d3.filled_csuRelevantPrice, d3.filled_end_date) == ("based_on_previous", 20, D[3])
+    d5 = h[("[101,102]", D[4])]
+    assert (d5.filled, d5.filled_csuRelevantPrice, d5.filled_end_date) == ("based_on_previous", 20, D[5])
+    assert {r.to_include for r in h.values()} == {1}
+
+
+def test_weighted_index(out):
+    w = {r.date: r for r in out["weighted_index"].collect()}
+    assert [float(w[d].vazena_suma) for d in D] == [17.5] * 5 + [18.5]
+    assert w[D[0]].perc_diff_last_day == pytest.approx(-1 / 18.5)
+
+
+def test_averages(out):
+    main = {(r.date, r.csu_main_category): r.csuRelevantPrice for r in out["avg_by_main_category"].collect()}
+    assert float(main[(D[0], "Potraviny")]) == 25.0 and float(main[(D[5], "Potraviny")]) == 26.0
+    assert out["avg_by_item"].count() == 12
