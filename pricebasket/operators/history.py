@@ -7,7 +7,7 @@ join ``prev_known < date < next_known``.  Here the same result comes from
 one hash partitioning on the item key and window functions over it:
 
 * grid rows: every item gets ``explode(sequence(min_date, max_date))``
-  (two scalar subqueries, no cross join), semi-joined to the set of dates
+  (one scalar subquery, no cross join), semi-joined to the set of dates
   that occur in the facts (a calendar-bounded table);
 * observed facts are unioned in, and a grid row is dropped when its
   (item, date) cell is observed - the LEFT JOIN of grid and facts;
@@ -52,11 +52,10 @@ def grid(facts: DataFrame, keys: Sequence[str] = ITEM_KEYS, date: str = "date")
 
     Built per item from the global date range, so the grid is generated
     inside each task instead of by a cross join."""
-    bounds = facts.select(F.min(date).alias("lo"), F.max(date).alias("hi"))
-    lo = bounds.select("lo").scalar()
-    hi = bounds.select("hi").scalar()
-    items = facts.select(*keys).distinct()
-    cells = items.select(*keys, F.explode(F.sequence(lo, hi)).alias("kostra_date"))
+    # one scalar subquery, bound once into a column and read from there
+    bounds = facts.select(F.struct(F.min(date).alias("lo"), F.max(date).alias("hi")).alias("b")).scalar()
+    items = facts.select(*keys).distinct().withColumn("__b", bounds)
+    cells = items.select(*keys, F.explode(F.sequence(F.col("__b.lo"), F.col("__b.hi"))).alias("kostra_date"))
     return cells.join(F.broadcast(dates_of(facts, date)), "kostra_date", "left_semi")
 
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .rows import top_n_per_key
@@ -30,21 +30,23 @@ def cheapest_per_product_day(hist: DataFrame, as_of: _dt.date, price: str = PRIC
 def weighted_index(hist: DataFrame, as_of: _dt.date, price: str = PRICE,
                    weight: str = "csu_weight") -> DataFrame:
     """Per date, sum of cheapest price x weight (4 decimals) and its
-    relative difference to the value on the last date.
-
-    The last date's value is a scalar subquery over the per-date sums
-    (one row per date), so nothing is joined without a key."""
+    relative difference to the value on the last date."""
     cheap = cheapest_per_product_day(hist, as_of, price)
     daily = cheap.groupBy("date").agg(
         F.round(F.sum(F.col(price) * F.col(weight)), 4).cast("decimal(38,4)").alias("vazena_suma"))
-    last = daily.agg(F.max_by(F.struct(F.col("date").alias("d"), F.col("vazena_suma").alias("v")),
-                              F.col("date")).alias("last"))
-    last_date = last.select("last.d").scalar()
-    last_value = last.select("last.v").scalar()
-    return daily.select(
-        "date", "vazena_suma", last_date.alias("last_date"), last_value.alias("vazena_suma_last_date"),
-        F.try_divide((F.col("vazena_suma") - last_value).cast("double"),
-                     last_value.cast("double")).alias("perc_diff_last_day"))
+    # The per-date sums hold one row per calendar day (a few thousand rows
+    # for years of history), so the last day's value is read with a frame
+    # over that small table in the same pass; a scalar subquery would
+    # evaluate the whole chain under ``daily`` a second time.
+    days = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    last = F.last(F.struct(F.col("date").alias("d"), F.col("vazena_suma").alias("v"))).over(days)
+    with_last = daily.withColumn("__last", last).select(
+        "date", "vazena_suma", F.col("__last.d").alias("last_date"),
+        F.col("__last.v").alias("vazena_suma_last_date"))
+    return with_last.withColumn(
+        "perc_diff_last_day",
+        F.try_divide((F.col("vazena_suma") - F.col("vazena_suma_last_date")).cast("double"),
+                     F.col("vazena_suma_last_date").cast("double")))
 
 
 def _included(hist: DataFrame, price: str) -> DataFrame:
