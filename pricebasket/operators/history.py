@@ -44,7 +44,7 @@ PRICES = ("csuRelevantPrice", "basePrice")
 
 def dates_of(facts: DataFrame, date: str = "date") -> DataFrame:
     """The distinct non-NULL dates of the facts (bounded by the calendar)."""
-    return facts.select(F.col(date).alias("kostra_date")).filter(F.col("kostra_date").isNotNull()).distinct()
+    return facts.select(F.col(date).alias("grid_date")).filter(F.col("grid_date").isNotNull()).distinct()
 
 
 def grid(facts: DataFrame, keys: Sequence[str] = ITEM_KEYS, date: str = "date") -> DataFrame:
@@ -55,29 +55,29 @@ def grid(facts: DataFrame, keys: Sequence[str] = ITEM_KEYS, date: str = "date")
     # one scalar subquery, bound once into a column and read from there
     bounds = facts.select(F.struct(F.min(date).alias("lo"), F.max(date).alias("hi")).alias("b")).scalar()
     items = facts.select(*keys).distinct().withColumn("__b", bounds)
-    cells = items.select(*keys, F.explode(F.sequence(F.col("__b.lo"), F.col("__b.hi"))).alias("kostra_date"))
-    return cells.join(F.broadcast(dates_of(facts, date)), "kostra_date", "left_semi")
+    cells = items.select(*keys, F.explode(F.sequence(F.col("__b.lo"), F.col("__b.hi"))).alias("grid_date"))
+    return cells.join(F.broadcast(dates_of(facts, date)), "grid_date", "left_semi")
 
 
 def densify(facts: DataFrame, keys: Sequence[str] = ITEM_KEYS, date: str = "date") -> DataFrame:
     """Grid LEFT JOIN facts on (date, item keys).
 
-    Output: ``kostra_date``, ``kostra_<key>`` for each key, then every fact
+    Output: ``grid_date``, ``grid_<key>`` for each key, then every fact
     column (NULL on unobserved cells), plus ``__observed``.  Written as a
     union + per-cell window so it shares the item partitioning with the fill."""
-    k_names = [f"kostra_{k}" for k in keys]
+    k_names = [f"grid_{k}" for k in keys]
     g = grid(facts, keys, date)
     fact_cols = facts.columns
     obs = facts.select(*[F.col(k).alias(kn) for k, kn in zip(keys, k_names)],
-                       F.col(date).alias("kostra_date"), *fact_cols, F.lit(True).alias("__observed"))
+                       F.col(date).alias("grid_date"), *fact_cols, F.lit(True).alias("__observed"))
     # a fact with a NULL key or date never joins to the grid
-    obs = obs.filter(F.col("kostra_date").isNotNull()
+    obs = obs.filter(F.col("grid_date").isNotNull()
                      & F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in k_names)))
-    empty = g.select(*[F.col(k).alias(kn) for k, kn in zip(keys, k_names)], "kostra_date",
+    empty = g.select(*[F.col(k).alias(kn) for k, kn in zip(keys, k_names)], "grid_date",
                      *[F.lit(None).cast(facts.schema[c].dataType).alias(c) for c in fact_cols],
                      F.lit(False).alias("__observed"))
     rows = obs.unionByName(empty).repartition(*[F.col(k) for k in k_names])
-    cell = Window.partitionBy(*k_names, "kostra_date")
+    cell = Window.partitionBy(*k_names, "grid_date")
     return (rows.withColumn("__cell_observed", F.max("__observed").over(cell))
                 .filter(F.col("__observed") | ~F.col("__cell_observed"))
                 .drop("__cell_observed"))
@@ -103,54 +103,54 @@ def fill_history(facts: DataFrame, as_of: _dt.date, epoch: _dt.date = R.HISTORY_
                  prices: Sequence[str] = PRICES, labels=(R.FILLED_LABEL, R.ORIGINAL_LABEL),
                  stage: str = "fill") -> DataFrame:
     """S19-S27 in one pass.  ``stage`` stops early for inspection:
-    ``"densify"`` (S21), ``"backfill"`` (S23 KOSTRA_4) or ``"fill"`` (S27).
+    ``"densify"`` (S21), ``"backfill"`` (S23) or ``"fill"`` (S27).
 
     Output of ``"fill"``: date, item keys, coalesced attributes, fact-only
     attributes, ``filled_<price>`` for each price, ``filled_end_date``, ``filled``.
     """
-    k_names = [f"kostra_{k}" for k in keys]
+    k_names = [f"grid_{k}" for k in keys]
     rows = densify(facts, keys, date)
     if stage == "densify":
         return rows
-    w_all = Window.partitionBy(*k_names).orderBy("kostra_date").rowsBetween(
+    w_all = Window.partitionBy(*k_names).orderBy("grid_date").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing)
     first_cols = list(coalesced) + list(fact_only) + list(prices)
     first = F.first(F.when(F.col("__observed"), F.struct(*[F.col(c) for c in first_cols])),
                     ignorenulls=True).over(w_all)
     rows = rows.withColumn("__first", first)
     # the backfill joins only on non-NULL keys at the start date
-    at_epoch = (F.col("kostra_date") == F.lit(epoch)) & F.expr(
+    at_epoch = (F.col("grid_date") == F.lit(epoch)) & F.expr(
         " AND ".join(f"`{k}` IS NOT NULL" for k in k_names))
-    k4 = [F.col("kostra_date")] + [F.col(k) for k in k_names]
+    bf = [F.col("grid_date")] + [F.col(k) for k in k_names]
     for c in coalesced:
-        k4.append(F.coalesce(F.col(c), F.when(at_epoch, F.col(f"__first.{c}"))).alias(c))
+        bf.append(F.coalesce(F.col(c), F.when(at_epoch, F.col(f"__first.{c}"))).alias(c))
     for c in fact_only:
-        k4.append(F.col(c))
-    k4.append(F.col(date))
+        bf.append(F.col(c))
+    bf.append(F.col(date))
     for c in prices:
-        k4.append(F.col(c))
+        bf.append(F.col(c))
     for c in prices:
-        k4.append(F.when(at_epoch, F.col(f"__first.{c}")).alias(f"first_{c}"))
-    k4 += [F.when(at_epoch, F.lit(epoch)).alias("first_date_of_data"), F.col("__observed")]
-    rows = rows.select(*k4)
+        bf.append(F.when(at_epoch, F.col(f"__first.{c}")).alias(f"first_{c}"))
+    bf += [F.when(at_epoch, F.lit(epoch)).alias("first_date_of_data"), F.col("__observed")]
+    rows = rows.select(*bf)
     if stage == "backfill":
         return rows
 
     known = F.col("__observed") | F.col("first_date_of_data").isNotNull()
     state_cols = [F.col(c) for c in coalesced] + [F.col(c) for c in fact_only] + [
         F.coalesce(F.col(p), F.col(f"first_{p}")).alias(p) for p in prices]
-    w = Window.partitionBy(*k_names).orderBy("kostra_date")
+    w = Window.partitionBy(*k_names).orderBy("grid_date")
     state = F.last(F.when(known, F.struct(*state_cols)), ignorenulls=True).over(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    nxt = F.min(F.when(known, F.col("kostra_date"))).over(
+    nxt = F.min(F.when(known, F.col("grid_date"))).over(
         w.rowsBetween(1, Window.unboundedFollowing))
     rows = (rows.withColumn("__state", state)
                 .withColumn("__end", F.coalesce(nxt, F.lit(as_of)))
                 .withColumn("__valid", F.col("__state").isNotNull()
-                            & (F.col("kostra_date") < F.col("__end"))))
+                            & (F.col("grid_date") < F.col("__end"))))
     obs = F.col("__observed")
     valid = F.col("__valid")
-    out = [F.col("kostra_date").alias(date)] + [F.col(kn).alias(k) for k, kn in zip(keys, k_names)]
+    out = [F.col("grid_date").alias(date)] + [F.col(kn).alias(k) for k, kn in zip(keys, k_names)]
     for c in list(coalesced) + list(fact_only):
         out.append(F.when(obs, F.col(c)).when(valid, F.col(f"__state.{c}")).alias(c))
     for p in prices:

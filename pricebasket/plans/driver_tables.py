@@ -389,7 +389,7 @@ PX_COLS = dict(coalesced=H.COALESCED, fact_only=H.FACT_ONLY, prices=H.PRICES)
 
 def q_densify(spark, d):
     rows = H.fill_history(price_facts(spark, d), AS_OF, EPOCH, stage="densify")
-    return rows.select("kostra_date", "kostra_itemName", "kostra_it_product_id_array", "date",
+    return rows.select("grid_date", "grid_itemName", "grid_it_product_id_array", "date",
                        "csuRelevantPrice", "currentPrice", "originalPrice", "itemId_given_day", "csu_product")
 
 
@@ -400,8 +400,8 @@ def q_first_known(spark, d):
 
 
 def q_backfill(spark, d):
-    k4 = H.fill_history(price_facts(spark, d), AS_OF, EPOCH, stage="backfill")
-    return k4.drop("__observed")
+    backfilled = H.fill_history(price_facts(spark, d), AS_OF, EPOCH, stage="backfill")
+    return backfilled.drop("__observed")
 
 
 def q_fill_forward(spark, d):

@@ -39,30 +39,33 @@ def test_fill_worked_example(spark):
 
 
 INTERVAL_SQL = """
-WITH kostra AS (SELECT DISTINCT date AS kostra_date FROM f WHERE date IS NOT NULL),
-k2 AS (SELECT k.kostra_date, t.itemName AS ki, t.it_product_id_array AS ka FROM kostra k
-       CROSS JOIN (SELECT DISTINCT itemName, it_product_id_array FROM f) t),
-k3 AS (SELECT * FROM k2 LEFT JOIN f ON k2.kostra_date = f.date AND k2.ki = f.itemName AND k2.ka = f.it_product_id_array),
-fk AS (SELECT t1.*, t2.csu_product, t2.csuRelevantPrice, DATE'{epoch}' AS fdd
-       FROM (SELECT itemName, it_product_id_array, MIN(date) AS first_date FROM f GROUP BY 1, 2) t1
-       LEFT JOIN f t2 ON t1.itemName = t2.itemName AND t1.first_date = t2.date
-                      AND t1.it_product_id_array = t2.it_product_id_array),
-k4 AS (SELECT t1.kostra_date, t1.ki, t1.ka, COALESCE(t1.csu_product, t2.csu_product) AS csu_product,
-              t1.date, t1.csuRelevantPrice, t2.csuRelevantPrice AS first_price, t2.fdd
-       FROM k3 t1 LEFT JOIN fk t2 ON t1.ki = t2.itemName AND t1.kostra_date = DATE'{epoch}'
-                                 AND t1.ka = t2.it_product_id_array),
-nn AS (SELECT ki AS ki_nn, ka AS ka_nn, csu_product AS cp_nn, kostra_date AS kd_nn,
-              COALESCE(csuRelevantPrice, first_price) AS price_nn FROM k4 WHERE date IS NOT NULL OR fdd IS NOT NULL),
-nn2 AS (SELECT ki_nn, ka_nn, cp_nn, price_nn,
-               CASE WHEN kd_nn = DATE'{epoch}' THEN date_sub(kd_nn, 1) ELSE kd_nn END AS kd_nn,
-               LEAD(kd_nn, 1, DATE'{as_of}') OVER (PARTITION BY ki_nn, ka_nn ORDER BY kd_nn) AS non_null_end FROM nn)
-SELECT t1.kostra_date AS date, t1.ki AS itemName, t2.cp_nn AS csu_product,
-       COALESCE(t1.csuRelevantPrice, t2.price_nn) AS price, t2.non_null_end AS end_date, 'based_on_previous' AS filled
-FROM k4 t1 LEFT JOIN nn2 t2 ON t1.ki = t2.ki_nn AND t1.ka = t2.ka_nn
-     AND t1.kostra_date > t2.kd_nn AND t1.kostra_date < t2.non_null_end
-WHERE t1.date IS NULL
+WITH cal AS (SELECT DISTINCT date AS day FROM f WHERE date IS NOT NULL),
+items AS (SELECT DISTINCT itemName, it_product_id_array FROM f),
+cells AS (SELECT cal.day, items.itemName AS g_item, items.it_product_id_array AS g_ids FROM cal CROSS JOIN items),
+seen AS (SELECT * FROM cells LEFT JOIN f ON cells.day = f.date AND cells.g_item = f.itemName
+                                          AND cells.g_ids = f.it_product_id_array),
+first_row AS (SELECT m.*, f.csu_product, f.csuRelevantPrice, DATE'{epoch}' AS start_day
+              FROM (SELECT itemName, it_product_id_array, MIN(date) AS first_date FROM f GROUP BY 1, 2) m
+              LEFT JOIN f ON m.itemName = f.itemName AND m.first_date = f.date
+                         AND m.it_product_id_array = f.it_product_id_array),
+backed AS (SELECT s.day, s.g_item, s.g_ids, COALESCE(s.csu_product, b.csu_product) AS csu_product,
+                  s.date, s.csuRelevantPrice, b.csuRelevantPrice AS first_price, b.start_day
+           FROM seen s LEFT JOIN first_row b ON s.g_item = b.itemName AND s.day = DATE'{epoch}'
+                                            AND s.g_ids = b.it_product_id_array),
+points AS (SELECT g_item AS p_item, g_ids AS p_ids, csu_product AS p_product, day AS p_day,
+                  COALESCE(csuRelevantPrice, first_price) AS p_price
+           FROM backed WHERE date IS NOT NULL OR start_day IS NOT NULL),
+spans AS (SELECT p_item, p_ids, p_product, p_price,
+                 CASE WHEN p_day = DATE'{epoch}' THEN date_sub(p_day, 1) ELSE p_day END AS p_from,
+                 LEAD(p_day, 1, DATE'{as_of}') OVER (PARTITION BY p_item, p_ids ORDER BY p_day) AS p_to
+          FROM points)
+SELECT b.day AS date, b.g_item AS itemName, s.p_product AS csu_product,
+       COALESCE(b.csuRelevantPrice, s.p_price) AS price, s.p_to AS end_date, 'based_on_previous' AS filled
+FROM backed b LEFT JOIN spans s ON b.g_item = s.p_item AND b.g_ids = s.p_ids
+                              AND b.day > s.p_from AND b.day < s.p_to
+WHERE b.date IS NULL
 UNION ALL
-SELECT kostra_date, ki, csu_product, csuRelevantPrice, CAST(NULL AS DATE), 'original' FROM k4 WHERE date IS NOT NULL
+SELECT day, g_item, csu_product, csuRelevantPrice, CAST(NULL AS DATE), 'original' FROM backed WHERE date IS NOT NULL
 """
 
 
@@ -87,4 +90,4 @@ def test_grid_has_every_item_on_every_observed_date(spark):
     rows = [("A", D(2019, 7, 25), 1), ("B", D(2019, 7, 28), 2), ("C", D(2019, 7, 30), 3)]
     g = H.grid(_facts(spark, rows))
     assert g.count() == 9  # 3 items x 3 observed dates (26, 27, 29 never occur)
-    assert {r.kostra_date.day for r in g.collect()} == {25, 28, 30}
+    assert {r.grid_date.day for r in g.collect()} == {25, 28, 30}
