@@ -32,8 +32,11 @@ def weighted_index(hist: DataFrame, as_of: _dt.date, price: str = PRICE,
     """Per date, sum of cheapest price x weight (4 decimals) and its
     relative difference to the value on the last date."""
     cheap = cheapest_per_product_day(hist, as_of, price)
-    daily = cheap.groupBy("date").agg(
-        F.round(F.sum(F.col(price) * F.col(weight)), 4).cast("decimal(38,4)").alias("vazena_suma"))
+    # price (< 10^14) x weight (< 10^6) as decimal(20,6) x decimal(12,6): the
+    # product keeps all 12 places; wider operands would make Spark round each
+    # product to 7 places before the sum (precision-loss rule)
+    product = F.col(price).cast("decimal(20,6)") * F.col(weight).cast("decimal(12,6)")
+    daily = cheap.groupBy("date").agg(F.round(F.sum(product), 4).cast("decimal(38,4)").alias("vazena_suma"))
     # The per-date sums hold one row per calendar day (a few thousand rows
     # for years of history), so the last day's value is read with a frame
     # over that small table in the same pass; a scalar subquery would

@@ -3,6 +3,8 @@ dedupe, conversion to the basket's unit."""
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,8 +47,17 @@ def unit_price(facts: DataFrame, details: DataFrame, per_kilo_items=R.PER_KILO_I
              .withColumn("flag", flag).withColumn("ppu_final", final))
 
 
+def _present(df: DataFrame, cols) -> list[str]:
+    return [c for c in cols if c in df.columns]
+
+
+# total order among rows of one item and day: the candidate, the detail row
+# it matched (either id can match), the history row
+ROW_TIES = ("productId_csuId_ident", "itemId", "p_key")
+
+
 def fix_stale_discount(df: DataFrame, item: str = "itemId_given_day", date: str = "date",
-                       tie_breakers=("productId_csuId_ident",)) -> DataFrame:
+                       tie_breakers=ROW_TIES) -> DataFrame:
     """One-day glitch after a discount ends.
 
     If the next row of the item has no original price ('' - a missing next
@@ -55,6 +66,7 @@ def fix_stale_discount(df: DataFrame, item: str = "itemId_given_day", date: str
     (no history) all fall in the NULL partition in the original, where the
     result is always their own price; here they are spread by their tie
     breaker so they do not pile up in one task."""
+    tie_breakers = _present(df, tie_breakers)
     spread = F.when(F.col(item).isNull(), F.col(tie_breakers[0]))
     w = Window.partitionBy(F.col(item), spread).orderBy(
         F.col(date).asc_nulls_last(), *[F.col(t).asc_nulls_last() for t in tie_breakers])
@@ -65,13 +77,15 @@ def fix_stale_discount(df: DataFrame, item: str = "itemId_given_day", date: str
 
 
 def dedupe_placeholders(df: DataFrame, titles=R.PLACEHOLDER_TITLES, ids_col: str = "found_product_ids",
-                        tie_breakers=("productId_csuId_ident", "itemId_given_day")) -> DataFrame:
+                        tie_breakers=("productId_csuId_ident", "itemId_given_day", "itemId", "p_key")
+                        ) -> DataFrame:
     """One row per (first id, date): regular titles before placeholder
     ones, then the lowest unit price."""
     score = F.when(F.col("title").isin(list(titles)), F.lit(R.PLACEHOLDER_SCORE)).otherwise(
         F.lit(R.REGULAR_SCORE))
     keys = [F.get(F.col(ids_col), 0), F.col("date")]
-    order = [F.col("price_per_unit").asc_nulls_last()] + [F.col(t).asc_nulls_last() for t in tie_breakers]
+    order = [F.col("price_per_unit").asc_nulls_last()] + [
+        F.col(t).asc_nulls_last() for t in _present(df, tie_breakers)]
     return dedupe_by_score(df, keys, score, order, score_col="old_item_fix")
 
 
@@ -96,7 +110,8 @@ def basket_price(product: Column, package_unit: Column, basket_unit: Column, ppu
         val = F.lit(factor).cast("decimal(10,4)") * ppu * amount
         expr = (F.when if expr is None else expr.when)(cond, val)
     expr = (F.when if expr is None else expr.when)(basket_unit.isin("kg", "l"), ppu * amount)
-    expr = (expr.when(basket_unit == "g", ppu / F.lit(1000) * amount)
+    # per gram: ppu / 1000 * amount, as one exact product rounded once below
+    expr = (expr.when(basket_unit == "g", ppu * amount * F.lit(Decimal("0.001")))
                 .when(basket_unit == "bal.", base * amount)
                 .when(basket_unit == "ks", base * amount)
                 .otherwise(ppu * amount))

@@ -428,7 +428,7 @@ def q_weighted_index(spark, d):
 
 
 def _avg_out(df):
-    return df.withColumn("csuRelevantPrice", F.round(F.col("csuRelevantPrice").cast("double"), 6))
+    return df.withColumn("csuRelevantPrice", F.round(F.col("csuRelevantPrice"), 6).cast("double"))
 
 
 def q_rollup_main(spark, d):
