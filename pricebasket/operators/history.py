@@ -13,7 +13,9 @@ one hash partitioning on the item key and window functions over it:
   (item, date) cell is observed - the LEFT JOIN of grid and facts;
 * first known row = ``first(observed row)`` over the item window;
 * the carried state = ``last(known row)`` up to the current row, its end =
-  the next known date after the row (default ``as_of``).
+  the next known date after the row (default ``as_of``), a running minimum
+  in descending order.  Every frame is either the whole partition or a
+  running one, so each window is linear in the item's days.
 
 Each item's rows are bounded by the number of distinct dates, so no window
 partition grows with the number of items or facts.  Observed cells must be
@@ -102,12 +104,111 @@ def fill_history(facts: DataFrame, as_of: _dt.date, epoch: _dt.date = R.HISTORY_
                  coalesced: Sequence[str] = COALESCED, fact_only: Sequence[str] = FACT_ONLY,
                  prices: Sequence[str] = PRICES, labels=(R.FILLED_LABEL, R.ORIGINAL_LABEL),
                  stage: str = "fill") -> DataFrame:
-    """S19-S27 in one pass.  ``stage`` stops early for inspection:
-    ``"densify"`` (S21), ``"backfill"`` (S23) or ``"fill"`` (S27).
+    """The dense, filled daily history.
 
-    Output of ``"fill"``: date, item keys, coalesced attributes, fact-only
-    attributes, ``filled_<price>`` for each price, ``filled_end_date``, ``filled``.
-    """
+    Output: date, item keys, coalesced attributes, fact-only attributes,
+    ``filled_<price>`` per price, ``filled_end_date``, ``filled``; one row per
+    (date occurring in the facts) x (item key).
+
+    Only the *known points* are shuffled: observed rows plus one start-date
+    point per item that was not observed on that date (the backfill).  One
+    window over the item key gives each point its first-known values and the
+    next point's date; each point then emits its own row and the grid days up
+    to the next point (``explode(sequence(...))`` semi-joined to the
+    broadcast date set) inside the final stage, so the grid - items x days,
+    often many times the facts - is generated where it is written and never
+    crosses the network.  ``stage="densify"`` / ``"backfill"`` return the
+    intermediate grids of ``fill_on_grid``."""
+    if stage != "fill":
+        return fill_on_grid(facts, as_of, epoch, keys, date, coalesced, fact_only, prices, labels, stage)
+    k = list(keys)
+    dtypes = {f.name: f.dataType for f in facts.schema.fields}
+    keys_ok = F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in k))
+    # grid bounds and "is the start date a grid day", one scalar subquery bound
+    # into columns (a constant compared with the date set in a join would be
+    # folded into a nested-loop join); the calendar-bounded date set broadcast
+    bounds = facts.select(F.struct(F.min(date).alias("lo"), F.max(date).alias("hi"),
+                                   F.max(F.col(date) == F.lit(epoch)).alias("has_epoch")).alias("b")).scalar()
+    days = F.broadcast(dates_of(facts, date))
+    items = facts.select(*k).distinct().withColumn("__b", bounds)
+
+    obs = (facts.filter(F.col(date).isNotNull() & keys_ok)
+                .select(*k, F.col(date).alias("__d"), *coalesced, *fact_only, *prices,
+                        F.lit(True).alias("__obs")))
+    seen_at_epoch = obs.filter(F.col("__d") == F.lit(epoch)).select(*k)
+    backfill = (items.filter(keys_ok & F.coalesce(F.col("__b.has_epoch"), F.lit(False)))
+                     .withColumn("__d", F.lit(epoch))
+                     .join(seen_at_epoch, k, "left_anti")
+                     .select(*k, "__d", *[F.lit(None).cast(dtypes[c]).alias(c)
+                                          for c in (*coalesced, *fact_only, *prices)],
+                             F.lit(False).alias("__obs")))
+    pts = obs.unionByName(backfill)
+
+    w = Window.partitionBy(*k).orderBy("__d")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first = F.first(F.when(F.col("__obs"), F.struct(*coalesced, *fact_only, *prices)),
+                    ignorenulls=True).over(whole)
+    at_epoch = F.col("__d") == F.lit(epoch)
+    pts = pts.withColumn("__first", first)
+    pts = pts.select(
+        *k, "__d", "__obs",
+        *[F.coalesce(F.col(c), F.when(at_epoch, F.col(f"__first.{c}"))).alias(c) for c in coalesced],
+        *fact_only,
+        *[F.col(p).alias(f"__own_{p}") for p in prices],
+        *[F.coalesce(F.col(p), F.when(at_epoch, F.col(f"__first.{p}"))).alias(p) for p in prices],
+        F.lead("__d").over(w).alias("__next"),
+        (F.row_number().over(w) == 1).alias("__is_first")).withColumn("__b", bounds)
+
+    end = F.coalesce(F.col("__next"), F.lit(as_of))
+
+    def out(day, state_ok, end_col, label, obs_row=False):
+        """One output row: ``state_ok`` says the point's state applies."""
+        cols = [day.alias(date)] + [F.col(c) for c in k]
+        for c in (*coalesced, *fact_only):
+            cols.append(F.when(state_ok, F.col(c)).alias(c))
+        for p in prices:
+            src = F.col(f"__own_{p}") if obs_row else F.col(p)
+            cols.append(F.when(state_ok, src).alias(f"filled_{p}"))
+        cols.append(F.when(state_ok, end_col).cast("date").alias("filled_end_date"))
+        cols.append(F.lit(label).alias("filled"))
+        return cols
+
+    # 1. observed rows, as they are
+    observed = pts.filter("__obs").select(*out(F.col("__d"), F.lit(True), F.lit(None), labels[1], True))
+    # 2. the backfilled start-date row: filled from itself up to the next point
+    started = pts.filter(~F.col("__obs")).select(
+        *out(F.col("__d"), F.col("__d") < end, end, labels[0]))
+
+    def span(frame, lo, hi):
+        """Grid days in [lo, hi] for each row of ``frame``."""
+        day = F.explode(F.when(lo <= hi, F.sequence(lo, hi))).alias("__t")
+        return (frame.select("*", day).join(days, F.col("__t") == days["grid_date"], "left_semi"))
+
+    # 3. days strictly between a point and the next one (or the last grid day)
+    gap_hi = F.coalesce(F.date_sub(F.col("__next"), 1), F.col("__b.hi"))
+    gaps = span(pts, F.date_add(F.col("__d"), 1), gap_hi).select(
+        *out(F.col("__t"), F.col("__t") < end, end, labels[0]))
+    # 4. days before an item's first point, and every day of items without one
+    nulls = [F.lit(None).cast(dtypes[c]).alias(c) for c in (*coalesced, *fact_only, *prices)]
+    empty = F.lit(False)
+    before = span(pts.filter("__is_first"), F.col("__b.lo"), F.date_sub(F.col("__d"), 1)).select(
+        *out(F.col("__t"), empty, F.lit(None), labels[0]))
+    pointless = items.join(pts.select(*k).distinct(), k, "left_anti").select(*k, "__b", *nulls)
+    never = span(pointless, F.col("__b.lo"), F.col("__b.hi")).select(
+        *out(F.col("__t"), empty, F.lit(None), labels[0]))
+    return observed.unionByName(started).unionByName(gaps).unionByName(before).unionByName(never)
+
+
+def fill_on_grid(facts: DataFrame, as_of: _dt.date, epoch: _dt.date = R.HISTORY_EPOCH,
+                 keys: Sequence[str] = ITEM_KEYS, date: str = "date",
+                 coalesced: Sequence[str] = COALESCED, fact_only: Sequence[str] = FACT_ONLY,
+                 prices: Sequence[str] = PRICES, labels=(R.FILLED_LABEL, R.ORIGINAL_LABEL),
+                 stage: str = "fill") -> DataFrame:
+    """S19-S27 on the materialised grid: grid rows and facts are unioned,
+    hash-partitioned once on the item key, and every step is a window over
+    that partitioning.  ``stage`` stops early: ``"densify"`` (S21),
+    ``"backfill"`` (S23) or ``"fill"`` (S27).  This form shuffles every grid
+    cell; ``fill_history`` gives the same rows shuffling only known points."""
     k_names = [f"grid_{k}" for k in keys]
     rows = densify(facts, keys, date)
     if stage == "densify":
@@ -142,8 +243,11 @@ def fill_history(facts: DataFrame, as_of: _dt.date, epoch: _dt.date = R.HISTORY_
     w = Window.partitionBy(*k_names).orderBy("grid_date")
     state = F.last(F.when(known, F.struct(*state_cols)), ignorenulls=True).over(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    nxt = F.min(F.when(known, F.col("grid_date"))).over(
-        w.rowsBetween(1, Window.unboundedFollowing))
+    # next known date after the row: a running min in descending date order
+    # (an unbounded-following frame would be re-aggregated for every row)
+    w_rev = Window.partitionBy(*k_names).orderBy(F.col("grid_date").desc()).rowsBetween(
+        Window.unboundedPreceding, -1)
+    nxt = F.min(F.when(known, F.col("grid_date"))).over(w_rev)
     rows = (rows.withColumn("__state", state)
                 .withColumn("__end", F.coalesce(nxt, F.lit(as_of)))
                 .withColumn("__valid", F.col("__state").isNotNull()

@@ -14,12 +14,12 @@ SCHEMA = "itemName string, it_product_id_array string, date date, csu_product st
 
 def _facts(spark, rows):
     return spark.createDataFrame(
-        [(i, f"[{ord(i)}]", d, "P" + i, None if p is None else Decimal(p)) for i, d, p in rows], SCHEMA)
+        [(i, f"[{ord(i) if i else 0}]", d, "P" + (i or "-"), None if p is None else Decimal(p))
+         for i, d, p in rows], SCHEMA)
 
 
-def _fill(df, as_of=AS_OF, epoch=EPOCH):
-    return H.fill_history(df, as_of, epoch, coalesced=("csu_product",), fact_only=(),
-                          prices=("csuRelevantPrice",))
+def _fill(df, as_of=AS_OF, epoch=EPOCH, fn=H.fill_history):
+    return fn(df, as_of, epoch, coalesced=("csu_product",), fact_only=(), prices=("csuRelevantPrice",))
 
 
 def test_fill_worked_example(spark):
@@ -69,21 +69,31 @@ SELECT day, g_item, csu_product, csuRelevantPrice, CAST(NULL AS DATE), 'original
 """
 
 
-def test_window_fill_matches_interval_join(spark):
+COLS = ("date", "itemName", "csu_product", "filled_csuRelevantPrice", "filled_end_date", "filled")
+
+
+def test_fill_forms_match_interval_join(spark):
+    """Span form and grid form against the original's interval join, on
+    random histories with NULL item keys, undated facts and start dates
+    inside and outside the grid."""
     rnd = random.Random(11)
-    for trial in range(12):
+    for trial in range(14):
         rows = []
-        for item in "ABCDE"[: rnd.randint(1, 5)]:
+        for item in ["A", "B", "C", "D", None][: rnd.randint(1, 5)]:
             days = sorted(rnd.sample(range(20, 32), rnd.randint(1, 6)))
             rows += [(item, D(2019, 7, d), rnd.choice([None, rnd.randint(1, 50)])) for d in days]
-        epoch = D(2019, 7, rnd.choice([20, 24, 25, 26]))
-        as_of = D(2019, 7, rnd.choice([28, 30, 31]))
+            if rnd.random() < 0.3:
+                rows.append((item, None, rnd.randint(1, 50)))
+        if rnd.random() < 0.3:
+            rows.append(("Z", None, 7))  # an item with no dated fact
+        epoch = D(2019, 7, rnd.choice([19, 20, 24, 25, 26]))
+        as_of = D(2019, 7, rnd.choice([24, 28, 30, 31]))
         f = _facts(spark, rows)
         f.createOrReplaceTempView("f")
-        ref = spark.sql(INTERVAL_SQL.format(epoch=epoch, as_of=as_of)).collect()
-        ours = _fill(f, as_of, epoch).select("date", "itemName", "csu_product", "filled_csuRelevantPrice",
-                                             "filled_end_date", "filled").collect()
-        assert sorted(map(tuple, ours), key=str) == sorted(map(tuple, ref), key=str), trial
+        ref = sorted(map(tuple, spark.sql(INTERVAL_SQL.format(epoch=epoch, as_of=as_of)).collect()), key=str)
+        for fn in (H.fill_history, H.fill_on_grid):
+            ours = _fill(f, as_of, epoch, fn).select(*COLS).collect()
+            assert sorted(map(tuple, ours), key=str) == ref, (trial, fn.__name__)
 
 
 def test_grid_has_every_item_on_every_observed_date(spark):

@@ -2,6 +2,8 @@
 cartesian joins and of Python UDFs, filters reach the parquet scans, and
 the history fill shuffles once."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
@@ -29,7 +31,24 @@ def test_filters_and_pruning_reach_scan(spark):
     assert "PushedFilters: [IsNotNull(c_acctbal), LessThan(c_acctbal,0.0)" in p
 
 
-def test_fill_uses_one_shuffle_for_all_windows(spark):
+def _depth(line):
+    return len(re.match(r"^[\s:|+\-]*", line).group(0))
+
+
+def _ancestors(lines, i):
+    """Ancestor lines of plan line ``i`` (by the tree prefix width)."""
+    depth, out = _depth(lines[i]), []
+    for line in reversed(lines[:i]):
+        d = _depth(line)
+        if d < depth:
+            out.append(line)
+            depth = d
+    return out
+
+
+def test_fill_never_shuffles_grid_rows(spark):
+    """The grid days are generated (explode) after the last shuffle: no
+    Exchange above any Generate, and no nested-loop join anywhere."""
     from pricebasket.operators import history as H
     from pricebasket.plans import driver_tables as DT
 
@@ -38,6 +57,9 @@ def test_fill_uses_one_shuffle_for_all_windows(spark):
         "event_type as csu_product", "cast(value as decimal(18,2)) as csuRelevantPrice")
     out = H.fill_history(facts, DT.AS_OF, DT.EPOCH, coalesced=("csu_product",), fact_only=(),
                          prices=("csuRelevantPrice",))
-    p = _plan(out)
-    top = p.split("Union")[0]  # everything above the union of grid and observed rows
-    assert top.count("Exchange") == 1 and top.count("Window") >= 3
+    lines = _plan(out).splitlines()
+    gens = [i for i, line in enumerate(lines) if "Generate" in line]
+    assert gens
+    for i in gens:
+        assert not any("Exchange" in a for a in _ancestors(lines, i)), lines[i]
+    assert "NestedLoopJoin" not in "\n".join(lines)
