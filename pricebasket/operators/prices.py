@@ -31,7 +31,7 @@ def unit_price(facts: DataFrame, details: DataFrame, per_kilo_items=R.PER_KILO_I
     * ``flag`` = ppu / price_new * package_amount (NULL on a zero divisor);
     * ``ppu_final`` = originalPrice when flag > limit and originalPrice is
       non-empty, else ppu."""
-    j = left_join_any_id(facts, F.col(ids_col), details, "itemId", ids_col=ids_col)
+    j = left_join_any_id(facts, F.col(ids_col), details, "itemId", ids_col=ids_col, right_is_large=False)
     base = parse_decimal("basePrice", 18, 2)
     amount = parse_decimal("package_amount", 18, 4)
     listed = (per_kilo_items if isinstance(per_kilo_items, Column)

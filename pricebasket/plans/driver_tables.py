@@ -22,6 +22,7 @@ from ..operators import index as X
 from ..operators import prices as P
 from ..operators import rows as RW
 from ..operators import selection as S
+from ..session import cut_lineage
 
 AS_OF = _dt.date(2024, 1, 31)
 EPOCH = _dt.date(2024, 1, 1)
@@ -405,7 +406,7 @@ def q_backfill(spark, d):
 
 
 def q_fill_forward(spark, d):
-    return H.fill_history(price_facts(spark, d), AS_OF, EPOCH)
+    return H.fill_history(cut_lineage(price_facts(spark, d), "px_facts"), AS_OF, EPOCH)
 
 
 def px_selection(spark, d):
@@ -413,7 +414,9 @@ def px_selection(spark, d):
 
 
 def px_full_history(spark, d):
-    facts = price_facts(spark, d)
+    # the fact view feeds the selection and every branch of the fill: written
+    # once to the checkpoint folder, as the whole refresh does
+    facts = cut_lineage(price_facts(spark, d), "px_facts")
     sel = S.selection_final(S.select_products(facts, MIN_DAYS_USERS, UNWANTED_USERS))
     return H.flag_selected(H.fill_history(facts, AS_OF, EPOCH), sel, AS_OF)
 
