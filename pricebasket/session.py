@@ -17,9 +17,13 @@ DEFAULTS = {
 }
 
 
-def get_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "pricebasket",
+def get_session(master: str | None = "local[8]", shuffle_partitions: int = 8, app: str = "pricebasket",
                 extra: dict | None = None) -> SparkSession:
-    b = SparkSession.builder.master(master).appName(app)
+    """A session with AQE (runtime re-planning, skew-join splitting) on.
+    ``master=None`` keeps what spark-submit / the cluster provides."""
+    b = SparkSession.builder.appName(app)
+    if master:
+        b = b.master(master)
     for k, v in {**DEFAULTS, "spark.sql.shuffle.partitions": str(shuffle_partitions), **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
