@@ -33,10 +33,13 @@ def get_session(master: str | None = "local[8]", shuffle_partitions: int = 8, ap
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for lineage cuts: the cluster's ``spark.checkpoint.dir``;
-    a scratch folder only where none is configured (local tests)."""
+    """The shared folder for lineage cuts: the cluster's ``spark.checkpoint.dir``.
+    Only a local-mode session without one (tests) gets a scratch folder; on a
+    cluster a machine-local folder would break, so that is an error."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor shares")
         d = tempfile.mkdtemp(prefix="pricebasket-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
