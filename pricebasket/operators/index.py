@@ -16,22 +16,37 @@ LEVELS = ("csu_main_category", "csu_subcategory", "csu_product", "itemName")
 LEVEL_NAMES = ("main", "sub", "product", "item")
 
 
+def _index_rows(hist: DataFrame, as_of: _dt.date, price: str = PRICE, product: str = "csu_product") -> DataFrame:
+    """The rows the index may use: priced, with a product, dated before as_of."""
+    return hist.filter(F.col(price).isNotNull() & F.col(product).isNotNull() & (F.col(product) != "")
+                       & F.col("date").isNotNull() & (F.col("date") < F.lit(as_of)))
+
+
 def cheapest_per_product_day(hist: DataFrame, as_of: _dt.date, price: str = PRICE,
                              product: str = "csu_product",
                              tie_breakers: Sequence[str] = ("itemName", "it_product_id_array")) -> DataFrame:
     """Cheapest filled row per (product, date) - uses every row, not only
     the selected ones.  Top-1 is cut map-side by WindowGroupLimit."""
-    f = hist.filter(F.col(price).isNotNull() & F.col(product).isNotNull() & (F.col(product) != "")
-                    & F.col("date").isNotNull() & (F.col("date") < F.lit(as_of)))
+    f = _index_rows(hist, as_of, price, product)
     order = [F.col(price).asc()] + [F.col(t).asc_nulls_last() for t in tie_breakers]
     return top_n_per_key(f, [product, "date"], order, 1, rank_col="daily_rank")
 
 
 def weighted_index(hist: DataFrame, as_of: _dt.date, price: str = PRICE,
-                   weight: str = "csu_weight") -> DataFrame:
+                   weight: str = "csu_weight", rank_by: str = "daily") -> DataFrame:
     """Per date, sum of cheapest price x weight (4 decimals) and its
-    relative difference to the value on the last date."""
-    cheap = cheapest_per_product_day(hist, as_of, price)
+    relative difference to the value on the last date.
+
+    ``rank_by="daily"``: the cheapest filled price per product and day (the
+    window the original names ``order_cheapest`` in this statement);
+    ``"selection"``: the other reading of that name - rows whose selection
+    rank by average price (``order_cheapest`` of the full history) is 1."""
+    if rank_by == "daily":
+        cheap = cheapest_per_product_day(hist, as_of, price)
+    elif rank_by == "selection":
+        cheap = _index_rows(hist, as_of, price).filter(F.col("order_cheapest") == 1)
+    else:
+        raise ValueError(f"rank_by must be 'daily' or 'selection', not {rank_by!r}")
     # price (< 10^14) x weight (< 10^6) as decimal(20,6) x decimal(12,6): the
     # product keeps all 12 places; wider operands would make Spark round each
     # product to 7 places before the sum (precision-loss rule)

@@ -60,3 +60,24 @@ def test_cells(spark):
     names = spark.createDataFrame([("ČESNEK SUCHÝ",), ("FERNET STOCK",)], "n string")
     r = names.select(initcap_first("n").alias("f"), initcap_words("n").alias("w")).collect()
     assert r[0].f == "Česnek suchý" and r[1].w == "Fernet Stock"
+
+
+def test_more_traps(spark):
+    from pricebasket.functions.cells import safe_div
+    from pricebasket.operators import candidates as C
+    from pricebasket.operators import identity as I
+
+    # A zero divisor gives NULL, not an error
+    assert spark.range(1).select(safe_div(F.lit(1.0), F.lit(0.0)).alias("x")).first().x is None
+    # A short URL gives '' as barcode, a legitimate key
+    r = spark.createDataFrame([("https://a/b",)], "u string").select(I.barcode_from_url("u").alias("k")).first()
+    assert r.k == ""
+    # A NULL line id makes a NULL ident, which no block-list entry removes
+    hits = spark.createDataFrame([("T", 5, 1)], "itesco_nazev string, productId long, poradi int")
+    res = spark.createDataFrame([("T", None, "Line", None)],
+                                "itesco_nazev string, csu_id string, csu_nazev string, itesco_notes string")
+    names = spark.createDataFrame([], "itemId long, itemName string, itemUrl string")
+    cands = C.build_candidates(C.label_search_type(hits), res, names)
+    bl = spark.createDataFrame([("5_",)], "id string")
+    out = C.apply_blocklist(cands, bl).collect()
+    assert len(out) == 1 and out[0].productId_csuId_ident is None

@@ -53,3 +53,16 @@ def test_weighted_index(spark):
     assert float(out[d1].vazena_suma) == 22 and float(out[d2].vazena_suma) == 25
     assert out[d1].perc_diff_last_day == pytest.approx(-0.12) and out[d2].perc_diff_last_day == 0
     assert out[d1].last_date == d2
+
+
+def test_weighted_index_selection_reading(spark):
+    # The rank filter read as the selection's average-price rank
+    d1 = dt.date(2020, 1, 1)
+    rows = [("P", d1, "cheap-on-average", 10, 2, 1), ("P", d1, "cheap-today", 9, 2, 2), ("Q", d1, "q", 4, 1, None)]
+    hist = spark.createDataFrame(
+        [(p, d, i, "[1]", Decimal(v), Decimal(w), o) for p, d, i, v, w, o in rows],
+        "csu_product string, date date, itemName string, it_product_id_array string, "
+        "filled_csuRelevantPrice decimal(24,6), csu_weight decimal(18,6), order_cheapest int")
+    daily = X.weighted_index(hist, as_of=dt.date(2020, 1, 5)).collect()[0]
+    sel = X.weighted_index(hist, as_of=dt.date(2020, 1, 5), rank_by="selection").collect()[0]
+    assert float(daily.vazena_suma) == 9 * 2 + 4 and float(sel.vazena_suma) == 10 * 2
