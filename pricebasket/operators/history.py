@@ -161,42 +161,45 @@ def fill_history(facts: DataFrame, as_of: _dt.date, epoch: _dt.date = R.HISTORY_
 
     end = F.coalesce(F.col("__next"), F.lit(as_of))
 
-    def out(day, state_ok, end_col, label, obs_row=False):
-        """One output row: ``state_ok`` says the point's state applies."""
-        cols = [day.alias(date)] + [F.col(c) for c in k]
-        for c in (*coalesced, *fact_only):
-            cols.append(F.when(state_ok, F.col(c)).alias(c))
-        for p in prices:
-            src = F.col(f"__own_{p}") if obs_row else F.col(p)
-            cols.append(F.when(state_ok, src).alias(f"filled_{p}"))
-        cols.append(F.when(state_ok, end_col).cast("date").alias("filled_end_date"))
-        cols.append(F.lit(label).alias("filled"))
-        return cols
-
-    # 1. observed rows, as they are
-    observed = pts.filter("__obs").select(*out(F.col("__d"), F.lit(True), F.lit(None), labels[1], True))
-    # 2. the backfilled start-date row: filled from itself up to the next point
-    started = pts.filter(~F.col("__obs")).select(
-        *out(F.col("__d"), F.col("__d") < end, end, labels[0]))
-
-    def span(frame, lo, hi):
-        """Grid days in [lo, hi] for each row of ``frame``."""
-        day = F.explode(F.when(lo <= hi, F.sequence(lo, hi))).alias("__t")
-        return (frame.select("*", day).join(days, F.col("__t") == days["grid_date"], "left_semi"))
-
-    # 3. days strictly between a point and the next one (or the last grid day)
+    def days_between(lo, hi, kind):
+        """[lo, hi] as (day, kind) structs; empty when lo > hi."""
+        seq = F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<date>"))
+        return F.transform(seq, lambda t: F.struct(t.alias("t"), F.lit(kind).alias("k")))
+
+    # every grid day a point is responsible for, emitted in one pass: its own
+    # day, the days up to the next point (or the last grid day), and for an
+    # item's first point the days before it
     gap_hi = F.coalesce(F.date_sub(F.col("__next"), 1), F.col("__b.hi"))
-    gaps = span(pts, F.date_add(F.col("__d"), 1), gap_hi).select(
-        *out(F.col("__t"), F.col("__t") < end, end, labels[0]))
-    # 4. days before an item's first point, and every day of items without one
-    nulls = [F.lit(None).cast(dtypes[c]).alias(c) for c in (*coalesced, *fact_only, *prices)]
-    empty = F.lit(False)
-    before = span(pts.filter("__is_first"), F.col("__b.lo"), F.date_sub(F.col("__d"), 1)).select(
-        *out(F.col("__t"), empty, F.lit(None), labels[0]))
-    pointless = items.join(pts.select(*k).distinct(), k, "left_anti").select(*k, "__b", *nulls)
-    never = span(pointless, F.col("__b.lo"), F.col("__b.hi")).select(
-        *out(F.col("__t"), empty, F.lit(None), labels[0]))
-    return observed.unionByName(started).unionByName(gaps).unionByName(before).unionByName(never)
+    emitted = F.concat(
+        F.array(F.struct(F.col("__d").alias("t"), F.lit("own").alias("k"))),
+        days_between(F.date_add(F.col("__d"), 1), gap_hi, "gap"),
+        F.when(F.col("__is_first"), days_between(F.col("__b.lo"), F.date_sub(F.col("__d"), 1), "before"))
+         .otherwise(F.array().cast("array<struct<t:date,k:string>>")))
+    rows = (pts.select("*", F.explode(emitted).alias("__e"))
+               .join(days, F.col("__e.t") == days["grid_date"], "left_semi"))
+    day, kind = F.col("__e.t"), F.col("__e.k")
+    observed = (kind == "own") & F.col("__obs")
+    # the point's state applies: observed rows; the backfilled start day and
+    # gap days before the interval's end; never the days before the first point
+    state_ok = observed | ((kind != "before") & (day < end))
+    cols = [day.alias(date)] + [F.col(c) for c in k]
+    for c in (*coalesced, *fact_only):
+        cols.append(F.when(state_ok, F.col(c)).alias(c))
+    for p in prices:
+        cols.append(F.when(observed, F.col(f"__own_{p}")).when(state_ok, F.col(p)).alias(f"filled_{p}"))
+    cols.append(F.when(state_ok & ~observed, end).alias("filled_end_date"))
+    cols.append(F.when(observed, F.lit(labels[1])).otherwise(F.lit(labels[0])).alias("filled"))
+    filled = rows.select(*cols)
+
+    # items without any point (NULL keys, or nothing known): every grid day, empty
+    nulls = [F.lit(None).cast(dtypes[c]).alias(c) for c in (*coalesced, *fact_only)]
+    pointless = items.join(pts.select(*k).distinct(), k, "left_anti")
+    never = (pointless.select(*k, F.explode(F.sequence(F.col("__b.lo"), F.col("__b.hi"))).alias("__t"))
+                      .join(days, F.col("__t") == days["grid_date"], "left_semi")
+                      .select(F.col("__t").alias(date), *k, *nulls,
+                              *[F.lit(None).cast(dtypes[p]).alias(f"filled_{p}") for p in prices],
+                              F.lit(None).cast("date").alias("filled_end_date"), F.lit(labels[0]).alias("filled")))
+    return filled.unionByName(never)
 
 
 def fill_on_grid(facts: DataFrame, as_of: _dt.date, epoch: _dt.date = R.HISTORY_EPOCH,
