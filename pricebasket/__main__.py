@@ -23,7 +23,8 @@ def main(argv=None) -> None:
     ap.add_argument("--as-of", default=dt.date.today().isoformat(), help="the run's 'today' (default: today)")
     ap.add_argument("--format", default="parquet", help="parquet, orc, json, csv or table")
     ap.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
-    ap.add_argument("--shuffle-partitions", type=int, default=200)
+    ap.add_argument("--shuffle-partitions", type=int, default=2000,
+                    help="initial shuffle partitions; AQE coalesces them to ~advisory size")
     a = ap.parse_args(argv)
     spark = get_session(master=a.master, shuffle_partitions=a.shuffle_partitions)
     sep = "." if a.format == "table" else "/"
