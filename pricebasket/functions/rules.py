@@ -9,7 +9,7 @@ and the driver-table queries can pass rule sets of their own.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # --- fixed values: dates -------------------------------------------------
 # First day of the filled daily grid (the backfill date).
@@ -74,7 +74,14 @@ PIECE_FACTORS = (
     ("Okurky salátové", "ks", "3.6"),
 )
 
+# --- fixed values: basket units and how the basket price uses them (S16) --
+UNITS_PRICED_PER_UNIT = ("kg", "l")     # unit price x amount
+UNIT_PER_GRAM = "g"                     # unit price / 1000 x amount
+UNITS_PRICED_PER_PIECE = ("bal.", "ks")  # base price x amount
+
 # --- fixed values: product selection (S17) ---------------------------------
+# (basket unit, listed unit, unit used): kg and l count as interchangeable
+UNIT_SWAPS = (("l", "kg", "kg"), ("kg", "l", "l"))
 MIN_DAYS_IN_HISTORY = 365
 # (basket product, ILIKE pattern) -> the item is unwanted
 UNWANTED_ITEMS = (
@@ -106,4 +113,3 @@ class BasketRules:
     min_days: int = MIN_DAYS_IN_HISTORY
     unwanted_items: tuple = UNWANTED_ITEMS
     epoch: _dt.date = HISTORY_EPOCH
-    extra: dict = field(default_factory=dict)

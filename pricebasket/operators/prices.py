@@ -109,12 +109,12 @@ def basket_price(product: Column, package_unit: Column, basket_unit: Column, ppu
         cond = (product == prod) & (package_unit == unit)
         val = F.lit(factor).cast("decimal(10,4)") * ppu * amount
         expr = (F.when if expr is None else expr.when)(cond, val)
-    expr = (F.when if expr is None else expr.when)(basket_unit.isin("kg", "l"), ppu * amount)
+    expr = (F.when if expr is None else expr.when)(basket_unit.isin(*R.UNITS_PRICED_PER_UNIT), ppu * amount)
     # per gram: ppu / 1000 * amount, as one exact product rounded once below
-    expr = (expr.when(basket_unit == "g", ppu * amount * F.lit(Decimal("0.001")))
-                .when(basket_unit == "bal.", base * amount)
-                .when(basket_unit == "ks", base * amount)
-                .otherwise(ppu * amount))
+    expr = expr.when(basket_unit == R.UNIT_PER_GRAM, ppu * amount * F.lit(Decimal("0.001")))
+    for unit in R.UNITS_PRICED_PER_PIECE:
+        expr = expr.when(basket_unit == unit, base * amount)
+    expr = expr.otherwise(ppu * amount)
     return expr.cast(BASKET_PRICE)
 
 
