@@ -13,6 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # coalesce shuffle partitions towards this size (defaults to 64m)
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # scan splits: 100 TB of inputs in ~400k tasks rather than ~800k
+    "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
