@@ -93,3 +93,10 @@ def rollup_all_levels(hist: DataFrame, price: str = PRICE, out: str = "csuReleva
     for i in range(len(levels) + 1):
         depth = depth - F.col("__gid").bitwiseAND(1 << i).cast("boolean").cast("int")
     return g.withColumn("level", depth.cast("int")).drop("__gid")
+
+
+def split_levels(all_levels: DataFrame, out: str = "csuRelevantPrice", levels: Sequence[str] = LEVELS,
+                 ) -> list[DataFrame]:
+    """The four average tables from one ``rollup_all_levels`` result."""
+    return [all_levels.filter(F.col("level") == d).select("date", *levels[:d], out)
+            for d in range(1, len(levels) + 1)]

@@ -66,3 +66,17 @@ def test_weighted_index_selection_reading(spark):
     daily = X.weighted_index(hist, as_of=dt.date(2020, 1, 5)).collect()[0]
     sel = X.weighted_index(hist, as_of=dt.date(2020, 1, 5), rank_by="selection").collect()[0]
     assert float(daily.vazena_suma) == 9 * 2 + 4 and float(sel.vazena_suma) == 10 * 2
+
+
+def test_split_levels_equals_separate_rollups(spark):
+    d1, d2 = dt.date(2020, 1, 1), dt.date(2020, 1, 2)
+    rows = [(d1, "M", "S", "P", "i1", 10, 1), (d1, "M", "S", "P", "i2", 20, 1), (d1, "M", None, "P", "i3", 5, 1),
+            (d2, "M", "S", "Q", "i4", 7, 1), (d2, None, "S", "Q", "i5", 3, 0), (d2, "M", "S", "Q", "i6", None, 1)]
+    hist = spark.createDataFrame(
+        [(d, m, s, p, i, None if v is None else Decimal(v), t) for d, m, s, p, i, v, t in rows],
+        "date date, csu_main_category string, csu_subcategory string, csu_product string, itemName string, "
+        "filled_csuRelevantPrice decimal(24,6), to_include int")
+    for depth, part in enumerate(X.split_levels(X.rollup_all_levels(hist)), start=1):
+        want = X.rollup_avg(hist, depth)
+        assert part.columns == want.columns
+        assert sorted(part.collect(), key=str) == sorted(want.collect(), key=str)
