@@ -97,3 +97,28 @@ def test_averages(out):
     main = {(r.date, r.csu_main_category): r.csuRelevantPrice for r in out["avg_by_main_category"].collect()}
     assert float(main[(D[0], "Potraviny")]) == 25.0 and float(main[(D[5], "Potraviny")]) == 26.0
     assert out["avg_by_item"].count() == 12
+
+
+def test_run_equals_registered_queries(spark):
+    """pipeline.run on the generated tables publishes exactly what the
+    oracle-checked whole-refresh queries return."""
+    from pyspark.sql import functions as F
+
+    from pricebasket.plans import driver_pipeline as DP
+
+    sf = "/root/testdata/sf0.001"
+    tables = DP.run(spark, sf)
+    pairs = [
+        (tables["full_history"].withColumn("mean_coef_var", F.round("mean_coef_var", 6)),
+         DP.q_pipeline_full_history(spark, sf)),
+        (tables["weighted_index"].withColumn("perc_diff_last_day", F.round("perc_diff_last_day", 10)),
+         DP.q_pipeline_weighted_index(spark, sf)),
+        (tables["avg_all_levels"].withColumn("csuRelevantPrice", F.round(F.col("csuRelevantPrice"), 6).cast("double")),
+         DP.q_pipeline_averages(spark, sf)),
+        (tables["facts"], DP.q_pipeline_facts(spark, sf)),
+    ]
+    for got, want in pairs:
+        want = want.select(*got.columns)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    levels = tables["avg_all_levels"]
+    assert tables["avg_by_item"].count() == levels.filter("level = 4").count()
