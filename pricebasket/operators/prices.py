@@ -21,7 +21,7 @@ BASKET_PRICE = "decimal(24,6)"
 
 def unit_price(facts: DataFrame, details: DataFrame, per_kilo_items=R.PER_KILO_ITEMS,
                per_kilo_limit=R.PER_KILO_PRICE_LIMIT, flag_limit=R.FLAG_LIMIT,
-               ids_col: str = "found_product_ids") -> DataFrame:
+               ids_col: str = "found_product_ids", id_lists: DataFrame | None = None) -> DataFrame:
     """Attach product details under either id and compute the unit price.
 
     * ``price_per_unit`` = DIV0(basePrice, package_amount) to 2 decimals,
@@ -30,8 +30,12 @@ def unit_price(facts: DataFrame, details: DataFrame, per_kilo_items=R.PER_KILO_I
     * ``unit`` = listed unit if non-empty, else the package unit if non-empty;
     * ``flag`` = ppu / price_new * package_amount (NULL on a zero divisor);
     * ``ppu_final`` = originalPrice when flag > limit and originalPrice is
-      non-empty, else ppu."""
-    j = left_join_any_id(facts, F.col(ids_col), details, "itemId", ids_col=ids_col, right_is_large=False)
+      non-empty, else ppu.
+
+    ``id_lists``: the distinct id lists of ``facts`` when a smaller table
+    (the candidates) already knows them - saves a pass over the history."""
+    j = left_join_any_id(facts, F.col(ids_col), details, "itemId", ids_col=ids_col, right_is_large=False,
+                         id_lists=id_lists)
     base = parse_decimal("basePrice", 18, 2)
     amount = parse_decimal("package_amount", 18, 4)
     listed = (per_kilo_items if isinstance(per_kilo_items, Column)
