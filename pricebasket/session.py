@@ -28,6 +28,9 @@ def get_session(master: str | None = "local[8]", shuffle_partitions: int = 8, ap
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
+    if master and master.startswith("local"):
+        # local mode: the driver is also the only executor (1g by default)
+        b = b.config("spark.driver.memory", "8g")
     for k, v in {**DEFAULTS, "spark.sql.shuffle.partitions": str(shuffle_partitions), **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
