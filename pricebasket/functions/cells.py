@@ -67,8 +67,3 @@ def null_safe_true(cond: Column) -> Column:
 def dotted_to_key(c) -> Column:
     """``replace(trim(x), '.', '_')`` - basket line id as used in idents."""
     return F.replace(F.trim(col(c)), F.lit("."), F.lit("_"))
-
-
-def ids_text(ids) -> Column:
-    """Array of ids as text, e.g. ``[1,2]`` - the group/join key downstream."""
-    return F.to_json(col(ids))

@@ -385,9 +385,6 @@ def q_select_products(spark, d):
     return _round_doubles(s, SELECTION_DOUBLES)
 
 
-PX_COLS = dict(coalesced=H.COALESCED, fact_only=H.FACT_ONLY, prices=H.PRICES)
-
-
 def q_densify(spark, d):
     rows = H.fill_history(price_facts(spark, d), AS_OF, EPOCH, stage="densify")
     return rows.select("grid_date", "grid_itemName", "grid_it_product_id_array", "date",
@@ -409,10 +406,6 @@ def q_fill_forward(spark, d):
     return H.fill_history(cut_lineage(price_facts(spark, d), "px_facts"), AS_OF, EPOCH)
 
 
-def px_selection(spark, d):
-    return S.select_products(price_facts(spark, d), MIN_DAYS_USERS, UNWANTED_USERS)
-
-
 def px_full_history(spark, d):
     # the fact view feeds the selection and every branch of the fill: written
     # once to the checkpoint folder, as the whole refresh does
