@@ -144,7 +144,10 @@ def fill_history(facts: DataFrame, as_of: _dt.date, epoch: _dt.date = R.HISTORY_
                              F.lit(False).alias("__obs")))
     pts = obs.unionByName(backfill)
 
-    w = Window.partitionBy(*k).orderBy("__d")
+    # points are unique per (item, day) after S15; should two share a day, the
+    # observed one and then the attributes decide, so reruns agree
+    w = Window.partitionBy(*k).orderBy(
+        "__d", F.col("__obs").desc(), *[F.col(c).asc_nulls_last() for c in (*coalesced, *fact_only, *prices)])
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     first = F.first(F.when(F.col("__obs"), F.struct(*coalesced, *fact_only, *prices)),
                     ignorenulls=True).over(whole)
