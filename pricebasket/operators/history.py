@@ -103,7 +103,9 @@ def fill_history(facts: DataFrame, as_of: _dt.date, epoch: _dt.date = R.HISTORY_
                  keys: Sequence[str] = ITEM_KEYS, date: str = "date",
                  coalesced: Sequence[str] = COALESCED, fact_only: Sequence[str] = FACT_ONLY,
                  prices: Sequence[str] = PRICES, labels=(R.FILLED_LABEL, R.ORIGINAL_LABEL),
-                 stage: str = "fill") -> DataFrame:
+                 stage: str = "fill", selection: DataFrame | None = None,
+                 selection_keys: Sequence[str] = ("csu_product", "itemName", "it_product_id_array"),
+                 selection_cols: Sequence[str] = ()) -> DataFrame:
     """The dense, filled daily history.
 
     Output: date, item keys, coalesced attributes, fact-only attributes,
@@ -178,21 +180,26 @@ def fill_history(facts: DataFrame, as_of: _dt.date, epoch: _dt.date = R.HISTORY_
         days_between(F.date_add(F.col("__d"), 1), gap_hi, "gap"),
         F.when(F.col("__is_first"), days_between(F.col("__b.lo"), F.date_sub(F.col("__d"), 1), "before"))
          .otherwise(F.array().cast("array<struct<t:date,k:string>>")))
-    rows = (pts.select("*", F.explode(emitted).alias("__e"))
-               .join(days, F.col("__e.t") == days["grid_date"], "left_semi"))
-    day, kind = F.col("__e.t"), F.col("__e.k")
-    observed = (kind == "own") & F.col("__obs")
-    # the point's state applies: observed rows; the backfilled start day and
-    # gap days before the interval's end; never the days before the first point
-    state_ok = observed | ((kind != "before") & (day < end))
-    cols = [day.alias(date)] + [F.col(c) for c in k]
-    for c in (*coalesced, *fact_only):
-        cols.append(F.when(state_ok, F.col(c)).alias(c))
-    for p in prices:
-        cols.append(F.when(observed, F.col(f"__own_{p}")).when(state_ok, F.col(p)).alias(f"filled_{p}"))
-    cols.append(F.when(state_ok & ~observed, end).alias("filled_end_date"))
-    cols.append(F.when(observed, F.lit(labels[1])).otherwise(F.lit(labels[0])).alias("filled"))
-    filled = rows.select(*cols)
+    def emit(src, keep=None, extra=()):
+        """The days of every point of ``src``; ``keep``: only the days whose
+        point state applies (True) or does not (False)."""
+        rows = (src.select("*", F.explode(emitted).alias("__e"))
+                   .join(days, F.col("__e.t") == days["grid_date"], "left_semi"))
+        day, kind = F.col("__e.t"), F.col("__e.k")
+        observed = (kind == "own") & F.col("__obs")
+        # the point's state applies: observed rows; the backfilled start day and
+        # gap days before the interval's end; never the days before the first point
+        state_ok = observed | ((kind != "before") & (day < end))
+        if keep is not None:
+            rows = rows.filter(state_ok if keep else ~state_ok)
+        cols = [day.alias(date)] + [F.col(c) for c in k]
+        for c in (*coalesced, *fact_only):
+            cols.append(F.when(state_ok, F.col(c)).alias(c))
+        for p in prices:
+            cols.append(F.when(observed, F.col(f"__own_{p}")).when(state_ok, F.col(p)).alias(f"filled_{p}"))
+        cols.append(F.when(state_ok & ~observed, end).alias("filled_end_date"))
+        cols.append(F.when(observed, F.lit(labels[1])).otherwise(F.lit(labels[0])).alias("filled"))
+        return rows.select(*cols, *extra)
 
     # items without any point (NULL keys, or nothing known): every grid day, empty
     nulls = [F.lit(None).cast(dtypes[c]).alias(c) for c in (*coalesced, *fact_only)]
@@ -202,7 +209,27 @@ def fill_history(facts: DataFrame, as_of: _dt.date, epoch: _dt.date = R.HISTORY_
                       .select(F.col("__t").alias(date), *k, *nulls,
                               *[F.lit(None).cast(dtypes[p]).alias(f"filled_{p}") for p in prices],
                               F.lit(None).cast("date").alias("filled_end_date"), F.lit(labels[0]).alias("filled")))
-    return filled.unionByName(never)
+    if selection is None:
+        return emit(pts).unionByName(never)
+
+    # S28 on the points instead of the grid: a day whose point state applies
+    # carries the point's product and keys, so the selection joined to the
+    # point (facts-sized) is what the day would join; days without a state
+    # match nothing and come from the un-joined points, once each
+    sel = selection.select(*[F.col(c).alias(f"__s_{c}") for c in selection_keys], *selection_cols)
+    stypes = {f.name: f.dataType for f in sel.schema.fields}
+    cond = None
+    for c in selection_keys:
+        e = pts[c] == sel[f"__s_{c}"]
+        cond = e if cond is None else cond & e
+    joined = pts.join(sel, cond, "left")
+    flagged = [F.col(c) for c in selection_cols] + [
+        F.when(F.col(f"__s_{selection_keys[0]}").isNull(), F.lit(0)).otherwise(F.lit(1)).alias("to_include")]
+    unflagged = [F.lit(None).cast(stypes[c]).alias(c) for c in selection_cols] + [F.lit(0).alias("to_include")]
+    out = (emit(joined, True, flagged)
+           .unionByName(emit(pts, False, unflagged))
+           .unionByName(never.select("*", *unflagged)))
+    return out.filter(F.col(date) < F.lit(as_of))
 
 
 def fill_on_grid(facts: DataFrame, as_of: _dt.date, epoch: _dt.date = R.HISTORY_EPOCH,
@@ -286,3 +313,14 @@ def flag_selected(hist: DataFrame, selection: DataFrame, as_of: _dt.date,
     j = hist.filter(F.col("date") < F.lit(as_of)).join(s, cond, "left")
     inc = F.when(F.col(f"__s_{keys[0]}").isNull(), F.lit(0)).otherwise(F.lit(1))
     return j.withColumn("to_include", inc).drop(*[f"__s_{k}" for k in keys])
+
+
+def fill_and_flag(facts: DataFrame, selection: DataFrame, as_of: _dt.date,
+                  epoch: _dt.date = R.HISTORY_EPOCH, **kw) -> DataFrame:
+    """``flag_selected(fill_history(...), selection, as_of)`` with the
+    selection joined to the known points, so it never meets grid-sized data."""
+    return fill_history(facts, as_of, epoch, selection=selection,
+                        selection_cols=("items_in_category", "days_in_history", "avg_csuRelevantPrice",
+                                        "min_csuRelevantPrice", "max_csuRelevantPrice", "mean_coef_var",
+                                        "order_cheapest"), **kw)
+

@@ -411,7 +411,7 @@ def px_full_history(spark, d):
     # once to the checkpoint folder, as the whole refresh does
     facts = cut_lineage(price_facts(spark, d), "px_facts")
     sel = S.selection_final(S.select_products(facts, MIN_DAYS_USERS, UNWANTED_USERS))
-    return H.flag_selected(H.fill_history(facts, AS_OF, EPOCH), sel, AS_OF)
+    return H.fill_and_flag(facts, sel, AS_OF, EPOCH)
 
 
 def q_flag_selected(spark, d):

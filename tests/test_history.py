@@ -101,3 +101,32 @@ def test_grid_has_every_item_on_every_observed_date(spark):
     g = H.grid(_facts(spark, rows))
     assert g.count() == 9  # 3 items x 3 observed dates (26, 27, 29 never occur)
     assert {r.grid_date.day for r in g.collect()} == {25, 28, 30}
+
+
+SEL = ("csu_product string, itemName string, it_product_id_array string, items_in_category long, "
+       "days_in_history long, avg_csuRelevantPrice decimal(18,2), min_csuRelevantPrice decimal(38,2), "
+       "max_csuRelevantPrice decimal(38,2), mean_coef_var double, order_cheapest int")
+
+
+def test_flag_on_points_equals_flag_on_grid(spark):
+    """S28 joined to the known points equals S28 on the filled grid, also when
+    the selection repeats a key (fan-out) and for days without a state."""
+    rnd = random.Random(21)
+    for trial in range(6):
+        rows = []
+        for item in ["A", "B", "C", None]:
+            days = sorted(rnd.sample(range(20, 32), rnd.randint(1, 5)))
+            rows += [(item, D(2019, 7, d), rnd.choice([None, rnd.randint(1, 50)])) for d in days]
+        f = _facts(spark, rows)
+        sel_rows = []
+        for item in ["A", "B", "C"]:
+            for _ in range(rnd.choice([0, 1, 2])):
+                sel_rows.append(("P" + item, item, f"[{ord(item)}]", 1, 2, Decimal(3), Decimal(1), Decimal(5),
+                                 rnd.random(), rnd.randint(1, 3)))
+        sel = spark.createDataFrame(sel_rows, SEL)
+        as_of, epoch = D(2019, 7, rnd.choice([28, 31])), D(2019, 7, rnd.choice([20, 25]))
+        kw = dict(coalesced=("csu_product",), fact_only=(), prices=("csuRelevantPrice",))
+        grid_way = H.flag_selected(H.fill_history(f, as_of, epoch, **kw), sel, as_of)
+        point_way = H.fill_and_flag(f, sel, as_of, epoch, **kw).select(*grid_way.columns)
+        assert grid_way.exceptAll(point_way).count() == 0, trial
+        assert point_way.exceptAll(grid_way).count() == 0, trial
