@@ -318,7 +318,12 @@ def flag_selected(hist: DataFrame, selection: DataFrame, as_of: _dt.date,
 def fill_and_flag(facts: DataFrame, selection: DataFrame, as_of: _dt.date,
                   epoch: _dt.date = R.HISTORY_EPOCH, **kw) -> DataFrame:
     """``flag_selected(fill_history(...), selection, as_of)`` with the
-    selection joined to the known points, so it never meets grid-sized data."""
+    selection joined to the known points, so it never meets grid-sized data.
+
+    For a selection too big to broadcast.  It emits the days in two passes
+    (days with and without a point state), so when the selection *is* small
+    the broadcast join of ``flag_selected`` onto the filled history is
+    cheaper."""
     return fill_history(facts, as_of, epoch, selection=selection,
                         selection_cols=("items_in_category", "days_in_history", "avg_csuRelevantPrice",
                                         "min_csuRelevantPrice", "max_csuRelevantPrice", "mean_coef_var",
