@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pricebasket.llm import line_dedup
+from pricebasket.llm import line_dedup, simhash
 
 QUERIES = {
+    "op2_simhash": simhash.op2_simhash,
     "op9_line_dedup": line_dedup.op9_line_dedup,
 }
 
