@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pricebasket.llm import line_dedup, simhash
+from pricebasket.llm import line_dedup, mixing, simhash
 
 QUERIES = {
+    "op1_mixing": mixing.op1_mixing,
     "op2_simhash": simhash.op2_simhash,
     "op9_line_dedup": line_dedup.op9_line_dedup,
 }
 
 ORACLES = {
+    "op1_mixing": mixing.ORACLE_OP1,
     "op9_line_dedup": line_dedup.ORACLE_OP9,
 }
