@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pricebasket.llm import line_dedup, mixing, simhash
+from pricebasket.llm import bpe, line_dedup, mixing, simhash
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_simhash": simhash.op2_simhash,
+    "op3_bpe": bpe.op3_bpe,
     "op9_line_dedup": line_dedup.op9_line_dedup,
 }
 
