@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pricebasket.llm import bpe, line_dedup, mixing, simhash
+from pricebasket.llm import bpe, language_id, line_dedup, mixing, simhash
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_simhash": simhash.op2_simhash,
     "op3_bpe": bpe.op3_bpe,
+    "op6_language_id": language_id.op6_language_id,
     "op9_line_dedup": line_dedup.op9_line_dedup,
 }
 
