@@ -53,24 +53,26 @@ class GrayIndex:
                 mask = mask & ~np.repeat(up[depth + 1][0], fanout)[: len(mask)]
             self.levels.append((mask, value))
 
-    def search(self, queries: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def search(self, queries: np.ndarray, radius: int, same: np.uint64 = np.uint64(0)) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(query position, position in the given prints) of all pairs within
-        ``radius``, a bounded number of queries at a time."""
+        ``radius`` that agree on the bits of ``same``, a bounded number of
+        queries at a time."""
         if not len(self.prints) or not len(queries):
             return
         step = max(1, FRONTIER // 256)
         for start in range(0, len(queries), step):
-            yield from self._walk(queries, np.arange(start, min(start + step, len(queries))), radius)
+            yield from self._walk(queries, np.arange(start, min(start + step, len(queries))), radius, same)
 
-    def _walk(self, queries, chosen, radius):
+    def _walk(self, queries, chosen, radius, same):
         roots = len(self.levels[0][0])
         todo = [(0, np.repeat(chosen, roots), np.tile(np.arange(roots), len(chosen)),
                  np.zeros(len(chosen) * roots, np.uint8))]
         while todo:
             depth, q, node, far = todo.pop()
             mask, value = self.levels[depth]
-            far = far + bit_count((queries[q] ^ value[node]) & mask[node])
-            near = far <= radius
+            differs = (queries[q] ^ value[node]) & mask[node]
+            far = far + bit_count(differs)
+            near = (far <= radius) & (differs & same == 0)
             q, node, far = q[near], node[near], far[near]
             if not len(q):
                 continue

@@ -3,10 +3,10 @@
 A text's fingerprint sets a bit if over half of its shingles' XXH64 hashes do.
 Documents of one fingerprint are one class; classes within ``max_bits`` link,
 and links chain into components.  The distinct fingerprints are sorted by Gray
-rank and cut into blocks; the bits shared by a block form the index's upper
-nodes, which tell each fingerprint the few blocks it can have a partner in,
-and each block's own hierarchy finds the partners.  A block hands on a
-spanning forest of its links, never all pairs.
+rank, in rotations, and dealt in runs that share their top bits; each task's
+hierarchy of shared masked bits finds the partners, and a run that is too large
+for one task is cut into blocks whose shared bits are the upper nodes.  A task
+hands on a spanning forest of its links, never all pairs.
 
 Defined results: a NULL or empty text, or one of blanks only, has fingerprint
 zero and is linked like any other; a text of fewer words than a shingle has one
@@ -30,7 +30,7 @@ from pricebasket.llm.components import connected_components
 from pricebasket.llm.gray_index import Forest, GrayIndex, bit_count, gray_rank
 
 SEED = 42
-#: Fingerprints per block and queries per search task.
+#: Fingerprints a search task indexes, about; larger runs are cut.
 BLOCK = 50_000
 #: Rows of one text whose 16-bit lane sums can't overflow.
 LANE_ROWS = 65_535
@@ -84,78 +84,115 @@ def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_c
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, "doc_id long, fp long")
 
 
-def _blocks(classes: DataFrame, block: int) -> DataFrame:
-    """(fp, block): the distinct fingerprints, range-partitioned by Gray rank
-    into about equal blocks; written, so a block's members never change."""
-    n = classes.count()
-
-    @F.pandas_udf("long")
-    def rank(fp: pd.Series) -> pd.Series:  # unsigned order as a signed integer
-        r = gray_rank(fp.to_numpy(np.int64).view(np.uint64)) ^ np.uint64(1 << 63)
-        return pd.Series(r.view(np.int64))
-
+def _rotated(fp: np.ndarray, shift: int) -> np.ndarray:
+    x = fp.view(np.uint64)
+    return (x << np.uint64(shift) | x >> np.uint64(64 - shift)) if shift else x
+
+
+def _segments(max_bits: int) -> list[tuple[int, int]]:
+    """(rotation that brings it to the top, bits) of max_bits + 1 segments:
+    fingerprints within max_bits agree on all of at least one."""
+    cuts = [round(64 * i / (max_bits + 1)) for i in range(max_bits + 2)]
+    return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def _forest(table: pa.Table, members: str, asks: str, max_bits: int) -> pa.Table:
+    """Links between the rows marked ``asks`` and those marked ``members`` of
+    one rotation that agree on its top segment, as a forest."""
+    rotated, prefix = table.column("rfp").to_numpy().view(np.uint64), np.uint64(table.column("prefix")[0].as_py() % (1 << 64))
+    marks = [np.asarray(table.column(c).to_numpy(zero_copy_only=False), bool) for c in (members, asks)]
+    prints, at = np.unique(rotated, return_inverse=True)
+    inside, queries = (np.unique(at[m]) for m in marks)
+    index, forest = GrayIndex(prints[inside]), Forest(len(prints))
+    for q, m in index.search(prints[queries], max_bits, prefix):
+        a, b = queries[q], inside[m]
+        forest.join(a[a != b], b[a != b])
+    edges = np.array(forest.edges, np.int64).reshape(-1, 2)
+    shift = (64 - table.column("shift")[0].as_py()) % 64
+    plain = _rotated(prints, shift).view(np.int64)
+    return pa.table({"a": plain[edges[:, 0]], "b": plain[edges[:, 1]]})
+
+
+def _gray_order(rfp: pd.Series) -> pd.Series:
+    """Gray rank, unsigned order as a signed integer."""
+    rank = gray_rank(rfp.to_numpy(np.int64).view(np.uint64)) ^ np.uint64(1 << 63)
+    return pd.Series(rank.view(np.int64))
+
+
+def _hot_links(runs: DataFrame, max_bits: int, block: int) -> DataFrame:
+    """Links within runs too large for one task (columns shift, rfp, prefix,
+    run): each run is cut into blocks in Gray order, and the bits a block
+    shares, the index's upper nodes, tell each fingerprint which later blocks
+    of its run can hold a partner."""
+    rank = F.pandas_udf(_gray_order, "long")
+    n = runs.count()
     parts = max(1, math.ceil(n / block))
-    ranked = classes.select("fp", rank("fp").alias("gray")).repartitionByRange(parts, "gray")
-    return written(ranked.select("fp", F.spark_partition_id().cast("long").alias("block")), "simhash-blocks")
-
-
-def links(classes: DataFrame, max_bits: int = 2, block: int = BLOCK) -> DataFrame:
-    """(a, b): links between fingerprints of ``classes`` (column fp, distinct)
-    within ``max_bits``; a forest per search task whose union has exactly the
-    components of all links."""
-    blocks = _blocks(classes, block)
-    # the upper nodes: one row a block, (fingerprints / BLOCK) rows
-    nodes = (blocks.groupBy("block").agg(F.bit_and("fp").alias("value"), F.bit_or("fp").alias("any"))
-             .orderBy("block").toPandas())
-    ids = nodes["block"].to_numpy(np.int64)
-    value = nodes["value"].to_numpy(np.int64).view(np.uint64)
-    mask = ~(value ^ nodes["any"].to_numpy(np.int64).view(np.uint64))
-    routed_schema = pa.schema([("block", pa.int64()), ("fp", pa.int64()), ("own", pa.bool_())])
+    place = written(runs.withColumn("gray", rank("rfp")).repartitionByRange(parts, "shift", "run", "gray")
+                    .withColumn("part", F.spark_partition_id()), "simhash-blocks")
+    # one row a block and run: (fingerprints / block) plus the runs of over a block, which are fewer still
+    nodes = place.groupBy("shift", "run", "part").agg(
+        F.bit_and("rfp").alias("value"), F.bit_or("rfp").alias("any")).orderBy("shift", "run", "part").collect()
+    of_run: dict[tuple[int, int], list] = {}
+    for r in nodes:
+        shared = ~(r["value"] ^ r["any"]) % (1 << 64)
+        of_run.setdefault((r["shift"], r["run"]), []).append((r["part"], np.uint64(r["value"] % (1 << 64)), np.uint64(shared)))
+    schema = pa.schema([("shift", pa.int32()), ("run", pa.int64()), ("part", pa.int32()), ("rfp", pa.int64()),
+                        ("prefix", pa.int64()), ("own", pa.bool_())])
 
     def route(batches):
-        """Each fingerprint goes to its own block and to every later one whose
-        shared bits allow a partner: of two blocks, the earlier one asks."""
         for b in batches:
-            fp, own = (np.asarray(c.to_numpy(zero_copy_only=False), np.int64) for c in b.columns)
-            asks = fp.view(np.uint64)
-            for i, target in enumerate(ids.tolist()):
-                near = (own <= target) & (bit_count((asks ^ value[i]) & mask[i]) <= max_bits)
-                if near.any():
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(near.sum(), target)), pa.array(fp[near]), pa.array(own[near] == target)],
-                        schema=routed_schema)
-
-    routed = blocks.mapInArrow(route, "block long, fp long, own boolean")
-    # a block with many askers is searched in several tasks, each with all its members
-    asked = routed.groupBy("block").count().withColumn("splits", F.ceil(F.col("count") / F.lit(2 * block)))
-    splits = {r["block"]: int(r["splits"]) for r in asked.where("splits > 1").collect()}
-    if splits:
-        many = F.create_map(*[F.lit(x) for kv in splits.items() for x in kv])
-        n = F.coalesce(many[F.col("block")], F.lit(1))
-    else:
-        n = F.lit(1)
-    routed = routed.withColumn("n", n)
-    tasks = routed.select("block", "fp", "own", F.lit(True).alias("asks"),
-                          F.pmod(F.xxhash64("fp"), F.col("n")).alias("salt"))
-    copies = routed.where("own and n > 1").select("block", "fp", "own", F.lit(False).alias("asks"),
-                                                  F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("salt"))
-    salted = tasks.unionByName(copies.withColumn("salt", F.col("salt").cast("long")))
-
-    def search(t: pa.Table) -> pa.Table:
-        fp = t.column("fp").to_numpy().view(np.uint64)
-        own = np.asarray(t.column("own").to_numpy(zero_copy_only=False), bool)
-        asks = np.asarray(t.column("asks").to_numpy(zero_copy_only=False), bool)
-        prints, at = np.unique(fp, return_inverse=True)
-        members, queries = np.unique(at[own]), np.unique(at[asks])
-        index, forest = GrayIndex(prints[members]), Forest(len(prints))
-        for q, m in index.search(prints[queries], max_bits):
-            a, b = queries[q], members[m]
-            forest.join(a[a != b], b[a != b])
-        edges = np.array(forest.edges, np.int64).reshape(-1, 2)
-        signed = prints.view(np.int64)
-        return pa.table({"a": signed[edges[:, 0]], "b": signed[edges[:, 1]]})
-
-    return salted.groupBy("block", "salt").applyInArrow(search, "a long, b long")
+            shift, run, rfp, prefix, part = (c.to_numpy(zero_copy_only=False) for c in b.columns)
+            for key in set(zip(shift.tolist(), run.tolist(), strict=True)):
+                own_run = (shift == key[0]) & (run == key[1])
+                asks = rfp[own_run].view(np.uint64)
+                for target, value, shared in of_run[key]:
+                    near = (part[own_run] <= target) & (bit_count((asks ^ value) & shared) <= max_bits)
+                    k = int(near.sum())
+                    if k:
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(k, key[0]), pa.int32()), pa.array(np.full(k, key[1]), pa.int64()),
+                             pa.array(np.full(k, target), pa.int32()), pa.array(rfp[own_run][near]),
+                             pa.array(prefix[own_run][near]), pa.array(part[own_run][near] == target)], schema=schema)
+
+    routed = written(place.select("shift", "run", "rfp", "prefix", "part").mapInArrow(
+        route, "shift int, run long, part int, rfp long, prefix long, own boolean"), "simhash-routed")
+    keys = ["shift", "run", "part"]
+    # a block that many ask is searched in several tasks, each with all its members
+    splits = routed.groupBy(*keys).agg(F.ceil(F.count("*") / F.lit(2 * block)).alias("n"))
+    wide = routed.join(splits, keys)
+    tasks = wide.select(*keys, "rfp", "prefix", "own", F.lit(True).alias("asks"), F.pmod(F.xxhash64("rfp"), F.col("n")).alias("salt"))
+    copies = wide.where("own and n > 1").select(*keys, "rfp", "prefix", "own", F.lit(False).alias("asks"),
+                                                F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("salt"))
+    return tasks.unionByName(copies).groupBy(*keys, "salt").applyInArrow(
+        lambda t: _forest(t, "own", "asks", max_bits), "a long, b long")
+
+
+def links(classes: DataFrame, max_bits: int = 2, block: int = BLOCK) -> DataFrame:
+    """(a, b): links between the distinct fingerprints ``classes`` (column fp)
+    within ``max_bits``; a forest per search task, whose union has exactly the
+    components of all links.
+
+    The index is kept in max_bits + 1 rotations, each with another segment of
+    the bits on top.  Linked fingerprints agree on one segment at least, so in
+    that rotation they lie in one run of the Gray order: runs are dealt over
+    the tasks, and each task indexes and searches its own.
+    """
+    n = classes.count()
+    parts = max(1, math.ceil((max_bits + 1) * n / block))
+    turned = []
+    for shift, bits in _segments(max_bits):
+        left = F.shiftleft("fp", shift).bitwiseOR(F.shiftrightunsigned("fp", 64 - shift)) if shift else F.col("fp")
+        turned.append(F.struct(F.lit(shift).alias("shift"), left.alias("rfp"), F.shiftrightunsigned(left, 64 - bits).alias("run"),
+                               F.lit(-(1 << (64 - bits))).cast("long").alias("prefix")))
+    runs = classes.select(F.explode(F.array(*turned)).alias("t")).select("t.*")
+    hot = written(runs.groupBy("shift", "run").count().where(F.col("count") > block).select("shift", "run"), "simhash-hot")
+    rest, more = runs, None
+    if hot.count():
+        rest = runs.join(hot, ["shift", "run"], "left_anti")
+        more = _hot_links(written(runs.join(hot, ["shift", "run"], "left_semi"), "simhash-hot-runs"), max_bits, block)
+    rest = rest.withColumn("task", F.pmod(F.xxhash64("shift", "run"), F.lit(parts))).withColumn("all", F.lit(True))
+    found = rest.groupBy("shift", "task").applyInArrow(lambda t: _forest(t, "all", "all", max_bits), "a long, b long")
+    return found.unionByName(more) if more is not None else found
 
 
 def near_dup_components(docs: DataFrame, words: int = 3, max_bits: int = 2, id_col: str = "doc_id",
