@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from pricebasket.llm import bpe, language_id, line_dedup, mixing, simhash
+from pricebasket.llm import bpe, language_id, line_dedup, mixing, simhash, warc
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_simhash": simhash.op2_simhash,
     "op3_bpe": bpe.op3_bpe,
+    "op5_warc": warc.op5_warc,
     "op6_language_id": language_id.op6_language_id,
     "op9_line_dedup": line_dedup.op9_line_dedup,
 }
 
 ORACLES = {
     "op1_mixing": mixing.ORACLE_OP1,
+    "op5_warc": warc.ORACLE_OP5,
     "op9_line_dedup": line_dedup.ORACLE_OP9,
 }
