@@ -1,10 +1,10 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
-The merges of one pre-token wait in a queue with a bucket per merge rank.  A
-bucket holds positions in the linked list of the pre-token's parts; a two-level
-bitmap over the ranks finds the next non-empty bucket by find-first-set.  An
-entry is stale, and skipped, if the pair at its position has changed since.
-So a pre-token of n bytes costs O(n log n) however long it is.
+The merges wait in a queue with a bucket per merge rank.  A bucket holds
+positions in the linked list of the pre-tokens' parts; a two-level bitmap over
+the ranks finds the next non-empty bucket by find-first-set.  An entry is stale,
+and skipped, if the pair at its position has changed since.  So a pre-token of n
+bytes costs O(n log n) however long it is.
 
 Texts are cut at whitespace runs into units (a run and the word after it; no
 pre-token crosses the start of a run), and each worker remembers the ids of the
@@ -21,6 +21,7 @@ import functools
 import hashlib
 import re
 from array import array
+from collections.abc import Iterator
 from heapq import heappop, heappush
 
 import public_tokenizers
@@ -34,8 +35,10 @@ from pricebasket.llm.common import table, utf8
 
 BLOCK_BITS = 8
 BLOCK_MASK = (1 << BLOCK_BITS) - 1
-#: Units remembered per worker, and the longest one remembered.
-CACHE_UNITS, CACHE_CHARS = 500_000, 64
+#: Units and pre-tokens remembered per worker, about, and the longest ones remembered.
+CACHE_UNITS, CACHE_CHARS = 700_000, 64
+#: Characters of text whose units are held at once (a longer text is held alone).
+PART_CHARS = 500_000
 #: A whitespace run with the word after it, or the run at the end of the text.
 #: White space as Unicode has it, spelled out: the standard library's \\s differs from the pattern's.
 SPACES = "\t-\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -44,38 +47,32 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
 class RankQueue:
-    """Positions by merge rank: buckets in a hierarchical bitmap.  Empty again
-    after use, so one queue serves all pre-tokens of a worker."""
+    """Positions by merge rank: a heap per rank, found through a hierarchical bitmap."""
 
     def __init__(self, ranks: int):
         self.top = 0  # bit per non-empty block
         self.blocks = [0] * ((ranks >> BLOCK_BITS) + 1)  # bit per non-empty bucket
         self.buckets: dict[int, list[int]] = {}
 
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket:
-            heappush(bucket, position)
-            return
+    def open(self, rank: int, position: int) -> None:
+        """A first position in an empty bucket."""
         self.buckets[rank] = [position]
         block = rank >> BLOCK_BITS
         self.blocks[block] |= 1 << (rank & BLOCK_MASK)
         self.top |= 1 << block
 
-    def pop(self) -> tuple[int, int]:
-        """The leftmost position of the lowest rank."""
+    def lowest(self) -> int:
         block = (self.top & -self.top).bit_length() - 1
         bits = self.blocks[block]
-        low = bits & -bits
-        rank = (block << BLOCK_BITS) + low.bit_length() - 1
-        bucket = self.buckets[rank]
-        if len(bucket) > 1:
-            return rank, heappop(bucket)
+        return (block << BLOCK_BITS) + (bits & -bits).bit_length() - 1
+
+    def close(self, rank: int) -> None:
+        """An emptied bucket leaves the bitmap."""
         del self.buckets[rank]
-        self.blocks[block] = bits ^ low
-        if bits == low:
+        block = rank >> BLOCK_BITS
+        self.blocks[block] ^= 1 << (rank & BLOCK_MASK)
+        if not self.blocks[block]:
             self.top ^= 1 << block
-        return rank, bucket[0]
 
 
 class Codec:
@@ -83,84 +80,132 @@ class Codec:
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.queue = RankQueue(max(ranks.values()) + 1)
         self.vocabulary = {i: piece for piece, i in ranks.items()}
-        self.units, self.pieces = _Units(self), _Pieces(self)
-
-    def encode_piece(self, piece: bytes) -> bytes:
-        """Ids of one pre-token, as little-endian unsigned 32-bit integers."""
-        rank_of, queue = self.ranks.get, self.queue
-        push, pop = queue.push, queue.pop
-        whole = rank_of(piece)
-        if whole is not None:
-            return whole.to_bytes(4, "little")
-        n = len(piece)
-        end = list(range(1, n + 1))  # part i is piece[i:end[i]]
-        before = list(range(-1, n - 1))  # start of the part before
-        pair = [rank_of(piece[i:i + 2]) for i in range(n - 1)]  # rank of the pair that starts here
-        pair.append(None)
+        self.units: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of pre-tokens, each as little-endian unsigned 32-bit integers.
+
+        The pre-tokens lie in one linked list of parts and share the queue; no
+        pair reaches over a pre-token's end.  Positions of one rank are taken
+        from its bucket until it is empty or a merge has made a pair of the
+        same or a lower rank, which then is next.
+        """
+        ranks, queue = self.ranks, self.queue
+        rank_of, buckets, first = ranks.get, queue.buckets, queue.open
+        data = b"".join(pieces)
+        n = len(data)
+        end = list(range(1, n + 1))  # part i is data[i:end[i]]
+        before = list(range(-1, n - 1))  # start of the part before, -1 at a pre-token's start
+        pair = list(map(rank_of, map(data.__getitem__, map(slice, range(n), range(2, n + 2)))))  # of the pair that starts here
+        stops, at = bytearray(n + 1), 0
+        for piece in pieces:
+            before[at] = -1
+            at += len(piece)
+            stops[at] = 1
+            pair[at - 1] = None
         for i, r in enumerate(pair):
             if r is not None:
-                push(r, i)
+                bucket = buckets.get(r)
+                if bucket is not None:
+                    bucket.append(i)  # ascending, so a heap
+                else:
+                    first(r, i)
         while queue.top:
-            rank, i = pop()
-            if pair[i] != rank:
-                continue  # stale
-            right = end[i]
-            pair[right] = pair[i] = None
-            end[i] = stop = end[right]
-            if stop < n:
-                before[stop] = i
-                r = rank_of(piece[i:end[stop]])
-                if r is not None:
-                    pair[i] = r
-                    push(r, i)
-            left = before[i]
-            if left >= 0:
-                pair[left] = r = rank_of(piece[left:stop])
+            rank = queue.lowest()
+            heap, lower = buckets[rank], False
+            while heap and not lower:
+                i = heappop(heap)
+                if pair[i] != rank:
+                    continue  # stale
+                right = end[i]
+                end[i] = stop = end[right]
+                pair[right] = r = None
+                if not stops[stop]:
+                    before[stop] = i
+                    r = rank_of(data[i:end[stop]])
+                    if r is not None:
+                        lower = r <= rank
+                        bucket = buckets.get(r)
+                        if bucket is not None:
+                            heappush(bucket, i)
+                        else:
+                            first(r, i)
+                pair[i] = r
+                left = before[i]
+                if left >= 0:
+                    pair[left] = r = rank_of(data[left:stop])
+                    if r is not None:
+                        lower = lower or r <= rank
+                        bucket = buckets.get(r)
+                        if bucket is not None:
+                            heappush(bucket, left)
+                        else:
+                            first(r, left)
+            if not heap:
+                queue.close(rank)
+        out, i = [], 0
+        for piece in pieces:
+            ids, stop = [], i + len(piece)
+            while i < stop:
+                ids.append(ranks[data[i:end[i]]])
+                i = end[i]
+            out.append(array("I", ids).tobytes())
+        return out
+
+    def _learn(self, units: list[str]) -> None:
+        """Remember the ids of units that are not in the table."""
+        split = list(map(self.pattern.findall, units))
+        known = self.pieces
+        if len(known) > CACHE_UNITS:
+            known.clear()
+        fresh, whole = [], self.ranks
+        for piece in {p for s in split for p in s}:
+            if piece not in known:
+                data = utf8(piece)
+                r = whole.get(data)
                 if r is not None:
-                    push(r, left)
-        ids, i = [], 0
-        while i < n:
-            ids.append(self.ranks[piece[i:end[i]]])
-            i = end[i]
-        return array("I", ids).tobytes()
-
-    def encode_unit(self, unit: str) -> bytes:
-        """Ids of all pre-tokens of a unit."""
-        return b"".join(map(self.pieces.__getitem__, self.pattern.findall(unit)))
+                    known[piece] = r.to_bytes(4, "little")
+                else:
+                    fresh.append((piece, data))
+        known.update(zip((p for p, _ in fresh), self.encode_pieces([d for _, d in fresh]), strict=True))
+        get = known.__getitem__
+        self.units.update((u, b"".join(map(get, s))) for u, s in zip(units, split, strict=True))
+        for piece in [p for p, _ in fresh if len(p) > CACHE_CHARS]:
+            del known[piece]
+
+    def encode_all(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Ids of each text, in parts of about ``PART_CHARS`` characters of text at a time."""
+        part, chars = [], 0
+        for text in texts:
+            part.append(text or "")
+            chars += len(part[-1])
+            if chars >= PART_CHARS:
+                yield from self._encode_part(part)
+                part, chars = [], 0
+        yield from self._encode_part(part)
+
+    def _encode_part(self, texts: list[str]) -> list[bytes]:
+        if len(self.units) > CACHE_UNITS:
+            self.units.clear()
+        lists = list(map(UNIT.findall, texts))
+        fresh = set().union(*lists).difference(self.units)
+        if fresh:
+            self._learn(list(fresh))
+        get = self.units.__getitem__
+        out = [b"".join(map(get, units)) for units in lists]
+        for unit in [u for u in fresh if len(u) > CACHE_CHARS]:
+            del self.units[unit]
+        return out
 
     def encode(self, text: str | None) -> bytes:
-        return b"".join(map(self.units.__getitem__, UNIT.findall(text or "")))
+        """Ids of a text as little-endian unsigned 32-bit integers."""
+        return next(iter(self.encode_all([text])))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.vocabulary.__getitem__, memoryview(ids).cast("I")))
 
 
-class _Cache(dict):
-    """Ids by text; starts afresh when full, and does not keep long texts."""
-
-    def __init__(self, codec: Codec):
-        super().__init__()
-        self.codec = codec
-
-    def __missing__(self, text: str) -> bytes:
-        ids = self.make(text)
-        if len(text) <= CACHE_CHARS:
-            if len(self) >= CACHE_UNITS:
-                self.clear()
-            self[text] = ids
-        return ids
-
-
-class _Units(_Cache):
-    def make(self, text: str) -> bytes:
-        return self.codec.encode_unit(text)
-
-
-class _Pieces(_Cache):
-    def make(self, text: str) -> bytes:
-        return self.codec.encode_piece(utf8(text))
-
-
 def parse_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines())}
 
@@ -188,7 +233,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str = public_token
     def run(batches):
         codec = load_codec(path, pattern)
         for b in batches:
-            ids = [codec.encode(t) for t in b.column(1).to_pylist()]
+            ids = list(codec.encode_all(b.column(1).to_pylist()))
             sha = [hashlib.sha256(x).hexdigest() for x in ids]
             back = [hashlib.sha256(codec.decode(x)).hexdigest() for x in ids]
             cols = [b.column(0).cast(pa.int64()), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(sha, pa.string()),
