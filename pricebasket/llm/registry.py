@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pricebasket.llm import bpe, language_id, line_dedup, mixing, quality, simhash, warc
+from pricebasket.llm import bpe, language_id, line_dedup, mixing, quality, simhash, toxicity, warc
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_bpe": bpe.op3_bpe,
     "op5_warc": warc.op5_warc,
     "op6_language_id": language_id.op6_language_id,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op8_quality": quality.op8_quality,
     "op9_line_dedup": line_dedup.op9_line_dedup,
 }
