@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pricebasket.llm import bpe, language_id, line_dedup, mixing, quality, simhash, toxicity, warc
+from pricebasket.llm import bpe, language_id, line_dedup, mixing, quality, simhash, toxicity, vector_search, warc
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -13,10 +13,12 @@ QUERIES = {
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_quality": quality.op8_quality,
     "op9_line_dedup": line_dedup.op9_line_dedup,
+    "op10_vector_search": vector_search.op10_vector_search,
 }
 
 ORACLES = {
     "op1_mixing": mixing.ORACLE_OP1,
     "op5_warc": warc.ORACLE_OP5,
     "op9_line_dedup": line_dedup.ORACLE_OP9,
+    "op10_vector_search": vector_search.ORACLE_OP10,
 }
