@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pricebasket.llm import bpe, language_id, line_dedup, mixing, quality, simhash, toxicity, vector_search, warc
+from pricebasket.llm import bpe, language_id, line_dedup, lm_scoring, mixing, quality, simhash, toxicity, vector_search, warc
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_simhash": simhash.op2_simhash,
     "op3_bpe": bpe.op3_bpe,
+    "op4_lm_scoring": lm_scoring.op4_lm_scoring,
     "op5_warc": warc.op5_warc,
     "op6_language_id": language_id.op6_language_id,
     "op7_toxicity": toxicity.op7_toxicity,
