@@ -36,8 +36,8 @@ CALIBRATION = 5
 #: Words remembered per worker, and the longest one remembered.
 CACHE_WORDS, CACHE_CHARS = 400_000, 40
 #: A text is rejected if its cross-entropy is so many spreads of calibration documents above the usual,
-#: above this quantile of theirs, and past half the way from the usual to that of a model that knows nothing.
-REJECT_SPREADS, REJECT_QUANTILE = 6.0, 99.9
+#: above this quantile of theirs, and past this part of the way from the usual to that of a model that knows nothing.
+REJECT_SPREADS, REJECT_QUANTILE, REJECT_WAY = 6.0, 99.9, 0.85
 UNKNOWN = "und"
 START, END = 0x110000, 0x110001
 WORDS = re.compile(r"[^\W\d_]+")
@@ -212,7 +212,7 @@ class LanguageModels:
                 mean = float(np.median(x))
                 spread = max(0.02, float(np.percentile(np.abs(x - mean)[n >= np.median(n)], 68)))
                 short = max(0.5, float(np.percentile(np.abs(x - mean) * np.sqrt(n), 68)))
-                least = max((mean - np.log(self.floor)) / 2, float(np.percentile(x, REJECT_QUANTILE)))
+                least = max(mean + REJECT_WAY * (-np.log(self.floor) - mean), float(np.percentile(x, REJECT_QUANTILE)))
                 self.usual[lang] = (mean, spread, short, least)
 
     @staticmethod
