@@ -33,6 +33,8 @@ from pricebasket.llm.common import crc_mod, table, utf8, written
 BUCKETS = 1 << 16
 PRIOR = 10.0
 HELD = 4
+#: Up to so many trusted ids (8 bytes each) are broadcast; more are joined.
+BROADCAST_IDS = 2_000_000
 KEEP_GOOD, BIN = 0.998, 0.005
 #: Words remembered per worker.
 CACHE_WORDS = 500_000
@@ -94,14 +96,26 @@ def _trusted(labels: DataFrame) -> DataFrame:
 
 def gram_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(bucket, raw, target): n-grams per bucket over all documents and over the trusted ones."""
-    good = _trusted(labels).where(~F.col("held"))
-    marked = docs.select("doc_id", "text").join(good, F.col("doc_id") == F.col("good_id"), "left").select(
-        "text", F.col("good_id").isNotNull().alias("good"))
+    good = _trusted(labels).where(~F.col("held")).select("good_id")
+    if good.count() <= BROADCAST_IDS:  # then the texts stay where they are
+        ids = docs.sparkSession.sparkContext.broadcast(np.sort(good.toArrow().column(0).to_numpy()))
+        marked = docs.select("text", F.col("doc_id").cast("long"))
+    else:
+        ids = None
+        marked = docs.select("doc_id", "text").join(good, F.col("doc_id") == F.col("good_id"), "left").select("text", "good_id")
+
+    def trusted(column: pa.Array) -> list[bool]:
+        have = column.is_valid().to_numpy(zero_copy_only=False)
+        if ids is None:
+            return have.tolist()
+        own, of = column.fill_null(0).to_numpy(zero_copy_only=False), ids.value
+        at = np.minimum(np.searchsorted(of, own), max(len(of) - 1, 0))
+        return (have & (of[at] == own)).tolist() if len(of) else [False] * len(own)
 
     def count(batches):
         raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for b in batches:
-            for text, good in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for text, good in zip(b.column(0).to_pylist(), trusted(b.column(1)), strict=True):
                 words = utf8(text).split()
                 if words:
                     c = np.bincount(buckets(word_hashes(words)), minlength=BUCKETS) if len(words) > 4000 else None
