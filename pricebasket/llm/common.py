@@ -24,6 +24,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return cut_lineage(df, f"llm-{name}")
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with its columns named c0, c1, ...: no name that an operator adds can clash."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
 def crc_mod(doc_id: str, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod``; NULL for a NULL id."""
     return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(mod))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricebasket.llm.common import crc_mod, table, written
+from pricebasket.llm.common import crc_mod, numbered, table, written
 
 ORDER = 4
 #: Labelled documents a language (expected number of a hash sample) that its model and calibration are fitted on.
@@ -317,7 +317,7 @@ def predict(docs: DataFrame, models: LanguageModels, id_col: str = "doc_id", tex
 def keep_known(docs: DataFrame, models: LanguageModels, text_col: str = "text") -> DataFrame:
     """``docs`` (all columns) without the rows that the models reject."""
     names = docs.columns
-    rows = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)])
+    rows = numbered(docs)
     at = names.index(text_col)
     shared = docs.sparkSession.sparkContext.broadcast(models)
 

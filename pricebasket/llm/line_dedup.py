@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricebasket.llm.common import BLANKS, utf8, written
+from pricebasket.llm.common import BLANKS, numbered, table, utf8, written
 from pricebasket.llm.cuckoo import CuckooFilter
 
 #: Keys per shard: a shard's keys and its filter (about 2.4 bytes a key) fit in one task.
@@ -170,7 +170,7 @@ def drop_lines(docs: DataFrame, dups: DataFrame, min_chars: int = 10, id_col: st
     """``docs`` without the lines of ``dups``; every other column stays.  With
     ``report``, (doc_id, kept_text, n_lines, n_dropped) instead."""
     names = docs.columns
-    rows = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)])
+    rows = numbered(docs)
     i_id, i_text = names.index(id_col), names.index(text_col)
     dups = dups.select(F.col("doc_id").alias("dup_id"), F.col("keys").alias("dup_keys"))
     both = rows.join(dups, F.coalesce(F.col(f"c{i_id}"), F.lit(NO_ID)) == F.col("dup_id"), "left").drop("dup_id")
@@ -218,8 +218,6 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
 
 
 def op9_line_dedup(spark, sf_dir: str) -> DataFrame:
-    from pricebasket.llm.common import table
-
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = drop_lines(docs, build_index(docs).duplicates(), report=True)
     return out.select("doc_id", "n_lines", "n_dropped",

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricebasket.llm.common import table, written
+from pricebasket.llm.common import numbered, table, written
 
 #: Largest mean drawn at once.
 STEP = 16.0
@@ -71,19 +71,6 @@ def rates(docs: DataFrame, weights: dict[str, float], other_weight: float = 1.0,
             .withColumn("cdf", cdf).select("source", "size", "mean", "draws", "cdf"))
 
 
-def poisson_counts(docs: DataFrame, rate: DataFrame, seed: int = SEED, id_col: str = "doc_id",
-                   source_col: str = "source") -> DataFrame:
-    """``docs`` with the column ``_copies``, each row's Poisson count."""
-    few = rate.count() <= BROADCAST_SOURCES
-    rate = rate.select(F.col("source").alias("_source"), F.col("draws").alias("_draws"), F.col("cdf").alias("_cdf"))
-    rate = F.broadcast(rate) if few else rate  # more than that: a join split by AQE at its hot sources
-    count = F.aggregate(
-        F.sequence(F.lit(1).cast("long"), F.col("_draws")), F.lit(0).cast("long"),
-        lambda acc, d: acc + F.size(F.filter(F.col("_cdf"), lambda p: p <= uniform(seed, F.col(id_col), d))))
-    return (docs.join(rate, docs[source_col].eqNullSafe(F.col("_source")), "left")
-            .withColumn("_copies", F.coalesce(count, F.lit(0))).drop("_source", "_draws", "_cdf"))
-
-
 def mix(docs: DataFrame, weights: dict[str, float], other_weight: float = 1.0, epochs: float = 1.0, seed: int = SEED,
         id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
         copy_col: str | None = None) -> DataFrame:
@@ -91,12 +78,21 @@ def mix(docs: DataFrame, weights: dict[str, float], other_weight: float = 1.0, e
     with ``copy_col`` the copy's number from 0 as one more column."""
     names = docs.columns
     rate = rates(docs, weights, other_weight, epochs, source_col, text_col)
-    counted = poisson_counts(docs, rate, seed, id_col, source_col).where("_copies > 0")
-    copies = counted.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)))
-    copies = copies.withColumn("_place", F.xxhash64(F.lit(seed), F.col(id_col), F.col("_copy")))
+    few = rate.count() <= BROADCAST_SOURCES
+    rate = rate.select("source", "draws", "cdf")
+    rate = F.broadcast(rate) if few else rate  # more than that: a join split by AQE at its hot sources
+    rows = numbered(docs)
+    key, source = (F.col(f"c{names.index(c)}") for c in (id_col, source_col))
+    count = F.aggregate(
+        F.sequence(F.lit(1).cast("long"), F.col("draws")), F.lit(0).cast("long"),
+        lambda acc, d: acc + F.size(F.filter(F.col("cdf"), lambda p: p <= uniform(seed, key, d))))
+    counted = rows.join(rate, source.eqNullSafe(F.col("source"))).withColumn("copies", count).where("copies > 0")
+    copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    copies = copies.withColumn("place", F.xxhash64(F.lit(seed), key, F.col("copy")))
     # hash partitions of a random key in the key's order: a random permutation cut into files
-    out = copies.repartition("_place").sortWithinPartitions("_place", id_col)
-    return out.select(*names, *([F.col("_copy").alias(copy_col)] if copy_col else []))
+    out = copies.repartition("place").sortWithinPartitions("place", key)
+    kept = out.select(*rows.columns, *(["copy"] if copy_col else []))
+    return kept.toDF(*names, *([copy_col] if copy_col else []))
 
 
 def op1_mixing(spark, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricebasket.llm.common import table, words_of, written
+from pricebasket.llm.common import numbered, table, words_of, written
 from pricebasket.llm.components import connected_components
 from pricebasket.llm.gray_index import Forest, GrayIndex, bit_count, gray_rank
 
@@ -215,7 +215,8 @@ def drop_near_dups(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataFr
     component only; rows that repeat that doc_id stay, and so do rows without one."""
     found = near_dup_components(docs.select("doc_id", "text"), words, max_bits)
     gone = found.where("doc_id != component_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("gone_id"), "left_anti")
+    rows, names = numbered(docs), docs.columns
+    return rows.join(gone, F.col(f"c{names.index('doc_id')}") == F.col("gone_id"), "left_anti").toDF(*names)
 
 
 def op2_simhash(spark, sf_dir: str) -> DataFrame:
