@@ -117,7 +117,7 @@ class LanguageModels:
     def __init__(self, fitted: dict[str, list[tuple[np.ndarray, ...]]]):
         self.langs = sorted(fitted)
         self.orders = []
-        for k in range(ORDER):
+        for k in range(ORDER if fitted else 0):
             both = []
             for part, missing in ((0, 0.0), (2, 1.0)):
                 keys = np.unique(np.concatenate([fitted[x][k][part] for x in self.langs]))
@@ -127,7 +127,7 @@ class LanguageModels:
                 both += [keys, cells]
             self.orders.append(both)
         # what the unigrams leave is spread over the letters seen in any language and one for all others
-        self.floor = 1.0 / (len(self.orders[0][0]) + 1)
+        self.floor = 1.0 / (len(self.orders[0][0]) + 1) if fitted else 1.0
         self.scale, self.usual = 1.0, {}
         self._rows: dict[str, int] = {}
         self._table = np.zeros((0, len(self.langs)))

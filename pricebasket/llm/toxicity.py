@@ -1,8 +1,8 @@
 """Toxicity by multiple-instance learning: sentences are scored, documents labelled.
 
-A sentence's score is the logistic of the sum of its distinct words' weights
-(words lower-cased, cut to letters and digits, hashed into ``FEATURES``
-buckets).  A document is toxic if any sentence is: noisy-or over its sentences,
+A sentence's score is the logistic of ``BIAS`` and the sum of its distinct words'
+weights.  A word (lower-cased, cut to letters and digits) weighs as much as its
+features: the word itself and its first letters, hashed into ``FEATURES`` buckets.  A document is toxic if any sentence is: noisy-or over its sentences,
 1 - prod(1 - p), and over one leak term for labels that no sentence explains.
 The weights are trained in numpy from document labels alone
 by gradient steps on the noisy-or likelihood, over a bounded hash sample of the
@@ -27,10 +27,15 @@ from pyspark.sql import functions as F
 
 from pricebasket.llm.common import crc_mod, table, written
 
-FEATURES = 1 << 17
+FEATURES = 1 << 18
+#: Numbers of first letters that are a feature of a longer word.
+HEADS = (3, 4, 5)
 #: Training documents of each label (expected number of a hash sample), each with all its sentences.
 SAMPLE_DOCS = 3000
-STEPS, RATE, LASSO, RIDGE = 150, 0.3, 2e-4, 1e-6
+#: LEAST_SLOPE damps the weights of rare words; RIDGE, weight decay, shares a document among the words that explain it.
+STEPS, RATE, RIDGE, LEAST_SLOPE = 300, 0.3, 5e-4, 3e-3
+#: A sentence without a telling word: so unlikely to offend that a text of any length stays clean.
+BIAS, FIRST_BIAS = -10.0, -5.0
 #: Weights under this size are left out of the model.
 LEAST_WEIGHT = 0.05
 CACHE_WORDS = 500_000
@@ -38,8 +43,9 @@ SENTENCES = re.compile(r"[^.!?\n]+[.!?]*")
 WORDS = re.compile(r"[^\W_]+")
 
 
-def feature(word: str) -> int:
-    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), 11) % FEATURES
+def features(word: str) -> list[int]:
+    parts = [word, *("^" + word[:k] for k in HEADS if len(word) > k)]
+    return [xxhash.xxh64_intdigest(p.encode("utf-8", "surrogatepass"), 11) % FEATURES for p in parts]
 
 
 class Instances:
@@ -49,31 +55,27 @@ class Instances:
     def __init__(self, labels: np.ndarray, weights: np.ndarray, doc: np.ndarray, row: np.ndarray, col: np.ndarray):
         self.labels, self.share, self.doc, self.row, self.col = labels, weights / weights.sum(), doc, row, col
 
-    def fit(self) -> tuple[np.ndarray, float, float]:
-        """Weights, bias and leak by Adam with soft-thresholding on the noisy-or
-        likelihood: with A the sum of softplus(z) over a document's sentences
+    def fit(self) -> tuple[np.ndarray, float]:
+        """Weights and leak by Adam with weight decay on the noisy-or likelihood: with A the sum of softplus(z) over a document's sentences
         and the leak, a clean document costs A and a toxic one -log(1 - exp(-A))."""
         used, col = np.unique(self.col, return_inverse=True)
-        n, w = len(self.doc), np.zeros(len(used) + 2)  # the last two: bias and leak
-        w[-2:] = -6.0, -4.0
+        n, w = len(self.doc), np.zeros(len(used) + 1)  # the last one: the leak
+        w[-1] = -4.0
         m, v = np.zeros_like(w), np.zeros_like(w)
         toxic = self.labels > 0
         for step in range(1, STEPS + 1):
-            z = np.bincount(self.row, w[col], n) + w[-2]
+            # the bias goes down step by step, so that words learn to stand out before it is out of reach
+            z = np.bincount(self.row, w[col], n) + max(BIAS, FIRST_BIAS + (BIAS - FIRST_BIAS) * step / (0.6 * STEPS))
             total = np.bincount(self.doc, np.logaddexp(0, z), len(self.labels)) + np.logaddexp(0, w[-1])
             slope = np.where(toxic, -1 / np.expm1(np.clip(total, 1e-9, 50)), 1.0) * self.share
             g = _logistic(z) * slope[self.doc]
-            grad = np.concatenate([np.bincount(col, g[self.row], len(used)) + RIDGE * w[:-2],
-                                   [g.sum(), slope.sum() * _logistic(w[-1])]])
-            m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
-            pace = RATE / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
-            w -= pace * m / (1 - 0.9 ** step)
-            # the lasso's step: weights that the data don't hold up go to zero
-            shrunk = np.maximum(np.abs(w[:-2]) - pace[:-2] * LASSO, 0)
-            w[:-2] = np.sign(w[:-2]) * shrunk
+            grad = np.append(np.bincount(col, g[self.row], len(used)), slope.sum() * _logistic(w[-1]))
+            m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad ** 2
+            w -= RATE * m / (1 - 0.9 ** step) / (np.sqrt(v / (1 - 0.99 ** step)) + LEAST_SLOPE)
+            w[:-1] -= RIDGE * w[:-1]
         out = np.zeros(FEATURES)
-        out[used] = np.where(np.abs(w[:-2]) >= LEAST_WEIGHT, w[:-2], 0)
-        return out, float(w[-2]), float(w[-1])
+        out[used] = np.where(np.abs(w[:-1]) >= LEAST_WEIGHT, w[:-1], 0)
+        return out, float(w[-1])
 
 
 def _logistic(z):
@@ -81,25 +83,22 @@ def _logistic(z):
 
 
 class ToxicityModel:
-    def __init__(self, weights: np.ndarray, bias: float, leak: float):
+    def __init__(self, weights: np.ndarray, leak: float):
         at = np.flatnonzero(weights)
         self.weights = dict(zip(at.tolist(), weights[at].tolist(), strict=True))
-        self.bias, self.leak = bias, leak
-        self._words: dict[str, tuple[int, float]] = {}
+        self.leak = leak
+        self._words: dict[str, float] = {}
 
     def __getstate__(self):
         return self.__dict__ | {"_words": {}}
 
-    def _weight(self, word: str) -> tuple[int, float] | None:
-        """Feature and weight of a word, None without weight."""
-        f = feature(word)
-        w = self.weights.get(f)
-        got = None if w is None else (f, w)
+    def _weight(self, word: str) -> float:
+        w = sum(self.weights.get(f, 0.0) for f in features(word))
         if len(word) <= 40:
             if len(self._words) >= CACHE_WORDS:
                 self._words.clear()
-            self._words[word] = got
-        return got
+            self._words[word] = w
+        return w
 
     def sentences(self, text: str | None) -> list[tuple[int, int, float]]:
         """(start, end, probability) of each sentence with a word."""
@@ -111,12 +110,11 @@ class ToxicityModel:
         return out
 
     def _logit(self, words: list[str]) -> float:
-        known, hit = self._words, {}
-        for w in words:
-            x = known[w] if w in known else self._weight(w)
-            if x is not None:
-                hit[x[0]] = x[1]
-        return self.bias + sum(hit.values())
+        known, z = self._words, BIAS
+        for w in set(words):
+            x = known.get(w)
+            z += self._weight(w) if x is None else x
+        return z
 
     def score(self, text: str | None) -> float:
         """Noisy-or over all sentences of the text and the leak."""
@@ -143,7 +141,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         for b in batches:
             rows = []
             for i, y, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                found = [sorted({feature(w) for w in WORDS.findall(s)}) for s in SENTENCES.findall((text or "").lower())]
+                found = [[f for w in sorted(set(WORDS.findall(s))) for f in features(w)] for s in SENTENCES.findall((text or "").lower())]
                 rows.append((i, int(y > 0), [f for f in found if f]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()),
