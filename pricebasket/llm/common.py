@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import uuid
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricebasket.session import cut_lineage
+from pricebasket.session import ensure_checkpoint_dir
 
 #: Code points that separate words and are stripped from lines: ``[\\x20\\x09-\\x0D]``.
 BLANKS = b" \t\n\r\x0b\x0c"
@@ -21,7 +20,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared checkpoint folder, read back: computed
     once however often it is read, and safe from a lost executor."""
-    return cut_lineage(df, f"llm-{name}")
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/pricebasket/llm-{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def numbered(df: DataFrame) -> DataFrame:
@@ -42,16 +43,3 @@ def words_of(text: str | None) -> list[bytes]:
 
 def utf8(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
-
-
-def arrow_rows(build: Callable[[list], dict], schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator]:
-    """A ``mapInArrow`` function: ``build`` gets each batch's columns as Python
-    lists and returns the output columns by name."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                out = build([c.to_pylist() for c in b.columns])
-                yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
-
-    return run
