@@ -36,7 +36,7 @@ from pricebasket.llm.common import table, utf8
 BLOCK_BITS = 8
 BLOCK_MASK = (1 << BLOCK_BITS) - 1
 #: Units and pre-tokens remembered per worker, about, and the longest ones remembered.
-CACHE_UNITS, CACHE_CHARS = 700_000, 64
+CACHE_UNITS, CACHE_PIECES, CACHE_CHARS = 300_000, 450_000, 64
 #: Characters of text whose units are held at once (a longer text is held alone).
 PART_CHARS = 500_000
 #: A whitespace run with the word after it, or the run at the end of the text.
@@ -157,7 +157,7 @@ class Codec:
         """Remember the ids of units that are not in the table."""
         split = list(map(self.pattern.findall, units))
         known = self.pieces
-        if len(known) > CACHE_UNITS:
+        if len(known) > CACHE_PIECES:
             known.clear()
         fresh, whole = [], self.ranks
         for piece in {p for s in split for p in s}:

@@ -33,8 +33,8 @@ ORDER = 4
 SAMPLE_DOCS = 2000
 #: One in so many sampled documents calibrates, the others train.
 CALIBRATION = 5
-#: Words remembered per worker, and the longest one remembered.
-CACHE_WORDS, CACHE_CHARS = 400_000, 40
+#: Words remembered per worker, for one model at a time, and the longest one remembered.
+CACHE_WORDS, CACHE_CHARS = 200_000, 40
 #: A text is rejected if its cross-entropy is so many spreads of calibration documents above the usual,
 #: above this quantile of theirs, and past this part of the way from the usual to that of a model that knows nothing.
 REJECT_SPREADS, REJECT_QUANTILE, REJECT_WAY = 6.0, 99.9, 0.85
@@ -111,6 +111,24 @@ def fit_language(counts: dict[str, int]) -> list[tuple[np.ndarray, ...]]:
     return model
 
 
+class _KnownWords:
+    """Scores of the words that a worker has met."""
+
+    def __init__(self, model: LanguageModels):
+        self.model, self.rows, self.logs = model, {}, np.zeros((0, len(model.langs)))
+
+
+_known: _KnownWords | None = None
+
+
+def _known_words(model: LanguageModels) -> _KnownWords:
+    """The worker's one table, afresh for another model or when it is full."""
+    global _known
+    if _known is None or _known.model is not model or len(_known.logs) > CACHE_WORDS:
+        _known = _KnownWords(model)
+    return _known
+
+
 class LanguageModels:
     """The models of all languages over shared sorted hash arrays."""
 
@@ -129,11 +147,6 @@ class LanguageModels:
         # what the unigrams leave is spread over the letters seen in any language and one for all others
         self.floor = 1.0 / (len(self.orders[0][0]) + 1) if fitted else 1.0
         self.scale, self.usual = 1.0, {}
-        self._rows: dict[str, int] = {}
-        self._table = np.zeros((0, len(self.langs)))
-
-    def __getstate__(self):
-        return self.__dict__ | {"_rows": {}, "_table": self._table[:0]}
 
     def word_logs(self, words: list[str]) -> np.ndarray:
         """Natural log probability of each word and its end mark, a column a language."""
@@ -166,10 +179,9 @@ class LanguageModels:
     def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Per text: cross-entropy a character in each language, and the
         characters (letters and word ends) it is over; 0 without letters."""
-        if len(self._rows) > CACHE_WORDS:
-            self._rows, self._table = {}, self._table[:0]
-        rows, fresh, lists = self._rows, [], []
-        base = len(self._table)
+        known = _known_words(self)
+        rows, fresh, lists = known.rows, [], []
+        base = len(known.logs)
         for text in texts:
             words = WORDS.findall((text or "").lower())
             if not any(c.isalpha() for w in words for c in w):
@@ -184,12 +196,12 @@ class LanguageModels:
                         rows[w] = r
                 own.append(r)
             lists.append((own, sum(map(len, words)) + len(words)))
-        logs = np.concatenate([self._table, self.word_logs(fresh)]) if fresh else self._table
+        logs = np.concatenate([known.logs, self.word_logs(fresh)]) if fresh else known.logs
         h, chars = np.zeros((len(texts), len(self.langs))), np.array([n for _, n in lists], np.float64)
         for i, (own, n) in enumerate(lists):
             if n:
                 h[i] = -logs[own].sum(0) / n
-        self._table = logs
+        known.logs = logs
         return h, chars
 
     def calibrate(self, h: np.ndarray, chars: np.ndarray, truth: list[str]) -> None:

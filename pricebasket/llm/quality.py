@@ -37,7 +37,7 @@ HELD = 4
 BROADCAST_IDS = 2_000_000
 KEEP_GOOD, BIN = 0.998, 0.005
 #: Words remembered per worker.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 

@@ -36,12 +36,13 @@ BLOCK = 50_000
 LANE_ROWS = 65_535
 
 
-def shingle_hashes(text: str | None, words: int) -> list[int]:
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
     w = words_of(text)
     digest = xxhash.xxh64_intdigest
     if len(w) <= words:
-        return [digest(b" ".join(w), SEED)] if w else []
-    return [digest(s, SEED) for s in map(b" ".join, zip(*(w[i:] for i in range(words)), strict=False))]
+        return np.array([digest(b" ".join(w), SEED)] if w else [], np.uint64)
+    shingles = map(b" ".join, zip(*(w[i:] for i in range(words)), strict=False))
+    return np.fromiter((digest(s, SEED) for s in shingles), np.uint64, len(w) - words + 1)
 
 
 def majority(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -77,7 +78,7 @@ def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_c
         for b in batches:
             lists = [shingle_hashes(t, words) for t in b.column(1).to_pylist()]
             sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-            flat = np.fromiter((h for x in lists for h in x), np.uint64, int(sizes.sum()))
+            flat = np.concatenate(lists) if lists else np.zeros(0, np.uint64)
             fp = majority(flat, sizes).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(fp)], schema=schema)
 

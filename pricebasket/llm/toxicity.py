@@ -38,7 +38,7 @@ STEPS, RATE, RIDGE, LEAST_SLOPE = 300, 0.3, 5e-4, 3e-3
 BIAS, FIRST_BIAS = -10.0, -5.0
 #: Weights under this size are left out of the model.
 LEAST_WEIGHT = 0.05
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 SENTENCES = re.compile(r"[^.!?\n]+[.!?]*")
 WORDS = re.compile(r"[^\W_]+")
 
@@ -82,22 +82,30 @@ def _logistic(z):
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
+#: Weights of the words that a worker has met, for one model at a time.
+_known: tuple[ToxicityModel | None, dict[str, float]] = (None, {})
+
+
+def _known_words(model: ToxicityModel) -> dict[str, float]:
+    global _known
+    if _known[0] is not model:
+        _known = (model, {})
+    return _known[1]
+
+
 class ToxicityModel:
     def __init__(self, weights: np.ndarray, leak: float):
         at = np.flatnonzero(weights)
         self.weights = dict(zip(at.tolist(), weights[at].tolist(), strict=True))
         self.leak = leak
-        self._words: dict[str, float] = {}
-
-    def __getstate__(self):
-        return self.__dict__ | {"_words": {}}
 
     def _weight(self, word: str) -> float:
         w = sum(self.weights.get(f, 0.0) for f in features(word))
         if len(word) <= 40:
-            if len(self._words) >= CACHE_WORDS:
-                self._words.clear()
-            self._words[word] = w
+            known = _known_words(self)
+            if len(known) >= CACHE_WORDS:
+                known.clear()
+            known[word] = w
         return w
 
     def sentences(self, text: str | None) -> list[tuple[int, int, float]]:
@@ -110,7 +118,7 @@ class ToxicityModel:
         return out
 
     def _logit(self, words: list[str]) -> float:
-        known, z = self._words, BIAS
+        known, z = _known_words(self), BIAS
         for w in set(words):
             x = known.get(w)
             z += self._weight(w) if x is None else x

@@ -41,6 +41,7 @@ def test_long_pre_tokens(codec, reference, text):
 
 def test_caches_are_bounded(reference, monkeypatch):
     monkeypatch.setattr(B, "CACHE_UNITS", 50)
+    monkeypatch.setattr(B, "CACHE_PIECES", 40)
     monkeypatch.setattr(B, "PART_CHARS", 200)
     small = B.Codec(reference._mergeable_ranks, public_tokenizers.PATTERN)
     texts = [cases.prose(random.Random(i), "fr", 60) + "x" * 100 for i in range(50)]
