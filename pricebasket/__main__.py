@@ -12,8 +12,8 @@ import datetime as dt
 
 from .functions.rules import BasketRules
 from .plans.pipeline import run
-from .session import get_session
-from .sources.inputs import INPUTS, read_inputs, write_tables
+from .session import get_session, remove_cuts
+from .sources.inputs import INPUTS, publish, read_inputs, read_raw, unparsed_cells
 
 
 def main(argv=None) -> None:
@@ -25,12 +25,24 @@ def main(argv=None) -> None:
     ap.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
     ap.add_argument("--shuffle-partitions", type=int, default=2000,
                     help="initial shuffle partitions; AQE coalesces them to ~advisory size")
+    ap.add_argument("--out-format", default="parquet", help="format of the published tables, or table (--out is a schema)")
+    ap.add_argument("--report", action="store_true", help="print the cells that can't be read and barcodes of over two ids")
     a = ap.parse_args(argv)
     spark = get_session(master=a.master, shuffle_partitions=a.shuffle_partitions)
     sep = "." if a.format == "table" else "/"
-    inputs = read_inputs(spark, {n: f"{a.inputs.rstrip(sep)}{sep}{n}" for n in INPUTS}, a.format)
-    tables = run(inputs, dt.date.fromisoformat(a.as_of), BasketRules())
-    write_tables(tables, a.out)
+    paths = {n: f"{a.inputs.rstrip(sep)}{sep}{n}" for n in INPUTS}
+    inputs = read_inputs(spark, paths, a.format)
+    if a.report:
+        for name, schema in INPUTS.items():
+            bad = unparsed_cells(read_raw(spark, paths[name], schema, a.format), schema)
+            if bad.columns:
+                print(name, bad.first().asDict())
+    # each published table is written once and read back by the statements after it
+    tables = run(inputs, dt.date.fromisoformat(a.as_of), BasketRules(),
+                 published=lambda df, name: publish(df, name, a.out, a.out_format))
+    if a.report:
+        print("barcodes of more than two ids:", tables["crowded_barcodes"].count())
+    remove_cuts(spark)
 
 
 if __name__ == "__main__":

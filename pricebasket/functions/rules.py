@@ -113,3 +113,5 @@ class BasketRules:
     min_days: int = MIN_DAYS_IN_HISTORY
     unwanted_items: tuple = UNWANTED_ITEMS
     epoch: _dt.date = HISTORY_EPOCH
+    #: pair the items whose image URL has no barcode as one product, as the original does
+    drop_empty_barcodes: bool = False

@@ -1,33 +1,26 @@
-"""Dense daily history (S19-S27): grid, first known row, backfill at the
-start date, carry the last known row forward.
-
-The original builds a dates x items grid with a join without ON, joins
-facts and the first known row back, then fills each gap with an interval
-join ``prev_known < date < next_known``.  Here the same result comes from
-one hash partitioning on the item key and window functions over it:
-
-* grid rows: every item gets ``explode(sequence(min_date, max_date))``
-  (one scalar subquery, no cross join), semi-joined to the set of dates
-  that occur in the facts (a calendar-bounded table);
-* observed facts are unioned in, and a grid row is dropped when its
-  (item, date) cell is observed - the LEFT JOIN of grid and facts;
-* first known row = ``first(observed row)`` over the item window;
-* the carried state = ``last(known row)`` up to the current row, its end =
-  the next known date after the row (default ``as_of``), a running minimum
-  in descending order.  Every frame is either the whole partition or a
-  running one, so each window is linear in the item's days.
-
-Each item's rows are bounded by the number of distinct dates, so no window
-partition grows with the number of items or facts.  Observed cells must be
-unique per (item, date); S15 upstream guarantees it.
+"""Dense daily history (S19-S28): days x items, first known row, backfill at
+the start date, carry the last known row forward, flag the selected items.
+
+Only the *known points* move: the observed rows, plus one start-date point per
+item that was not observed on that day.  One window over the item key gives
+each point its first-known values and the next point.  The days that occur in
+the facts are numbered (a calendar-bounded table), so a point answers for a
+range of day numbers; it emits them with one ``explode`` after the last
+exchange.  The grid - items x days, often many times the facts - is made where
+it is written, never shuffled, and only of days that occur: one stray far date
+adds one day.
+
+Observed rows must be unique per (item, day); S15 upstream guarantees it.  Of
+two on one day, each keeps its own row and one of them is carried on.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
@@ -44,45 +37,16 @@ FACT_ONLY = ("currentPrice", "originalPrice")
 PRICES = ("csuRelevantPrice", "basePrice")
 
 
-def dates_of(facts: DataFrame, date: str = "date") -> DataFrame:
-    """The distinct non-NULL dates of the facts (bounded by the calendar)."""
-    return facts.select(F.col(date).alias("grid_date")).filter(F.col("grid_date").isNotNull()).distinct()
+SELECTION_KEYS = ("csu_product", "itemName", "it_product_id_array")
+SELECTION_COLS = ("items_in_category", "days_in_history", "avg_csuRelevantPrice", "min_csuRelevantPrice",
+                  "max_csuRelevantPrice", "mean_coef_var", "order_cheapest")
 
 
-def grid(facts: DataFrame, keys: Sequence[str] = ITEM_KEYS, date: str = "date") -> DataFrame:
-    """One row per (date occurring in facts) x (distinct item key).
-
-    Built per item from the global date range, so the grid is generated
-    inside each task instead of by a cross join."""
-    # one scalar subquery, bound once into a column and read from there
-    bounds = facts.select(F.struct(F.min(date).alias("lo"), F.max(date).alias("hi")).alias("b")).scalar()
-    items = facts.select(*keys).distinct().withColumn("__b", bounds)
-    cells = items.select(*keys, F.explode(F.sequence(F.col("__b.lo"), F.col("__b.hi"))).alias("grid_date"))
-    return cells.join(F.broadcast(dates_of(facts, date)), "grid_date", "left_semi")
-
-
-def densify(facts: DataFrame, keys: Sequence[str] = ITEM_KEYS, date: str = "date") -> DataFrame:
-    """Grid LEFT JOIN facts on (date, item keys).
-
-    Output: ``grid_date``, ``grid_<key>`` for each key, then every fact
-    column (NULL on unobserved cells), plus ``__observed``.  Written as a
-    union + per-cell window so it shares the item partitioning with the fill."""
-    k_names = [f"grid_{k}" for k in keys]
-    g = grid(facts, keys, date)
-    fact_cols = facts.columns
-    obs = facts.select(*[F.col(k).alias(kn) for k, kn in zip(keys, k_names)],
-                       F.col(date).alias("grid_date"), *fact_cols, F.lit(True).alias("__observed"))
-    # a fact with a NULL key or date never joins to the grid
-    obs = obs.filter(F.col("grid_date").isNotNull()
-                     & F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in k_names)))
-    empty = g.select(*[F.col(k).alias(kn) for k, kn in zip(keys, k_names)], "grid_date",
-                     *[F.lit(None).cast(facts.schema[c].dataType).alias(c) for c in fact_cols],
-                     F.lit(False).alias("__observed"))
-    rows = obs.unionByName(empty).repartition(*[F.col(k) for k in k_names])
-    cell = Window.partitionBy(*k_names, "grid_date")
-    return (rows.withColumn("__cell_observed", F.max("__observed").over(cell))
-                .filter(F.col("__observed") | ~F.col("__cell_observed"))
-                .drop("__cell_observed"))
+def days_of(facts: DataFrame, date: str = "date") -> DataFrame:
+    """(day_no, grid_date), the dates of the facts numbered from 0; a row
+    a calendar day that occurs."""
+    return facts.agg(F.array_sort(F.collect_set(date)).alias("days")).select(
+        F.posexplode("days").alias("day_no", "grid_date"))
 
 
 def first_known(facts: DataFrame, keys: Sequence[str] = ITEM_KEYS, date: str = "date",
@@ -99,233 +63,166 @@ def first_known(facts: DataFrame, keys: Sequence[str] = ITEM_KEYS, date: str = "
                          F.lit(epoch).alias("first_date_of_data"))
 
 
+class _History:
+    """The known points of a fact table and the days they answer for."""
+
+    def __init__(self, facts: DataFrame, epoch: _dt.date | None, keys: Sequence[str], date: str, cols: Sequence[str]):
+        self.keys, self.date, self.epoch = list(keys), date, epoch
+        self.types = {f.name: f.dataType for f in facts.schema.fields}
+        self.days = F.broadcast(days_of(facts, date))
+        keys_ok = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in self.keys])
+        row = F.struct(*[F.col(c) for c in cols])
+        obs = facts.filter(F.col(date).isNotNull() & keys_ok).select(
+            *self.keys, F.col(date).alias("__d"), row.alias("__row"), F.lit(True).alias("__obs"))
+        # one pass over the keys: which items have a dated row, which one on the start date
+        at_start = F.lit(False) if epoch is None else F.coalesce(F.col(date) == F.lit(epoch), F.lit(False))
+        items = facts.groupBy(*self.keys).agg(F.max(F.col(date).isNotNull()).alias("__dated"), F.max(at_start).alias("__seen"))
+        pts, bare = obs, ~keys_ok | ~F.col("__dated")
+        if epoch is not None:
+            start = (items.filter(keys_ok & ~F.col("__seen")).select(
+                *self.keys, F.lit(epoch).alias("__d"), F.lit(None).cast(obs.schema["__row"].dataType).alias("__row"),
+                F.lit(False).alias("__obs")))
+            pts = obs.unionByName(start)
+            occurs = days_of(facts, date).agg(F.max(F.col("grid_date") == F.lit(epoch)).alias("x")).scalar()
+            bare = ~keys_ok | (~F.col("__dated") & ~F.coalesce(occurs, F.lit(False)))
+        # a start date that never occurs is no grid day: the join drops its points
+        numbered = self.days.select(F.col("grid_date").alias("__d"), F.col("day_no").alias("__no"))
+        w = Window.partitionBy(*self.keys).orderBy("__d", F.col("__obs").desc())
+        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        self.points = pts.join(F.broadcast(numbered), "__d").withColumns({
+            "__first": F.first(F.when(F.col("__obs"), F.col("__row")), ignorenulls=True).over(whole),
+            "__next": F.lead("__d").over(w), "__next_no": F.lead("__no").over(w),
+            "__leads": F.row_number().over(w) == 1})
+        #: items without a point: NULL keys, or nothing known
+        self.bare = items.filter(bare).select(*self.keys)
+        self.last_no = days_of(facts, date).agg(F.max("day_no").alias("n")).scalar()
+
+    def emit(self, points: DataFrame) -> DataFrame:
+        """A row per point and day it answers for: its own day, those up to the
+        next point and, for an item's first point, those before it.  Adds
+        ``__no_of_day`` and ``grid_date``."""
+        last = F.when(F.col("__next_no").isNull(), F.col("__last")).otherwise(F.greatest(F.col("__next_no") - 1, F.col("__no")))
+        first = F.when(F.col("__leads"), F.lit(0)).otherwise(F.col("__no"))
+        rows = points.withColumn("__last", self.last_no).withColumn("__of", F.explode(F.sequence(first, last)))
+        return rows.join(self.days, F.col("__of") == F.col("day_no")).drop("day_no", "__last")
+
+    def bare_days(self) -> DataFrame:
+        rows = self.bare.withColumn("__last", self.last_no).filter(F.col("__last").isNotNull())
+        rows = rows.withColumn("__of", F.explode(F.sequence(F.lit(0), F.col("__last"))))
+        return rows.join(self.days, F.col("__of") == F.col("day_no")).select("grid_date", *self.keys)
+
+    def own(self) -> Column:
+        """Whether the emitted day is an observed one."""
+        return F.col("__obs") & (F.col("__of") == F.col("__no"))
+
+    def null(self, c: str, name: str | None = None) -> Column:
+        return F.lit(None).cast(self.types[c]).alias(name or c)
+
+
+def densify(facts: DataFrame, keys: Sequence[str] = ITEM_KEYS, date: str = "date") -> DataFrame:
+    """Every (date occurring in facts) x (item key) with the fact row of
+    that cell: ``grid_date``, ``grid_<key>``, every fact column (NULL on an
+    unobserved cell), ``__observed``."""
+    h = _History(facts, None, keys, date, facts.columns)
+    own = h.own()
+    grid_keys = [F.col(k).alias(f"grid_{k}") for k in keys]
+    seen = h.emit(h.points).select("grid_date", *grid_keys, *[F.when(own, F.col(f"__row.`{c}`")).alias(c) for c in facts.columns],
+                                   own.alias("__observed"))
+    return seen.unionByName(h.bare_days().select("grid_date", *grid_keys, *[h.null(c) for c in facts.columns],
+                                                 F.lit(False).alias("__observed")))
+
+
+def backfill(facts: DataFrame, epoch: _dt.date = R.HISTORY_EPOCH, keys: Sequence[str] = ITEM_KEYS, date: str = "date",
+             coalesced: Sequence[str] = COALESCED, fact_only: Sequence[str] = FACT_ONLY,
+             prices: Sequence[str] = PRICES) -> DataFrame:
+    """The grid with the first known row's attributes and prices
+    (``first_<price>``) on the start date."""
+    carried = (*coalesced, *fact_only, *prices)
+    h = _History(facts, epoch, keys, date, carried)
+    own, start = h.own(), F.col("grid_date") == F.lit(epoch)
+    grid_keys = [F.col(k).alias(f"grid_{k}") for k in keys]
+    cols = ["grid_date", *grid_keys]
+    cols += [F.coalesce(F.when(own, F.col(f"__row.{c}")), F.when(start, F.col(f"__first.{c}"))).alias(c) for c in coalesced]
+    cols += [F.when(own, F.col(f"__row.{c}")).alias(c) for c in fact_only]
+    cols += [F.when(own, F.col("__d")).alias(date)]
+    cols += [F.when(own, F.col(f"__row.{c}")).alias(c) for c in prices]
+    cols += [F.when(start, F.col(f"__first.{c}")).alias(f"first_{c}") for c in prices]
+    cols += [F.when(start, F.lit(epoch)).alias("first_date_of_data")]
+    empty = ["grid_date", *grid_keys, *[h.null(c) for c in (*coalesced, *fact_only)], h.null(date),
+             *[h.null(c) for c in prices], *[h.null(c, f"first_{c}") for c in prices],
+             F.lit(None).cast("date").alias("first_date_of_data")]
+    return h.emit(h.points).select(*cols).unionByName(h.bare_days().select(*empty))
+
+
 def fill_history(facts: DataFrame, as_of: _dt.date, epoch: _dt.date = R.HISTORY_EPOCH,
                  keys: Sequence[str] = ITEM_KEYS, date: str = "date",
                  coalesced: Sequence[str] = COALESCED, fact_only: Sequence[str] = FACT_ONLY,
                  prices: Sequence[str] = PRICES, labels=(R.FILLED_LABEL, R.ORIGINAL_LABEL),
-                 stage: str = "fill", selection: DataFrame | None = None,
-                 selection_keys: Sequence[str] = ("csu_product", "itemName", "it_product_id_array"),
-                 selection_cols: Sequence[str] = ()) -> DataFrame:
-    """The dense, filled daily history.
+                 selection: DataFrame | None = None, selection_keys: Sequence[str] = SELECTION_KEYS,
+                 selection_cols: Sequence[str] = SELECTION_COLS) -> DataFrame:
+    """The dense, filled daily history; with ``selection`` also S28.
 
     Output: date, item keys, coalesced attributes, fact-only attributes,
     ``filled_<price>`` per price, ``filled_end_date``, ``filled``; one row per
     (date occurring in the facts) x (item key).
 
-    Only the *known points* are shuffled: observed rows plus one start-date
-    point per item that was not observed on that date (the backfill).  One
-    window over the item key gives each point its first-known values and the
-    next point's date; each point then emits its own row and the grid days up
-    to the next point (``explode(sequence(...))`` semi-joined to the
-    broadcast date set) inside the final stage, so the grid - items x days,
-    often many times the facts - is generated where it is written and never
-    crosses the network.  ``stage="densify"`` / ``"backfill"`` return the
-    intermediate grids of ``fill_on_grid``."""
-    if stage != "fill":
-        return fill_on_grid(facts, as_of, epoch, keys, date, coalesced, fact_only, prices, labels, stage)
+    S28 never meets grid-sized data either: a day on which a point's state
+    applies has the point's product and keys, so the selection, one row per key
+    with an array of its attributes, is joined to the points, and the array is
+    exploded on those days only (it repeats a day if the selection has a key
+    more than once).  Rows dated ``as_of`` or later are left out then."""
     k = list(keys)
-    dtypes = {f.name: f.dataType for f in facts.schema.fields}
-    keys_ok = F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in k))
-    # grid bounds and "is the start date a grid day", one scalar subquery bound
-    # into columns (a constant compared with the date set in a join would be
-    # folded into a nested-loop join); the calendar-bounded date set broadcast
-    bounds = facts.select(F.struct(F.min(date).alias("lo"), F.max(date).alias("hi"),
-                                   F.max(F.col(date) == F.lit(epoch)).alias("has_epoch")).alias("b")).scalar()
-    days = F.broadcast(dates_of(facts, date))
-    items = facts.select(*k).distinct().withColumn("__b", bounds)
-
-    obs = (facts.filter(F.col(date).isNotNull() & keys_ok)
-                .select(*k, F.col(date).alias("__d"), *coalesced, *fact_only, *prices,
-                        F.lit(True).alias("__obs")))
-    seen_at_epoch = obs.filter(F.col("__d") == F.lit(epoch)).select(*k)
-    backfill = (items.filter(keys_ok & F.coalesce(F.col("__b.has_epoch"), F.lit(False)))
-                     .withColumn("__d", F.lit(epoch))
-                     .join(seen_at_epoch, k, "left_anti")
-                     .select(*k, "__d", *[F.lit(None).cast(dtypes[c]).alias(c)
-                                          for c in (*coalesced, *fact_only, *prices)],
-                             F.lit(False).alias("__obs")))
-    pts = obs.unionByName(backfill)
-
-    # points are unique per (item, day) after S15; should two share a day, the
-    # observed one and then the attributes decide, so reruns agree
-    w = Window.partitionBy(*k).orderBy(
-        "__d", F.col("__obs").desc(), *[F.col(c).asc_nulls_last() for c in (*coalesced, *fact_only, *prices)])
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    first = F.first(F.when(F.col("__obs"), F.struct(*coalesced, *fact_only, *prices)),
-                    ignorenulls=True).over(whole)
-    at_epoch = F.col("__d") == F.lit(epoch)
-    pts = pts.withColumn("__first", first)
-    pts = pts.select(
-        *k, "__d", "__obs",
-        *[F.coalesce(F.col(c), F.when(at_epoch, F.col(f"__first.{c}"))).alias(c) for c in coalesced],
-        *fact_only,
-        *[F.col(p).alias(f"__own_{p}") for p in prices],
-        *[F.coalesce(F.col(p), F.when(at_epoch, F.col(f"__first.{p}"))).alias(p) for p in prices],
-        F.lead("__d").over(w).alias("__next"),
-        (F.row_number().over(w) == 1).alias("__is_first")).withColumn("__b", bounds)
-
-    end = F.coalesce(F.col("__next"), F.lit(as_of))
-
-    def days_between(lo, hi, kind):
-        """[lo, hi] as (day, kind) structs; empty when lo > hi."""
-        seq = F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<date>"))
-        return F.transform(seq, lambda t: F.struct(t.alias("t"), F.lit(kind).alias("k")))
-
-    # every grid day a point is responsible for, emitted in one pass: its own
-    # day, the days up to the next point (or the last grid day), and for an
-    # item's first point the days before it
-    gap_hi = F.coalesce(F.date_sub(F.col("__next"), 1), F.col("__b.hi"))
-    emitted = F.concat(
-        F.array(F.struct(F.col("__d").alias("t"), F.lit("own").alias("k"))),
-        days_between(F.date_add(F.col("__d"), 1), gap_hi, "gap"),
-        F.when(F.col("__is_first"), days_between(F.col("__b.lo"), F.date_sub(F.col("__d"), 1), "before"))
-         .otherwise(F.array().cast("array<struct<t:date,k:string>>")))
-    def emit(src, keep=None, extra=()):
-        """The days of every point of ``src``; ``keep``: only the days whose
-        point state applies (True) or does not (False)."""
-        rows = (src.select("*", F.explode(emitted).alias("__e"))
-                   .join(days, F.col("__e.t") == days["grid_date"], "left_semi"))
-        day, kind = F.col("__e.t"), F.col("__e.k")
-        observed = (kind == "own") & F.col("__obs")
-        # the point's state applies: observed rows; the backfilled start day and
-        # gap days before the interval's end; never the days before the first point
-        state_ok = observed | ((kind != "before") & (day < end))
-        if keep is not None:
-            rows = rows.filter(state_ok if keep else ~state_ok)
-        cols = [day.alias(date)] + [F.col(c) for c in k]
-        for c in (*coalesced, *fact_only):
-            cols.append(F.when(state_ok, F.col(c)).alias(c))
-        for p in prices:
-            cols.append(F.when(observed, F.col(f"__own_{p}")).when(state_ok, F.col(p)).alias(f"filled_{p}"))
-        cols.append(F.when(state_ok & ~observed, end).alias("filled_end_date"))
-        cols.append(F.when(observed, F.lit(labels[1])).otherwise(F.lit(labels[0])).alias("filled"))
-        return rows.select(*cols, *extra)
-
-    # items without any point (NULL keys, or nothing known): every grid day, empty
-    nulls = [F.lit(None).cast(dtypes[c]).alias(c) for c in (*coalesced, *fact_only)]
-    pointless = items.join(pts.select(*k).distinct(), k, "left_anti")
-    never = (pointless.select(*k, F.explode(F.sequence(F.col("__b.lo"), F.col("__b.hi"))).alias("__t"))
-                      .join(days, F.col("__t") == days["grid_date"], "left_semi")
-                      .select(F.col("__t").alias(date), *k, *nulls,
-                              *[F.lit(None).cast(dtypes[p]).alias(f"filled_{p}") for p in prices],
-                              F.lit(None).cast("date").alias("filled_end_date"), F.lit(labels[0]).alias("filled")))
-    if selection is None:
-        return emit(pts).unionByName(never)
-
-    # S28 on the points instead of the grid: a day whose point state applies
-    # carries the point's product and keys, so the selection joined to the
-    # point (facts-sized) is what the day would join; days without a state
-    # match nothing and come from the un-joined points, once each
-    sel = selection.select(*[F.col(c).alias(f"__s_{c}") for c in selection_keys], *selection_cols)
-    stypes = {f.name: f.dataType for f in sel.schema.fields}
-    cond = None
-    for c in selection_keys:
-        e = pts[c] == sel[f"__s_{c}"]
-        cond = e if cond is None else cond & e
-    joined = pts.join(sel, cond, "left")
-    flagged = [F.col(c) for c in selection_cols] + [
-        F.when(F.col(f"__s_{selection_keys[0]}").isNull(), F.lit(0)).otherwise(F.lit(1)).alias("to_include")]
-    unflagged = [F.lit(None).cast(stypes[c]).alias(c) for c in selection_cols] + [F.lit(0).alias("to_include")]
-    out = (emit(joined, True, flagged)
-           .unionByName(emit(pts, False, unflagged))
-           .unionByName(never.select("*", *unflagged)))
-    return out.filter(F.col(date) < F.lit(as_of))
-
-
-def fill_on_grid(facts: DataFrame, as_of: _dt.date, epoch: _dt.date = R.HISTORY_EPOCH,
-                 keys: Sequence[str] = ITEM_KEYS, date: str = "date",
-                 coalesced: Sequence[str] = COALESCED, fact_only: Sequence[str] = FACT_ONLY,
-                 prices: Sequence[str] = PRICES, labels=(R.FILLED_LABEL, R.ORIGINAL_LABEL),
-                 stage: str = "fill") -> DataFrame:
-    """S19-S27 on the materialised grid: grid rows and facts are unioned,
-    hash-partitioned once on the item key, and every step is a window over
-    that partitioning.  ``stage`` stops early: ``"densify"`` (S21),
-    ``"backfill"`` (S23) or ``"fill"`` (S27).  This form shuffles every grid
-    cell; ``fill_history`` gives the same rows shuffling only known points."""
-    k_names = [f"grid_{k}" for k in keys]
-    rows = densify(facts, keys, date)
-    if stage == "densify":
-        return rows
-    w_all = Window.partitionBy(*k_names).orderBy("grid_date").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing)
-    first_cols = list(coalesced) + list(fact_only) + list(prices)
-    first = F.first(F.when(F.col("__observed"), F.struct(*[F.col(c) for c in first_cols])),
-                    ignorenulls=True).over(w_all)
-    rows = rows.withColumn("__first", first)
-    # the backfill joins only on non-NULL keys at the start date
-    at_epoch = (F.col("grid_date") == F.lit(epoch)) & F.expr(
-        " AND ".join(f"`{k}` IS NOT NULL" for k in k_names))
-    bf = [F.col("grid_date")] + [F.col(k) for k in k_names]
-    for c in coalesced:
-        bf.append(F.coalesce(F.col(c), F.when(at_epoch, F.col(f"__first.{c}"))).alias(c))
-    for c in fact_only:
-        bf.append(F.col(c))
-    bf.append(F.col(date))
-    for c in prices:
-        bf.append(F.col(c))
-    for c in prices:
-        bf.append(F.when(at_epoch, F.col(f"__first.{c}")).alias(f"first_{c}"))
-    bf += [F.when(at_epoch, F.lit(epoch)).alias("first_date_of_data"), F.col("__observed")]
-    rows = rows.select(*bf)
-    if stage == "backfill":
-        return rows
-
-    known = F.col("__observed") | F.col("first_date_of_data").isNotNull()
-    state_cols = [F.col(c) for c in coalesced] + [F.col(c) for c in fact_only] + [
-        F.coalesce(F.col(p), F.col(f"first_{p}")).alias(p) for p in prices]
-    w = Window.partitionBy(*k_names).orderBy("grid_date")
-    state = F.last(F.when(known, F.struct(*state_cols)), ignorenulls=True).over(
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # next known date after the row: a running min in descending date order
-    # (an unbounded-following frame would be re-aggregated for every row)
-    w_rev = Window.partitionBy(*k_names).orderBy(F.col("grid_date").desc()).rowsBetween(
-        Window.unboundedPreceding, -1)
-    nxt = F.min(F.when(known, F.col("grid_date"))).over(w_rev)
-    rows = (rows.withColumn("__state", state)
-                .withColumn("__end", F.coalesce(nxt, F.lit(as_of)))
-                .withColumn("__valid", F.col("__state").isNotNull()
-                            & (F.col("grid_date") < F.col("__end"))))
-    obs = F.col("__observed")
-    valid = F.col("__valid")
-    out = [F.col("grid_date").alias(date)] + [F.col(kn).alias(k) for k, kn in zip(keys, k_names)]
-    for c in list(coalesced) + list(fact_only):
-        out.append(F.when(obs, F.col(c)).when(valid, F.col(f"__state.{c}")).alias(c))
-    for p in prices:
-        out.append(F.when(obs, F.col(p)).when(valid, F.col(f"__state.{p}")).alias(f"filled_{p}"))
-    out.append(F.when(~obs & valid, F.col("__end")).alias("filled_end_date"))
-    out.append(F.when(obs, F.lit(labels[1])).otherwise(F.lit(labels[0])).alias("filled"))
-    return rows.select(*out)
-
-
-def flag_selected(hist: DataFrame, selection: DataFrame, as_of: _dt.date,
-                  keys: Sequence[str] = ("csu_product", "itemName", "it_product_id_array"),
-                  carried: Sequence[str] = ("items_in_category", "days_in_history",
-                                            "avg_csuRelevantPrice", "min_csuRelevantPrice",
-                                            "max_csuRelevantPrice", "mean_coef_var",
-                                            "order_cheapest")) -> DataFrame:
-    """Attach the selection (may repeat a row: the selection is grouped
-    by more columns than the join keys) and flag ``to_include``."""
-    s = selection.select(*[F.col(k).alias(f"__s_{k}") for k in keys], *carried)
-    cond = None
-    for k in keys:
-        c = hist[k] == s[f"__s_{k}"]
-        cond = c if cond is None else cond & c
-    j = hist.filter(F.col("date") < F.lit(as_of)).join(s, cond, "left")
-    inc = F.when(F.col(f"__s_{keys[0]}").isNull(), F.lit(0)).otherwise(F.lit(1))
-    return j.withColumn("to_include", inc).drop(*[f"__s_{k}" for k in keys])
+    h = _History(facts, epoch, keys, date, (*coalesced, *fact_only, *prices))
+    start = F.col("__d") == F.lit(epoch)
+    # the state a point carries: its row, on the start date else the first known one
+    state = [F.coalesce(F.col(f"__row.{c}"), F.when(start, F.col(f"__first.{c}"))).alias(c) for c in (*coalesced, *prices)]
+    state += [F.col(f"__row.{c}").alias(c) for c in fact_only]
+    own_prices = [F.col(f"__row.{p}").alias(f"__own_{p}") for p in prices]
+    pts = h.points.select(*k, "__d", "__no", "__obs", "__next", "__next_no", "__leads", *state, *own_prices)
+    extra, bare_extra = [], []
+    if selection is not None:
+        chosen = selection.groupBy(*[F.col(c).alias(f"__s_{c}") for c in selection_keys]).agg(
+            F.collect_list(F.struct(*selection_cols)).alias("__chosen"))
+        match = reduce(lambda x, y: x & y, [F.col(c) == F.col(f"__s_{c}") for c in selection_keys])
+        pts = pts.join(chosen, match, "left").drop(*[f"__s_{c}" for c in selection_keys])
+    rows = h.emit(pts)
+    day, own, end = F.col("grid_date"), h.own(), F.coalesce(F.col("__next"), F.lit(as_of))
+    # the state applies on observed days and on days from the point to before the
+    # interval's end; never on the days before an item's first point
+    applies = own | ((F.col("__of") >= F.col("__no")) & (day < end))
+    if selection is not None:
+        rows = rows.filter(day < F.lit(as_of)).withColumn("__hit", F.explode_outer(F.when(applies, F.col("__chosen"))))
+        extra = [F.col(f"__hit.{c}").alias(c) for c in selection_cols] + [F.col("__hit").isNotNull().cast("int").alias("to_include")]
+        types = {f.name: f.dataType for f in selection.schema.fields}
+        bare_extra = [F.lit(None).cast(types[c]).alias(c) for c in selection_cols] + [F.lit(0).alias("to_include")]
+    out = [day.alias(date), *[F.col(c) for c in k]]
+    out += [F.when(applies, F.col(c)).alias(c) for c in (*coalesced, *fact_only)]
+    out += [F.when(own, F.col(f"__own_{p}")).when(applies, F.col(p)).alias(f"filled_{p}") for p in prices]
+    out += [F.when(applies & ~own, end).alias("filled_end_date"),
+            F.when(own, F.lit(labels[1])).otherwise(F.lit(labels[0])).alias("filled")]
+    bare = h.bare_days().select(
+        day.alias(date), *k, *[h.null(c) for c in (*coalesced, *fact_only)], *[h.null(p, f"filled_{p}") for p in prices],
+        F.lit(None).cast("date").alias("filled_end_date"), F.lit(labels[0]).alias("filled"), *bare_extra)
+    if selection is not None:
+        bare = bare.filter(F.col(date) < F.lit(as_of))
+    return rows.select(*out, *extra).unionByName(bare)
 
 
 def fill_and_flag(facts: DataFrame, selection: DataFrame, as_of: _dt.date,
                   epoch: _dt.date = R.HISTORY_EPOCH, **kw) -> DataFrame:
-    """``flag_selected(fill_history(...), selection, as_of)`` with the
-    selection joined to the known points, so it never meets grid-sized data.
-
-    For a selection too big to broadcast.  It emits the days in two passes
-    (days with and without a point state), so when the selection *is* small
-    the broadcast join of ``flag_selected`` onto the filled history is
-    cheaper."""
-    return fill_history(facts, as_of, epoch, selection=selection,
-                        selection_cols=("items_in_category", "days_in_history", "avg_csuRelevantPrice",
-                                        "min_csuRelevantPrice", "max_csuRelevantPrice", "mean_coef_var",
-                                        "order_cheapest"), **kw)
-
+    """The filled history before ``as_of`` with the selection's
+    attributes and ``to_include``."""
+    return fill_history(facts, as_of, epoch, selection=selection, **kw)
+
+
+def spans(history: DataFrame, facts: DataFrame, date: str = "date") -> DataFrame:
+    """The same rows with each unbroken run of days as one: all columns but the
+    date, then ``first_day``, ``last_day`` and ``n_days``.  Lossless: the days
+    of a span are the days of ``facts`` from first to last."""
+    names = [c for c in history.columns if c != date]
+    numbered = history.join(F.broadcast(days_of(facts, date)), F.col(date) == F.col("grid_date")).drop("grid_date")
+    # equal rows share a key; runs are told apart by day number minus rank
+    w = Window.partitionBy(*names).orderBy("day_no")
+    runs = numbered.withColumn("__run", F.col("day_no") - F.dense_rank().over(w))
+    return runs.groupBy(*names, "__run").agg(F.min(date).alias("first_day"), F.max(date).alias("last_day"),
+                                             F.count("*").alias("n_days")).drop("__run")

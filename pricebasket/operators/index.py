@@ -5,12 +5,13 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .rows import top_n_per_key
-
+#: Above every weight in millionths (decimal(12,6)); stands for none.
+NO_WEIGHT = 10**12
 PRICE = "filled_csuRelevantPrice"
 LEVELS = ("csu_main_category", "csu_subcategory", "csu_product", "itemName")
 LEVEL_NAMES = ("main", "sub", "product", "item")
@@ -23,13 +24,26 @@ def _index_rows(hist: DataFrame, as_of: _dt.date, price: str = PRICE, product: s
 
 
 def cheapest_per_product_day(hist: DataFrame, as_of: _dt.date, price: str = PRICE,
-                             product: str = "csu_product",
-                             tie_breakers: Sequence[str] = ("itemName", "it_product_id_array")) -> DataFrame:
-    """Cheapest filled row per (product, date) - uses every row, not only
-    the selected ones.  Top-1 is cut map-side by WindowGroupLimit."""
-    f = _index_rows(hist, as_of, price, product)
-    order = [F.col(price).asc()] + [F.col(t).asc_nulls_last() for t in tie_breakers]
-    return top_n_per_key(f, [product, "date"], order, 1, rank_col="daily_rank")
+                             weight: str = "csu_weight", product: str = "csu_product") -> DataFrame:
+    """(product, date, price, weight) of the cheapest filled row per product and
+    day - of every row, not only the selected ones; of equal prices the one with
+    the smallest weight, NULL last.
+
+    Price and weight are packed into one whole number, so the minimum is a hash
+    aggregate whose partial sums leave each task with one row a product and day:
+    the grid is not shuffled or sorted."""
+    rows = _index_rows(hist, as_of, price, product)
+    units = (F.col(price).cast("decimal(20,6)") * F.lit(Decimal(10**6))).cast("decimal(20,0)")
+    parts = (F.col(weight).cast("decimal(12,6)") * F.lit(Decimal(10**6))).cast("decimal(12,0)")
+    packed = units * F.lit(Decimal(NO_WEIGHT * 10)) + F.coalesce(parts, F.lit(Decimal(NO_WEIGHT)).cast("decimal(14,0)"))
+    least = rows.groupBy(product, "date").agg(F.min(packed.cast("decimal(38,0)")).alias("__least"))
+    whole = F.lit(Decimal(NO_WEIGHT * 10)).cast("decimal(14,0)")
+    part = F.pmod(F.col("__least"), whole)
+    return least.select(
+        product, "date",
+        (((F.col("__least") - part) / whole).cast("decimal(20,0)") * F.lit(Decimal("0.000001"))).cast("decimal(20,6)").alias(price),
+        F.when(part < F.lit(Decimal(NO_WEIGHT)),
+               part.cast("decimal(12,0)") * F.lit(Decimal("0.000001"))).cast("decimal(12,6)").alias(weight))
 
 
 def weighted_index(hist: DataFrame, as_of: _dt.date, price: str = PRICE,
@@ -42,7 +56,7 @@ def weighted_index(hist: DataFrame, as_of: _dt.date, price: str = PRICE,
     ``"selection"``: the other reading of that name - rows whose selection
     rank by average price (``order_cheapest`` of the full history) is 1."""
     if rank_by == "daily":
-        cheap = cheapest_per_product_day(hist, as_of, price)
+        cheap = cheapest_per_product_day(hist, as_of, price, weight)
     elif rank_by == "selection":
         cheap = _index_rows(hist, as_of, price).filter(F.col("order_cheapest") == 1)
     else:
@@ -81,13 +95,20 @@ def rollup_avg(hist: DataFrame, depth: int, price: str = PRICE, out: str = "csuR
 
 def rollup_all_levels(hist: DataFrame, price: str = PRICE, out: str = "csuRelevantPrice",
                       levels: Sequence[str] = LEVELS) -> DataFrame:
-    """S30-S33 in one pass with GROUPING SETS; ``level`` = how many category
-    levels the row is grouped by (1 main ... 4 item).  Levels are told apart
-    by ``grouping_id`` because the category columns can be NULL themselves."""
+    """S30-S33 in one pass; ``level`` = how many category levels the row is
+    grouped by (1 main ... 4 item).
+
+    The history is summed once, to (date, all levels); the four levels come
+    from those sums and counts (grouping sets over them, not over the grid),
+    so the averages are exact.  Levels are told apart by ``grouping_id``
+    because the category columns can be NULL themselves."""
+    items = _included(hist, price).groupBy("date", *levels).agg(
+        F.sum(F.col(price).cast("decimal(24,6)")).alias("__sum"), F.count(price).alias("__n"))
     sets = [["date", *levels[:d]] for d in range(1, len(levels) + 1)]
-    g = (_included(hist, price)
-         .groupingSets([[F.col(c) for c in s] for s in sets], "date", *levels)
-         .agg(F.avg(price).alias(out), F.grouping_id().alias("__gid")))
+    # the sums in 32 digits leave the quotient room for its places
+    mean = F.sum(F.col("__sum").cast("decimal(28,6)")).cast("decimal(32,6)") / F.sum("__n").cast("decimal(20,0)")
+    g = (items.groupingSets([[F.col(c) for c in s] for s in sets], "date", *levels)
+         .agg(mean.alias(out), F.grouping_id().alias("__gid")))
     # grouping_id() spans date too, but date is in every set: its bit is 0
     depth = F.lit(len(levels))
     for i in range(len(levels) + 1):

@@ -34,18 +34,34 @@ def unit_price(facts: DataFrame, details: DataFrame, per_kilo_items=R.PER_KILO_I
 
     ``id_lists``: the distinct id lists of ``facts`` when a smaller table
     (the candidates) already knows them - saves a pass over the history."""
-    j = left_join_any_id(facts, F.col(ids_col), details, "itemId", ids_col=ids_col, right_is_large=False,
-                         id_lists=id_lists)
-    base = parse_decimal("basePrice", 18, 2)
-    amount = parse_decimal("package_amount", 18, 4)
+    return price_units(attach_details(facts, details, ids_col, id_lists), per_kilo_items, per_kilo_limit, flag_limit)
+
+
+def attach_details(rows: DataFrame, details: DataFrame, ids_col: str = "found_product_ids",
+                   id_lists: DataFrame | None = None) -> DataFrame:
+    """S13's join: product details under either id of ``ids_col``."""
+    return left_join_any_id(rows, F.col(ids_col), details, "itemId", ids_col=ids_col, right_is_large=False,
+                            id_lists=id_lists)
+
+
+def price_units(j: DataFrame, per_kilo_items=R.PER_KILO_ITEMS, per_kilo_limit=R.PER_KILO_PRICE_LIMIT,
+                flag_limit=R.FLAG_LIMIT) -> DataFrame:
+    """S13's prices, see ``unit_price``.  Raw values are divided and the quotient
+    is rounded; the flag is compared by products, so its own rounding decides
+    nothing."""
+    base = parse_decimal("basePrice", 20, 6)
+    amount = parse_decimal("package_amount", 20, 6)
+    price_new = parse_decimal("price_new", 18, 2)
     listed = (per_kilo_items if isinstance(per_kilo_items, Column)
               else F.col("itemId_given_day").isin(list(per_kilo_items)))
     per_kilo = listed & (to_number_whole("basePrice") > F.lit(per_kilo_limit))
     ppu = F.when(per_kilo, base).otherwise(div0(base, amount)).cast(PRICE)
     upu, pu = F.col("unit_price_per_unit"), F.col("package_unit")
     unit = F.when(upu != "", upu).when((upu == "") & (pu != ""), pu)
-    flag = safe_div(F.col("price_per_unit"), parse_decimal("price_new", 18, 2)) * amount
-    final = F.when((F.col("flag") > flag_limit) & (F.col("originalPrice") != ""),
+    flag = safe_div(F.col("price_per_unit"), price_new) * amount
+    worth, limit = F.col("price_per_unit") * amount, price_new * F.lit(flag_limit)
+    stale = F.when(price_new > 0, worth > limit).when(price_new < 0, worth < limit)
+    final = F.when(stale & (F.col("originalPrice") != ""),
                    parse_decimal("originalPrice", 18, 2)).otherwise(F.col("price_per_unit")).cast(PRICE)
     return (j.withColumn("price_per_unit", ppu).withColumn("unit", unit)
              .withColumn("flag", flag).withColumn("ppu_final", final))
@@ -68,10 +84,10 @@ def fix_stale_discount(df: DataFrame, item: str = "itemId_given_day", date: str
     row is NULL and does not count) and the previous row has one, take the
     previous row's final price; else the row's own.  Rows without an item
     (no history) all fall in the NULL partition in the original, where the
-    result is always their own price; here they are spread by their tie
-    breaker so they do not pile up in one task."""
+    result is always their own price; here they are spread by a hash of their
+    ids (never NULL), so they do not pile up in one task."""
     tie_breakers = _present(df, tie_breakers)
-    spread = F.when(F.col(item).isNull(), F.col(tie_breakers[0]))
+    spread = F.when(F.col(item).isNull(), F.xxhash64(*_present(df, (*tie_breakers, "found_product_ids"))))
     w = Window.partitionBy(F.col(item), spread).orderBy(
         F.col(date).asc_nulls_last(), *[F.col(t).asc_nulls_last() for t in tie_breakers])
     nxt = F.lead("originalPrice").over(w)

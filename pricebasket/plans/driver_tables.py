@@ -386,7 +386,7 @@ def q_select_products(spark, d):
 
 
 def q_densify(spark, d):
-    rows = H.fill_history(price_facts(spark, d), AS_OF, EPOCH, stage="densify")
+    rows = H.densify(price_facts(spark, d))
     return rows.select("grid_date", "grid_itemName", "grid_it_product_id_array", "date",
                        "csuRelevantPrice", "currentPrice", "originalPrice", "itemId_given_day", "csu_product")
 
@@ -398,8 +398,7 @@ def q_first_known(spark, d):
 
 
 def q_backfill(spark, d):
-    backfilled = H.fill_history(price_facts(spark, d), AS_OF, EPOCH, stage="backfill")
-    return backfilled.drop("__observed")
+    return H.backfill(price_facts(spark, d), EPOCH)
 
 
 def q_fill_forward(spark, d):
@@ -411,7 +410,7 @@ def px_full_history(spark, d):
     # once to the checkpoint folder, as the whole refresh does
     facts = cut_lineage(price_facts(spark, d), "px_facts")
     sel = S.selection_final(S.select_products(facts, MIN_DAYS_USERS, UNWANTED_USERS))
-    return H.flag_selected(H.fill_history(facts, AS_OF, EPOCH), sel, AS_OF)
+    return H.fill_and_flag(facts, sel, AS_OF, EPOCH)
 
 
 def q_flag_selected(spark, d):

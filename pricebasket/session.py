@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
+import contextlib
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,9 +29,6 @@ def get_session(master: str | None = "local[8]", shuffle_partitions: int = 8, ap
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    if master and master.startswith("local"):
-        # local mode: the driver is also the only executor (1g by default)
-        b = b.config("spark.driver.memory", "8g")
     for k, v in {**DEFAULTS, "spark.sql.shuffle.partitions": str(shuffle_partitions), **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -40,26 +38,51 @@ def get_session(master: str | None = "local[8]", shuffle_partitions: int = 8, ap
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for lineage cuts: the cluster's ``spark.checkpoint.dir``.
-    Only a local-mode session without one (tests) gets a scratch folder; on a
-    cluster a machine-local folder would break, so that is an error."""
+    """The shared folder for lineage cuts: ``spark.checkpoint.dir``.  Where it is
+    unset, as in tests, a folder in the warehouse, which every executor shares
+    as well."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor shares")
-        d = tempfile.mkdtemp(prefix="pricebasket-ckpt-")
+        d = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_cuts"
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+def _cuts_folder(spark: SparkSession) -> str:
+    """This application's own folder of cuts."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/pricebasket/{spark.sparkContext.applicationId}"
+
+
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Materialise a reused intermediate as a parquet table in the shared
     checkpoint folder and read it back: a lost executor recomputes from
     there, not from the raw scans, and later reads keep column pruning and
     filter pushdown (an RDD checkpoint would not)."""
-    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{root}/pricebasket/{name}-{uuid.uuid4().hex}"
+    path = f"{_cuts_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    for seen in _cut_watchers:
+        seen(name, df)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def remove_cuts(spark: SparkSession) -> None:
+    """Delete the cuts of this application, after its results are published.
+    DataFrames that still read them can't be used any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_cuts_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+#: Called with (name, DataFrame) before each cut is written: plan reports and
+#: tests look at the plans of all legs of a query, not of the last one only.
+_cut_watchers: list[Callable[[str, DataFrame], None]] = []
+
+
+@contextlib.contextmanager
+def watch_cuts(seen: Callable[[str, DataFrame], None]) -> Iterator[None]:
+    _cut_watchers.append(seen)
+    try:
+        yield
+    finally:
+        _cut_watchers.remove(seen)
