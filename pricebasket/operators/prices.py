@@ -73,7 +73,7 @@ def _present(df: DataFrame, cols) -> list[str]:
 
 # total order among rows of one item and day: the candidate, the detail row
 # it matched (either id can match), the history row
-ROW_TIES = ("productId_csuId_ident", "itemId", "p_key")
+ROW_TIES = ("productId_csuId_ident", "itemId", "p_key", "csu_nazev", "nove_poradi")
 
 
 def fix_stale_discount(df: DataFrame, item: str = "itemId_given_day", date: str = "date",
@@ -97,7 +97,7 @@ def fix_stale_discount(df: DataFrame, item: str = "itemId_given_day", date: str
 
 
 def dedupe_placeholders(df: DataFrame, titles=R.PLACEHOLDER_TITLES, ids_col: str = "found_product_ids",
-                        tie_breakers=("productId_csuId_ident", "itemId_given_day", "itemId", "p_key")
+                        tie_breakers=("productId_csuId_ident", "itemId_given_day", "itemId", "p_key", "csu_nazev", "nove_poradi")
                         ) -> DataFrame:
     """One row per (first id, date): regular titles before placeholder
     ones, then the lowest unit price."""
