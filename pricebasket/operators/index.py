@@ -108,7 +108,7 @@ def rollup_all_levels(hist: DataFrame, price: str = PRICE, out: str = "csuReleva
     # the sums in 32 digits leave the quotient room for its places
     mean = F.sum(F.col("__sum").cast("decimal(28,6)")).cast("decimal(32,6)") / F.sum("__n").cast("decimal(20,0)")
     g = (items.groupingSets([[F.col(c) for c in s] for s in sets], "date", *levels)
-         .agg(mean.alias(out), F.grouping_id().alias("__gid")))
+         .agg(mean.cast("decimal(28,10)").alias(out), F.grouping_id().alias("__gid")))
     # grouping_id() spans date too, but date is in every set: its bit is 0
     depth = F.lit(len(levels))
     for i in range(len(levels) + 1):

@@ -1,15 +1,19 @@
-"""Dense history: worked example F10 and the window form vs the original's
-interval join on random histories."""
+"""Dense history: worked example F10, and random histories against a day-by-day
+walk in plain Python."""
 
 import datetime as dt
 import random
+import time
 from decimal import Decimal
 
+import pytest
+
 from pricebasket.operators import history as H
 
 D = dt.date
 EPOCH, AS_OF = D(2019, 7, 25), D(2019, 7, 29)
 SCHEMA = "itemName string, it_product_id_array string, date date, csu_product string, csuRelevantPrice decimal(18,2)"
+COLS = dict(coalesced=("csu_product",), fact_only=(), prices=("csuRelevantPrice",))
 
 
 def _facts(spark, rows):
@@ -18,8 +22,51 @@ def _facts(spark, rows):
          for i, d, p in rows], SCHEMA)
 
 
-def _fill(df, as_of=AS_OF, epoch=EPOCH, fn=H.fill_history):
-    return fn(df, as_of, epoch, coalesced=("csu_product",), fact_only=(), prices=("csuRelevantPrice",))
+def _fill(df, as_of=AS_OF, epoch=EPOCH, **kw):
+    return H.fill_history(df, as_of, epoch, **COLS, **kw)
+
+
+def walk(rows, as_of, epoch):
+    """Every item, day by day: (date, item, product, price, end, label)."""
+    days = sorted({d for _, d, _ in rows if d})
+    out = []
+    for item in {i for i, _, _ in rows}:
+        seen = {d: p for i, d, p in rows if i == item and d} if item else {}
+        marks = sorted(seen.keys() | ({epoch} & set(days) if item else set()))  # days from which something is known
+        for day in days:
+            before = [m for m in marks if m <= day]
+            mark = before[-1] if before else None
+            until = min((m for m in marks if mark and m > mark), default=as_of)
+            if day in seen:
+                price = seen[day]
+                out.append((day, item, "P" + item, price, None, "original"))
+            elif mark and day < until:
+                start = seen[min(seen)] if seen else None
+                price = seen.get(mark) if seen.get(mark) is not None or mark != epoch else start
+                out.append((day, item, "P" + item if seen else None, price, until, "based_on_previous"))
+            else:
+                out.append((day, item, None, None, None, "based_on_previous"))
+    return sorted(out, key=str)
+
+
+def got(df):
+    return sorted(((r.date, r.itemName, r.csu_product, r.filled_csuRelevantPrice and int(r.filled_csuRelevantPrice),
+                    r.filled_end_date, r.filled) for r in df.collect()), key=str)
+
+
+def histories(seed, n):
+    """With NULL keys, undated facts, and start dates in and out of the days that occur."""
+    rnd = random.Random(seed)
+    for _ in range(n):
+        rows = []
+        for item in ["A", "B", "C", "D", None][: rnd.randint(1, 5)]:
+            days = sorted(rnd.sample(range(20, 32), rnd.randint(1, 6)))
+            rows += [(item, D(2019, 7, d), rnd.choice([None, rnd.randint(1, 50)])) for d in days]
+            if rnd.random() < 0.3:
+                rows.append((item, None, rnd.randint(1, 50)))
+        if rnd.random() < 0.3:
+            rows.append(("Z", None, 7))  # an item with no dated fact
+        yield rows, D(2019, 7, rnd.choice([24, 28, 30, 31])), D(2019, 7, rnd.choice([19, 20, 24, 25, 26]))
 
 
 def test_fill_worked_example(spark):
@@ -38,69 +85,36 @@ def test_fill_worked_example(spark):
     }
 
 
-INTERVAL_SQL = """
-WITH cal AS (SELECT DISTINCT date AS day FROM f WHERE date IS NOT NULL),
-items AS (SELECT DISTINCT itemName, it_product_id_array FROM f),
-cells AS (SELECT cal.day, items.itemName AS g_item, items.it_product_id_array AS g_ids FROM cal CROSS JOIN items),
-seen AS (SELECT * FROM cells LEFT JOIN f ON cells.day = f.date AND cells.g_item = f.itemName
-                                          AND cells.g_ids = f.it_product_id_array),
-first_row AS (SELECT m.*, f.csu_product, f.csuRelevantPrice, DATE'{epoch}' AS start_day
-              FROM (SELECT itemName, it_product_id_array, MIN(date) AS first_date FROM f GROUP BY 1, 2) m
-              LEFT JOIN f ON m.itemName = f.itemName AND m.first_date = f.date
-                         AND m.it_product_id_array = f.it_product_id_array),
-backed AS (SELECT s.day, s.g_item, s.g_ids, COALESCE(s.csu_product, b.csu_product) AS csu_product,
-                  s.date, s.csuRelevantPrice, b.csuRelevantPrice AS first_price, b.start_day
-           FROM seen s LEFT JOIN first_row b ON s.g_item = b.itemName AND s.day = DATE'{epoch}'
-                                            AND s.g_ids = b.it_product_id_array),
-points AS (SELECT g_item AS p_item, g_ids AS p_ids, csu_product AS p_product, day AS p_day,
-                  COALESCE(csuRelevantPrice, first_price) AS p_price
-           FROM backed WHERE date IS NOT NULL OR start_day IS NOT NULL),
-spans AS (SELECT p_item, p_ids, p_product, p_price,
-                 CASE WHEN p_day = DATE'{epoch}' THEN date_sub(p_day, 1) ELSE p_day END AS p_from,
-                 LEAD(p_day, 1, DATE'{as_of}') OVER (PARTITION BY p_item, p_ids ORDER BY p_day) AS p_to
-          FROM points)
-SELECT b.day AS date, b.g_item AS itemName, s.p_product AS csu_product,
-       COALESCE(b.csuRelevantPrice, s.p_price) AS price, s.p_to AS end_date, 'based_on_previous' AS filled
-FROM backed b LEFT JOIN spans s ON b.g_item = s.p_item AND b.g_ids = s.p_ids
-                              AND b.day > s.p_from AND b.day < s.p_to
-WHERE b.date IS NULL
-UNION ALL
-SELECT day, g_item, csu_product, csuRelevantPrice, CAST(NULL AS DATE), 'original' FROM backed WHERE date IS NOT NULL
-"""
-
-
-COLS = ("date", "itemName", "csu_product", "filled_csuRelevantPrice", "filled_end_date", "filled")
-
-
-def test_fill_forms_match_interval_join(spark):
-    """Span form and grid form against the original's interval join, on
-    random histories with NULL item keys, undated facts and start dates
-    inside and outside the grid."""
-    rnd = random.Random(11)
-    for trial in range(14):
-        rows = []
-        for item in ["A", "B", "C", "D", None][: rnd.randint(1, 5)]:
-            days = sorted(rnd.sample(range(20, 32), rnd.randint(1, 6)))
-            rows += [(item, D(2019, 7, d), rnd.choice([None, rnd.randint(1, 50)])) for d in days]
-            if rnd.random() < 0.3:
-                rows.append((item, None, rnd.randint(1, 50)))
-        if rnd.random() < 0.3:
-            rows.append(("Z", None, 7))  # an item with no dated fact
-        epoch = D(2019, 7, rnd.choice([19, 20, 24, 25, 26]))
-        as_of = D(2019, 7, rnd.choice([24, 28, 30, 31]))
-        f = _facts(spark, rows)
-        f.createOrReplaceTempView("f")
-        ref = sorted(map(tuple, spark.sql(INTERVAL_SQL.format(epoch=epoch, as_of=as_of)).collect()), key=str)
-        for fn in (H.fill_history, H.fill_on_grid):
-            ours = _fill(f, as_of, epoch, fn).select(*COLS).collect()
-            assert sorted(map(tuple, ours), key=str) == ref, (trial, fn.__name__)
+def test_fill_matches_the_walk(spark):
+    for rows, as_of, epoch in histories(11, 12):
+        assert got(_fill(_facts(spark, rows), as_of, epoch)) == walk(rows, as_of, epoch), (rows, as_of, epoch)
 
 
-def test_grid_has_every_item_on_every_observed_date(spark):
-    rows = [("A", D(2019, 7, 25), 1), ("B", D(2019, 7, 28), 2), ("C", D(2019, 7, 30), 3)]
-    g = H.grid(_facts(spark, rows))
-    assert g.count() == 9  # 3 items x 3 observed dates (26, 27, 29 never occur)
-    assert {r.grid_date.day for r in g.collect()} == {25, 28, 30}
+def test_densify_and_backfill(spark):
+    for rows, _, epoch in histories(5, 5):
+        f = _facts(spark, rows)
+        days, items = {d for _, d, _ in rows if d}, {i for i, _, _ in rows}
+        cells = {(d, i): p for i, d, p in rows if d and i}
+        dense = [(r.grid_date, r.grid_itemName, r.date, r.csuRelevantPrice and int(r.csuRelevantPrice)) for r in H.densify(f).collect()]
+        assert sorted(dense, key=str) == sorted(((d, i, d if (d, i) in cells else None, cells.get((d, i))) for d in days for i in items), key=str)
+        first = {i: min(((d, p) for j, d, p in rows if j == i and d), default=(None, None))[1] if i else None for i in items}
+        back = [(r.grid_date, r.grid_itemName, r.first_csuRelevantPrice and int(r.first_csuRelevantPrice), r.first_date_of_data)
+                for r in H.backfill(f, epoch, **COLS).collect()]
+        assert sorted(back, key=str) == sorted(((d, i, first[i] if d == epoch and i else None, epoch if d == epoch and i else None)
+                                                for d in days for i in items), key=str)
+
+
+def test_far_date_adds_one_day(spark):
+    """A stray date far ahead is one more day, not thousands of years of them."""
+    rows = [(i, D(2019, 7, d), d) for i in "ABCDEFGH" for d in range(1, 29)]
+    far = [*rows, ("A", D(9019, 1, 1), 1)]
+    took = []
+    for data in (rows, far, rows, far):
+        t = time.perf_counter()
+        n = _fill(_facts(spark, data)).count()
+        took.append(time.perf_counter() - t)
+        assert n == 8 * (28 + (data is far))
+    assert took[3] < 3 * took[2] + 2
 
 
 SEL = ("csu_product string, itemName string, it_product_id_array string, items_in_category long, "
@@ -108,25 +122,39 @@ SEL = ("csu_product string, itemName string, it_product_id_array string, items_i
        "max_csuRelevantPrice decimal(38,2), mean_coef_var double, order_cheapest int")
 
 
-def test_flag_on_points_equals_flag_on_grid(spark):
-    """S28 joined to the known points equals S28 on the filled grid, also when
-    the selection repeats a key (fan-out) and for days without a state."""
+def test_flag_on_points(spark):
+    """S28 joined to the points: the walk's rows before as_of, once per selection
+    row of their product and item, days without a state unflagged."""
     rnd = random.Random(21)
-    for trial in range(6):
-        rows = []
-        for item in ["A", "B", "C", None]:
-            days = sorted(rnd.sample(range(20, 32), rnd.randint(1, 5)))
-            rows += [(item, D(2019, 7, d), rnd.choice([None, rnd.randint(1, 50)])) for d in days]
+    for rows, as_of, epoch in histories(3, 5):
+        chosen = [(i, rnd.randint(1, 99)) for i in "ABC" for _ in range(rnd.choice([0, 1, 2]))]
+        sel = spark.createDataFrame([("P" + i, i, f"[{ord(i)}]", 1, 2, Decimal(3), Decimal(1), Decimal(5), 0.5, n)
+                                     for i, n in chosen], SEL)
+        out = H.fill_and_flag(_facts(spark, rows), sel, as_of, epoch, **COLS)
+        want = []
+        for r in walk(rows, as_of, epoch):
+            if r[0] < as_of:
+                hits = [n for i, n in chosen if i == r[1]] if r[2] else []
+                want += [(*r, n, 1) for n in hits] or [(*r, None, 0)]
+        have = [(r.date, r.itemName, r.csu_product, r.filled_csuRelevantPrice and int(r.filled_csuRelevantPrice), r.filled_end_date,
+                 r.filled, r.order_cheapest, r.to_include) for r in out.collect()]
+        assert sorted(have, key=str) == sorted(want, key=str)
+
+
+def test_spans_are_lossless(spark):
+    for rows, as_of, epoch in histories(8, 3):
         f = _facts(spark, rows)
-        sel_rows = []
-        for item in ["A", "B", "C"]:
-            for _ in range(rnd.choice([0, 1, 2])):
-                sel_rows.append(("P" + item, item, f"[{ord(item)}]", 1, 2, Decimal(3), Decimal(1), Decimal(5),
-                                 rnd.random(), rnd.randint(1, 3)))
-        sel = spark.createDataFrame(sel_rows, SEL)
-        as_of, epoch = D(2019, 7, rnd.choice([28, 31])), D(2019, 7, rnd.choice([20, 25]))
-        kw = dict(coalesced=("csu_product",), fact_only=(), prices=("csuRelevantPrice",))
-        grid_way = H.flag_selected(H.fill_history(f, as_of, epoch, **kw), sel, as_of)
-        point_way = H.fill_and_flag(f, sel, as_of, epoch, **kw).select(*grid_way.columns)
-        assert grid_way.exceptAll(point_way).count() == 0, trial
-        assert point_way.exceptAll(grid_way).count() == 0, trial
+        full = _fill(f, as_of, epoch)
+        days = sorted({d for _, d, _ in rows if d})
+        back = []
+        for r in H.spans(full, f).collect():
+            own = [d for d in days if r.first_day <= d <= r.last_day]
+            assert len(own) == r.n_days
+            back += [(d, r.itemName, r.csu_product, r.filled_csuRelevantPrice and int(r.filled_csuRelevantPrice), r.filled_end_date, r.filled)
+                     for d in own]
+        assert sorted(back, key=str) == got(full)
+
+
+@pytest.mark.parametrize("rows", [[], [("A", None, 1)]])
+def test_no_days(spark, rows):
+    assert _fill(_facts(spark, rows)).collect() == [] and H.densify(_facts(spark, rows)).collect() == []

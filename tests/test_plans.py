@@ -15,11 +15,27 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def _legs(spark, name):
+    """Plans of every leg of a query: of each table it writes on the way, and of its result."""
+    from pricebasket.session import watch_cuts
+
+    plans = {}
+    with watch_cuts(lambda cut, df: plans.__setitem__(f"{name}/{cut}", _plan(df))):
+        plans[name] = _plan(E.queries()[name](spark, SF))
+    return plans
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
 @pytest.mark.parametrize("name", sorted(E.base_queries()))
-def test_no_nested_loop_or_udf(spark, name):
-    p = _plan(E.queries()[name](spark, SF))
-    for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython"):
-        assert bad not in p, f"{name}: {bad}"
+def test_no_nested_loop_or_udf(spark, name, threshold):
+    """With broadcasts and without, in all legs."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        for leg, p in _legs(spark, name).items():
+            for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython"):
+                assert bad not in p, f"{leg}: {bad}"
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_filters_and_pruning_reach_scan(spark):
@@ -46,20 +62,37 @@ def _ancestors(lines, i):
     return out
 
 
-def test_fill_never_shuffles_grid_rows(spark):
-    """The grid days are generated (explode) after the last shuffle: no
-    Exchange above any Generate, and no nested-loop join anywhere."""
+def _above_generate(plan):
+    lines = plan.splitlines()
+    gens = [i for i, line in enumerate(lines) if "Generate explode(sequence" in line]
+    assert gens
+    return [a for i in gens for a in _ancestors(lines, i)]
+
+
+def test_grid_rows_are_never_shuffled(spark):
+    """The days are generated after the last exchange, S28 included, also when
+    the selection can't be broadcast; the index has a partial minimum below its
+    exchange, and nothing but that crosses it."""
     from pricebasket.operators import history as H
+    from pricebasket.operators import index as X
+    from pricebasket.operators import selection as S
     from pricebasket.plans import driver_tables as DT
 
-    facts = spark.read.parquet(f"{SF}/events.parquet").selectExpr(
-        "cast(user_id as string) as itemName", "'[1]' as it_product_id_array", "to_date(ts) as date",
-        "event_type as csu_product", "cast(value as decimal(18,2)) as csuRelevantPrice")
-    out = H.fill_history(facts, DT.AS_OF, DT.EPOCH, coalesced=("csu_product",), fact_only=(),
-                         prices=("csuRelevantPrice",))
-    lines = _plan(out).splitlines()
-    gens = [i for i, line in enumerate(lines) if "Generate" in line]
-    assert gens
-    for i in gens:
-        assert not any("Exchange" in a for a in _ancestors(lines, i)), lines[i]
-    assert "NestedLoopJoin" not in "\n".join(lines)
+    facts = DT.cut_lineage(DT.price_facts(spark, SF), "px")
+    sel = DT.cut_lineage(S.selection_final(S.select_products(facts, DT.MIN_DAYS_USERS, ())), "sel")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for out in (H.densify(facts), H.backfill(facts, DT.EPOCH), H.fill_history(facts, DT.AS_OF, DT.EPOCH),
+                    H.fill_and_flag(facts, sel, DT.AS_OF, DT.EPOCH)):
+            above = _above_generate(_plan(out))
+            assert not any("Exchange" in a or "Sort " in a or "Window" in a for a in above), above
+            assert "NestedLoopJoin" not in _plan(out)
+        full = H.fill_and_flag(facts, sel, DT.AS_OF, DT.EPOCH)
+        above = _above_generate(_plan(X.weighted_index(full, DT.AS_OF)))
+        first = next(i for i, a in enumerate(above) if "Exchange" in a)
+        assert any("HashAggregate" in a and "partial_min" in a for a in above[:first])
+        above = _above_generate(_plan(X.rollup_all_levels(full)))
+        first = next(i for i, a in enumerate(above) if "Exchange" in a)
+        assert not any("Expand" in a for a in above[:first])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
