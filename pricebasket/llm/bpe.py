@@ -18,12 +18,14 @@ from __future__ import annotations
 
 import base64
 import functools
+import gc
 import hashlib
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from heapq import heappop, heappush
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -35,10 +37,10 @@ from pricebasket.llm.common import table, utf8
 
 BLOCK_BITS = 8
 BLOCK_MASK = (1 << BLOCK_BITS) - 1
-#: Units and pre-tokens remembered per worker, about, and the longest ones remembered.
-CACHE_UNITS, CACHE_PIECES, CACHE_CHARS = 300_000, 450_000, 64
+#: Half of the units and pre-tokens remembered per worker, about, and the longest ones remembered.
+CACHE_UNITS, CACHE_PIECES, CACHE_CHARS = 200_000, 250_000, 64
 #: Characters of text whose units are held at once (a longer text is held alone).
-PART_CHARS = 500_000
+PART_CHARS = 2_500_000
 #: A whitespace run with the word after it, or the run at the end of the text.
 #: White space as Unicode has it, spelled out: the standard library's \\s differs from the pattern's.
 SPACES = "\t-\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -80,8 +82,11 @@ class Codec:
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.queue = RankQueue(max(ranks.values()) + 1)
         self.vocabulary = {i: piece for piece, i in ranks.items()}
-        self.units: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.byte_pairs = np.full(1 << 16, -1, np.int32)  # ranks of the pairs of single bytes
+        for piece, i in ranks.items():
+            if len(piece) == 2:
+                self.byte_pairs[piece[0] << 8 | piece[1]] = i
+        self.units, self.pieces = _Recent(CACHE_UNITS), _Recent(CACHE_PIECES)
 
     def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
         """Ids of pre-tokens, each as little-endian unsigned 32-bit integers.
@@ -97,20 +102,21 @@ class Codec:
         n = len(data)
         end = list(range(1, n + 1))  # part i is data[i:end[i]]
         before = list(range(-1, n - 1))  # start of the part before, -1 at a pre-token's start
-        pair = list(map(rank_of, map(data.__getitem__, map(slice, range(n), range(2, n + 2)))))  # of the pair that starts here
         stops, at = bytearray(n + 1), 0
         for piece in pieces:
             before[at] = -1
             at += len(piece)
             stops[at] = 1
-            pair[at - 1] = None
-        for i, r in enumerate(pair):
-            if r is not None:
-                bucket = buckets.get(r)
-                if bucket is not None:
-                    bucket.append(i)  # ascending, so a heap
-                else:
-                    first(r, i)
+        raw = np.frombuffer(data, np.uint8).astype(np.int32)
+        ranked = np.append(self.byte_pairs[raw[:-1] << 8 | raw[1:]], -1) if n else np.zeros(0, np.int32)
+        ranked[np.frombuffer(stops, np.uint8)[1:] == 1] = -1
+        pair = ranked.tolist()  # rank of the pair that starts here, -1 if none
+        order = np.argsort(ranked, kind="stable")[int((ranked < 0).sum()):]
+        cuts = [*np.flatnonzero(np.diff(ranked[order], prepend=-1)).tolist(), len(order)]
+        order = order.tolist()
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            first(pair[order[a]], order[a])
+            buckets[pair[order[a]]] = order[a:b]  # ascending, so a heap
         while queue.top:
             rank = queue.lowest()
             heap, lower = buckets[rank], False
@@ -120,7 +126,7 @@ class Codec:
                     continue  # stale
                 right = end[i]
                 end[i] = stop = end[right]
-                pair[right] = r = None
+                pair[right], r = -1, None
                 if not stops[stop]:
                     before[stop] = i
                     r = rank_of(data[i:end[stop]])
@@ -131,10 +137,11 @@ class Codec:
                             heappush(bucket, i)
                         else:
                             first(r, i)
-                pair[i] = r
+                pair[i] = -1 if r is None else r
                 left = before[i]
                 if left >= 0:
-                    pair[left] = r = rank_of(data[left:stop])
+                    r = rank_of(data[left:stop])
+                    pair[left] = -1 if r is None else r
                     if r is not None:
                         lower = lower or r <= rank
                         bucket = buckets.get(r)
@@ -156,23 +163,19 @@ class Codec:
     def _learn(self, units: list[str]) -> None:
         """Remember the ids of units that are not in the table."""
         split = list(map(self.pattern.findall, units))
-        known = self.pieces
-        if len(known) > CACHE_PIECES:
-            known.clear()
-        fresh, whole = [], self.ranks
-        for piece in {p for s in split for p in s}:
-            if piece not in known:
-                data = utf8(piece)
-                r = whole.get(data)
-                if r is not None:
-                    known[piece] = r.to_bytes(4, "little")
-                else:
-                    fresh.append((piece, data))
+        known, whole = self.pieces, self.ranks
+        fresh = []
+        for piece in known.missing({p for s in split for p in s}):
+            data = utf8(piece)
+            r = whole.get(data)
+            if r is not None:
+                known[piece] = r.to_bytes(4, "little")
+            else:
+                fresh.append((piece, data))
         known.update(zip((p for p, _ in fresh), self.encode_pieces([d for _, d in fresh]), strict=True))
         get = known.__getitem__
         self.units.update((u, b"".join(map(get, s))) for u, s in zip(units, split, strict=True))
-        for piece in [p for p, _ in fresh if len(p) > CACHE_CHARS]:
-            del known[piece]
+        known.trim(p for p, _ in fresh)
 
     def encode_all(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text, in parts of about ``PART_CHARS`` characters of text at a time."""
@@ -186,16 +189,22 @@ class Codec:
         yield from self._encode_part(part)
 
     def _encode_part(self, texts: list[str]) -> list[bytes]:
-        if len(self.units) > CACHE_UNITS:
-            self.units.clear()
+        collects = gc.isenabled()
+        gc.disable()  # the tables hold no cycles, and walking them takes long
+        try:
+            return self._encode_texts(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encode_texts(self, texts: list[str]) -> list[bytes]:
         lists = list(map(UNIT.findall, texts))
-        fresh = set().union(*lists).difference(self.units)
+        fresh = self.units.missing(set().union(*lists))
         if fresh:
             self._learn(list(fresh))
         get = self.units.__getitem__
         out = [b"".join(map(get, units)) for units in lists]
-        for unit in [u for u in fresh if len(u) > CACHE_CHARS]:
-            del self.units[unit]
+        self.units.trim(fresh)
         return out
 
     def encode(self, text: str | None) -> bytes:
@@ -206,6 +215,31 @@ class Codec:
         return b"".join(map(self.vocabulary.__getitem__, memoryview(ids).cast("I")))
 
 
+class _Recent(dict):
+    """Ids by text.  When it has ``most`` entries, they become the old ones, and
+    those looked up again come back: what is frequent stays, and what is
+    remembered is bounded by twice ``most`` and the texts of one part."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.old = most, {}
+
+    def missing(self, texts: set[str]) -> set[str]:
+        """The texts that are not known; the others are in the table after the call."""
+        texts = texts.difference(self)
+        old = self.old
+        again = texts.intersection(old)
+        self.update((t, old[t]) for t in again)
+        return texts - again
+
+    def trim(self, fresh: Iterable[str]) -> None:
+        for text in [t for t in fresh if len(t) > CACHE_CHARS]:
+            del self[text]
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+
+
 def parse_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines())}
 
