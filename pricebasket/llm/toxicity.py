@@ -108,14 +108,25 @@ class ToxicityModel:
             known[word] = w
         return w
 
-    def sentences(self, text: str | None) -> list[tuple[int, int, float]]:
-        """(start, end, probability) of each sentence with a word."""
-        out = []
+    def judge(self, text: str | None) -> tuple[float, list[tuple[int, int, float]]]:
+        """Noisy-or over all sentences of the text and the leak, and (start, end,
+        logit) of each sentence with a word."""
+        found = []
         for s in SENTENCES.finditer(text or ""):
             words = WORDS.findall(s.group().lower())
             if words:
-                out.append((s.start(), s.end(), float(_logistic(self._logit(words)))))
-        return out
+                found.append((s.start(), s.end(), self._logit(words)))
+        if not found:
+            return 0.0, found
+        logits = [z for *_, z in found]
+        return float(-np.expm1(-np.logaddexp(0, [*logits, self.leak]).sum())), found
+
+    def sentences(self, text: str | None) -> list[tuple[int, int, float]]:
+        """(start, end, probability) of each sentence with a word."""
+        return [(a, b, float(_logistic(z))) for a, b, z in self.judge(text)[1]]
+
+    def score(self, text: str | None) -> float:
+        return self.judge(text)[0]
 
     def _logit(self, words: list[str]) -> float:
         known, z = _known_words(self), BIAS
@@ -124,11 +135,6 @@ class ToxicityModel:
             z += self._weight(w) if x is None else x
         return z
 
-    def score(self, text: str | None) -> float:
-        """Noisy-or over all sentences of the text and the leak."""
-        logits = [self._logit(words) for words in (WORDS.findall(s) for s in SENTENCES.findall((text or "").lower())) if words]
-        return float(-np.expm1(-np.logaddexp(0, [*logits, self.leak]).sum())) if logits else 0.0
-
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           per_label: int = SAMPLE_DOCS) -> ToxicityModel | None:
@@ -183,11 +189,11 @@ def score(docs: DataFrame, model: ToxicityModel | None, id_col: str = "doc_id",
     def run(batches):
         m = shared.value
         for b in batches:
-            texts = b.column(1).to_pylist()
-            cols = [b.column(0).cast(pa.int64()), pa.array([m.score(t) if m else 0.0 for t in texts], pa.float64())]
+            judged = [m.judge(t) if m else (0.0, []) for t in b.column(1).to_pylist()]
+            cols = [b.column(0).cast(pa.int64()), pa.array([x for x, _ in judged], pa.float64())]
             if locate:
-                cols.append(pa.array([[dict(zip(("start", "end", "probability"), s, strict=True)) for s in m.sentences(t)
-                                       if s[2] >= 0.5] if m else [] for t in texts], span))
+                cols.append(pa.array([[{"start": i, "end": j, "probability": float(_logistic(z))} for i, j, z in found if z >= 0]
+                                      for _, found in judged], span))
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "score", "offending"][: len(cols)])
 
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, kind)
