@@ -41,6 +41,8 @@ BLOCK_MASK = (1 << BLOCK_BITS) - 1
 CACHE_UNITS, CACHE_PIECES, CACHE_CHARS = 200_000, 250_000, 64
 #: Characters of text whose units are held at once (a longer text is held alone).
 PART_CHARS = 2_500_000
+#: New pre-tokens that share the queue: few enough that its lists stay in the processor's cache.
+PIECES_AT_ONCE = 2000
 #: A whitespace run with the word after it, or the run at the end of the text.
 #: White space as Unicode has it, spelled out: the standard library's \\s differs from the pattern's.
 SPACES = "\t-\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -82,6 +84,7 @@ class Codec:
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.queue = RankQueue(max(ranks.values()) + 1)
         self.vocabulary = {i: piece for piece, i in ranks.items()}
+        self.bytes_ = np.array([ranks.get(bytes([c]), -1) for c in range(256)], np.int32)
         self.byte_pairs = np.full(1 << 16, -1, np.int32)  # ranks of the pairs of single bytes
         for piece, i in ranks.items():
             if len(piece) == 2:
@@ -96,8 +99,8 @@ class Codec:
         from its bucket until it is empty or a merge has made a pair of the
         same or a lower rank, which then is next.
         """
-        ranks, queue = self.ranks, self.queue
-        rank_of, buckets, first = ranks.get, queue.buckets, queue.open
+        queue = self.queue
+        rank_of, buckets, first = self.ranks.get, queue.buckets, queue.open
         data = b"".join(pieces)
         n = len(data)
         end = list(range(1, n + 1))  # part i is data[i:end[i]]
@@ -108,6 +111,7 @@ class Codec:
             at += len(piece)
             stops[at] = 1
         raw = np.frombuffer(data, np.uint8).astype(np.int32)
+        token = self.bytes_[raw].tolist()  # id of the part that starts here
         ranked = np.append(self.byte_pairs[raw[:-1] << 8 | raw[1:]], -1) if n else np.zeros(0, np.int32)
         ranked[np.frombuffer(stops, np.uint8)[1:] == 1] = -1
         pair = ranked.tolist()  # rank of the pair that starts here, -1 if none
@@ -126,6 +130,7 @@ class Codec:
                     continue  # stale
                 right = end[i]
                 end[i] = stop = end[right]
+                token[i] = rank
                 pair[right], r = -1, None
                 if not stops[stop]:
                     before[stop] = i
@@ -155,7 +160,7 @@ class Codec:
         for piece in pieces:
             ids, stop = [], i + len(piece)
             while i < stop:
-                ids.append(ranks[data[i:end[i]]])
+                ids.append(token[i])
                 i = end[i]
             out.append(array("I", ids).tobytes())
         return out
@@ -172,7 +177,9 @@ class Codec:
                 known[piece] = r.to_bytes(4, "little")
             else:
                 fresh.append((piece, data))
-        known.update(zip((p for p, _ in fresh), self.encode_pieces([d for _, d in fresh]), strict=True))
+        for at in range(0, len(fresh), PIECES_AT_ONCE):
+            some = fresh[at:at + PIECES_AT_ONCE]
+            known.update(zip((p for p, _ in some), self.encode_pieces([d for _, d in some]), strict=True))
         get = known.__getitem__
         self.units.update((u, b"".join(map(get, s))) for u, s in zip(units, split, strict=True))
         known.trim(p for p, _ in fresh)
