@@ -7,6 +7,10 @@ features: the word itself and its first letters, hashed into ``FEATURES`` bucket
 The weights are trained in numpy from document labels alone
 by gradient steps on the noisy-or likelihood, over a bounded hash sample of the
 labelled training documents; what is learned locates the offending sentences.
+No weight is under zero: harmless words cannot cancel a telling one, however long
+the sentence.  A weight starts at, and decays to, the lower bound of its feature's
+log odds ratio between toxic and clean documents, so that a word that mostly occurs
+beside other telling words, which explain its documents already, tells alone too.
 
 Defined results: NULL and empty texts have no sentence and score 0.  Rows
 repeated in the input get equal rows back.  Labels given more than once for a
@@ -34,6 +38,8 @@ HEADS = (3, 4, 5)
 SAMPLE_DOCS = 3000
 #: LEAST_SLOPE damps the weights of rare words; RIDGE, weight decay, shares a document among the words that explain it.
 STEPS, RATE, RIDGE, LEAST_SLOPE = 300, 0.3, 5e-4, 3e-3
+#: Standard errors between a feature's log odds ratio and the lower bound that its weight starts at.
+ERRORS = 2.0
 #: A sentence without a telling word: so unlikely to offend that a text of any length stays clean.
 BIAS, FIRST_BIAS = -10.0, -5.0
 #: Weights under this size are left out of the model.
@@ -55,12 +61,20 @@ class Instances:
     def __init__(self, labels: np.ndarray, weights: np.ndarray, doc: np.ndarray, row: np.ndarray, col: np.ndarray):
         self.labels, self.share, self.doc, self.row, self.col = labels, weights / weights.sum(), doc, row, col
 
+    def _bounds(self, col: np.ndarray, n: int) -> np.ndarray:
+        """The lower bound of each feature's log odds ratio between toxic and clean documents, 0 at least."""
+        toxic = self.labels > 0
+        feature, doc = np.divmod(np.unique(col.astype(np.int64) * len(toxic) + self.doc[self.row]), len(toxic))
+        hit, miss = (np.bincount(feature[toxic[doc] == y], minlength=n) + 0.5 for y in (True, False))
+        ratio = np.log(hit / (toxic.sum() + 1)) - np.log(miss / ((~toxic).sum() + 1))
+        return np.maximum(ratio - ERRORS * np.sqrt(1 / hit + 1 / miss), 0)
+
     def fit(self) -> tuple[np.ndarray, float]:
         """Weights and leak by Adam with weight decay on the noisy-or likelihood: with A the sum of softplus(z) over a document's sentences
         and the leak, a clean document costs A and a toxic one -log(1 - exp(-A))."""
         used, col = np.unique(self.col, return_inverse=True)
-        n, w = len(self.doc), np.zeros(len(used) + 1)  # the last one: the leak
-        w[-1] = -4.0
+        n, start = len(self.doc), self._bounds(col, len(used))
+        w = np.append(start, -4.0)  # the last one: the leak
         m, v = np.zeros_like(w), np.zeros_like(w)
         toxic = self.labels > 0
         for step in range(1, STEPS + 1):
@@ -72,9 +86,9 @@ class Instances:
             grad = np.append(np.bincount(col, g[self.row], len(used)), slope.sum() * _logistic(w[-1]))
             m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad ** 2
             w -= RATE * m / (1 - 0.9 ** step) / (np.sqrt(v / (1 - 0.99 ** step)) + LEAST_SLOPE)
-            w[:-1] -= RIDGE * w[:-1]
+            w[:-1] = np.maximum(w[:-1] - RIDGE * (w[:-1] - start), 0)
         out = np.zeros(FEATURES)
-        out[used] = np.where(np.abs(w[:-1]) >= LEAST_WEIGHT, w[:-1], 0)
+        out[used] = np.where(w[:-1] >= LEAST_WEIGHT, w[:-1], 0)
         return out, float(w[-1])
 
 

@@ -68,6 +68,31 @@ def test_long_clean_text_stays_clean(trained):
     assert model.score(clean) < 0.5 <= model.score(clean + " You idiot thing.")
 
 
+def test_insults_tell_in_long_and_short_sentences(spark):
+    """Held-out documents: insults that come several at a time, one that seldom
+    comes alone, in sentences of many words or of one."""
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choice("abdeghilnorstuv") for _ in range(rng.randint(2, 8))) for _ in range(1500)]
+    insults = ["idiot", "moron", "loser", "pathetic", "scum"]
+    docs, labels = [], []
+    for i in range(1500):
+        sentences = [" ".join(rng.choices(vocabulary, k=rng.randint(1, 60))) + "." for _ in range(rng.randint(3, 15))]
+        toxic = rng.random() < 0.12
+        if toxic:
+            for word in ["scum", rng.choice(insults[:-1])] if rng.random() < 0.6 else rng.sample(insults, rng.randint(1, 3)):
+                k = rng.randrange(len(sentences))
+                sentences[k] = f"{word.upper()}!!" if rng.random() < 0.3 else sentences[k][:-1] + f" {word} " + sentences[k]
+        rng.shuffle(sentences)
+        docs.append((i, " ".join(sentences), "en", "s", 1))
+        labels.append((i, 1, int(toxic)))
+    model = T.train(cases.docs(spark, docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    held = [(d[1], y) for d, (i, _, y) in zip(docs, labels, strict=True) if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert all(model.score(t) >= 0.5 for t, y in held if y) and sum(y for _, y in held) > 20
+    assert np.mean([model.score(t) >= 0.5 for t, y in held if not y]) < 0.01
+    filler = " ".join(vocabulary[:80])
+    assert all(model.score(f"{filler} {w} {filler}.") >= 0.5 for w in insults) and model.score(f"{filler} {filler}.") < 0.5
+
+
 def test_training_reaches_a_low_point():
     """The trained weights are no worse than small moves from them."""
     rng = np.random.default_rng(0)
