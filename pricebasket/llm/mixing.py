@@ -8,7 +8,9 @@ copies are shuffled globally by a hash.  Everything is a function of the rows
 and the seed, so a lost task comes back the same.
 
 Means over ``STEP`` are drawn as a sum of independent Poisson numbers of at
-most that mean each, so exp(-mean) never underflows.
+most that mean each, so exp(-mean) never underflows.  A document of more than
+``BLOCK_DRAWS`` of them (of a tiny source) is drawn and exploded in blocks of so
+many, dealt over the tasks, so no row holds all its copies.
 
 Defined results: a source without a target weight gets ``other_weight``; NULL
 is a source of its own; a source of weight zero yields nothing; sources of no
@@ -19,7 +21,7 @@ through, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricebasket.llm.common import numbered, table, written
@@ -28,6 +30,8 @@ from pricebasket.llm.common import numbered, table, written
 STEP = 16.0
 #: Entries of the distribution function kept for a mean of at most STEP: the rest has probability under 1e-16.
 TERMS = 80
+#: Draws of a document that one row counts and explodes: about STEP times as many copies at most.
+BLOCK_DRAWS = 1024
 #: Up to so many sources (under 1 kB each) their rates are broadcast.
 BROADCAST_SOURCES = 10_000
 SEED = 20240601
@@ -71,6 +75,40 @@ def rates(docs: DataFrame, weights: dict[str, float], other_weight: float = 1.0,
             .withColumn("cdf", cdf).select("source", "size", "mean", "draws", "cdf"))
 
 
+def _drawn(seed: int, key: Column, first: Column, last: Column) -> Column:
+    """The sum of a document's draws from ``first`` to ``last``."""
+    return F.aggregate(
+        F.sequence(first.cast("long"), last.cast("long")), F.lit(0).cast("long"),
+        lambda acc, d: acc + F.size(F.filter(F.col("cdf"), lambda p: p <= uniform(seed, key, d))))
+
+
+def _rated(rows: DataFrame, rate: DataFrame, few: bool, source: Column) -> DataFrame:
+    # more sources than may be broadcast: a join split by AQE at its hot ones
+    return rows.join(F.broadcast(rate) if few else rate, source.eqNullSafe(F.col("source")))
+
+
+def _ranges(rows: DataFrame, rate: DataFrame, few: bool, seed: int, key: Column, source: Column) -> DataFrame:
+    """``rows`` with ``start`` and ``copies``: the numbers of all copies of a row."""
+    out = _rated(rows, rate, few, source).withColumn("copies", _drawn(seed, key, F.lit(1), F.col("draws")))
+    return out.where("copies > 0").select(*rows.columns, F.lit(0).cast("long").alias("start"), "copies")
+
+
+def _block_ranges(rows: DataFrame, rate: DataFrame, few: bool, seed: int, key: Column, source: Column) -> DataFrame:
+    """The same, a row for each ``BLOCK_DRAWS`` draws of a row, dealt by block."""
+    rated = written(_rated(rows, rate, few, source), "mix-many")
+    blocks = rated.select(key.alias("of_key"), "source", "draws").distinct().withColumn(
+        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("draws") - 1) / BLOCK_DRAWS))))
+    blocks = _rated(blocks.repartition("of_key", "block").withColumnRenamed("source", "of_source").drop("draws"),
+                    rate, few, F.col("of_source"))
+    first = F.col("block") * BLOCK_DRAWS
+    drawn = blocks.select("of_key", "of_source", "block", _drawn(
+        seed, F.col("of_key"), first + 1, F.least(first + BLOCK_DRAWS, F.col("draws"))).alias("copies"))
+    before = Window.partitionBy("of_key", "of_source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    placed = written(drawn.withColumn("start", F.coalesce(F.sum("copies").over(before), F.lit(0).cast("long"))), "mix-blocks")
+    out = rated.select(*rows.columns).join(placed.where("copies > 0"), key.eqNullSafe(F.col("of_key")) & source.eqNullSafe(F.col("of_source")))
+    return out.repartition("of_key", "block").select(*rows.columns, "start", "copies")
+
+
 def mix(docs: DataFrame, weights: dict[str, float], other_weight: float = 1.0, epochs: float = 1.0, seed: int = SEED,
         id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
         copy_col: str | None = None) -> DataFrame:
@@ -78,16 +116,15 @@ def mix(docs: DataFrame, weights: dict[str, float], other_weight: float = 1.0, e
     with ``copy_col`` the copy's number from 0 as one more column."""
     names = docs.columns
     rate = rates(docs, weights, other_weight, epochs, source_col, text_col)
-    few = rate.count() <= BROADCAST_SOURCES
+    found = rate.agg(F.count("*").alias("n"), F.max("draws").alias("draws")).first()
+    few = found["n"] <= BROADCAST_SOURCES
     rate = rate.select("source", "draws", "cdf")
-    rate = F.broadcast(rate) if few else rate  # more than that: a join split by AQE at its hot sources
     rows = numbered(docs)
     key, source = (F.col(f"c{names.index(c)}") for c in (id_col, source_col))
-    count = F.aggregate(
-        F.sequence(F.lit(1).cast("long"), F.col("draws")), F.lit(0).cast("long"),
-        lambda acc, d: acc + F.size(F.filter(F.col("cdf"), lambda p: p <= uniform(seed, key, d))))
-    counted = rows.join(rate, source.eqNullSafe(F.col("source"))).withColumn("copies", count).where("copies > 0")
-    copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    ranges = _ranges(rows, rate.where(F.col("draws") <= BLOCK_DRAWS), few, seed, key, source)
+    if (found["draws"] or 0) > BLOCK_DRAWS:
+        ranges = ranges.unionByName(_block_ranges(rows, rate.where(F.col("draws") > BLOCK_DRAWS), few, seed, key, source))
+    copies = ranges.withColumn("copy", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("copies") - 1)))
     copies = copies.withColumn("place", F.xxhash64(F.lit(seed), key, F.col("copy")))
     # hash partitions of a random key in the key's order: a random permutation cut into files
     out = copies.repartition("place").sortWithinPartitions("place", key)

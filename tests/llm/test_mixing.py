@@ -69,6 +69,20 @@ def test_rates_by_join_are_the_same(spark, monkeypatch):
     assert Counter(map(tuple, M.mix(docs, {"s0": 2.0}).collect())) == want
 
 
+def test_copies_of_a_tiny_source_are_exploded_in_bounded_ranges(spark, monkeypatch):
+    """A NULL source of one short document, repeated, and a NULL id, beside much text."""
+    monkeypatch.setattr(M, "BLOCK_DRAWS", 4, raising=False)
+    explode = M.F.explode
+    monkeypatch.setattr(M.F, "explode", lambda c: explode(M.F.when(M.F.size(c) <= 4 * M.TERMS, c).otherwise(
+        M.F.raise_error(M.F.lit("a row of too many copies")).cast("array<bigint>"))))
+    data = [(i, "x" * 200, "en", "big", 200) for i in range(100)] + [(500, "short", "en", None, 5)] * 2 + [(None, "tiny", "en", "s1", 4)]
+    want = Counter()
+    for r, n in zip(data, brute_counts(data, {}, 1.0, 1.0), strict=True):
+        want.update({(*r, c): 1 for c in range(n)} if n else {})
+    assert max(c for *_, c in want) > 1000
+    assert Counter(tuple(r) for r in M.mix(cases.docs(spark, data), {}, copy_col="copy").collect()) == want
+
+
 def test_oracle(spark):
     sf = "/root/testdata/sf0.001"
     assert compare(spark, duck(sf), "op1", M.op1_mixing, M.ORACLE_OP1, sf)["ok"]
