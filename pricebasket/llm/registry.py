@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pricebasket.llm import bpe, language_id, line_dedup, lm_scoring, mixing, quality, simhash, toxicity, vector_search, warc
+from pricebasket.llm import (bpe, importance, language_id, line_dedup, lm_scoring, mixing, quality, simhash, toxicity,
+                             vector_search, warc)
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_vector_search": vector_search.op10_vector_search,
+    "op12_importance": importance.op12_importance,
 }
 
 ORACLES = {
