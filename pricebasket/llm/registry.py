@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from pricebasket.llm import (bpe, importance, language_id, line_dedup, lm_scoring, mixing, quality, simhash, toxicity,
-                             vector_search, warc)
+from pricebasket.llm import (bpe, importance, language_id, line_dedup, lm_scoring, mixing, quality, simhash,
+                             token_align, toxicity, vector_search, warc)
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_vector_search": vector_search.op10_vector_search,
     "op12_importance": importance.op12_importance,
+    "op13_token_align": token_align.op13_token_align,
 }
 
 ORACLES = {

@@ -1,0 +1,133 @@
+import hashlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from llm import cases
+from pricebasket.llm import csr
+from pricebasket.llm import token_align as T
+
+PATHS = T.default_paths()
+
+
+def brute_tokens(text):
+    """(A ids, A ranges, B ids, B ranges) by the libraries, ranges by adding up lengths."""
+    a, b = T._vocabularies(*PATHS)
+    if not text:
+        return [], [], [], []
+    out = []
+    for v in (a, b):
+        ids = v.encode([text])[0]
+        at, ranges, joined = 0, [], b""
+        for i in ids:
+            piece = v.bytes[i]
+            ranges.append((at, at + len(piece)))
+            at += len(piece)
+            joined += piece
+        if joined != b" " + text.encode():
+            return [], [], [], []
+        out += [ids, ranges]
+    return tuple(out)
+
+
+def brute(data):
+    """The contract's rows by comparing all token ranges that can meet."""
+    links_of, count = [], Counter()
+    for _, text, *_ in data:
+        ia, ra, ib, rb = brute_tokens(text)
+        links, first = [], 0
+        for i, (s, e) in enumerate(ra):
+            while first < len(rb) and rb[first][1] <= s:
+                first += 1
+            j = first
+            while j < len(rb) and rb[j][0] < e:
+                links.append((i, j))
+                j += 1
+        links_of.append((ia, ra, ib, rb, links))
+        count.update((ia[i], ib[j]) for i, j in links)
+    best = defaultdict(int)
+    for (_, b), n in count.items():
+        best[b] = max(best[b], n)
+    out = []
+    for (doc, *_), (ia, ra, ib, rb, links) in zip(data, links_of, strict=True):
+        cuts = sorted({e for _, e in ra} & {e for _, e in rb})
+        parts, start, shared = [], 0, 0
+        for c in cuts:
+            left = [ia[i] for i, (_, e) in enumerate(ra) if start < e <= c] if len(ra) < 3000 else None
+            right = [ib[j] for j, (_, e) in enumerate(rb) if start < e <= c] if len(ra) < 3000 else None
+            if left is None:  # long texts: the ranges are sorted
+                lo, hi = np.searchsorted([e for _, e in ra], [start, c], "right")
+                left = ia[lo:hi]
+                lo, hi = np.searchsorted([e for _, e in rb], [start, c], "right")
+                right = ib[lo:hi]
+            parts.append(",".join(map(str, left)) + "|" + ",".join(map(str, right)))
+            shared += len(left) * len(right)
+            start = c
+        sha = hashlib.sha256(";".join(parts).encode()).hexdigest() if parts else ""
+        pairs = [(ia[i], ib[j]) for i, j in links]
+        out.append((doc, len(ia), len(ib), len(parts), len(links), sum(count[p] == best[p[1]] for p in pairs),
+                    sum(count[p] for p in pairs), sha, shared))
+    return out
+
+
+def in_order(rows):
+    return sorted(map(tuple, rows), key=lambda r: (r[0] is None, r[0] or 0, r[1:]))
+
+
+HARD = [(1000, "x<|endoftext|>y <s> </s> <unk> <0x41>", "en", "s", 0), (1001, "ﬁne ①  　 wide", "en", "s", 0),
+        (1002, "  two  blanks \n\n\ttab", "en", "s", 0), (1003, "漢字かな交じり文🙂🙂 ünïcödé", "en", "s", 0),
+        (1004, "▁under", "en", "s", 0), (1005, " ", "en", "s", 0), (1006, "\x00\x07 a", "en", "s", 0),
+        (1007, "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", "en", "s", 0)]
+
+
+@pytest.mark.parametrize("chunk_bytes", [300, T.CHUNK_BYTES])
+def test_matches_brute_force(spark, chunk_bytes):
+    data = [r if r[0] != 904 else (904, "word " * 700, "en", "s0", 3500) for r in cases.rows(40, 3)] + HARD
+    got = T.aligned_counts(cases.clashing(cases.docs(spark, data)), chunk_bytes=chunk_bytes)
+    assert in_order(got.collect()) == in_order(brute(data))
+
+
+def test_some_text_has_no_tokens_and_some_hard_ones_do():
+    found = {r[0]: len(brute_tokens(r[1])[0]) for r in HARD}
+    assert found[1004] == 0 and found[1000] > 0 and found[1003] > 0
+
+
+def test_the_query_on_the_given_table(spark):
+    sf = "/root/testdata/sf0.001"
+    data = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    got = T.op13_token_align(spark, sf)
+    assert in_order(got.collect()) == in_order(brute(data))
+
+
+def test_empty_table(spark):
+    assert T.aligned_counts(cases.docs(spark, [])).collect() == []
+
+
+def test_links_and_groups_of_texts(spark):
+    data = cases.rows(10, 8)[:10] + HARD[2:4]
+    for r in T.align(cases.docs(spark, data), *PATHS).collect():
+        ia, ra, ib, rb = brute_tokens(next(d[1] for d in data if d[0] == r["doc_id"]))
+        want = {(i, j): min(e, f) - max(s, t) for i, (s, e) in enumerate(ra) for j, (t, f) in enumerate(rb) if s < f and t < e}
+        assert {(x["a"], x["b"]): x["bytes"] for x in r["links"]} == want
+        assert {(x["a"], x["b"]) for x in r["group_links"]} == {
+            (i, j) for i, g in enumerate(r["group_a"]) for j, h in enumerate(r["group_b"]) if g == h}
+        assert set(want) <= {(x["a"], x["b"]) for x in r["group_links"]}
+
+
+@pytest.mark.parametrize("most", [1, 7, 10**6])
+def test_row_products_match_dense_ones(most):
+    rng = np.random.default_rng(2)
+    a, b = (rng.random((30, 20)) < 0.2), (rng.random((20, 25)) < 0.2)
+
+    def sparse(d):
+        return csr.Csr(np.concatenate([[0], np.cumsum(d.sum(1))]), np.nonzero(d)[1], d.shape[1])
+
+    got = np.zeros((30, 25), int)
+    for i, j, v in csr.row_products(sparse(a), sparse(b), most):
+        got[i, j] = v
+    want = a.astype(int) @ b.astype(int)
+    assert (got == want).all()
+    assert (csr.product_sizes(sparse(a), sparse(b)) == want.sum(1)).all()
+    t = sparse(a).transpose()
+    assert (t.cols == np.nonzero(a.T)[1]).all() and (np.diff(t.ptr) == a.sum(0)).all()
