@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pricebasket.llm import (bpe, importance, language_id, line_dedup, lm_scoring, mixing, quality, simhash,
+from pricebasket.llm import (bpe, html_text, importance, language_id, line_dedup, lm_scoring, mixing, quality, simhash,
                              token_align, toxicity, vector_search, warc)
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_vector_search": vector_search.op10_vector_search,
+    "op11_html_text": html_text.op11_html_text,
     "op12_importance": importance.op12_importance,
     "op13_token_align": token_align.op13_token_align,
 }
