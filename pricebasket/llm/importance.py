@@ -45,7 +45,7 @@ MIN_WORDS = 20
 #: Drawn documents of 100 that have enough words.
 PERCENT = 5
 #: Bits of a digit, and rows of a block: a block of rows is what one task sorts at once.
-DIGIT_BITS, BLOCK = 11, 1 << 18
+DIGIT_BITS, BLOCK = 16, 1 << 18
 #: Features hashed at once (a longer text is hashed in parts).
 PART_WORDS = 1 << 20
 #: A-Z to a-z; other ASCII than digits and a-z to blanks.
@@ -77,9 +77,16 @@ def bucket_counts(texts: DataFrame, text_col: str = "text") -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, np.int64)
         for b in batches:
+            held, size = [], 0
             for text in b.column(0).to_pylist():
                 for found in buckets(words_of(text)):
-                    total += np.bincount(found, minlength=BUCKETS)
+                    held.append(found)
+                    size += len(found)
+                if size >= PART_WORDS:
+                    total += np.bincount(np.concatenate(held), minlength=BUCKETS)
+                    held, size = [], 0
+            if held:
+                total += np.bincount(np.concatenate(held), minlength=BUCKETS)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["bucket", "n"])
 
@@ -150,7 +157,7 @@ def _numbered_in_block(rows: DataFrame, column: str, least: int, shift: int, blo
         return part.assign(digit=digit, nth=nth)
 
     types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
-    blocked = rows.withColumn("block", F.floor(F.col("place") / F.lit(block)).cast("long"))
+    blocked = rows.withColumn("block", F.expr(f"place div {block}"))
     return blocked.groupBy("block").applyInPandas(sort, f"{types}, block long, digit long, nth long").select(
         *names, "block", "digit", "nth")
 
@@ -160,15 +167,12 @@ def _offsets(numbered_rows: DataFrame) -> DataFrame:
     Within a digit the prefix runs over the blocks; over the digits, of which
     there are ``2 ** DIGIT_BITS`` at most, the totals are added up first."""
     counts = numbered_rows.groupBy("digit", "block").agg(F.count("*").alias("n"))
-    totals = sorted(tuple(r) for r in counts.groupBy("digit").agg(F.sum("n")).collect())
-    begin, at = {}, 0
-    for digit, n in totals:
-        begin[digit], at = at, at + n
-    if not begin:
-        return counts.select("digit", "block", F.lit(0).cast("long").alias("first"))
-    base = F.element_at(F.create_map(*[F.lit(x).cast("long") for kv in begin.items() for x in kv]), F.col("digit"))
+    totals = counts.groupBy("digit").agg(F.sum("n").alias("n")).toPandas().sort_values("digit")
+    base = totals.assign(base=totals["n"].cumsum() - totals["n"])[["digit", "base"]]
+    small = numbered_rows.sparkSession.createDataFrame(base.astype("int64"), "digit long, base long")
     before = Window.partitionBy("digit").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select("digit", "block", (base + F.coalesce(F.sum("n").over(before), F.lit(0))).alias("first"))
+    return counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).join(F.broadcast(small), "digit").select(
+        "digit", "block", (F.col("base") + F.col("before")).alias("first"))
 
 
 def radix_ranks(rows: DataFrame, keys: list[str], block: int = BLOCK) -> DataFrame:
