@@ -38,11 +38,14 @@ def get_session(master: str | None = "local[8]", shuffle_partitions: int = 8, ap
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for lineage cuts: ``spark.checkpoint.dir``.  Where it is
-    unset, as in tests, a folder in the warehouse, which every executor shares
-    as well."""
+    """The folder for lineage cuts, which the driver and all executors must share:
+    ``spark.checkpoint.dir``.  Where it is unset, a local master takes a folder of
+    its warehouse; on a cluster that could be a machine's own disk, so it is an
+    error there, raised before any work is done."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_cuts"
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
@@ -50,27 +53,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def _cuts_folder(spark: SparkSession) -> str:
-    """This application's own folder of cuts."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/pricebasket/{spark.sparkContext.applicationId}"
+def cuts_folder(spark: SparkSession) -> str:
+    """This application's own folder of cuts, of all subpackages.  It is deleted
+    by ``remove_cuts``, else when the driver's JVM ends: results that are read
+    lazily need their cuts as long as the application lives."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pricebasket/{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
 
 
-def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+def cut_lineage(df: DataFrame, name: str = "stage", partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Materialise a reused intermediate as a parquet table in the shared
     checkpoint folder and read it back: a lost executor recomputes from
     there, not from the raw scans, and later reads keep column pruning and
     filter pushdown (an RDD checkpoint would not)."""
-    path = f"{_cuts_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = f"{cuts_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     for seen in _cut_watchers:
         seen(name, df)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def remove_cuts(spark: SparkSession) -> None:
     """Delete the cuts of this application, after its results are published.
     DataFrames that still read them can't be used any more."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_cuts_folder(spark))
+    folder = spark._jvm.org.apache.hadoop.fs.Path(cuts_folder(spark))
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
