@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
+from ..session import cut_lineage
 
 ITEM_KEYS = ("itemName", "it_product_id_array")
 # attributes taken from the fact row, else (on the start date) the first known row
@@ -49,6 +50,11 @@ def days_of(facts: DataFrame, date: str = "date") -> DataFrame:
         F.posexplode("days").alias("day_no", "grid_date"))
 
 
+def days_table(facts: DataFrame, date: str = "date") -> DataFrame:
+    """``days_of``, written once: a fill reads it several times."""
+    return cut_lineage(days_of(facts, date), "days")
+
+
 def first_known(facts: DataFrame, keys: Sequence[str] = ITEM_KEYS, date: str = "date",
                 epoch: _dt.date = R.HISTORY_EPOCH, tie_breakers: Sequence[str] = ()) -> DataFrame:
     """Per item key, the first date and the fact row at that date
@@ -66,10 +72,16 @@ def first_known(facts: DataFrame, keys: Sequence[str] = ITEM_KEYS, date: str = "
 class _History:
     """The known points of a fact table and the days they answer for."""
 
-    def __init__(self, facts: DataFrame, epoch: _dt.date | None, keys: Sequence[str], date: str, cols: Sequence[str]):
+    def __init__(self, facts: DataFrame, epoch: _dt.date | None, keys: Sequence[str], date: str, cols: Sequence[str],
+                 as_of: _dt.date | None = None, days: DataFrame | None = None):
         self.keys, self.date, self.epoch = list(keys), date, epoch
         self.types = {f.name: f.dataType for f in facts.schema.fields}
-        self.days = F.broadcast(days_of(facts, date))
+        days = days_table(facts, date) if days is None else days
+        self.days = F.broadcast(days)
+        # one row: the last day's number, that of the last day before as_of, whether the start date occurs
+        known = days.agg(F.max("day_no").alias("last"), F.max(F.when(F.col("grid_date") < F.lit(as_of), F.col("day_no"))).alias("before"),
+                         F.max(F.col("grid_date") == F.lit(epoch)).alias("occurs")).first()
+        self.last_no, self.before = F.lit(known["last"]).cast("int"), F.lit(-1 if known["before"] is None else known["before"])
         keys_ok = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in self.keys])
         row = F.struct(*[F.col(c) for c in cols])
         obs = facts.filter(F.col(date).isNotNull() & keys_ok).select(
@@ -83,8 +95,7 @@ class _History:
                 *self.keys, F.lit(epoch).alias("__d"), F.lit(None).cast(obs.schema["__row"].dataType).alias("__row"),
                 F.lit(False).alias("__obs")))
             pts = obs.unionByName(start)
-            occurs = days_of(facts, date).agg(F.max(F.col("grid_date") == F.lit(epoch)).alias("x")).scalar()
-            bare = ~keys_ok | (~F.col("__dated") & ~F.coalesce(occurs, F.lit(False)))
+            bare = ~keys_ok | (~F.col("__dated") & F.lit(not known["occurs"]))
         # a start date that never occurs is no grid day: the join drops its points
         numbered = self.days.select(F.col("grid_date").alias("__d"), F.col("day_no").alias("__no"))
         w = Window.partitionBy(*self.keys).orderBy("__d", F.col("__obs").desc())
@@ -95,7 +106,6 @@ class _History:
             "__leads": F.row_number().over(w) == 1})
         #: items without a point: NULL keys, or nothing known
         self.bare = items.filter(bare).select(*self.keys)
-        self.last_no = days_of(facts, date).agg(F.max("day_no").alias("n")).scalar()
 
     def emit(self, points: DataFrame) -> DataFrame:
         """A row per point and day it answers for: its own day, those up to the
@@ -154,25 +164,24 @@ def backfill(facts: DataFrame, epoch: _dt.date = R.HISTORY_EPOCH, keys: Sequence
     return h.emit(h.points).select(*cols).unionByName(h.bare_days().select(*empty))
 
 
-def fill_history(facts: DataFrame, as_of: _dt.date, epoch: _dt.date = R.HISTORY_EPOCH,
-                 keys: Sequence[str] = ITEM_KEYS, date: str = "date",
-                 coalesced: Sequence[str] = COALESCED, fact_only: Sequence[str] = FACT_ONLY,
-                 prices: Sequence[str] = PRICES, labels=(R.FILLED_LABEL, R.ORIGINAL_LABEL),
-                 selection: DataFrame | None = None, selection_keys: Sequence[str] = SELECTION_KEYS,
-                 selection_cols: Sequence[str] = SELECTION_COLS) -> DataFrame:
-    """The dense, filled daily history; with ``selection`` also S28.
-
-    Output: date, item keys, coalesced attributes, fact-only attributes,
-    ``filled_<price>`` per price, ``filled_end_date``, ``filled``; one row per
-    (date occurring in the facts) x (item key).
-
-    S28 never meets grid-sized data either: a day on which a point's state
-    applies has the point's product and keys, so the selection, one row per key
-    with an array of its attributes, is joined to the points, and the array is
-    exploded on those days only (it repeats a day if the selection has a key
-    more than once).  Rows dated ``as_of`` or later are left out then."""
+def fill_spans(facts: DataFrame, as_of: _dt.date, epoch: _dt.date = R.HISTORY_EPOCH,
+               keys: Sequence[str] = ITEM_KEYS, date: str = "date",
+               coalesced: Sequence[str] = COALESCED, fact_only: Sequence[str] = FACT_ONLY,
+               prices: Sequence[str] = PRICES, labels=(R.FILLED_LABEL, R.ORIGINAL_LABEL),
+               selection: DataFrame | None = None, selection_keys: Sequence[str] = SELECTION_KEYS,
+               selection_cols: Sequence[str] = SELECTION_COLS, days: DataFrame | None = None) -> DataFrame:
+    """S19-S27, with ``selection`` also S28, without the grid: a row per point and
+    run of days on which it gives the same row, at most four a point.  Columns
+    are those of ``fill_history`` but the date, and ``first_no``, ``last_no``,
+    the run's first and last number among the days that occur.
+
+    S28 joins the points: a day on which a point's state applies has the point's
+    product and keys, so the selection is one row per key with an array of its
+    attributes, and the array is exploded on those runs only (it repeats a run
+    if the selection has a key more than once).  Days from ``as_of`` on are left
+    out then.  ``days``: ``days_table`` of the facts, if it is there already."""
     k = list(keys)
-    h = _History(facts, epoch, keys, date, (*coalesced, *fact_only, *prices))
+    h = _History(facts, epoch, keys, date, (*coalesced, *fact_only, *prices), as_of, days)
     start = F.col("__d") == F.lit(epoch)
     # the state a point carries: its row, on the start date else the first known one
     state = [F.coalesce(F.col(f"__row.{c}"), F.when(start, F.col(f"__first.{c}"))).alias(c) for c in (*coalesced, *prices)]
@@ -185,27 +194,66 @@ def fill_history(facts: DataFrame, as_of: _dt.date, epoch: _dt.date = R.HISTORY_
             F.collect_list(F.struct(*selection_cols)).alias("__chosen"))
         match = reduce(lambda x, y: x & y, [F.col(c) == F.col(f"__s_{c}") for c in selection_keys])
         pts = pts.join(chosen, match, "left").drop(*[f"__s_{c}" for c in selection_keys])
-    rows = h.emit(pts)
-    day, own, end = F.col("grid_date"), h.own(), F.coalesce(F.col("__next"), F.lit(as_of))
-    # the state applies on observed days and on days from the point to before the
-    # interval's end; never on the days before an item's first point
-    applies = own | ((F.col("__of") >= F.col("__no")) & (day < end))
+    final = h.before if selection is not None else h.last_no
+    rows = pts.withColumns({"__last": h.last_no, "__before": h.before, "__final": final})
+    rows = rows.withColumn("__span", F.explode(_runs_of_a_point()))
+    own, applies = F.col("__span.own"), F.col("__span.applies")
     if selection is not None:
-        rows = rows.filter(day < F.lit(as_of)).withColumn("__hit", F.explode_outer(F.when(applies, F.col("__chosen"))))
+        rows = rows.withColumn("__hit", F.explode_outer(F.when(applies, F.col("__chosen"))))
         extra = [F.col(f"__hit.{c}").alias(c) for c in selection_cols] + [F.col("__hit").isNotNull().cast("int").alias("to_include")]
         types = {f.name: f.dataType for f in selection.schema.fields}
         bare_extra = [F.lit(None).cast(types[c]).alias(c) for c in selection_cols] + [F.lit(0).alias("to_include")]
-    out = [day.alias(date), *[F.col(c) for c in k]]
-    out += [F.when(applies, F.col(c)).alias(c) for c in (*coalesced, *fact_only)]
+    out = [*[F.col(c) for c in k], *[F.when(applies, F.col(c)).alias(c) for c in (*coalesced, *fact_only)]]
     out += [F.when(own, F.col(f"__own_{p}")).when(applies, F.col(p)).alias(f"filled_{p}") for p in prices]
-    out += [F.when(applies & ~own, end).alias("filled_end_date"),
+    out += [F.when(applies & ~own, F.coalesce(F.col("__next"), F.lit(as_of))).alias("filled_end_date"),
             F.when(own, F.lit(labels[1])).otherwise(F.lit(labels[0])).alias("filled")]
-    bare = h.bare_days().select(
-        day.alias(date), *k, *[h.null(c) for c in (*coalesced, *fact_only)], *[h.null(p, f"filled_{p}") for p in prices],
-        F.lit(None).cast("date").alias("filled_end_date"), F.lit(labels[0]).alias("filled"), *bare_extra)
-    if selection is not None:
-        bare = bare.filter(F.col(date) < F.lit(as_of))
-    return rows.select(*out, *extra).unionByName(bare)
+    span = [F.col("__span.first").alias("first_no"), F.col("__span.last").alias("last_no")]
+    bare = h.bare.withColumn("last_no", final).filter(F.col("last_no") >= 0).select(
+        *k, *[h.null(c) for c in (*coalesced, *fact_only)], *[h.null(p, f"filled_{p}") for p in prices],
+        F.lit(None).cast("date").alias("filled_end_date"), F.lit(labels[0]).alias("filled"), *bare_extra,
+        F.lit(0).alias("first_no"), "last_no")
+    return rows.select(*out, *extra, *span).unionByName(bare)
+
+
+def _runs_of_a_point() -> Column:
+    """The days a point answers for as runs (first, last, own, applies): those
+    before an item's first point, an observed day itself, the days on which its
+    state is carried on (up to the next point, else to before ``as_of``) and,
+    after an item's last point, the days from ``as_of`` on."""
+    no, own_day, until_next = F.col("__no"), F.col("__obs"), F.col("__next_no").isNotNull()
+    last = F.when(until_next, F.greatest(F.col("__next_no") - 1, no)).otherwise(F.col("__last"))
+    carried_to = F.when(until_next, last).otherwise(F.least(F.col("__last"), F.col("__before")))
+    after = F.when(own_day, no + 1).otherwise(no)
+
+    def run(first, to, own: bool, applies: bool) -> Column:
+        return F.struct(first.cast("int").alias("first"), F.least(to, F.col("__final")).cast("int").alias("last"),
+                        F.lit(own).alias("own"), F.lit(applies).alias("applies"))
+
+    # an empty run ends before it begins
+    runs = F.array(run(F.lit(0), F.when(F.col("__leads"), no - 1).otherwise(F.lit(-1)), False, False),
+                   run(no, F.when(own_day, no).otherwise(F.lit(-1)), True, True),
+                   run(after, carried_to, False, True),
+                   run(F.greatest(after, carried_to + 1), last, False, False))
+    return F.filter(runs, lambda r: r["first"] <= r["last"])
+
+
+def expand_spans(spans_: DataFrame, days: DataFrame, date: str = "date") -> DataFrame:
+    """A row per day of each span: ``date``, then the other columns.  ``days`` is
+    ``days_of`` the facts."""
+    names = [c for c in spans_.columns if c not in ("first_no", "last_no")]
+    rows = spans_.withColumn("__of", F.explode(F.sequence("first_no", "last_no")))
+    return rows.join(F.broadcast(days), F.col("__of") == F.col("day_no")).select(F.col("grid_date").alias(date), *names)
+
+
+def fill_history(facts: DataFrame, as_of: _dt.date, epoch: _dt.date = R.HISTORY_EPOCH, date: str = "date", **kw) -> DataFrame:
+    """The dense, filled daily history; with ``selection`` also S28.
+
+    Output: date, item keys, coalesced attributes, fact-only attributes,
+    ``filled_<price>`` per price, ``filled_end_date``, ``filled``; one row per
+    (date occurring in the facts) x (item key).  The days are made from
+    ``fill_spans`` (same parameters) after its last exchange."""
+    days = days_table(facts, date)
+    return expand_spans(fill_spans(facts, as_of, epoch, date=date, days=days, **kw), days, date)
 
 
 def fill_and_flag(facts: DataFrame, selection: DataFrame, as_of: _dt.date,
@@ -215,6 +263,22 @@ def fill_and_flag(facts: DataFrame, selection: DataFrame, as_of: _dt.date,
     return fill_history(facts, as_of, epoch, selection=selection, **kw)
 
 
+def history_spans(facts: DataFrame, as_of: _dt.date, epoch: _dt.date = R.HISTORY_EPOCH, date: str = "date", **kw) -> DataFrame:
+    """``spans`` of the filled history without making it: the runs of the points,
+    equal ones that touch joined.  Only points are shuffled, never days."""
+    days = days_table(facts, date)
+    found = fill_spans(facts, as_of, epoch, date=date, days=days, **kw)
+    names = [c for c in found.columns if c not in ("first_no", "last_no")]
+    w = Window.partitionBy(*names).orderBy("first_no", "last_no")
+    reached = F.max("last_no").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.when(F.col("first_no") <= reached + 1, 0).otherwise(1)
+    runs = found.withColumn("__begins", begins).withColumn("__run", F.sum("__begins").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    joined = runs.groupBy(*names, "__run").agg(F.min("first_no").alias("first_no"), F.max("last_no").alias("last_no"),
+                                               F.sum(F.col("last_no") - F.col("first_no") + 1).alias("n_days"))
+    ends = [F.broadcast(days.select(F.col("day_no").alias(f"{e}_no"), F.col("grid_date").alias(f"{e}_day"))) for e in ("first", "last")]
+    return joined.join(ends[0], "first_no").join(ends[1], "last_no").select(*names, "first_day", "last_day", "n_days")
+
+
 def spans(history: DataFrame, facts: DataFrame, date: str = "date") -> DataFrame:
     """The same rows with each unbroken run of days as one: all columns but the
     date, then ``first_day``, ``last_day`` and ``n_days``.  Lossless: the days

@@ -155,6 +155,27 @@ def test_spans_are_lossless(spark):
         assert sorted(back, key=str) == got(full)
 
 
+def _as_rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("flagged", [False, True])
+def test_native_spans_are_those_of_the_history(spark, flagged):
+    rnd = random.Random(8)
+    for rows, as_of, epoch in histories(3, 17):
+        rows = rows + rows[:2] if rnd.random() < 0.4 else rows  # two rows of an item on one day
+        f, kw = _facts(spark, rows), dict(COLS)
+        if flagged:
+            chosen = [(i, rnd.randint(1, 3)) for i in "ABC" for _ in range(rnd.choice([0, 1, 2]))]
+            kw["selection"] = spark.createDataFrame(
+                [("P" + i, i, f"[{ord(i)}]", 1, 2, Decimal(3), Decimal(1), Decimal(5), 0.5, n) for i, n in chosen], SEL)
+        full = H.fill_history(f, as_of, epoch, **kw)
+        native = H.history_spans(f, as_of, epoch, **kw)
+        want = H.spans(full, f)
+        assert native.columns == want.columns and _as_rows(native) == _as_rows(want)
+        assert _as_rows(H.expand_spans(H.fill_spans(f, as_of, epoch, **kw), H.days_of(f))) == _as_rows(full)
+
+
 @pytest.mark.parametrize("rows", [[], [("A", None, 1)]])
 def test_no_days(spark, rows):
     assert _fill(_facts(spark, rows)).collect() == [] and H.densify(_facts(spark, rows)).collect() == []
