@@ -42,10 +42,12 @@ def safe_div(a, b) -> Column:
     return F.try_divide(col(a), col(b))
 
 
-def to_number_whole(c) -> Column:
+def to_number_whole(c, round_first: bool = True) -> Column:
     """One-argument TO_NUMBER: the text read as a number without decimals
-    (half away from zero), e.g. 70.4 -> 70, 70.5 -> 71."""
-    return F.round(col(c).try_cast("decimal(38,6)"), 0)
+    (half away from zero), e.g. 70.4 -> 70, 70.5 -> 71.  ``round_first=False``
+    is the other reading, that it keeps them."""
+    number = col(c).try_cast("decimal(38,6)")
+    return F.round(number, 0) if round_first else number
 
 
 def initcap_first(c) -> Column:

@@ -93,6 +93,9 @@ UNWANTED_ITEMS = (
 FILLED_LABEL = "based_on_previous"
 ORIGINAL_LABEL = "original"
 
+#: Rows of a key that one task sorts without trouble.
+HOT_ROWS = 1_000_000
+
 
 @dataclass(frozen=True)
 class BasketRules:
@@ -113,5 +116,9 @@ class BasketRules:
     min_days: int = MIN_DAYS_IN_HISTORY
     unwanted_items: tuple = UNWANTED_ITEMS
     epoch: _dt.date = HISTORY_EPOCH
+    #: TO_NUMBER with one argument rounds to a whole number before the per-kilo comparison
+    round_first: bool = True
+    #: a key (basket line, item, product) of more rows is split over tasks; None never splits
+    hot_rows: int | None = HOT_ROWS
     #: pair the items whose image URL has no barcode as one product, as the original does
     drop_empty_barcodes: bool = False

@@ -5,14 +5,14 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions.cells import div0, empty_to_null, initcap_first, initcap_words, parse_decimal, \
     safe_div, to_number_whole
 from .identity import left_join_any_id
-from .rows import dedupe_by_score
+from .rows import dedupe_by_score, with_neighbours
 
 PRICE = "decimal(18,2)"
 AMOUNT = "decimal(18,4)"
@@ -21,7 +21,7 @@ BASKET_PRICE = "decimal(24,6)"
 
 def unit_price(facts: DataFrame, details: DataFrame, per_kilo_items=R.PER_KILO_ITEMS,
                per_kilo_limit=R.PER_KILO_PRICE_LIMIT, flag_limit=R.FLAG_LIMIT,
-               ids_col: str = "found_product_ids", id_lists: DataFrame | None = None) -> DataFrame:
+               ids_col: str = "found_product_ids", id_lists: DataFrame | None = None, round_first: bool = True) -> DataFrame:
     """Attach product details under either id and compute the unit price.
 
     * ``price_per_unit`` = DIV0(basePrice, package_amount) to 2 decimals,
@@ -34,7 +34,8 @@ def unit_price(facts: DataFrame, details: DataFrame, per_kilo_items=R.PER_KILO_I
 
     ``id_lists``: the distinct id lists of ``facts`` when a smaller table
     (the candidates) already knows them - saves a pass over the history."""
-    return price_units(attach_details(facts, details, ids_col, id_lists), per_kilo_items, per_kilo_limit, flag_limit)
+    return price_units(attach_details(facts, details, ids_col, id_lists), per_kilo_items, per_kilo_limit, flag_limit,
+                       round_first)
 
 
 def attach_details(rows: DataFrame, details: DataFrame, ids_col: str = "found_product_ids",
@@ -45,16 +46,16 @@ def attach_details(rows: DataFrame, details: DataFrame, ids_col: str = "found_pr
 
 
 def price_units(j: DataFrame, per_kilo_items=R.PER_KILO_ITEMS, per_kilo_limit=R.PER_KILO_PRICE_LIMIT,
-                flag_limit=R.FLAG_LIMIT) -> DataFrame:
+                flag_limit=R.FLAG_LIMIT, round_first: bool = True) -> DataFrame:
     """S13's prices, see ``unit_price``.  Raw values are divided and the quotient
     is rounded; the flag is compared by products, so its own rounding decides
-    nothing."""
+    nothing.  ``round_first=False`` compares the per-kilo price with its decimals."""
     base = parse_decimal("basePrice", 20, 6)
     amount = parse_decimal("package_amount", 20, 6)
     price_new = parse_decimal("price_new", 18, 2)
     listed = (per_kilo_items if isinstance(per_kilo_items, Column)
               else F.col("itemId_given_day").isin(list(per_kilo_items)))
-    per_kilo = listed & (to_number_whole("basePrice") > F.lit(per_kilo_limit))
+    per_kilo = listed & (to_number_whole("basePrice", round_first) > F.lit(per_kilo_limit))
     ppu = F.when(per_kilo, base).otherwise(div0(base, amount)).cast(PRICE)
     upu, pu = F.col("unit_price_per_unit"), F.col("package_unit")
     unit = F.when(upu != "", upu).when((upu == "") & (pu != ""), pu)
@@ -77,7 +78,7 @@ ROW_TIES = ("productId_csuId_ident", "itemId", "p_key", "csu_nazev", "nove_porad
 
 
 def fix_stale_discount(df: DataFrame, item: str = "itemId_given_day", date: str = "date",
-                       tie_breakers=ROW_TIES) -> DataFrame:
+                       tie_breakers=ROW_TIES, hot_rows: int | None = None, counts: DataFrame | None = None) -> DataFrame:
     """One-day glitch after a discount ends.
 
     If the next row of the item has no original price ('' - a missing next
@@ -85,15 +86,21 @@ def fix_stale_discount(df: DataFrame, item: str = "itemId_given_day", date: str
     previous row's final price; else the row's own.  Rows without an item
     (no history) all fall in the NULL partition in the original, where the
     result is always their own price; here they are spread by a hash of their
-    ids (never NULL), so they do not pile up in one task."""
+    ids (never NULL), so they do not pile up in one task.
+
+    With ``hot_rows`` an item of more rows is looked at in pieces
+    (``rows.with_neighbours``); ``counts`` (a column named like ``item``) counts
+    the items in a smaller table than ``df``."""
     tie_breakers = _present(df, tie_breakers)
     spread = F.when(F.col(item).isNull(), F.xxhash64(*_present(df, (*tie_breakers, "found_product_ids"))))
-    w = Window.partitionBy(F.col(item), spread).orderBy(
-        F.col(date).asc_nulls_last(), *[F.col(t).asc_nulls_last() for t in tie_breakers])
-    nxt = F.lead("originalPrice").over(w)
-    prv = F.lag("originalPrice").over(w)
-    fixed = F.when((nxt == "") & (prv != ""), F.lag("ppu_final").over(w)).otherwise(F.col("ppu_final"))
-    return df.withColumn("price_per_unit", fixed).drop("flag", "ppu_final")
+    if counts is not None:
+        counts = counts.filter(F.col(item).isNotNull()).select(item, F.lit(None).cast("long").alias("__spread"))
+    near = with_neighbours(
+        df.withColumn("__spread", spread), [item, "__spread"],
+        [F.col(date).asc_nulls_last(), *[F.col(t).asc_nulls_last() for t in tie_breakers]],
+        {"__next": ("originalPrice", 1), "__prev": ("originalPrice", -1), "__prev_final": ("ppu_final", -1)}, hot_rows, counts)
+    fixed = F.when((F.col("__next") == "") & (F.col("__prev") != ""), F.col("__prev_final")).otherwise(F.col("ppu_final"))
+    return near.withColumn("price_per_unit", fixed).drop("flag", "ppu_final", "__spread", "__next", "__prev", "__prev_final")
 
 
 def dedupe_placeholders(df: DataFrame, titles=R.PLACEHOLDER_TITLES, ids_col: str = "found_product_ids",

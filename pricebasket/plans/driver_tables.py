@@ -380,12 +380,13 @@ def _round_doubles(df, cols, n=6):
 
 
 def q_select_products(spark, d):
-    s = S.select_products(_part_facts(spark, d), MIN_DAYS_PARTS, UNWANTED_PARTS)
+    s = S.select_products(_part_facts(spark, d), MIN_DAYS_PARTS, UNWANTED_PARTS,
+                          materialize=lambda g: cut_lineage(g, "selection_items"))
     return _round_doubles(s, SELECTION_DOUBLES)
 
 
 def q_densify(spark, d):
-    rows = H.densify(price_facts(spark, d))
+    rows = H.densify(cut_lineage(price_facts(spark, d), "px_facts"))
     return rows.select("grid_date", "grid_itemName", "grid_it_product_id_array", "date",
                        "csuRelevantPrice", "currentPrice", "originalPrice", "itemId_given_day", "csu_product")
 
@@ -397,7 +398,7 @@ def q_first_known(spark, d):
 
 
 def q_backfill(spark, d):
-    return H.backfill(price_facts(spark, d), EPOCH)
+    return H.backfill(cut_lineage(price_facts(spark, d), "px_facts"), EPOCH)
 
 
 def q_fill_forward(spark, d):
