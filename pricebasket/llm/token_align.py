@@ -12,8 +12,9 @@ the other on the byte axis.
 Corpus-wide counts: a task packs its documents in chunks of bounded size and
 hands on each chunk's distinct pairs of ids with their counts, so a pair that is
 in every text is one row a chunk.  The summed counts come back to the chunks
-that hold the pair, and each chunk's ids, kept with it, give the results: no
-text is encoded twice.
+that hold the pair.  A chunk keeps the matrix of its documents and pairs, whose
+product with the counts gives each document's sums: no text is encoded twice,
+and no text or token moves.
 
 Defined results: a NULL or empty text, and one whose joined tokens of A or B
 aren't the bytes of blank + text (B normalises some characters), has no
@@ -30,21 +31,24 @@ import os
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricebasket.llm.bpe import UNIT
 from pricebasket.llm.common import table, utf8, written
 from pricebasket.llm.csr import Csr, members, product_sizes, row_products, spans
 
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Bytes of text of a chunk, about, and terms of a product that are summed at once.
-CHUNK_BYTES, TERMS = 4_000_000, 2_000_000
+CHUNK_BYTES, TERMS = 4_000_000, 1_000_000
 #: Texts given to the tokenizers at once, in bytes, about.
-BATCH_BYTES = 500_000
+BATCH_BYTES = 250_000
+#: Words with the white space before them whose A ids a worker remembers (some 250 bytes each).
+CACHE_UNITS = 250_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -61,7 +65,8 @@ class Tokens:
     def __init__(self, pieces: list[bytes]):
         self.bytes = pieces
         self.lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        self.names = [str(i) for i in range(len(pieces))]
+        # ids as text with the mark after them, inside a group, after its A half and after its B half
+        self.names = {mark: np.array([f"{i}{mark}" for i in range(len(pieces))], object) for mark in ",|;"}
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         raise NotImplementedError
@@ -84,8 +89,19 @@ class ByteLevel(Tokens):
             pieces[i] = piece.encode() if i in special else bytes(map(alphabet.__getitem__, piece))
         super().__init__(pieces)
 
+        self.units: dict[str, list[int]] = {}
+
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.model.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+        """A run of white space and the word after it is encoded the same in every
+        text: no pre-token reaches over its ends.  Those seen before are looked up."""
+        cut = [UNIT.findall(" " + t) for t in texts]
+        new = list(set().union(*cut).difference(self.units)) if cut else []
+        if len(self.units) + len(new) > CACHE_UNITS:
+            self.units.clear()
+            new = list(set().union(*cut))
+        self.units.update(zip(new, (e.ids for e in self.model.encode_batch(new, add_special_tokens=False)), strict=True))
+        get = self.units.__getitem__
+        return [list(chain.from_iterable(map(get, units))) for units in cut]
 
 
 class Pieces(Tokens):
@@ -127,7 +143,11 @@ class Aligned:
 
     def cuts(self) -> np.ndarray:
         """Byte offsets where tokens of both end."""
-        return np.intersect1d(self.ends_a, self.ends_b)
+        if not len(self.ends_b):
+            return self.ends_b
+        near = np.minimum(np.searchsorted(self.ends_b, self.ends_a), len(self.ends_b) - 1)
+        both = self.ends_a[self.ends_b[near] == self.ends_a]
+        return both[np.diff(both, prepend=-1) > 0]
 
     def groups(self) -> tuple[np.ndarray, np.ndarray, Csr, Csr]:
         """Group of each token of A and of B, and their incidence matrices."""
@@ -141,74 +161,138 @@ class Aligned:
         return row_products(in_a, in_b.transpose(), terms)
 
 
+def _batches(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    """Ranges of about ``BATCH_BYTES`` of text; a longer text is alone."""
+    first, size = 0, 0
+    for i, t in enumerate(texts):
+        if size and size + len(t or "") > BATCH_BYTES:
+            yield first, i
+            first, size = i, 0
+        size += len(t or "") + 1
+    if first < len(texts):
+        yield first, len(texts)
+
+
 def _encode(texts: list[str | None], vocab_a: Tokens, vocab_b: Tokens) -> Iterator[tuple[list[int], list[int]]]:
     """Ids of each text under both, none where they don't spell it out."""
-    start = 0
-    while start < len(texts):
-        end, size = start, 0
-        while end < len(texts) and (end == start or size < BATCH_BYTES):
-            size += len(texts[end] or "")
-            end += 1
-        part = texts[start:end]
-        full = [t for t in part if t]
-        done = zip(full, vocab_a.encode(full), vocab_b.encode(full), strict=True)
-        for t in part:
-            if not t:
-                yield [], []
-                continue
-            text, a, b = next(done)
-            want = b" " + utf8(text)
-            same = b"".join(map(vocab_a.bytes.__getitem__, a)) == want and b"".join(map(vocab_b.bytes.__getitem__, b)) == want
-            yield (a, b) if same else ([], [])
-        start = end
-
-
-def _pair_counts(tokens: Aligned) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (A id, B id) as one number each, and how many links hold them."""
-    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for i, j, _ in tokens.links():
-        k, n = np.unique(tokens.a[i] << 32 | tokens.b[j], return_counts=True)
-        both = np.concatenate([keys, k])
-        keys, at = np.unique(both, return_inverse=True)
-        counts = np.bincount(at, np.concatenate([counts, n]), len(keys)).astype(np.int64)
-    return keys, counts
-
-
-CHUNK = "chunk string, doc_ids array<long>, n_a array<long>, n_b array<long>, a binary, b binary, keys array<long>, counts array<long>"
+    full = [t for t in texts if t]
+    done = zip(full, vocab_a.encode(full), vocab_b.encode(full), strict=True)
+    for t in texts:
+        if not t:
+            yield [], []
+            continue
+        text, a, b = next(done)
+        want = b" " + utf8(text)
+        same = b"".join(map(vocab_a.bytes.__getitem__, a)) == want and b"".join(map(vocab_b.bytes.__getitem__, b)) == want
+        yield (a, b) if same else ([], [])
+
+
+def _digests(tokens: Aligned, n_a: np.ndarray, vocab_a: Tokens, vocab_b: Tokens) -> tuple[np.ndarray, list[str]]:
+    """Per text the number of groups and the digest of their spelling."""
+    of_a, of_b, in_a, in_b = tokens.groups()
+    last_a, last_b = (np.diff(g, append=-1) != 0 for g in (of_a, of_b))
+    size_a, size_b = (np.bincount(g, minlength=m.n_cols) for g, m in ((of_a, in_a), (of_b, in_b)))
+    # a group's A tokens stand before its B tokens, after the groups before it
+    spelled = np.empty(len(of_a) + len(of_b), object)
+    spelled[np.arange(len(of_a)) + (np.cumsum(size_b) - size_b)[of_a]] = np.where(
+        last_a, vocab_a.names["|"][tokens.a], vocab_a.names[","][tokens.a])
+    spelled[np.arange(len(of_b)) + np.cumsum(size_a)[of_b]] = np.where(
+        last_b, vocab_b.names[";"][tokens.b], vocab_b.names[","][tokens.b])
+    ends = np.concatenate([[0], np.cumsum(n_a)])
+    groups = np.concatenate([[0], np.cumsum(last_a)])[ends]  # groups up to each text's end
+    places = np.concatenate([[0], np.cumsum(size_a + size_b)])[groups].tolist()
+    words = spelled.tolist()
+    digests = [hashlib.sha256("".join(words[i:j])[:-1].encode()).hexdigest() if j > i else ""
+               for i, j in zip(places, places[1:], strict=False)]
+    return np.diff(groups), digests
+
+
+class Part:
+    """Some texts' own figures, and the matrix of texts and pairs of ids: row
+    ``t`` has the pairs ``pair[ptr[t]:ptr[t + 1]]`` of ``keys``, ``n`` links each."""
+
+    def __init__(self, a: list[list[int]], b: list[list[int]], vocab_a: Tokens, vocab_b: Tokens):
+        self.n_a, self.n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
+        flat_a, flat_b = (np.fromiter(chain.from_iterable(x), np.int64, int(n.sum())) for x, n in ((a, self.n_a), (b, self.n_b)))
+        tokens = Aligned(flat_a, flat_b, vocab_a, vocab_b)
+        text_of = np.repeat(np.arange(len(a)), self.n_a)
+        keys, cells = np.zeros(0, np.int64), []
+        for i, j, _ in tokens.links():  # in parts of bounded size, each counted by text and pair at once
+            own, at = np.unique(tokens.a[i] << 32 | tokens.b[j], return_inverse=True)
+            cell, n = np.unique(text_of[i] * len(own) + at, return_counts=True)
+            cells.append((cell // len(own), own[cell % len(own)], n))
+            keys = own if not len(keys) else np.sort(np.concatenate([keys, own[~np.isin(own, keys)]]))
+        text, key, n = (np.concatenate([c[k] for c in cells] or [np.zeros(0, np.int64)]) for k in range(3))
+        # a text whose links lie in two parts has some pairs in both
+        cell, at = np.unique(text * max(1, len(keys)) + np.searchsorted(keys, key), return_inverse=True)
+        self.n = np.bincount(at, n, len(cell)).astype(np.int64)
+        self.keys, self.pair = keys, cell % max(1, len(keys))
+        self.ptr = np.searchsorted(cell // max(1, len(keys)), np.arange(len(a) + 1))
+        self.n_links = sums_of_rows(self.ptr, self.n)
+        _, _, in_a, in_b = tokens.groups()
+        self.n_group_links = sums_of_rows(np.concatenate([[0], np.cumsum(self.n_a)]), product_sizes(in_a, in_b.transpose()))
+        self.n_groups, self.digests = _digests(tokens, self.n_a, vocab_a, vocab_b)
+
+
+def sums_of_rows(ptr: np.ndarray, values: np.ndarray) -> np.ndarray:
+    total = np.concatenate([[0], np.cumsum(values)])
+    return total[ptr[1:]] - total[ptr[:-1]]
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    return pa.compress(numbers.astype(np.uint32).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data, n * 4, codec="zstd", asbytes=True), np.uint32).astype(np.int64)
+
+
+OWN = ["n_a", "n_b", "n_groups", "n_links", "n_group_links"]
+CHUNK = ("chunk string, doc_ids array<long>, " + ", ".join(f"{c} array<long>" for c in OWN)
+         + ", digests array<string>, sizes array<long>, pairs binary, times binary, keys array<long>, counts array<long>")
+
+
+def _chunk_row(doc_ids: list, parts: list[Part], schema: pa.Schema) -> pa.RecordBatch:
+    """Parts as one row: their pairs in one sorted list, the matrix's columns in
+    it as steps from one to the next, which compress well."""
+    keys = np.unique(np.concatenate([p.keys for p in parts]))
+    pairs = [np.searchsorted(keys, p.keys)[p.pair] for p in parts]
+    counts = sum(np.bincount(q, p.n, len(keys)) for p, q in zip(parts, pairs, strict=True)).astype(np.int64)
+    sizes = np.concatenate([np.diff(p.ptr) for p in parts])
+    pair = np.concatenate(pairs)
+    step = np.diff(pair, prepend=0)
+    starts = (np.cumsum(sizes) - sizes)[sizes > 0]
+    step[starts] = pair[starts]
+    own = [np.concatenate([np.asarray(getattr(p, c), np.int64) for p in parts]) for c in OWN]
+    cols = [uuid.uuid4().hex, doc_ids, *own, [d for p in parts for d in p.digests], sizes, _packed(step),
+            _packed(np.concatenate([p.n for p in parts])), keys, counts]
+    return pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
 
 def chunks(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text",
            chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """A row a chunk of documents: their ids under both tokenizers, one document
-    after the other, and the chunk's distinct pairs of ids with their counts."""
-    schema = pa.schema([("chunk", pa.string()), ("doc_ids", pa.list_(pa.int64())), ("n_a", pa.list_(pa.int64())),
-                        ("n_b", pa.list_(pa.int64())), ("a", pa.binary()), ("b", pa.binary()),
-                        ("keys", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
+    """A row a chunk of documents: each one's own figures, the chunk's distinct
+    pairs of ids with their counts, and the matrix of documents and pairs."""
+    longs = pa.list_(pa.int64())
+    schema = pa.schema([("chunk", pa.string()), ("doc_ids", longs), *((c, longs) for c in OWN), ("digests", pa.list_(pa.string())),
+                        ("sizes", longs), ("pairs", pa.binary()), ("times", pa.binary()), ("keys", longs), ("counts", longs)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab_a, vocab_b = _vocabularies(path_a, path_b)
-
-        def row(held: list) -> pa.RecordBatch:
-            ids, a, b = zip(*held, strict=True)
-            flat_a, flat_b = (np.concatenate([*x, np.zeros(0, np.uint32)]) for x in (a, b))
-            keys, counts = _pair_counts(Aligned(flat_a.astype(np.int64), flat_b.astype(np.int64), vocab_a, vocab_b))
-            cols = [uuid.uuid4().hex, list(ids), [len(x) for x in a], [len(x) for x in b],
-                    flat_a.tobytes(), flat_b.tobytes(), keys, counts]
-            return pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
-
-        held, size = [], 0
+        doc_ids, parts, size = [], [], 0
         for batch in batches:
-            for one in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
-                texts = one.column(1).to_pylist()
-                for doc, text, (a, b) in zip(one.column(0).cast(pa.int64()).to_pylist(), texts,
-                                             _encode(texts, vocab_a, vocab_b), strict=True):
-                    held.append((doc, np.array(a, np.uint32), np.array(b, np.uint32)))
-                    size += len(text or "")
-                    if size >= chunk_bytes:
-                        yield row(held)
-                        held, size = [], 0
-        if held:
-            yield row(held)
+            texts = batch.column(1).to_pylist()
+            ids = batch.column(0).cast(pa.int64()).to_pylist()
+            for first, last in _batches(texts):
+                a, b = zip(*_encode(texts[first:last], vocab_a, vocab_b), strict=True)
+                parts.append(Part(list(a), list(b), vocab_a, vocab_b))
+                doc_ids += ids[first:last]
+                size += sum(len(t or "") for t in texts[first:last])
+                if size >= chunk_bytes:
+                    yield _chunk_row(doc_ids, parts, schema)
+                    doc_ids, parts, size = [], [], 0
+        if doc_ids:
+            yield _chunk_row(doc_ids, parts, schema)
 
     return docs.select(id_col, text_col).mapInArrow(run, CHUNK)
 
@@ -223,61 +307,31 @@ def pair_counts(packed: DataFrame) -> DataFrame:
     return counts.withColumn("b", b).join(most, "b").select("key", "count", (F.col("count") == F.col("most")).alias("best"))
 
 
-def _digests(tokens: Aligned, n_a: np.ndarray, n_b: np.ndarray, vocab_a: Tokens, vocab_b: Tokens) -> tuple[list, list]:
-    """Per document the number of groups and the digest of their spelling."""
-    of_a, of_b, _, _ = tokens.groups()
-    names_a = list(map(vocab_a.names.__getitem__, tokens.a.tolist()))
-    names_b = list(map(vocab_b.names.__getitem__, tokens.b.tolist()))
-    n = int(of_a[-1]) + 1 if len(of_a) else 0
-    ends_a = np.cumsum(np.bincount(of_a, minlength=n)).tolist()
-    ends_b = np.cumsum(np.bincount(of_b, minlength=n)).tolist()
-    groups, i, j = [], 0, 0
-    for k, m in zip(ends_a, ends_b, strict=True):
-        left = names_a[i] if k - i == 1 else ",".join(names_a[i:k])
-        right = names_b[j] if m - j == 1 else ",".join(names_b[j:m])
-        groups.append(left + "|" + right)
-        i, j = k, m
-    counts, digests, g = [], [], 0
-    for last in np.cumsum(n_a).tolist():
-        end = int(of_a[last - 1]) + 1 if last else 0
-        own = groups[g:end]
-        counts.append(len(own))
-        digests.append(hashlib.sha256(";".join(own).encode()).hexdigest() if own else "")
-        g = max(g, end)
-    return counts, digests
-
-
-RESULT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
-          "groups_sha256 string, n_group_links long")
-
-
-def summaries(packed: DataFrame, counts: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """The contract's row of every document, from the chunks and the counts of their pairs."""
+RESULT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_group_links long, n_best long, count_sum long, "
+          "groups_sha256 string")
+
+
+def summaries(packed: DataFrame, counts: DataFrame) -> DataFrame:
+    """The contract's row of every document: its own figures, and the products of
+    the chunk's matrix of documents and pairs with the counts of the pairs."""
     own = packed.select("chunk", F.explode("keys").alias("key")).join(counts, "key").toDF("key", "of_chunk", "count", "best")
 
-    def run(chunk: pa.Table, pairs: pa.Table) -> pa.Table:
-        vocab_a, vocab_b = _vocabularies(path_a, path_b)
-        doc_ids, n_a, n_b, a, b = (chunk.column(c)[0].as_py() for c in ("doc_ids", "n_a", "n_b", "a", "b"))
-        tokens = Aligned(*(np.frombuffer(x, np.uint32).astype(np.int64) for x in (a, b)), vocab_a, vocab_b)
-        pairs = pairs.take(pc.sort_indices(pairs, [("key", "ascending")]))
-        key, count, best = (pairs.column(c).to_numpy() for c in ("key", "count", "best"))
-        n = len(doc_ids)
-        doc_of = np.repeat(np.arange(n), n_a)
-        links, n_best, total = (np.zeros(n, np.int64) for _ in range(3))
-        for i, j, _ in tokens.links():
-            at, doc = np.searchsorted(key, tokens.a[i] << 32 | tokens.b[j]), doc_of[i]
-            np.add.at(links, doc, 1)
-            np.add.at(n_best, doc, best[at].astype(np.int64))
-            np.add.at(total, doc, count[at])
-        _, _, in_a, in_b = tokens.groups()
-        shared = np.zeros(n, np.int64)
-        np.add.at(shared, doc_of, product_sizes(in_a, in_b.transpose()))
-        groups, digests = _digests(tokens, np.array(n_a), np.array(n_b), vocab_a, vocab_b)
-        return pa.table([pa.array(doc_ids, pa.int64()), pa.array(n_a, pa.int64()), pa.array(n_b, pa.int64()),
-                         pa.array(groups, pa.int64()), pa.array(links), pa.array(n_best), pa.array(total),
-                         pa.array(digests, pa.string()), pa.array(shared)], names=[c.split()[0] for c in RESULT.split(", ")])
-
-    of_chunk = packed.select("chunk", "doc_ids", "n_a", "n_b", "a", "b")
+    def run(chunk: pa.Table, found: pa.Table) -> pa.Table:
+        cell = {c: chunk.column(c)[0].as_py() for c in ("pairs", "times", "digests", "doc_ids")}
+        sizes = np.array(chunk.column("sizes")[0].as_py(), np.int64)
+        ptr = np.concatenate([[0], np.cumsum(sizes)])
+        pair, times = (_unpacked(cell[c], int(sizes.sum())) for c in ("pairs", "times"))
+        steps = np.concatenate([[0], np.cumsum(pair)])  # the steps of a row add up from its start
+        pair = steps[1:] - np.repeat(steps[ptr[:-1]], sizes)
+        order = np.argsort(found.column("key").to_numpy())
+        count, best = (found.column(c).to_numpy()[order].astype(np.int64) for c in ("count", "best"))
+        columns = {"doc_id": pa.array(cell["doc_ids"], pa.int64()), **{c: pa.array(chunk.column(c)[0].as_py(), pa.int64()) for c in OWN},
+                   "n_best": pa.array(sums_of_rows(ptr, times * best[pair])),
+                   "count_sum": pa.array(sums_of_rows(ptr, times * count[pair])),
+                   "groups_sha256": pa.array(cell["digests"], pa.string())}
+        return pa.table([columns[c.split()[0]] for c in RESULT.split(", ")], names=[c.split()[0] for c in RESULT.split(", ")])
+
+    of_chunk = packed.drop("keys", "counts")
     return of_chunk.groupBy("chunk").cogroup(own.groupBy("of_chunk")).applyInArrow(run, RESULT)
 
 
@@ -315,7 +369,7 @@ def aligned_counts(docs: DataFrame, path_a: str | None = None, path_b: str | Non
     if path_a is None or path_b is None:
         path_a, path_b = default_paths()
     packed = written(chunks(docs, path_a, path_b, id_col, text_col, chunk_bytes), "align-chunks")
-    return summaries(packed, written(pair_counts(packed), "align-pairs"), path_a, path_b)
+    return summaries(packed, written(pair_counts(packed), "align-pairs"))
 
 
 def op13_token_align(spark, sf_dir: str) -> DataFrame:
