@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricebasket.session import ensure_checkpoint_dir
+from pricebasket.session import cuts_folder
 
 #: Code points that separate words and are stripped from lines: ``[\\x20\\x09-\\x0D]``.
 BLANKS = b" \t\n\r\x0b\x0c"
@@ -17,11 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared checkpoint folder, read back: computed
+def written(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` as a table in the application's folder of cuts, read back: computed
     once however often it is read, and safe from a lost executor."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/pricebasket/llm-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    path = f"{cuts_folder(df.sparkSession)}/llm-{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -97,15 +97,28 @@ class CuckooFilter:
         return np.array(left, np.uint64)
 
     def delete(self, hashes: np.ndarray) -> None:
-        """Remove one copy of each hash; only hashes that were inserted may be given."""
-        for h in hashes:
-            one = np.array([h], np.uint64)
-            for t in self.tables:
-                tags, a, b = self._places(t, one)
-                hit = next(((i, s) for i in (a[0], b[0]) for s in range(SLOTS) if t[i, s] == tags[0]), None)
-                if hit:
-                    t[hit] = 0
-                    break
+        """Remove one copy of each hash; only hashes that were inserted may be given.
+
+        Within a table, equal tags of one pair of buckets stand for each other.
+        Between tables they don't: a hash whose tag is found in several may be
+        another's there, so its tags stay, which costs a look-up but never hides
+        a stored key."""
+        found = np.zeros((len(self.tables), len(hashes)), bool)
+        for i, t in enumerate(self.tables):
+            tags, a, b = self._places(t, hashes)
+            found[i] = (t[a] == tags[:, None]).any(1) | (t[b] == tags[:, None]).any(1)
+        sure = found.sum(0) == 1
+        for i, t in enumerate(self.tables):
+            left, cells = hashes[found[i] & sure], t.reshape(-1)
+            while len(left):
+                tags, a, b = self._places(t, left)
+                match = np.concatenate([t[a], t[b]], axis=1) == tags[:, None]
+                rows = np.flatnonzero(match.any(1))
+                slot = match[rows].argmax(1)
+                cell = np.where(slot < SLOTS, a[rows], b[rows]) * SLOTS + slot % SLOTS
+                first = np.unique(cell, return_index=True)[1]  # one hash a slot at a time
+                cells[cell[first]] = 0
+                left = np.delete(left[rows], first)
 
     def to_bytes(self) -> bytes:
         return b"".join(struct.pack("<I", len(t)) + t.tobytes() for t in self.tables)

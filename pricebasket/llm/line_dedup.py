@@ -3,23 +3,27 @@ reference counts.
 
 ``LineIndex`` keeps three tables, each a DataFrame written to the shared folder:
 
-* ``postings`` (key, doc_id): which document holds which line key, once each;
+* ``postings`` (key, doc_id, text_hash): which document holds which line key;
 * ``refs`` (key, shard, n_docs, first_doc, last_doc): the exact reference counts;
 * ``filters`` (shard, filter): per shard of the key space a cuckoo filter with
   one tag per live key.
 
 ``insert`` asks the filters first: a key that its shard's filter has not seen
-is new for certain and goes straight to ``refs``; only the others are looked up
-in the exact table.  ``delete`` takes documents out again: counts go down,
-``first_doc`` moves on, and keys nobody holds any more leave their filter.
+is new for certain, and its counts become a row of ``refs`` as they are.  Only
+the others are looked up in the exact table and added to what is there
+(``looked_up``).  ``delete`` takes documents out again: counts go down,
+``first_doc`` moves on, and keys nobody holds any more leave their filter.  An
+index that has grown past its shards gets more, with filters built from ``refs``.
 
 A key is 16 bytes (MD5) of the line with ``[\\x20\\x09-\\x0D]`` stripped at both
 ends and A-Z lower-cased; keys of fewer than ``min_chars`` code points are not
-indexed.  Defined results: a NULL or empty text is one empty line; repeated
-rows of one doc_id count as one document and all keep the line; a NULL doc_id
-sorts after every other and counts as one document; of equal texts the smallest
-doc_id keeps its lines.  Other columns of the input, whatever their names, pass
-through untouched.
+indexed.  Defined results: a NULL or empty text is one empty line; rows of one
+doc_id count as one document and all keep a line that is theirs; of equal texts
+the smallest doc_id keeps its lines.  Rows without a doc_id come after every
+other, and each of their texts is a document of its own (ids of 2^62 and more
+are taken for such).  Which lines a row loses is held by its id and text, so no
+id gathers more than one text's keys.  Other columns of the input, whatever
+their names, pass through untouched.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricebasket.llm.common import BLANKS, numbered, table, utf8, written
@@ -38,8 +42,10 @@ from pricebasket.llm.cuckoo import CuckooFilter
 
 #: Keys per shard: a shard's keys and its filter (about 2.4 bytes a key) fit in one task.
 SHARD_KEYS = 250_000
-#: The id of documents without one; greater than any other.
-NO_ID = (1 << 63) - 1
+#: Ids from here on stand for the texts of rows without one.
+NO_ID = 1 << 62
+#: Batches of documents in which an index of a whole table is built.
+BATCHES = 3
 
 
 def line_key(line: bytes, min_chars: int) -> bytes | None:
@@ -50,22 +56,32 @@ def line_key(line: bytes, min_chars: int) -> bytes | None:
     return hashlib.md5(line, usedforsecurity=False).digest()
 
 
+def _row_key(id_: Column, text: Column) -> tuple[Column, Column]:
+    """(document, hash of the text) of a row: what it loses depends on both."""
+    text_hash = F.xxhash64(text)
+    own = F.lit(NO_ID) + text_hash.bitwiseAND(F.lit(NO_ID - 1))
+    return F.coalesce(id_.cast("long"), own), text_hash
+
+
 def postings(docs: DataFrame, min_chars: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(key, doc_id): each line key of each document, once a row of ``docs``."""
-    schema = pa.schema([("key", pa.binary()), ("doc_id", pa.int64())])
+    """(key, doc_id, text_hash): each line key of each document, once a row of ``docs``."""
+    schema = pa.schema([("key", pa.binary()), ("doc_id", pa.int64()), ("text_hash", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys, ids = [], []
-            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            keys, sizes = [], []
+            for text in b.column(2).to_pylist():
                 own = {line_key(x, min_chars) for x in utf8(text).lower().split(b"\n")}
                 own.discard(None)
                 keys.extend(own)
-                ids.extend([i] * len(own))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ids, pa.int64())], schema=schema)
+                sizes.append(len(own))
+            of = np.repeat(np.arange(b.num_rows), sizes)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), b.column(0).take(pa.array(of)),
+                                              b.column(1).take(pa.array(of))], schema=schema)
 
-    return docs.select(F.coalesce(F.col(id_col), F.lit(NO_ID)), F.col(text_col)).mapInArrow(
-        run, "key binary, doc_id long")
+    doc, text_hash = _row_key(F.col(id_col), F.col(text_col))
+    return docs.select(doc.alias("doc_id"), text_hash.alias("text_hash"), F.col(text_col).alias("text")).mapInArrow(
+        run, POSTS)
 
 
 def _hashes(keys: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -81,23 +97,24 @@ def _counted(post: DataFrame, shards: int) -> DataFrame:
                                    F.max("doc_id").alias("last_doc")).withColumn("shard", shard)
 
 
+POSTS = "key binary, doc_id long, text_hash long"
 REFS = "key binary, shard long, n_docs long, first_doc long, last_doc long"
 
 
 class LineIndex:
-    def __init__(self, refs: DataFrame, posts: DataFrame, filters: DataFrame, shards: int, min_chars: int):
+    def __init__(self, refs: DataFrame, posts: DataFrame, filters: DataFrame, shards: int, min_chars: int,
+                 looked_up: DataFrame | None = None):
         self.refs, self.posts, self.filters, self.shards, self.min_chars = refs, posts, filters, shards, min_chars
+        #: keys of the last insert that the filters could not tell to be new
+        self.looked_up = looked_up
 
     @classmethod
-    def empty(cls, spark, expected_keys: int, min_chars: int = 10) -> LineIndex:
-        """An index sized for about ``expected_keys`` distinct lines (more only make shards larger)."""
-        return cls(spark.createDataFrame([], REFS), spark.createDataFrame([], "key binary, doc_id long"),
+    def empty(cls, spark, expected_keys: int = 0, min_chars: int = 10) -> LineIndex:
+        """An index with shards for about ``expected_keys`` distinct lines; it gets more as it grows."""
+        return cls(spark.createDataFrame([], REFS), spark.createDataFrame([], POSTS),
                    spark.createDataFrame([], "shard long, filter binary"),
                    max(1, math.ceil(expected_keys / SHARD_KEYS)), min_chars)
 
-    def _new(self, refs: DataFrame, posts: DataFrame, filters: DataFrame) -> LineIndex:
-        return LineIndex(refs, posts, filters, self.shards, self.min_chars)
-
     def insert(self, post: DataFrame) -> LineIndex:
         """With the documents of ``post`` (``postings``; documents not in the index yet) added."""
         post = post.distinct()
@@ -123,16 +140,36 @@ class LineIndex:
                 add, "key binary, n_docs long, first_doc long, last_doc long, shard long, known boolean, filter binary"),
             "line-probe")
         cols = ["key", "shard", "n_docs", "first_doc", "last_doc"]
-        new = found.where("known is not null")
-        # a known tag may belong to another key: the exact table decides, and a
-        # key it does not have is live now and needs a tag of its own
-        maybe = new.where("known").select(*cols)
-        absent = maybe.join(self.refs.select("key"), "key", "left_anti")
-        filters = self._tags(found.where("filter is not null").select("shard", "filter"), absent, "insert")
-        refs = (new.select(*cols).unionByName(self.refs).groupBy("key").agg(
-            F.first("shard").alias("shard"), F.sum("n_docs").alias("n_docs"),
-            F.min("first_doc").alias("first_doc"), F.max("last_doc").alias("last_doc")))
-        return self._new(written(refs, "line-refs"), self.posts.unionByName(post), filters)
+        fresh = found.where("not known").select(*cols)
+        # a known tag may belong to another key: the exact table decides
+        before = self.refs.select("key", *[F.col(c).alias(f"old_{c}") for c in cols[2:]])
+        looked = written(found.where("known").select(*cols).join(before, "key", "left"), "line-looked")
+        # a key the exact table does not have is live now and needs a tag of its own
+        filters = self._tags(found.where("filter is not null").select("shard", "filter"),
+                             looked.where("old_n_docs is null"), "insert")
+        added = looked.select("key", "shard", (F.col("n_docs") + F.coalesce("old_n_docs", F.lit(0))).alias("n_docs"),
+                              F.least("first_doc", "old_first_doc").alias("first_doc"),
+                              F.greatest("last_doc", "old_last_doc").alias("last_doc"))
+        untouched = self.refs.select(*cols).join(looked.where("old_n_docs is not null").select("key"), "key", "left_anti")
+        refs = written(fresh.unionByName(added).unionByName(untouched), "line-refs")
+        return LineIndex(refs, self.posts.unionByName(post), filters, self.shards, self.min_chars, looked.select("key"))._grown()
+
+    def _grown(self) -> LineIndex:
+        """With more shards if those it has are over twice their size."""
+        n = self.refs.count()
+        if n <= 2 * self.shards * SHARD_KEYS:
+            return self
+        shards = math.ceil(n / SHARD_KEYS)
+        refs = self.refs.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
+        schema = pa.schema([("shard", pa.int64()), ("filter", pa.binary())])
+
+        def build(keys: pa.Table) -> pa.Table:
+            cuckoo = CuckooFilter(keys.num_rows)
+            cuckoo.insert(_hashes(keys.column("key")))
+            return pa.table([keys.column("shard").slice(0, 1), pa.array([cuckoo.to_bytes()], pa.binary())], schema=schema)
+
+        filters = refs.select("shard", "key").groupBy("shard").applyInArrow(build, "shard long, filter binary")
+        return LineIndex(refs, self.posts, written(filters, "line-filters"), shards, self.min_chars, self.looked_up)
 
     def _tags(self, filters: DataFrame, keys: DataFrame, change: str) -> DataFrame:
         """``filters`` with the tags of ``keys`` (distinct keys) inserted or deleted."""
@@ -148,21 +185,23 @@ class LineIndex:
             apply, "shard long, filter binary"), "line-filters")
 
     def delete(self, doc_ids: DataFrame) -> LineIndex:
-        """Without the documents of ``doc_ids`` (one column); ids it does not hold change nothing."""
-        ids = doc_ids.select(F.coalesce(F.col(doc_ids.columns[0]), F.lit(NO_ID)).alias("doc_id")).distinct()
-        kept = written(self.posts.join(ids, "doc_id", "left_anti").select("key", "doc_id"), "line-postings")
-        hit = self.posts.join(ids, "doc_id", "left_semi").select("key").distinct()
+        """Without the documents of ``doc_ids`` (one column); ids it does not hold
+        change nothing, NULL takes out every document without an id."""
+        ids = doc_ids.select(F.coalesce(F.col(doc_ids.columns[0]), F.lit(NO_ID)).alias("gone_id")).distinct()
+        gone_ = F.least(F.col("doc_id"), F.lit(NO_ID)) == F.col("gone_id")
+        kept = written(self.posts.join(ids, gone_, "left_anti").select(*self.posts.columns), "line-postings")
+        hit = self.posts.join(ids, gone_, "left_semi").select("key").distinct()
         old = self.refs.join(hit, "key", "left_semi")
         now = _counted(kept.join(hit, "key", "left_semi"), self.shards)
         gone = written(old.join(now.select("key"), "key", "left_anti"), "line-gone")
         refs = written(self.refs.join(hit, "key", "left_anti").unionByName(now.select(*self.refs.columns)), "line-refs")
-        return self._new(refs, kept, self._tags(self.filters, gone, "delete"))
+        return LineIndex(refs, kept, self._tags(self.filters, gone, "delete"), self.shards, self.min_chars)
 
     def duplicates(self) -> DataFrame:
-        """(doc_id, keys): the line keys each document loses."""
+        """(doc_id, text_hash, keys): the line keys each text loses."""
         shared = self.refs.where("first_doc != last_doc").select("key", "first_doc")
         return (self.posts.join(shared, "key").where("doc_id != first_doc")
-                .groupBy("doc_id").agg(F.collect_set("key").alias("keys")))
+                .groupBy("doc_id", "text_hash").agg(F.collect_list("key").alias("keys")))
 
 
 def drop_lines(docs: DataFrame, dups: DataFrame, min_chars: int = 10, id_col: str = "doc_id",
@@ -172,8 +211,9 @@ def drop_lines(docs: DataFrame, dups: DataFrame, min_chars: int = 10, id_col: st
     names = docs.columns
     rows = numbered(docs)
     i_id, i_text = names.index(id_col), names.index(text_col)
-    dups = dups.select(F.col("doc_id").alias("dup_id"), F.col("keys").alias("dup_keys"))
-    both = rows.join(dups, F.coalesce(F.col(f"c{i_id}"), F.lit(NO_ID)) == F.col("dup_id"), "left").drop("dup_id")
+    dups = dups.select(F.col("doc_id").alias("dup_id"), F.col("text_hash").alias("dup_text"), F.col("keys").alias("dup_keys"))
+    doc, text_hash = _row_key(F.col(f"c{i_id}"), F.col(f"c{i_text}"))
+    both = rows.join(dups, (doc == F.col("dup_id")) & (text_hash == F.col("dup_text")), "left").drop("dup_id", "dup_text")
     if report:
         both = both.select(F.col(f"c{i_id}"), F.col(f"c{i_text}"), "dup_keys")
         out = f"{id_col} long, kept_text string, n_lines long, n_dropped long"
@@ -206,10 +246,16 @@ def drop_lines(docs: DataFrame, dups: DataFrame, min_chars: int = 10, id_col: st
     return done if report else done.toDF(*names)
 
 
-def build_index(docs: DataFrame, min_chars: int = 10, **cols) -> LineIndex:
-    """The index of all lines of ``docs``."""
-    post = written(postings(docs, min_chars, **cols), "line-postings")
-    return LineIndex.empty(docs.sparkSession, post.count(), min_chars).insert(post)
+def build_index(docs: DataFrame, min_chars: int = 10, batches: int = BATCHES, **cols) -> LineIndex:
+    """The index of all lines of ``docs``, whose documents are inserted in batches
+    by a hash of their ids: from the second on, the filters spare new lines the
+    look-up."""
+    batch = F.pmod(F.xxhash64("doc_id"), F.lit(batches))
+    post = written(postings(docs, min_chars, **cols).withColumn("batch", batch), "line-postings", ("batch",))
+    index = LineIndex.empty(docs.sparkSession, post.count(), min_chars)
+    for b in range(batches):
+        index = index.insert(post.where(F.col("batch") == b).drop("batch"))
+    return index
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricebasket.llm.common import table, utf8
-from pricebasket.session import ensure_checkpoint_dir
+from pricebasket.session import cuts_folder
 
 MIN_REVISIT = 100
 ARCHIVE_BYTES = 8 << 20
@@ -229,7 +229,7 @@ def round_trip(pages: DataFrame, payloads: bool = False, **cols) -> DataFrame:
     """``pages`` written to new archives in the shared folder and read back.
     A record whose digest does not hold is an error."""
     spark = pages.sparkSession
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pricebasket/warc-{uuid.uuid4().hex}"
+    folder = f"{cuts_folder(spark)}/warc-{uuid.uuid4().hex}"
     write_archives(pages, folder, **cols)
     records = read_archives(spark, folder, payloads)
     return records.withColumn("digest_ok", F.when(F.col("digest_ok"), True).otherwise(
