@@ -70,17 +70,21 @@ def majority(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
+def _prints(texts: pa.Array, words: int) -> pa.Array:
+    """Fingerprints of a column of texts as signed 64-bit integers."""
+    lists = [shingle_hashes(t, words) for t in texts.to_pylist()]
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    flat = np.concatenate(lists) if lists else np.zeros(0, np.uint64)
+    return pa.array(majority(flat, sizes).view(np.int64))
+
+
 def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp): each row's fingerprint as a signed 64-bit integer."""
     schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 
     def run(batches):
         for b in batches:
-            lists = [shingle_hashes(t, words) for t in b.column(1).to_pylist()]
-            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-            flat = np.concatenate(lists) if lists else np.zeros(0, np.uint64)
-            fp = majority(flat, sizes).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(fp)], schema=schema)
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), _prints(b.column(1), words)], schema=schema)
 
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, "doc_id long, fp long")
 
@@ -200,24 +204,55 @@ def near_dup_components(docs: DataFrame, words: int = 3, max_bits: int = 2, id_c
                         text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id) per row of ``docs``."""
     prints = written(fingerprints(docs, words, id_col, text_col), "simhash-prints")
-    classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-classes")
-    roots = connected_components(links(classes, max_bits))
+    rooted = _rooted(prints, max_bits)
     # the smallest id of a component: per root over its classes, then per class
-    rooted = written(classes.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")), "simhash-roots")
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of_class = rooted.join(least, "root").select("fp", "component_id")
     return prints.join(of_class, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _rooted(prints: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, first_id, root) per distinct fingerprint of ``prints`` (doc_id, fp)."""
+    classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-classes")
+    roots = connected_components(links(classes, max_bits))
+    return written(classes.join(roots, F.col("fp") == F.col("node"), "left").select(
+        "fp", "first_id", F.coalesce("root", "fp").alias("root")), "simhash-roots")
+
+
 def drop_near_dups(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataFrame:
-    """``docs`` (all columns) with the document of the smallest doc_id of each
-    component only; rows that repeat that doc_id stay, and so do rows without one."""
-    found = near_dup_components(docs.select("doc_id", "text"), words, max_bits)
-    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    rows, names = numbered(docs), docs.columns
-    return rows.join(gone, F.col(f"c{names.index('doc_id')}") == F.col("gone_id"), "left_anti").toDF(*names)
+    """``docs`` (all columns) with exactly one row of each component: that of the
+    smallest doc_id, a NULL one last, and of equal ids the text of the smallest
+    hash.  Of rows equal in id and text any one stays.
+
+    A row is told by its id and two hashes of its text, so rows that share an id,
+    or have none, are decided each for itself, and texts move once, to where the
+    kept keys are."""
+    names = docs.columns
+    rows = numbered(docs)
+    id_, text = (F.col(f"c{names.index(c)}") for c in ("doc_id", "text"))
+    keyed = rows.withColumns({"k_id": id_.cast("long"), "k1": F.xxhash64(text), "k2": F.xxhash64(F.lit(1), text)})
+    # a row's print and its key, side by side
+    prints = written(_keyed_prints(keyed.select("k_id", "k1", "k2", text.alias("text")), words), "simhash-prints")
+    rooted = _rooted(prints.select(F.col("k_id").alias("doc_id"), "fp"), max_bits).select("fp", "root")
+    best = F.min(F.struct(F.col("k_id").isNull().alias("none"), F.col("k_id"), F.col("k1"), F.col("k2"))).alias("best")
+    kept = written(prints.join(rooted, "fp").groupBy("root").agg(best).select("best.*"), "simhash-kept").select(
+        *[F.col(c).alias(f"b_{c}") for c in ("k_id", "k1", "k2")])
+    same = F.col("k_id").eqNullSafe(F.col("b_k_id")) & (F.col("k1") == F.col("b_k1")) & (F.col("k2") == F.col("b_k2"))
+    out = keyed.join(kept, same, "left_semi")
+    repeats = prints.join(kept, same, "left_semi").groupBy("k_id", "k1", "k2").count().where("count > 1")
+    if not repeats.isEmpty():  # rows equal in id and text: partial aggregates leave one a task
+        out = out.dropDuplicates(["k_id", "k1", "k2"])
+    return out.select(*rows.columns).toDF(*names)
+
+
+def _keyed_prints(keyed: DataFrame, words: int) -> DataFrame:
+    """(k_id, k1, k2, fp) of rows (k_id, k1, k2, text)."""
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], _prints(b.column(3), words)], names=["k_id", "k1", "k2", "fp"])
+
+    return keyed.mapInArrow(run, "k_id long, k1 long, k2 long, fp long")
 
 
 def op2_simhash(spark, sf_dir: str) -> DataFrame:

@@ -102,14 +102,38 @@ def test_chain_and_empty_edges(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
-def test_one_of_each_group_stays(spark):
-    data = cases.rows(80, 2)
+def brute_kept(data):
+    """(doc_id, text) of the row that stays of each component: nodes are rows, told by their place."""
+    prints = {n: brute_print(r[1]) for n, r in enumerate(data)}
+    groups = {}
+    for n, root in brute_components(prints).items():
+        groups.setdefault(root, []).append(data[n])
+    out = []
+    for rows in groups.values():
+        first = min((r[0] is None, r[0] or 0) for r in rows)
+        out.append({(r[0], r[1]) for r in rows if (r[0] is None, r[0] or 0) == first})
+    return out
+
+
+@pytest.mark.parametrize("seed", [2, 7])
+def test_one_row_of_each_group_stays(spark, seed):
+    data = cases.rows(80, seed)
+    data += [(5, "quite another text under an id that is there", "en", "s", 1), (None, data[9][1], "en", "s", 2)]
     docs = cases.clashing(cases.docs(spark, data))
     kept = S.drop_near_dups(docs)
-    want = brute_components({r[0]: brute_print(r[1]) for r in data if r[0] is not None})
-    ids = [r["doc_id"] for r in kept.collect()]
     assert kept.columns == docs.columns
-    assert {i for i in ids if i is not None} == {i for i, c in want.items() if i == c} and ids.count(None) == 1
+    left = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    want = brute_kept(data)
+    assert len(left) == len(want) and all(any(x in group for group in want) for x in left)
+    assert all(sum(x in group for x in left) >= 1 for group in want)
+
+
+def test_rows_without_ids_and_with_one_id(spark):
+    text, other = "one two three four five six", "nothing like it in any of its words at all"
+    rows = [(1, text), (5, text), (5, other), (None, text), (None, text)]
+    for data, want in ((rows, [(1, text), (5, other)]), (rows[3:], [(None, text)]), ([rows[2]] * 3, [(5, other)])):
+        got = S.drop_near_dups(spark.createDataFrame(data, "doc_id long, text string"))
+        assert sorted(map(tuple, got.collect()), key=str) == want
 
 
 def test_empty_table(spark):
