@@ -1,19 +1,29 @@
 """Language-model scoring with a log-bilinear model trained by noise-contrastive estimation.
 
-A token's probability is that of its class in context times that of the token
-in its class.  Classes are the end of text, the ``TOP_WORDS`` most frequent
-words, one each, and ``SUFFIX_CLASSES`` classes of the other words by their
-last bytes without punctuation.  The log-bilinear model predicts the class: a position-weighted sum
-of the two classes before, as vectors, is matched with every class's vector.
-It is trained in numpy by noise-contrastive estimation from the class triples
-of all training text, counted by Spark (CLASSES ** 3 rows at most), and batched
-matrix products give its normalised log-probabilities.  In a class, tokens are
-smoothed by one, and a token never seen in training is one more token.
+The vocabulary is a tree of two levels, so the softmax over it is exact.  Below
+the root lie about as many classes as the square root of the number of modelled
+words (``Tree``): the end of text, the most frequent words, one class each, and
+classes of the other words by their last letters.  In a class lie its modelled
+words and one leaf for its rare words, which share it by their counts, smoothed
+by one; a word never seen in training is one more of them.
+
+The model is log-bilinear in three context symbols: the classes of the two words
+before, and the topic of the text so far, one of ``TOPICS``.  The context's
+vector is the sum of their vectors, weighted by position; a class's logit is its
+vector times that, plus its bias.  In a class, a word's logit is its vector times
+the topic's, plus the logarithm of its share of the class.  All vectors are
+trained in numpy by noise-contrastive estimation: every training token is told
+from classes drawn from the unigram distribution, or words drawn from its class.
+Each task goes through its part of the text, and the tasks' vectors are averaged
+by how much they have seen.  Batched matrix products give the tables of
+exponentials from which a text's normalised log-probabilities are read.
 
 Documents are packed into chunks of about ``CHUNK_TOKENS`` tokens, as numbers
 into the chunk's own word list.  Counts go the way of the words: per chunk and
 word one row is summed, and one comes back to the chunk; the most frequent
-words' counts are broadcast instead, so no word floods a task.
+words' counts are broadcast instead, so no word floods a task.  What is counted
+and trained grows with the text; memory for the tree is bounded by
+``BROADCAST_WORDS`` modelled words, beyond which words are rare.
 
 Defined results: NULL, empty and blank texts have only the end token.  A NULL
 doc_id trains and is not held out.  Rows repeated in the input count as often as they occur.
@@ -22,6 +32,7 @@ Without training text every base score is 0 and classes are equally likely.
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -31,21 +42,22 @@ from pyspark.sql import functions as F
 
 from pricebasket.llm.common import crc_mod, table, words_of, written
 
-TOP_WORDS, SUFFIX_CLASSES, SUFFIX_BYTES = 39, 40, 2
 MARKS = b".,;:!?\"'()[]"
-#: Class 0 is the end of text (and what precedes a text), then the top words, then the suffix classes.
-END, CLASSES = 0, 1 + TOP_WORDS + SUFFIX_CLASSES
+#: Class 0 is the end of text, and stands for what is before a text.
+END, LEAST_CLASSES = 0, 8
 CHUNK_TOKENS = 1_000_000
-#: Words whose counts are broadcast (a few dozen bytes each).
+#: Words that have a leaf of their own and whose counts are broadcast (about 150 bytes each).
 BROADCAST_WORDS = 100_000
-VECTOR, NOISE, STEPS, RATE, SEED = 32, 16, 250, 0.05, 5
+#: Topics, and tokens between two looks at a text's topic.
+TOPICS, TOPIC_TOKENS = 8, 16
+VECTOR, SEED, RATE = 16, 5, 0.1
+#: Tokens of a step, noise draws that a step's tokens share, and noise words of each token in its class.
+STEP, NOISE, WORD_NOISE = 2048, 64, 2
+#: A task of fewer tokens goes through them several times, up to so many in all.
+LEAST_TRAINED = 200_000
 CHUNK_KIND = ("chunk long, ids array<long>, held binary, sizes binary, codes binary, words array<binary>, counts array<int>")
 
 
-def suffix_class(word: bytes) -> int:
-    return 1 + TOP_WORDS + zlib.crc32(word.strip(MARKS)[-SUFFIX_BYTES:]) % SUFFIX_CLASSES
-
-
 def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modulus: int = 7, held: int = 2) -> DataFrame:
     """Documents as word numbers, a row a chunk: ids, held-out flags and sizes
     of its documents, their words' codes (int32), the chunk's distinct words
@@ -135,129 +147,400 @@ def _with_ends(values: np.ndarray, sizes: np.ndarray, end) -> tuple[np.ndarray,
     return out, starts
 
 
-def class_triples(classes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """(second before, first before, class) of each token as one number; END stands before a text."""
+def contexts(classes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The class before each token and the one before that; END stands before a text."""
     one = np.concatenate([[END], classes[:-1]]).astype(np.int64)
     one[starts] = END
     two = np.concatenate([[END], one[:-1]])
     two[starts] = END
-    return (two * CLASSES + one) * CLASSES + classes
-
-
-def _word_classes(words: list[bytes], top: dict[bytes, int]) -> np.ndarray:
-    return np.fromiter((top.get(w) or suffix_class(w) for w in words), np.int64, len(words))
-
-
-def _class_sizes(counts: DataFrame) -> DataFrame:
-    """(class, n): distinct words by suffix class, CLASSES rows at most."""
-
+    return one, two
+
+
+class Tree:
+    """Classes and leaves of the vocabulary.
+
+    ``leaf`` numbers the modelled words, those of a class in a row: class ``k``
+    has the leaves from ``first[k]`` to before ``first[k + 1]``."""
+
+    def __init__(self, frequent: dict[bytes, int]):
+        n = max(LEAST_CLASSES, math.ceil(math.sqrt(len(frequent))))
+        by_count = sorted(frequent, key=lambda w: (-frequent[w], w))
+        self.n_top = min(n // 2, len(by_count))
+        self.n_shared = n - self.n_top
+        self.n = 1 + n
+        self.top = {w: i + 1 for i, w in enumerate(by_count[:self.n_top])}
+        of = {w: self.class_of(w) for w in by_count}
+        words = sorted(by_count, key=lambda w: (of[w], -frequent[w], w))
+        self.leaf = {w: i for i, w in enumerate(words)}
+        self.leaf_class = np.array([of[w] for w in words], np.int64)
+        self.leaf_count = np.array([frequent[w] for w in words], np.int64)
+        self.first = np.searchsorted(self.leaf_class, np.arange(self.n + 1))
+
+    def class_of(self, word: bytes) -> int:
+        """A top word's own class, or one of the shared classes by the last two
+        letters without punctuation."""
+        own = self.top.get(word)
+        if own is not None:
+            return own
+        end = word.strip(MARKS)[-8:].decode("utf-8", "replace")[-2:]
+        return 1 + self.n_top + zlib.crc32(end.encode("utf-8", "surrogatepass")) % self.n_shared
+
+    def classes(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.class_of, words), np.int64, len(words))
+
+    def leaves(self, words: list[bytes]) -> np.ndarray:
+        """Leaf of each word, -1 for a rare one."""
+        get = self.leaf.get
+        return np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+
+    def fill(self, tokens: np.ndarray, distinct: np.ndarray, ends: int) -> None:
+        """Shares by counts: ``tokens`` and ``distinct`` words of training by class."""
+        self.ends = ends
+        self.tokens, self.distinct = tokens.copy(), distinct.copy()
+        self.tokens[END] = ends
+        self.total = int(self.tokens.sum())
+        self.vocabulary = int(distinct.sum()) + int(ends > 0)
+        self.unigram = (self.tokens + 1) / (self.total + self.n)
+        of_leaves = np.bincount(self.leaf_class, self.leaf_count, self.n)
+        n_leaves = np.diff(self.first)
+        # rare words of a class: their counts, each and a word not seen smoothed by one
+        self.rare_size = tokens - of_leaves + distinct - n_leaves + 1
+        whole = tokens + distinct + 1
+        single = np.arange(self.n) <= self.n_top
+        self.rare_share = np.where(single, 0.0, self.rare_size / whole)
+        self.leaf_share = np.where(single[self.leaf_class], 1.0, (self.leaf_count + 1) / whole[self.leaf_class])
+
+
+def class_totals(counts: DataFrame, tree: Tree) -> tuple[np.ndarray, np.ndarray]:
+    """Training tokens and distinct words by class, a row a class and task."""
     def count(batches):
-        total = np.zeros(CLASSES, np.int64)
+        tokens, distinct = np.zeros(tree.n, np.int64), np.zeros(tree.n, np.int64)
         for b in batches:
-            total += np.bincount(_word_classes(b.column(0).to_pylist(), {}), minlength=CLASSES)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["class", "n"])
-
-    return counts.select("word").mapInArrow(count, "class long, n long").groupBy("class").agg(F.sum("n").alias("n"))
-
-
-def triple_counts(packed: DataFrame, top: dict[bytes, int]) -> DataFrame:
-    """(triple, n): class triples of all training text, CLASSES ** 3 rows at most."""
-
+            of = tree.classes(b.column(0).to_pylist())
+            tokens += np.bincount(of, b.column(1).to_numpy(), tree.n).astype(np.int64)
+            distinct += np.bincount(of, minlength=tree.n)
+        at = np.flatnonzero(distinct)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(tokens[at]), pa.array(distinct[at])], names=["class", "c", "n"])
+
+    found = counts.select("word", "c").mapInArrow(count, "class long, c long, n long").groupBy("class").agg(
+        F.sum("c").alias("c"), F.sum("n").alias("n"))
+    tokens, distinct = np.zeros(tree.n, np.int64), np.zeros(tree.n, np.int64)
+    for r in found.collect():
+        tokens[r["class"]], distinct[r["class"]] = r["c"], r["n"]
+    return tokens, distinct
+
+
+def _training(row: dict, tree: Tree) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Classes and leaves of a chunk's training tokens with their ends, and the texts' starts."""
+    held, sizes, codes = _arrays(row)
+    codes, sizes = codes[np.repeat(~held, sizes)], sizes[~held]
+    classes, starts = _with_ends(tree.classes(row["words"])[codes], sizes, END)
+    leaves, _ = _with_ends(tree.leaves(row["words"])[codes], sizes, -1)
+    return classes, leaves, starts
+
+
+def pair_totals(packed: DataFrame, tree: Tree) -> np.ndarray:
+    """Training pairs (class, class after it); row END has the first classes of texts."""
     def count(batches):
-        total = np.zeros(CLASSES ** 3, np.int64)
+        total = np.zeros(tree.n ** 2, np.int64)
         for b in batches:
             for row in b.to_pylist():
-                held, sizes, codes = _arrays(row)
-                classes, starts = _with_ends(_word_classes(row["words"], top)[codes], sizes, END)
-                total += np.bincount(class_triples(classes, starts)[np.repeat(~held, sizes + 1)], minlength=len(total))
+                classes, _, starts = _training(row, tree)
+                if len(starts):
+                    one, _ = contexts(classes, starts)
+                    total += np.bincount(one * tree.n + classes, minlength=len(total))
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["triple", "n"])
-
-    found = packed.select("held", "sizes", "codes", "words").mapInArrow(count, "triple long, n long")
-    return found.groupBy("triple").agg(F.sum("n").alias("n"))
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["pair", "n"])
+
+    found = packed.select("held", "sizes", "codes", "words").mapInArrow(count, "pair long, n long").groupBy("pair").agg(
+        F.sum("n").alias("n")).toPandas()
+    return np.bincount(found["pair"].to_numpy(np.int64), found["n"].to_numpy(np.float64), tree.n ** 2).reshape(tree.n, tree.n)
+
+
+def topic_scores(pairs: np.ndarray, topics: int = TOPICS) -> np.ndarray:
+    """Log-probability of each class in each topic: classes are clustered by what
+    follows them (spherical k-means from the farthest first), and a topic is what
+    follows its classes."""
+    n = len(pairs)
+    rows = np.sqrt(pairs / np.maximum(1, pairs.sum(1, keepdims=True)))
+    weight = pairs.sum(1)
+    centres = rows[[int(weight.argmax())]]
+    while len(centres) < min(topics, n):
+        far = (1 - (rows @ centres.T).max(1)) * np.sqrt(weight)
+        centres = np.concatenate([centres, rows[[int(far.argmax())]]])
+    for _ in range(20):
+        of = (rows @ centres.T).argmax(1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, of, rows * weight[:, None])
+        centres = sums / np.maximum(1e-12, np.linalg.norm(sums, axis=1, keepdims=True))
+    follow = np.zeros((len(centres), n))
+    np.add.at(follow, of, pairs)
+    prior = pairs.sum(0) + 1
+    follow += prior / prior.sum() * 10  # a topic says little of classes it has hardly met
+    scores = np.log(follow / follow.sum(1, keepdims=True)).T
+    return np.pad(scores, ((0, 0), (0, topics - scores.shape[1])), constant_values=-1e9)
+
+
+def topics_so_far(classes: np.ndarray, sizes: np.ndarray, starts: np.ndarray, scores: np.ndarray) -> np.ndarray:
+    """Per token the likeliest topic of its text up to the last multiple of
+    ``TOPIC_TOKENS``; ``TOPICS`` for a text's first tokens."""
+    parts = -(-(sizes + 1) // TOPIC_TOKENS)
+    nth = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
+    begin = np.repeat(starts, parts) + nth * TOPIC_TOKENS
+    sums = np.add.reduceat(scores[classes], begin, axis=0)
+    before = np.cumsum(sums, axis=0) - sums
+    before -= np.repeat(before[np.cumsum(parts) - parts], parts, axis=0)
+    topic = np.where(nth == 0, scores.shape[1], before.argmax(1))
+    return np.repeat(topic, np.diff(np.append(begin, len(classes))))
+
+
+def _sums_by_row(at: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(at, kind="stable")
+    rows = at[order]
+    first = np.flatnonzero(np.diff(rows, prepend=-1))
+    return rows[first], np.add.reduceat(values[order], first)
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+class Params:
+    """Arrays that are trained by AdaGrad, some rows a step."""
+
+    def __init__(self, arrays: list[np.ndarray]):
+        self.arrays = [x.astype(np.float32) for x in arrays]
+        self.seen = [np.full_like(x, 1e-6) for x in self.arrays]
+
+    def step(self, i: int, rows: np.ndarray | slice, gradient: np.ndarray, rate: float) -> None:
+        self.seen[i][rows] += gradient * gradient
+        self.arrays[i][rows] -= rate * gradient / np.sqrt(self.seen[i][rows])
+
+    def scatter(self, i: int, at: np.ndarray, gradients: np.ndarray, rate: float) -> None:
+        rows, sums = _sums_by_row(at, gradients)
+        self.step(i, rows, sums, rate)
 
 
 class LogBilinear:
-    """Class vectors as context and as prediction, position weights and biases."""
+    """Vectors of the classes as context, of the topics, and of the classes and
+    the leaves as prediction; position weights and biases."""
 
-    def __init__(self, unigram: np.ndarray):
+    def __init__(self, tree: Tree, scores: np.ndarray):
         rng = np.random.default_rng(SEED)
-        self.context = rng.normal(0, 0.1, (2, CLASSES, VECTOR))  # of the first and the second class before
-        self.target = rng.normal(0, 0.1, (CLASSES, VECTOR))
-        self.bias = np.log(unigram)
-
-    def fit(self, counts: np.ndarray, unigram: np.ndarray) -> None:
-        """Noise-contrastive estimation: tell a text's classes (``counts`` by
-        context and class) from ``NOISE`` times as many draws of the unigram
-        distribution, taken at their exact expected numbers, by Adam on all
-        contexts at once."""
-        total = counts.sum()
-        data = counts / total
-        noise = NOISE * data.sum(1, keepdims=True) * unigram
-        log_noise = np.log(NOISE * unigram)
-        params = (self.context, self.target, self.bias)
-        first = [np.zeros_like(x) for x in params]
-        second = [np.zeros_like(x) for x in params]
-        for step in range(1, STEPS + 1):
-            wish = self._wishes()
-            p = 1 / (1 + np.exp(-np.clip(wish @ self.target.T + self.bias - log_noise, -30, 30)))
-            g = (p - 1) * data + p * noise
-            d_wish = (g @ self.target).reshape(CLASSES, CLASSES, VECTOR)
-            grads = np.stack([d_wish.sum(0), d_wish.sum(1)]), g.T @ wish, g.sum(0)
-            pace = RATE * min(1.0, 2 * (1 - step / STEPS))
-            for x, m, v, d in zip(params, first, second, grads, strict=True):
-                m += 0.1 * (d - m)
-                v += 0.01 * (d * d - v)
-                x -= pace * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-10)
-
-    def _wishes(self) -> np.ndarray:
-        """The predicted vector of each context (second class before, first class before)."""
-        return (self.context[1][:, None] + self.context[0][None]).reshape(-1, VECTOR)
-
-    def log_table(self) -> np.ndarray:
-        """Normalised log10 probabilities of all classes in all contexts, by matrix products a batch of contexts."""
-        out = []
-        for wish in np.array_split(self._wishes(), CLASSES):
-            z = wish @ self.target.T + self.bias
-            out.append(z - np.logaddexp.reduce(z, axis=1, keepdims=True))
-        return np.concatenate(out).reshape(-1) / np.log(10)
+        self.tree, self.scores = tree, scores
+        self.context = rng.normal(0, 0.3, (tree.n, VECTOR)).astype(np.float32)
+        self.topic = rng.normal(0, 0.3, (TOPICS + 1, VECTOR)).astype(np.float32)
+        self.position = np.ones((3, VECTOR), np.float32)
+        self.target = np.zeros((tree.n, VECTOR), np.float32)
+        self.bias = np.log(tree.unigram).astype(np.float32)
+        self.word = np.zeros((len(tree.leaf_class), VECTOR), np.float32)
+
+    PARTS = ("context", "topic", "position", "target", "bias")
+
+    def flat(self, params: Params) -> np.ndarray:
+        return np.concatenate([x.reshape(-1) for x in params.arrays])
+
+    def set_flat(self, values: np.ndarray) -> None:
+        at = 0
+        for name in self.PARTS:
+            x = getattr(self, name)
+            setattr(self, name, values[at:at + x.size].reshape(x.shape).astype(np.float32))
+            at += x.size
+
+    def params(self) -> Params:
+        return Params([getattr(self, name) for name in self.PARTS])
+
+    def learn_classes(self, p: Params, one, two, topic, target, rng, rate: float) -> None:
+        """A step: these tokens' classes against ``NOISE`` classes drawn for all of them."""
+        r, q, pos, u, b = p.arrays
+        noise = np.searchsorted(self.cumulative, rng.random(NOISE), "right")
+        parts = r[one], r[two], q[topic]
+        h = sum(x * w for x, w in zip(parts, pos, strict=True))
+        log_noise = np.log(NOISE * self.tree.unigram).astype(np.float32)
+        g = _sigmoid((h * u[target]).sum(1) + b[target] - log_noise[target]) - 1
+        gn = _sigmoid(h @ u[noise].T + b[noise] - log_noise[noise])
+        dh = g[:, None] * u[target] + gn @ u[noise]
+        at = np.concatenate([target, noise])
+        p.scatter(3, at, np.concatenate([g[:, None] * h, gn.T @ h]), rate)
+        p.scatter(4, at, np.concatenate([g, gn.sum(0)]), rate / 4)
+        p.scatter(0, np.concatenate([one, two]), np.concatenate([dh * pos[0], dh * pos[1]]), rate)
+        p.scatter(1, topic, dh * pos[2], rate)
+        p.step(2, slice(None), np.stack([(x * dh).sum(0) for x in parts]), rate / 4)
+
+    def learn_words(self, p: Params, leaf, topic, rng, rate: float) -> None:
+        """A step: these tokens' leaves against ``WORD_NOISE`` draws each of their class."""
+        q, v = self.topic[topic] * self.position[2], p.arrays[0]
+        draw = self.tree.leaf_class[leaf][:, None] + rng.random((len(leaf), WORD_NOISE))
+        noise = np.searchsorted(self.leaf_cumulative, draw, "right")
+        # a draw beyond its class's leaves is one of the rare words, whose vector stays zero
+        real = (noise < len(v)) & (self.tree.leaf_class[np.minimum(noise, len(v) - 1)] == self.tree.leaf_class[leaf][:, None])
+        noise = np.where(real, noise, 0)
+        g = _sigmoid((q * v[leaf]).sum(1) - math.log(WORD_NOISE)) - 1
+        gn = _sigmoid((q[:, None] * v[noise]).sum(2) - math.log(WORD_NOISE)) * real
+        p.scatter(0, np.concatenate([leaf, noise.reshape(-1)]),
+                  np.concatenate([g[:, None] * q, (gn[:, :, None] * q[:, None]).reshape(-1, VECTOR)]), rate)
+
+    def prepare(self) -> None:
+        self.cumulative = np.cumsum(self.tree.unigram)
+        self.cumulative[-1] = 1.0
+        share = np.cumsum(self.tree.leaf_share)
+        before = np.concatenate([[0.0], share])[self.tree.first[:-1]]
+        self.leaf_cumulative = np.minimum(share - before[self.tree.leaf_class], 1.0) + self.tree.leaf_class
+
+    def tables(self) -> dict[str, np.ndarray]:
+        """Exponentials of the parts of every logit, by matrix products: by the class
+        before, the one before that and the topic, for classes; by the topic, for
+        leaves, with each class's sum over its leaves."""
+        u = self.target.astype(np.float64).T
+        one, two = (np.exp((self.context * w) @ u) for w in self.position[:2].astype(np.float64))
+        three = np.exp((self.topic * self.position[2].astype(np.float64)) @ u + self.bias)
+        leaf = np.exp((self.topic * self.position[2]).astype(np.float64) @ self.word.astype(np.float64).T) * self.tree.leaf_share
+        sums = np.concatenate([np.zeros((TOPICS + 1, 1)), np.cumsum(leaf, axis=1)], axis=1)
+        inside = sums[:, self.tree.first[1:]] - sums[:, self.tree.first[:-1]] + self.tree.rare_share
+        return {"one": one.astype(np.float32), "two": two.astype(np.float32), "three": three.astype(np.float32),
+                "leaf": np.log10(np.maximum(leaf, 1e-300)), "inside": np.log10(np.where(inside > 0, inside, 1.0))}
+
+
+#: Distinct contexts whose sums over the classes are taken at once.
+CONTEXTS_AT_ONCE = 4096
+
+
+def class_logs(tables: dict, one: np.ndarray, two: np.ndarray, topic: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """log10 of the normalised probability of each class in its context."""
+    a, b, c = tables["one"], tables["two"], tables["three"]
+    n = len(a)
+    context, at = np.unique((one * n + two) * (TOPICS + 1) + topic, return_inverse=True)
+    total = np.empty(len(context))
+    for lo in range(0, len(context), CONTEXTS_AT_ONCE):
+        part = context[lo:lo + CONTEXTS_AT_ONCE]
+        pair, z = part // (TOPICS + 1), part % (TOPICS + 1)
+        x = a[pair // n]
+        x *= b[pair % n]
+        total[lo:lo + len(part)] = np.einsum("ij,ij->i", x, c[z], dtype=np.float64)
+    wish = a[one, target].astype(np.float64) * b[two, target] * c[topic, target]
+    return np.log10(wish / total[at])
+
+
+def _task_seed(row: dict) -> int:
+    return SEED + int(row["chunk"]) % (1 << 31)
+
+
+def _average_classes(packed: DataFrame, model: LogBilinear) -> np.ndarray | None:
+    """The tasks' class parameters after their part of the text, averaged by tokens."""
+    spark = packed.sparkSession
+    shared = spark.sparkContext.broadcast(model)
+
+    def learn(batches):
+        m = shared.value
+        m.prepare()
+        p, seen = m.params(), 0
+        for b in batches:
+            for row in b.to_pylist():
+                classes, _, starts = _training(row, m.tree)
+                if not len(starts):
+                    continue
+                one, two = contexts(classes, starts)
+                topic = topics_so_far(classes, np.diff(np.append(starts, len(classes))) - 1, starts, m.scores)
+                rng = np.random.default_rng(_task_seed(row))
+                for turn in range(max(1, LEAST_TRAINED // len(classes))):
+                    order = rng.permutation(len(classes))
+                    for lo in range(0, len(order), STEP):
+                        x = order[lo:lo + STEP]
+                        m.learn_classes(p, one[x], two[x], topic[x], classes[x], rng, RATE / (1 + turn / 4))
+                seen += len(classes)
+        if seen:
+            yield pa.RecordBatch.from_arrays([pa.array([float(seen)]), pa.array([(m.flat(p) * np.float32(seen)).tobytes()])],
+                                             names=["n", "sums"])
+
+    def add(batches):
+        n, total = 0.0, None
+        for b in batches:
+            for k, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                x = np.frombuffer(x, np.float32).astype(np.float64)
+                n, total = n + k, x if total is None else total + x
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([total.tobytes()])], names=["n", "sums"])
+
+    # a row of some 100 kB a task: added up in a few tasks, so the driver gets a few
+    rows = written(packed.select("chunk", "held", "sizes", "codes", "words").mapInArrow(learn, "n double, sums binary"), "lm-classes")
+    few = rows.repartition(8).mapInArrow(add, "n double, sums binary").collect()
+    if not few:
+        return None
+    return sum(np.frombuffer(r["sums"], np.float64) for r in few) / sum(r["n"] for r in few)
+
+
+def _average_words(packed: DataFrame, model: LogBilinear) -> np.ndarray:
+    """The leaves' vectors likewise, each averaged over the tasks that met it by how often they did."""
+    shared = packed.sparkSession.sparkContext.broadcast(model)
+    names = [f"v{i}" for i in range(VECTOR)]
+
+    def learn(batches):
+        m = shared.value
+        m.prepare()
+        p, met = Params([m.word]), np.zeros(len(m.word))
+        for b in batches:
+            for row in b.to_pylist():
+                classes, leaves, starts = _training(row, m.tree)
+                if not len(starts):
+                    continue
+                topic = topics_so_far(classes, np.diff(np.append(starts, len(classes))) - 1, starts, m.scores)
+                mine = np.flatnonzero((leaves >= 0) & (classes > m.tree.n_top))  # a top word is all of its class
+                leaves, topic = leaves[mine], topic[mine]
+                met += np.bincount(leaves, minlength=len(met))
+                rng = np.random.default_rng(_task_seed(row))
+                for turn in range(max(1, LEAST_TRAINED // len(classes))):
+                    order = rng.permutation(len(leaves))
+                    for lo in range(0, len(order), STEP):
+                        x = order[lo:lo + STEP]
+                        m.learn_words(p, leaves[x], topic[x], rng, RATE / (1 + turn / 4))
+        at = np.flatnonzero(met)
+        if len(at):
+            sums = p.arrays[0][at] * met[at, None].astype(np.float32)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(met[at]), *[pa.array(sums[:, i]) for i in range(VECTOR)]],
+                                             names=["leaf", "n", *names])
+
+    kind = "leaf long, n double, " + ", ".join(f"{v} float" for v in names)
+    found = packed.select("chunk", "held", "sizes", "codes", "words").mapInArrow(learn, kind)
+    sums = found.groupBy("leaf").agg(F.sum("n").alias("n"), *[F.sum(v).cast("float").alias(v) for v in names]).toPandas()
+    out = np.zeros_like(model.word)  # BROADCAST_WORDS rows at most
+    out[sums["leaf"].to_numpy(np.int64)] = sums[names].to_numpy(np.float32) / sums[["n"]].to_numpy(np.float32)
+    return out
+
+
+def train(packed: DataFrame, counts: DataFrame) -> LogBilinear:
+    """The model of the training documents of ``packed`` and their words' ``counts``."""
+    tree = Tree(frequent_words(counts, BROADCAST_WORDS))
+    tokens, distinct = class_totals(counts, tree)
+    ends = packed.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("held")), lambda i: F.substring("held", i, 1))).alias("h"))
+    tree.fill(tokens, distinct, ends.where(F.col("h") == F.lit(b"\x00")).count())
+    pairs = pair_totals(packed, tree)
+    model = LogBilinear(tree, topic_scores(pairs))
+    learnt = _average_classes(packed, model) if tree.total else None
+    if learnt is not None:
+        model.set_flat(learnt)
+        if len(tree.leaf_class):
+            model.word = _average_words(packed, model)
+    return model
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modulus: int = 7, held: int = 2) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score and score, both log10 probabilities of the whole text."""
-    spark = docs.sparkSession
     packed = chunks(docs, id_col, text_col, modulus, held)
     counts = word_counts(packed)
-    frequent = frequent_words(counts)
-    most = sorted(frequent, key=lambda w: (-frequent[w], w))[:TOP_WORDS]
-    top = {w: i + 1 for i, w in enumerate(most)}
-
-    # sizes of the classes: tokens and distinct words of each
-    triples = triple_counts(packed, top).orderBy("triple").toPandas()
-    t, n = triples["triple"].to_numpy(np.int64), triples["n"].to_numpy(np.int64)
-    of_class = np.bincount(t % CLASSES, n, CLASSES) if len(t) else np.zeros(CLASSES)
-    distinct = np.zeros(CLASSES)
-    for r in _class_sizes(counts).collect():
-        distinct[r["class"]] = r["n"]
-    v = int(distinct.sum()) + int(of_class[END] > 0)
-    for w in top:
-        distinct[suffix_class(w)] -= 1
-    tokens = int(of_class.sum())
-    unigram = (of_class + 1) / (tokens + CLASSES)
-    model = LogBilinear(unigram)
-    if tokens:
-        model.fit(np.bincount(t, n, CLASSES ** 3).reshape(-1, CLASSES), unigram)
-    shared = spark.sparkContext.broadcast({
-        "table": model.log_table(), "top": top, "frequent": frequent, "ends": int(of_class[END]), "tokens": tokens,
-        "base": np.log10(tokens + v + 1),
-        # a class of one token gives it everything, another class (c + 1) over this
-        "within": np.log10(of_class + distinct + 1), "single": np.arange(CLASSES) <= TOP_WORDS})
+    return score_with(packed, counts, train(packed, counts))
+
+
+def score_with(packed: DataFrame, counts: DataFrame, model: LogBilinear) -> DataFrame:
+    """``score`` of packed documents by a trained model."""
+    tree = model.tree
+    shared = packed.sparkSession.sparkContext.broadcast({
+        "tree": tree, "scores": model.scores, "tables": model.tables(), "base": np.log10(tree.total + tree.vocabulary + 1),
+        "rare_log": np.log10(np.where(tree.rare_share > 0, tree.rare_share, 1.0)), "rare_size": np.log10(np.maximum(tree.rare_size, 1))})
 
     def ask(batches):
         """The words of a chunk whose counts aren't broadcast."""
-        known = shared.value["frequent"]
+        known = shared.value["tree"].leaf
         for b in batches:
             for chunk, words in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 at = np.array([i for i, w in enumerate(words) if w not in known], np.int32)
@@ -269,36 +552,44 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modul
     told = asked.join(counts, "word").select(F.col("chunk").alias("of_chunk"), "place", "c")
 
     def slim(batches):
-        """A chunk with its words' classes and broadcast counts (0 if not) in place of the words."""
-        m = shared.value
+        """A chunk with its words' classes and leaves in place of the words."""
+        tree = shared.value["tree"]
         for b in batches:
             for row in b.to_pylist():
                 words = row.pop("words")
-                row["classes"] = _word_classes(words, m["top"]).astype(np.uint8).tobytes()
-                row["known"] = np.fromiter((m["frequent"].get(w, 0) for w in words), np.int64, len(words)).tobytes()
+                row["classes"] = tree.classes(words).astype(np.int16).tobytes()
+                row["leaves"] = tree.leaves(words).astype(np.int32).tobytes()
                 kinds = [pa.int64(), pa.list_(pa.int64())] + [pa.binary()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row.values(), kinds, strict=True)], names=list(row))
 
     slimmed = packed.drop("counts").mapInArrow(
-        slim, "chunk long, ids array<long>, held binary, sizes binary, codes binary, classes binary, known binary")
+        slim, "chunk long, ids array<long>, held binary, sizes binary, codes binary, classes binary, leaves binary")
 
     def rate(left: pa.Table, right: pa.Table) -> pa.Table:
         m = shared.value
+        tree, tables = m["tree"], m["tables"]
         row = left.to_pylist()[0]
         flags, sizes, codes = _arrays(row)
-        c = np.frombuffer(row["known"], np.int64).copy()
+        of_word = np.frombuffer(row["classes"], np.int16).astype(np.int64)
+        leaf = np.frombuffer(row["leaves"], np.int32).astype(np.int64)
+        c = np.where(leaf >= 0, tree.leaf_count[leaf], 0) if len(tree.leaf_count) else np.zeros(len(leaf), np.int64)
         c[right.column("place").to_numpy()] = right.column("c").to_numpy()
-        of_word = np.frombuffer(row["classes"], np.uint8).astype(np.int64)
-        within = np.where(m["single"][of_word], 0.0, np.log10(c + 1) - m["within"][of_word])
         classes, starts = _with_ends(of_word[codes], sizes, END)
-        in_class, _ = _with_ends(within[codes], sizes, 0.0)
-        base, _ = _with_ends(np.log10(c + 1)[codes], sizes, np.log10(m["ends"] + 1))
-        seen, _ = _with_ends((c > 0).astype(np.int64)[codes], sizes, int(m["ends"] > 0))
-        log_p = m["table"][class_triples(classes, starts)] + in_class
+        base, _ = _with_ends(np.log10(c + 1)[codes], sizes, np.log10(tree.ends + 1))
+        seen, _ = _with_ends((c > 0).astype(np.int64)[codes], sizes, int(tree.ends > 0))
+        one, two = contexts(classes, starts)
+        topic = topics_so_far(classes, sizes, starts, m["scores"])
+        log_p = class_logs(tables, one, two, topic, classes)
+        # the word in its class: its leaf's share, or that of the rare words times its own among them
+        leaves, _ = _with_ends(leaf[codes], sizes, -1)
+        rare, _ = _with_ends((np.log10(c + 1) + (m["rare_log"] - m["rare_size"])[of_word])[codes], sizes, 0.0)
+        own = np.flatnonzero(leaves >= 0)
+        rare[own] = tables["leaf"][topic[own], leaves[own]]
+        inside = np.where(classes == END, 0.0, rare - tables["inside"][topic, classes])
         return pa.table({
             "doc_id": pa.array(row["ids"], pa.int64()), "held_out": pa.array(flags), "n_tokens": pa.array(sizes + 1),
-            "n_known": np.add.reduceat(seen, starts), "train_tokens": pa.array(np.full(len(sizes), m["tokens"])),
-            "base_score": np.add.reduceat(base, starts) - (sizes + 1) * m["base"], "score": np.add.reduceat(log_p, starts)})
+            "n_known": np.add.reduceat(seen, starts), "train_tokens": pa.array(np.full(len(sizes), tree.total)),
+            "base_score": np.add.reduceat(base, starts) - (sizes + 1) * m["base"], "score": np.add.reduceat(log_p + inside, starts)})
 
     return slimmed.groupBy("chunk").cogroup(told.groupBy("of_chunk")).applyInArrow(
         rate, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -41,39 +41,81 @@ def rows_of(df):
 @pytest.mark.parametrize("chunk, broadcast", [(1_000_000, 100_000), (50, 3)])
 def test_base_matches_brute_force(spark, monkeypatch, chunk, broadcast):
     monkeypatch.setattr(L, "CHUNK_TOKENS", chunk)
-    monkeypatch.setattr(L.frequent_words, "__defaults__", (broadcast,))
-    monkeypatch.setattr(L, "STEPS", 5)
+    monkeypatch.setattr(L, "BROADCAST_WORDS", broadcast)
+    monkeypatch.setattr(L, "LEAST_TRAINED", 500)
     want, _ = brute(cases.rows())
     assert rows_of(L.score(cases.clashing(cases.docs(spark)))) == want
 
 
-def test_chunking_does_not_change_the_score(spark, monkeypatch):
-    """Also against the model applied token by token."""
+def brute_score(model, counts, text):
+    """log10 probability of a text from the model's vectors, token by token, each
+    softmax written out over all classes and all words of the class; and the sums
+    of the probabilities that they give."""
+    tree, known = model.tree, {w: c for w, c in counts.items() if w is not None}
+    of = lambda w: L.END if w is None else tree.class_of(w)
+    members = {}
+    for w in known:
+        members.setdefault(of(w), []).append(w)
+    total, sums, before, topic = 0.0, [], [], L.TOPICS
+    for n, w in enumerate(tokens(text)):
+        if n % L.TOPIC_TOKENS == 0 and n:
+            topic = int(sum(model.scores[k] for k in before).argmax())
+        ctx = [before[-1] if n else L.END, before[-2] if n > 1 else L.END]
+        q = model.topic[topic].astype(float) * model.position[2]
+        h = model.context[ctx[0]].astype(float) * model.position[0] + model.context[ctx[1]].astype(float) * model.position[1] + q
+        logits = [float(h @ model.target[k].astype(float)) + float(model.bias[k]) for k in range(tree.n)]
+        z = [math.exp(x) for x in logits]
+        k = of(w)
+        total += math.log10(z[k] / sum(z))
+        if k > tree.n_top:  # a class of many words, and one not seen
+            n_c, v_c = sum(counts[x] for x in members.get(k, [])), len(members.get(k, []))
+            wish = {x: (counts[x] + 1) / (n_c + v_c + 1) * math.exp(float(q @ model.word[tree.leaf[x]].astype(float)) if x in tree.leaf else 0.0)
+                    for x in members.get(k, [])}
+            unseen = 1 / (n_c + v_c + 1)
+            total += math.log10(wish.get(w, unseen) / (sum(wish.values()) + unseen))
+        before.append(k)
+    return total
+
+
+@pytest.mark.parametrize("modelled", [100_000, 30])
+def test_scores_are_the_normalised_probabilities(spark, monkeypatch, modelled):
+    """Against the model applied token by token, rare and unseen words included; in
+    one chunk and in many."""
+    monkeypatch.setattr(L, "BROADCAST_WORDS", modelled)
+    monkeypatch.setattr(L, "LEAST_TRAINED", 5000)
     data = [r for r in cases.rows(40, 8) if r[0] is not None and r[0] < 900]
-    monkeypatch.setattr(L, "STEPS", 20)
-    kept = {}
-    table = L.LogBilinear.log_table
-    monkeypatch.setattr(L.LogBilinear, "log_table", lambda m: kept.setdefault("table", table(m)))
-    a = {r["doc_id"]: r["score"] for r in L.score(cases.docs(spark, data)).collect()}
+    data.append((2, "words that were never seen in any of it", "en", "s", 1))
     _, c = brute(data)
-    top = [w for w, _ in sorted(((w, n) for w, n in c.items() if w is not None), key=lambda x: (-x[1], x[0]))[:L.TOP_WORDS]]
-    of = lambda w: L.END if w is None else 1 + top.index(w) if w in top else L.suffix_class(w)
-    size, distinct = Counter(), Counter()
-    for w, n in c.items():
-        size[of(w)] += n
-        distinct[of(w)] += 1
-    for i, text, *_ in data:
-        one, two, total = L.END, L.END, 0.0
-        for w in tokens(text):
-            k = of(w)
-            total += kept["table"][(two * L.CLASSES + one) * L.CLASSES + k]
-            total += 0 if k <= L.TOP_WORDS else math.log10((c[w] + 1) / (size[k] + distinct[k] + 1))
-            two, one = one, k
-        assert math.isclose(a[i], total, rel_tol=1e-9)
-    kept.clear()
+    packed = L.chunks(cases.docs(spark, data))
+    counts = L.word_counts(packed)
+    model = L.train(packed, counts)
+    assert np.abs(model.target).sum() > 0 and np.abs(model.word).sum() > 0
     monkeypatch.setattr(L, "CHUNK_TOKENS", 30)
-    b = {r["doc_id"]: r["score"] for r in L.score(cases.docs(spark, data)).collect()}
-    assert a.keys() == b.keys() and all(math.isclose(a[i], b[i], rel_tol=1e-9) for i in a)
+    many = L.chunks(cases.docs(spark, data))
+    assert many.count() > packed.count()
+    for chunked in (packed, many):
+        got = {(r["doc_id"], r["n_tokens"]): r["score"] for r in L.score_with(chunked, counts, model).collect()}
+        for i, text, *_ in data:
+            assert math.isclose(got[i, len(tokens(text))], brute_score(model, c, text), rel_tol=1e-5)
+
+
+def test_a_larger_vocabulary_has_more_classes():
+    sizes = [L.Tree({f"word{i}".encode(): 5 for i in range(n)}).n for n in (0, 100, 2500, 40_000)]
+    assert sizes == [9, 11, 51, 201]
+    tree = L.Tree({w.encode(): 9 - len(w) for w in ("é", "thé,", "the", "then", "when", "where")})
+    assert tree.class_of("soigné".encode()) == tree.class_of("abîgné!".encode())
+    assert sorted(tree.leaf.values()) == list(range(6)) and tree.first[-1] == 6
+
+
+def test_topics_follow_the_text():
+    scores = np.zeros((10, L.TOPICS))
+    scores[1:5, 2], scores[5:, 3] = 1.0, 1.0
+    sizes = np.array([40, 3, 20])
+    starts = np.cumsum(sizes + 1) - sizes - 1
+    classes = np.concatenate([np.full(41, 2), np.full(4, 7), np.full(21, 6)])
+    got = L.topics_so_far(classes, sizes, starts, scores)
+    none, n = L.TOPICS, L.TOPIC_TOKENS
+    assert got.tolist() == [none] * n + [2] * (41 - n) + [none] * 4 + [none] * n + [3] * (21 - n)
 
 
 def test_held_out_text_is_likelier_than_by_the_base(spark):
@@ -92,19 +134,33 @@ def test_frequent_words_are_bounded(spark):
     assert L.frequent_words(same, 19) == {} and len(L.frequent_words(same, 20)) == 20
 
 
-def test_noise_contrast_recovers_normalised_probabilities():
-    """Trained on the counts of a known model, the table is normalised and near to it."""
+def test_drawn_noise_recovers_the_probabilities():
+    """Trained on a known chain of classes, the normalised model is far nearer to it than the unigram is."""
     rng = np.random.default_rng(1)
-    n = L.CLASSES
-    truth = rng.dirichlet(np.full(n, 5.0), size=n)  # by the first class before
-    counts = np.tile(truth * 1000, (n, 1))
-    unigram = counts.sum(0) / counts.sum()
-    m = L.LogBilinear(unigram)
-    m.fit(counts, unigram)
-    p = 10 ** m.log_table().reshape(-1, n)
-    assert np.allclose(p.sum(1), 1)
-    entropy = lambda q: -(counts * np.log(q)).sum() / counts.sum()
-    assert entropy(np.tile(truth, (n, 1))) < entropy(p) < entropy(np.tile(unigram, (n * n, 1))) - 0.01
+    words = {f"w{i}".encode(): 1000 - i for i in range(12)}
+    tree = L.Tree(words)
+    truth = rng.dirichlet(np.full(tree.n, 0.5), size=tree.n)
+    chain = [1]
+    for _ in range(40_000):
+        chain.append(int(rng.choice(tree.n, p=truth[chain[-1]])))
+    chain = np.array(chain)
+    tree.fill(np.bincount(chain, minlength=tree.n), np.ones(tree.n, np.int64), 1)
+    model = L.LogBilinear(tree, np.zeros((tree.n, L.TOPICS)))
+    model.prepare()
+    p, none = model.params(), np.full(len(chain) - 2, L.TOPICS)
+    one, two, target = chain[1:-1], chain[:-2], chain[2:]
+    for turn in range(10):
+        for lo in range(0, len(target), 500):
+            x = slice(lo, lo + 500)
+            model.learn_classes(p, one[x], two[x], none[x], target[x], rng, 0.1)
+    before = L.class_logs(model.tables(), one, two, none, target).mean()
+    model.set_flat(model.flat(p))
+    after = L.class_logs(model.tables(), one, two, none, target).mean()
+    best = np.log10(truth[one, target]).mean()
+    assert before < after < best + 0.01 and after - before > 0.6 * (best - before)
+    every = [10 ** L.class_logs(model.tables(), np.full(tree.n, a), np.full(tree.n, b), np.full(tree.n, 3), np.arange(tree.n)).astype(float)
+             for a, b in ((1, 2), (0, 0), (5, 3))]
+    assert np.allclose([x.sum() for x in every], 1, atol=1e-5)
 
 
 def test_empty_and_untrained(spark):
