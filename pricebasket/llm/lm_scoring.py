@@ -51,11 +51,19 @@ BROADCAST_WORDS = 100_000
 #: Topics, and tokens between two looks at a text's topic.
 TOPICS, TOPIC_TOKENS = 8, 16
 VECTOR, SEED, RATE = 16, 5, 0.1
-#: Tokens of a step, noise draws that a step's tokens share, and noise words of each token in its class.
-STEP, NOISE, WORD_NOISE = 2048, 64, 2
+#: Tokens of a step, noise draws that a step's tokens share, and noise words drawn for each token from its class.
+STEP, NOISE, WORD_NOISE = 8192, 64, 2
+#: Steps of the words' vectors over a task's counts.
+WORD_STEPS = 40
 #: A task of fewer tokens goes through them several times, up to so many in all.
 LEAST_TRAINED = 200_000
-CHUNK_KIND = ("chunk long, ids array<long>, held binary, sizes binary, codes binary, words array<binary>, counts array<int>")
+CHUNK_KIND = ("chunk long, ids array<long>, held binary, sizes binary, codes binary, words array<binary>, "
+              "endings array<int>, counts array<int>")
+
+
+def ending(word: bytes) -> int:
+    """A hash of the last two letters without punctuation."""
+    return zlib.crc32(word.strip(MARKS)[-8:].decode("utf-8", "replace")[-2:].encode("utf-8")) >> 1
 
 
 def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modulus: int = 7, held: int = 2) -> DataFrame:
@@ -75,11 +83,11 @@ def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modu
             counts = np.bincount(np.concatenate(train) if train else np.zeros(0, np.int32), minlength=len(codes))
             row = [(task << 24) + n, ids, np.array(flags, np.uint8).tobytes(),
                    np.array([len(p) for p in parts], np.int32).tobytes(), _planes(np.concatenate(parts)), list(codes),
-                   counts.astype(np.int32)]
+                   list(map(ending, codes)), counts.astype(np.int32)]
             n, ids, flags, parts, codes, tokens = n + 1, [], [], [], {}, 0
-            kinds = [pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int32())]
+            kinds = [pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.int32())]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)],
-                                              names=["chunk", "ids", "held", "sizes", "codes", "words", "counts"])
+                                              names=["chunk", "ids", "held", "sizes", "codes", "words", "endings", "counts"])
 
         for b in batches:
             for i, h, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
@@ -177,16 +185,15 @@ class Tree:
         self.first = np.searchsorted(self.leaf_class, np.arange(self.n + 1))
 
     def class_of(self, word: bytes) -> int:
-        """A top word's own class, or one of the shared classes by the last two
-        letters without punctuation."""
-        own = self.top.get(word)
-        if own is not None:
-            return own
-        end = word.strip(MARKS)[-8:].decode("utf-8", "replace")[-2:]
-        return 1 + self.n_top + zlib.crc32(end.encode("utf-8", "surrogatepass")) % self.n_shared
+        """A top word's own class, or one of the shared classes by its ending."""
+        return self.top.get(word) or 1 + self.n_top + ending(word) % self.n_shared
 
-    def classes(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.class_of, words), np.int64, len(words))
+    def classes(self, leaves: np.ndarray, endings: np.ndarray) -> np.ndarray:
+        """The same for words given by their leaves and endings."""
+        out = 1 + self.n_top + endings.astype(np.int64) % self.n_shared
+        own = leaves >= 0
+        out[own] = self.leaf_class[leaves[own]]
+        return out
 
     def leaves(self, words: list[bytes]) -> np.ndarray:
         """Leaf of each word, -1 for a rare one."""
@@ -216,7 +223,8 @@ def class_totals(counts: DataFrame, tree: Tree) -> tuple[np.ndarray, np.ndarray]
     def count(batches):
         tokens, distinct = np.zeros(tree.n, np.int64), np.zeros(tree.n, np.int64)
         for b in batches:
-            of = tree.classes(b.column(0).to_pylist())
+            words = b.column(0).to_pylist()
+            of = tree.classes(tree.leaves(words), np.fromiter(map(ending, words), np.int64, len(words)))
             tokens += np.bincount(of, b.column(1).to_numpy(), tree.n).astype(np.int64)
             distinct += np.bincount(of, minlength=tree.n)
         at = np.flatnonzero(distinct)
@@ -234,8 +242,9 @@ def _training(row: dict, tree: Tree) -> tuple[np.ndarray, np.ndarray, np.ndarray
     """Classes and leaves of a chunk's training tokens with their ends, and the texts' starts."""
     held, sizes, codes = _arrays(row)
     codes, sizes = codes[np.repeat(~held, sizes)], sizes[~held]
-    classes, starts = _with_ends(tree.classes(row["words"])[codes], sizes, END)
-    leaves, _ = _with_ends(tree.leaves(row["words"])[codes], sizes, -1)
+    leaves = tree.leaves(row["words"])
+    classes, starts = _with_ends(tree.classes(leaves, np.array(row["endings"], np.int64))[codes], sizes, END)
+    leaves, _ = _with_ends(leaves[codes], sizes, -1)
     return classes, leaves, starts
 
 
@@ -252,7 +261,7 @@ def pair_totals(packed: DataFrame, tree: Tree) -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["pair", "n"])
 
-    found = packed.select("held", "sizes", "codes", "words").mapInArrow(count, "pair long, n long").groupBy("pair").agg(
+    found = packed.select("held", "sizes", "codes", "words", "endings").mapInArrow(count, "pair long, n long").groupBy("pair").agg(
         F.sum("n").alias("n")).toPandas()
     return np.bincount(found["pair"].to_numpy(np.int64), found["n"].to_numpy(np.float64), tree.n ** 2).reshape(tree.n, tree.n)
 
@@ -367,25 +376,25 @@ class LogBilinear:
         p.scatter(1, topic, dh * pos[2], rate)
         p.step(2, slice(None), np.stack([(x * dh).sum(0) for x in parts]), rate / 4)
 
-    def learn_words(self, p: Params, leaf, topic, rng, rate: float) -> None:
-        """A step: these tokens' leaves against ``WORD_NOISE`` draws each of their class."""
-        q, v = self.topic[topic] * self.position[2], p.arrays[0]
-        draw = self.tree.leaf_class[leaf][:, None] + rng.random((len(leaf), WORD_NOISE))
-        noise = np.searchsorted(self.leaf_cumulative, draw, "right")
-        # a draw beyond its class's leaves is one of the rare words, whose vector stays zero
-        real = (noise < len(v)) & (self.tree.leaf_class[np.minimum(noise, len(v) - 1)] == self.tree.leaf_class[leaf][:, None])
-        noise = np.where(real, noise, 0)
-        g = _sigmoid((q * v[leaf]).sum(1) - math.log(WORD_NOISE)) - 1
-        gn = _sigmoid((q[:, None] * v[noise]).sum(2) - math.log(WORD_NOISE)) * real
-        p.scatter(0, np.concatenate([leaf, noise.reshape(-1)]),
-                  np.concatenate([g[:, None] * q, (gn[:, :, None] * q[:, None]).reshape(-1, VECTOR)]), rate)
+    def learn_words(self, met: np.ndarray, rng) -> np.ndarray:
+        """The leaves' vectors for ``met``, how often each occurred in each topic:
+        told from ``WORD_NOISE`` times as many words drawn from their classes, by
+        full steps over the counts.  A draw of n words from shares is a Poisson
+        number of each."""
+        tree = self.tree
+        of_class = np.add.reduceat(np.pad(met, ((0, 1), (0, 0))), tree.first[:-1], axis=0) * (np.diff(tree.first) > 0)[:, None]
+        noise = rng.poisson(WORD_NOISE * of_class[tree.leaf_class] * tree.leaf_share[:, None]).astype(np.float32)
+        met = met.astype(np.float32)
+        q = self.topic * self.position[2]
+        p = Params([self.word])
+        for step in range(WORD_STEPS):
+            told = _sigmoid(p.arrays[0] @ q.T - np.float32(math.log(WORD_NOISE)))
+            p.step(0, slice(None), ((told - 1) * met + told * noise) @ q, RATE / (1 + step / 20))
+        return p.arrays[0]
 
     def prepare(self) -> None:
         self.cumulative = np.cumsum(self.tree.unigram)
         self.cumulative[-1] = 1.0
-        share = np.cumsum(self.tree.leaf_share)
-        before = np.concatenate([[0.0], share])[self.tree.first[:-1]]
-        self.leaf_cumulative = np.minimum(share - before[self.tree.leaf_class], 1.0) + self.tree.leaf_class
 
     def tables(self) -> dict[str, np.ndarray]:
         """Exponentials of the parts of every logit, by matrix products: by the class
@@ -462,7 +471,7 @@ def _average_classes(packed: DataFrame, model: LogBilinear) -> np.ndarray | None
             yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([total.tobytes()])], names=["n", "sums"])
 
     # a row of some 100 kB a task: added up in a few tasks, so the driver gets a few
-    rows = written(packed.select("chunk", "held", "sizes", "codes", "words").mapInArrow(learn, "n double, sums binary"), "lm-classes")
+    rows = written(packed.select("chunk", "held", "sizes", "codes", "words", "endings").mapInArrow(learn, "n double, sums binary"), "lm-classes")
     few = rows.repartition(8).mapInArrow(add, "n double, sums binary").collect()
     if not few:
         return None
@@ -477,7 +486,7 @@ def _average_words(packed: DataFrame, model: LogBilinear) -> np.ndarray:
     def learn(batches):
         m = shared.value
         m.prepare()
-        p, met = Params([m.word]), np.zeros(len(m.word))
+        met, seed = np.zeros((len(m.word), TOPICS + 1)), SEED
         for b in batches:
             for row in b.to_pylist():
                 classes, leaves, starts = _training(row, m.tree)
@@ -485,22 +494,17 @@ def _average_words(packed: DataFrame, model: LogBilinear) -> np.ndarray:
                     continue
                 topic = topics_so_far(classes, np.diff(np.append(starts, len(classes))) - 1, starts, m.scores)
                 mine = np.flatnonzero((leaves >= 0) & (classes > m.tree.n_top))  # a top word is all of its class
-                leaves, topic = leaves[mine], topic[mine]
-                met += np.bincount(leaves, minlength=len(met))
-                rng = np.random.default_rng(_task_seed(row))
-                for turn in range(max(1, LEAST_TRAINED // len(classes))):
-                    order = rng.permutation(len(leaves))
-                    for lo in range(0, len(order), STEP):
-                        x = order[lo:lo + STEP]
-                        m.learn_words(p, leaves[x], topic[x], rng, RATE / (1 + turn / 4))
-        at = np.flatnonzero(met)
+                met += np.bincount(leaves[mine] * (TOPICS + 1) + topic[mine], minlength=met.size).reshape(met.shape)
+                seed = seed * 31 % (1 << 31) + _task_seed(row)
+        n = met.sum(1)
+        at = np.flatnonzero(n)
         if len(at):
-            sums = p.arrays[0][at] * met[at, None].astype(np.float32)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(met[at]), *[pa.array(sums[:, i]) for i in range(VECTOR)]],
+            sums = (m.learn_words(met, np.random.default_rng(seed))[at] * n[at, None]).astype(np.float32)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at]), *[pa.array(sums[:, i]) for i in range(VECTOR)]],
                                              names=["leaf", "n", *names])
 
     kind = "leaf long, n double, " + ", ".join(f"{v} float" for v in names)
-    found = packed.select("chunk", "held", "sizes", "codes", "words").mapInArrow(learn, kind)
+    found = packed.select("chunk", "held", "sizes", "codes", "words", "endings").mapInArrow(learn, kind)
     sums = found.groupBy("leaf").agg(F.sum("n").alias("n"), *[F.sum(v).cast("float").alias(v) for v in names]).toPandas()
     out = np.zeros_like(model.word)  # BROADCAST_WORDS rows at most
     out[sums["leaf"].to_numpy(np.int64)] = sums[names].to_numpy(np.float32) / sums[["n"]].to_numpy(np.float32)
@@ -556,9 +560,9 @@ def score_with(packed: DataFrame, counts: DataFrame, model: LogBilinear) -> Data
         tree = shared.value["tree"]
         for b in batches:
             for row in b.to_pylist():
-                words = row.pop("words")
-                row["classes"] = tree.classes(words).astype(np.int16).tobytes()
-                row["leaves"] = tree.leaves(words).astype(np.int32).tobytes()
+                leaves = tree.leaves(row.pop("words"))
+                row["classes"] = tree.classes(leaves, np.array(row.pop("endings"), np.int64)).astype(np.int16).tobytes()
+                row["leaves"] = leaves.astype(np.int32).tobytes()
                 kinds = [pa.int64(), pa.list_(pa.int64())] + [pa.binary()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row.values(), kinds, strict=True)], names=list(row))
 
