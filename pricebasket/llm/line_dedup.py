@@ -40,7 +40,8 @@ from pyspark.sql import functions as F
 from pricebasket.llm.common import BLANKS, numbered, table, utf8, written
 from pricebasket.llm.cuckoo import CuckooFilter
 
-#: Keys per shard: a shard's keys and its filter (about 2.4 bytes a key) fit in one task.
+#: Keys per shard: a shard's keys and its filter, which has room for them all from
+#: the start (1 MB), fit in one task.
 SHARD_KEYS = 250_000
 #: Ids from here on stand for the texts of rows without one.
 NO_ID = 1 << 62
@@ -124,7 +125,7 @@ class LineIndex:
 
         def add(new: pa.Table, old: pa.Table) -> pa.Table:
             stored = old.column("filter").to_pylist()
-            cuckoo = CuckooFilter.from_bytes(stored[0]) if stored else CuckooFilter(new.num_rows)
+            cuckoo = CuckooFilter.from_bytes(stored[0]) if stored else CuckooFilter(max(new.num_rows, SHARD_KEYS))
             hashes = _hashes(new.column("key"))
             known = cuckoo.contains(hashes) if stored else np.zeros(len(hashes), bool)
             cuckoo.insert(hashes[~known])
@@ -155,16 +156,17 @@ class LineIndex:
         return LineIndex(refs, self.posts.unionByName(post), filters, self.shards, self.min_chars, looked.select("key"))._grown()
 
     def _grown(self) -> LineIndex:
-        """With more shards if those it has are over twice their size."""
+        """With more shards if those it has are half as large again as they should
+        be: a filter has room for that, beyond it insertions would be slow."""
         n = self.refs.count()
-        if n <= 2 * self.shards * SHARD_KEYS:
+        if 2 * n <= 3 * self.shards * SHARD_KEYS:
             return self
         shards = math.ceil(n / SHARD_KEYS)
         refs = self.refs.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
         schema = pa.schema([("shard", pa.int64()), ("filter", pa.binary())])
 
         def build(keys: pa.Table) -> pa.Table:
-            cuckoo = CuckooFilter(keys.num_rows)
+            cuckoo = CuckooFilter(max(keys.num_rows, SHARD_KEYS))
             cuckoo.insert(_hashes(keys.column("key")))
             return pa.table([keys.column("shard").slice(0, 1), pa.array([cuckoo.to_bytes()], pa.binary())], schema=schema)
 
