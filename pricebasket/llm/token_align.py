@@ -6,15 +6,19 @@ entry for every two tokens that overlap, the number of bytes they share: the
 links.  Byte offsets where tokens of both end cut the tokens into groups; with
 the tokens' group incidence, ``GA * GB transposed`` has an entry for every two
 tokens of one group.  Both products are Gustavson row products over matrices in
-compressed rows (``csr.py``), taken for many texts at once, which lie one after
-the other on the byte axis.
+compressed rows (``csr.py``).  A unit, a word with the white space before it (several, where
+that isn't blanks), ends a token of both wherever it stands, so the products are
+block-diagonal by units: they are taken once for the distinct units of many
+texts, which lie one after the other on the byte axis, and a text's figures are
+the sums over its units.  Where B has pieces that reach over such an end, a text
+is one unit.
 
 Corpus-wide counts: a task packs its documents in chunks of bounded size and
 hands on each chunk's distinct pairs of ids with their counts, so a pair that is
 in every text is one row a chunk.  The summed counts come back to the chunks
-that hold the pair.  A chunk keeps the matrix of its documents and pairs, whose
-product with the counts gives each document's sums: no text is encoded twice,
-and no text or token moves.
+that hold the pair.  A chunk keeps the matrices of documents and units and of
+units and pairs, whose products with the counts give each document's sums: no
+text is encoded twice, and no text or token moves.
 
 Defined results: a NULL or empty text, and one whose joined tokens of A or B
 aren't the bytes of blank + text (B normalises some characters), has no
@@ -28,27 +32,32 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricebasket.llm.bpe import UNIT
+from pricebasket.llm.bpe import SPACES, _Recent
 from pricebasket.llm.common import table, utf8, written
 from pricebasket.llm.csr import Csr, members, product_sizes, row_products, spans
 
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Bytes of text of a chunk, about, and terms of a product that are summed at once.
 CHUNK_BYTES, TERMS = 4_000_000, 1_000_000
-#: Texts given to the tokenizers at once, in bytes, about.
+#: Text given to the tokenizers at once, in bytes, about.
 BATCH_BYTES = 250_000
-#: Words with the white space before them whose A ids a worker remembers (some 250 bytes each).
-CACHE_UNITS = 250_000
+#: Half of the units whose ids a worker remembers, about (some 300 bytes each).
+CACHE_UNITS = 150_000
+#: Units of a text that are held as text at once.
+UNITS_AT_ONCE = 200_000
+#: From a blank that stands after a letter to the next such: neither tokenizer merges over it.
+UNIT = re.compile(" [{0}]*[^{0}]*(?:[{1}][{0}]*[^{0}]*)*".format(SPACES, SPACES.replace(" ", "")))
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -60,7 +69,7 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class Tokens:
-    """One tokenizer: ids of texts, and the bytes of every id."""
+    """One tokenizer: the bytes of every id."""
 
     def __init__(self, pieces: list[bytes]):
         self.bytes = pieces
@@ -68,9 +77,6 @@ class Tokens:
         # ids as text with the mark after them, inside a group, after its A half and after its B half
         self.names = {mark: np.array([f"{i}{mark}" for i in range(len(pieces))], object) for mark in ",|;"}
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        raise NotImplementedError
-
 
 class ByteLevel(Tokens):
     """Byte-level BPE of the ``tokenizers`` library, of blank + text."""
@@ -89,19 +95,9 @@ class ByteLevel(Tokens):
             pieces[i] = piece.encode() if i in special else bytes(map(alphabet.__getitem__, piece))
         super().__init__(pieces)
 
-        self.units: dict[str, list[int]] = {}
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """A run of white space and the word after it is encoded the same in every
-        text: no pre-token reaches over its ends.  Those seen before are looked up."""
-        cut = [UNIT.findall(" " + t) for t in texts]
-        new = list(set().union(*cut).difference(self.units)) if cut else []
-        if len(self.units) + len(new) > CACHE_UNITS:
-            self.units.clear()
-            new = list(set().union(*cut))
-        self.units.update(zip(new, (e.ids for e in self.model.encode_batch(new, add_special_tokens=False)), strict=True))
-        get = self.units.__getitem__
-        return [list(chain.from_iterable(map(get, units))) for units in cut]
+    def encode_units(self, units: list[str]) -> list[list[int]]:
+        """Ids of each unit: no pre-token reaches over its ends."""
+        return [e.ids for e in self.model.encode_batch_fast(units, add_special_tokens=False)]
 
 
 class Pieces(Tokens):
@@ -111,19 +107,97 @@ class Pieces(Tokens):
         from sentencepiece import SentencePieceProcessor
 
         self.model = m = SentencePieceProcessor(model_file=path)
-        super().__init__([bytes([int(m.id_to_piece(i)[3:5], 16)]) if m.is_byte(i)
-                          else m.id_to_piece(i).replace("▁", " ").encode() for i in range(m.get_piece_size())])
+        pieces = [m.id_to_piece(i) for i in range(m.get_piece_size())]
+        super().__init__([bytes([int(p[3:5], 16)]) if m.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)])
+        self.blank = m.piece_to_id("▁")
+        self.by_units = self._keeps_text(m.serialized_model_proto()) and not any(
+            "▁" in p.lstrip("▁") for p in pieces)
+
+    @staticmethod
+    def _keeps_text(proto: bytes) -> bool:
+        """Whether the model is a BPE of the text as it stands, blanks as U+2581, one put before it."""
+        from sentencepiece.sentencepiece_model_pb2 import ModelProto
+
+        p = ModelProto.FromString(proto)
+        n, t = p.normalizer_spec, p.trainer_spec
+        return (t.model_type == t.BPE and t.byte_fallback and not t.treat_whitespace_as_suffix and n.add_dummy_prefix
+                and n.escape_whitespaces and not n.remove_extra_whitespaces and not n.precompiled_charsmap
+                and not any(x.type == x.USER_DEFINED for x in p.pieces))
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode(texts, num_threads=1)
 
+    def encode_units(self, units: list[str]) -> list[list[int]]:
+        """Ids of each unit, whose first blank is the one that the library adds (to no empty text)."""
+        return [x or [self.blank] for x in self.encode([u[1:] for u in units])]
+
+
+class Units:
+    """Ids of units under both tokenizers; those met before are looked up."""
+
+    def __init__(self, a: ByteLevel, b: Pieces):
+        self.a, self.b = a, b
+        self.met = _Recent(CACHE_UNITS)
+
+    def cut(self, text: str | None) -> Iterator[list[str]]:
+        """The units of blank + text, ``UNITS_AT_ONCE`` at a time."""
+        if not text:
+            return
+        if not self.b.by_units:
+            yield [" " + text]
+            return
+        found = (m.group() for m in UNIT.finditer(" " + text))
+        if len(text) < UNITS_AT_ONCE:
+            yield UNIT.findall(" " + text)
+        else:
+            while block := list(islice(found, UNITS_AT_ONCE)):
+                yield block
+
+    def _encode(self, units: list[str]) -> Iterator[tuple[bytes, bytes]]:
+        ids = self.a.encode_units(units), self.b.encode_units(units)
+        packed = []
+        for x in ids:
+            ends = np.cumsum(np.fromiter(map(len, x), np.int64, len(x))) * 4
+            data = np.fromiter(chain.from_iterable(x), np.uint32, int(ends[-1]) // 4).tobytes()
+            packed.append([data[i:j] for i, j in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)])
+        for unit, x, y, bytes_x, bytes_y in zip(units, *ids, *packed, strict=True):
+            want = utf8(unit)
+            same = b"".join(map(self.a.bytes.__getitem__, x)) == want and b"".join(map(self.b.bytes.__getitem__, y)) == want
+            yield (bytes_x, bytes_y) if same else (b"", b"")
+
+    def ids(self, units: list[str]) -> list[tuple[bytes, bytes]]:
+        """Ids of each unit under A and B as unsigned 32-bit integers, none if they don't spell it out."""
+        fresh = list(self.met.missing(set(units)))
+        for first, last in _batches(fresh):
+            self.met.update(zip(fresh[first:last], self._encode(fresh[first:last]), strict=True))
+        found = list(map(self.met.__getitem__, units))
+        self.met.trim(fresh)
+        return found
+
+    def of_text(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a text under both, none where they don't spell it out."""
+        found = self.ids(list(chain.from_iterable(self.cut(text))))
+        if not all(a for a, _ in found):
+            found = []
+        return tuple(_numbers(b"".join(x[k] for x in found)) for k in (0, 1))
+
+
+def _numbers(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint32).astype(np.int64)
+
 
 @lru_cache(maxsize=4)
-def _vocabularies(path_a: str, path_b: str) -> tuple[Tokens, Tokens]:
+def _vocabularies(path_a: str, path_b: str) -> tuple[ByteLevel, Pieces]:
     """Once a worker."""
     return ByteLevel(path_a), Pieces(path_b)
 
 
+@lru_cache(maxsize=4)
+def _units(path_a: str, path_b: str) -> Units:
+    """Once a worker."""
+    return Units(*_vocabularies(path_a, path_b))
+
+
 def default_paths() -> tuple[str, str]:
     import public_tokenizers
 
@@ -161,34 +235,20 @@ class Aligned:
         return row_products(in_a, in_b.transpose(), terms)
 
 
-def _batches(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+def _batches(texts: list[str]) -> Iterator[tuple[int, int]]:
     """Ranges of about ``BATCH_BYTES`` of text; a longer text is alone."""
     first, size = 0, 0
     for i, t in enumerate(texts):
-        if size and size + len(t or "") > BATCH_BYTES:
+        if size and size + len(t) > BATCH_BYTES:
             yield first, i
             first, size = i, 0
-        size += len(t or "") + 1
+        size += len(t) + 1
     if first < len(texts):
         yield first, len(texts)
 
 
-def _encode(texts: list[str | None], vocab_a: Tokens, vocab_b: Tokens) -> Iterator[tuple[list[int], list[int]]]:
-    """Ids of each text under both, none where they don't spell it out."""
-    full = [t for t in texts if t]
-    done = zip(full, vocab_a.encode(full), vocab_b.encode(full), strict=True)
-    for t in texts:
-        if not t:
-            yield [], []
-            continue
-        text, a, b = next(done)
-        want = b" " + utf8(text)
-        same = b"".join(map(vocab_a.bytes.__getitem__, a)) == want and b"".join(map(vocab_b.bytes.__getitem__, b)) == want
-        yield (a, b) if same else ([], [])
-
-
-def _digests(tokens: Aligned, n_a: np.ndarray, vocab_a: Tokens, vocab_b: Tokens) -> tuple[np.ndarray, list[str]]:
-    """Per text the number of groups and the digest of their spelling."""
+def _spelled(tokens: Aligned, n_a: np.ndarray, vocab_a: Tokens, vocab_b: Tokens) -> tuple[np.ndarray, list[str]]:
+    """Per unit the number of groups and their spelling, with a mark after each."""
     of_a, of_b, in_a, in_b = tokens.groups()
     last_a, last_b = (np.diff(g, append=-1) != 0 for g in (of_a, of_b))
     size_a, size_b = (np.bincount(g, minlength=m.n_cols) for g, m in ((of_a, in_a), (of_b, in_b)))
@@ -199,39 +259,48 @@ def _digests(tokens: Aligned, n_a: np.ndarray, vocab_a: Tokens, vocab_b: Tokens)
     spelled[np.arange(len(of_b)) + np.cumsum(size_a)[of_b]] = np.where(
         last_b, vocab_b.names[";"][tokens.b], vocab_b.names[","][tokens.b])
     ends = np.concatenate([[0], np.cumsum(n_a)])
-    groups = np.concatenate([[0], np.cumsum(last_a)])[ends]  # groups up to each text's end
+    groups = np.concatenate([[0], np.cumsum(last_a)])[ends]  # groups up to each unit's end
     places = np.concatenate([[0], np.cumsum(size_a + size_b)])[groups].tolist()
     words = spelled.tolist()
-    digests = [hashlib.sha256("".join(words[i:j])[:-1].encode()).hexdigest() if j > i else ""
-               for i, j in zip(places, places[1:], strict=False)]
-    return np.diff(groups), digests
+    return np.diff(groups), ["".join(words[i:j]) for i, j in zip(places, places[1:], strict=False)]
+
+
+def _digest(spelled: list[str], codes: np.ndarray) -> str:
+    """The digest of a text's groups, without the mark after the last; '' of none."""
+    if not len(codes):
+        return ""
+    sha = hashlib.sha256()
+    for i in range(0, len(codes), UNITS_AT_ONCE):
+        words = "".join(map(spelled.__getitem__, codes[i:i + UNITS_AT_ONCE].tolist()))
+        sha.update((words if i + UNITS_AT_ONCE < len(codes) else words[:-1]).encode())
+    return sha.hexdigest()
 
 
 class Part:
-    """Some texts' own figures, and the matrix of texts and pairs of ids: row
-    ``t`` has the pairs ``pair[ptr[t]:ptr[t + 1]]`` of ``keys``, ``n`` links each."""
-
-    def __init__(self, a: list[list[int]], b: list[list[int]], vocab_a: Tokens, vocab_b: Tokens):
-        self.n_a, self.n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
-        flat_a, flat_b = (np.fromiter(chain.from_iterable(x), np.int64, int(n.sum())) for x, n in ((a, self.n_a), (b, self.n_b)))
-        tokens = Aligned(flat_a, flat_b, vocab_a, vocab_b)
-        text_of = np.repeat(np.arange(len(a)), self.n_a)
+    """Units' own figures, and the matrix of units and pairs of ids: row ``u``
+    has the pairs ``pair[ptr[u]:ptr[u + 1]]`` of ``keys``, ``n`` links each.
+    ``ids`` are the units' ids under A and B, none for units that have no tokens."""
+
+    def __init__(self, ids: list[tuple[bytes, bytes]], vocab_a: Tokens, vocab_b: Tokens):
+        self.n_a, self.n_b = (np.fromiter((len(x[k]) for x in ids), np.int64, len(ids)) // 4 for k in (0, 1))
+        tokens = Aligned(*(_numbers(b"".join(x[k] for x in ids)) for k in (0, 1)), vocab_a, vocab_b)
+        unit_of = np.repeat(np.arange(len(ids)), self.n_a)
         keys, cells = np.zeros(0, np.int64), []
-        for i, j, _ in tokens.links():  # in parts of bounded size, each counted by text and pair at once
+        for i, j, _ in tokens.links():  # in parts of bounded size, each counted by unit and pair at once
             own, at = np.unique(tokens.a[i] << 32 | tokens.b[j], return_inverse=True)
-            cell, n = np.unique(text_of[i] * len(own) + at, return_counts=True)
+            cell, n = np.unique(unit_of[i] * len(own) + at, return_counts=True)
             cells.append((cell // len(own), own[cell % len(own)], n))
             keys = own if not len(keys) else np.sort(np.concatenate([keys, own[~np.isin(own, keys)]]))
-        text, key, n = (np.concatenate([c[k] for c in cells] or [np.zeros(0, np.int64)]) for k in range(3))
-        # a text whose links lie in two parts has some pairs in both
-        cell, at = np.unique(text * max(1, len(keys)) + np.searchsorted(keys, key), return_inverse=True)
+        unit, key, n = (np.concatenate([c[k] for c in cells] or [np.zeros(0, np.int64)]) for k in range(3))
+        # a unit whose links lie in two parts has some pairs in both
+        cell, at = np.unique(unit * max(1, len(keys)) + np.searchsorted(keys, key), return_inverse=True)
         self.n = np.bincount(at, n, len(cell)).astype(np.int64)
         self.keys, self.pair = keys, cell % max(1, len(keys))
-        self.ptr = np.searchsorted(cell // max(1, len(keys)), np.arange(len(a) + 1))
+        self.ptr = np.searchsorted(cell // max(1, len(keys)), np.arange(len(ids) + 1))
         self.n_links = sums_of_rows(self.ptr, self.n)
         _, _, in_a, in_b = tokens.groups()
         self.n_group_links = sums_of_rows(np.concatenate([[0], np.cumsum(self.n_a)]), product_sizes(in_a, in_b.transpose()))
-        self.n_groups, self.digests = _digests(tokens, self.n_a, vocab_a, vocab_b)
+        self.n_groups, self.spelled = _spelled(tokens, self.n_a, vocab_a, vocab_b)
 
 
 def sums_of_rows(ptr: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -239,60 +308,82 @@ def sums_of_rows(ptr: np.ndarray, values: np.ndarray) -> np.ndarray:
     return total[ptr[1:]] - total[ptr[:-1]]
 
 
+def _starts(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(sizes)])
+
+
 def _packed(numbers: np.ndarray) -> bytes:
-    return pa.compress(numbers.astype(np.uint32).tobytes(), codec="zstd", asbytes=True)
+    """Their number and themselves, as unsigned 32-bit integers, compressed."""
+    return len(numbers).to_bytes(8, "little") + pa.compress(numbers.astype(np.uint32).tobytes(), codec="zstd", asbytes=True)
 
 
-def _unpacked(data: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(pa.decompress(data, n * 4, codec="zstd", asbytes=True), np.uint32).astype(np.int64)
+def _unpacked(data: bytes) -> np.ndarray:
+    return _numbers(pa.decompress(data[8:], int.from_bytes(data[:8], "little") * 4, codec="zstd", asbytes=True))
 
 
 OWN = ["n_a", "n_b", "n_groups", "n_links", "n_group_links"]
+#: The matrix of documents and units, and that of units and pairs: sizes of the rows, columns, and the latter's values.
+MATRICES = ["sizes", "codes", "unit_sizes", "pairs", "times"]
 CHUNK = ("chunk string, doc_ids array<long>, " + ", ".join(f"{c} array<long>" for c in OWN)
-         + ", digests array<string>, sizes array<long>, pairs binary, times binary, keys array<long>, counts array<long>")
-
-
-def _chunk_row(doc_ids: list, parts: list[Part], schema: pa.Schema) -> pa.RecordBatch:
-    """Parts as one row: their pairs in one sorted list, the matrix's columns in
-    it as steps from one to the next, which compress well."""
-    keys = np.unique(np.concatenate([p.keys for p in parts]))
-    pairs = [np.searchsorted(keys, p.keys)[p.pair] for p in parts]
-    counts = sum(np.bincount(q, p.n, len(keys)) for p, q in zip(parts, pairs, strict=True)).astype(np.int64)
-    sizes = np.concatenate([np.diff(p.ptr) for p in parts])
-    pair = np.concatenate(pairs)
-    step = np.diff(pair, prepend=0)
-    starts = (np.cumsum(sizes) - sizes)[sizes > 0]
-    step[starts] = pair[starts]
-    own = [np.concatenate([np.asarray(getattr(p, c), np.int64) for p in parts]) for c in OWN]
-    cols = [uuid.uuid4().hex, doc_ids, *own, [d for p in parts for d in p.digests], sizes, _packed(step),
-            _packed(np.concatenate([p.n for p in parts])), keys, counts]
-    return pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+         + ", digests array<string>, " + ", ".join(f"{c} binary" for c in MATRICES) + ", keys array<long>, counts array<long>")
+_LONGS = pa.list_(pa.int64())
+CHUNK_SCHEMA = pa.schema([("chunk", pa.string()), ("doc_ids", _LONGS), *((c, _LONGS) for c in OWN), ("digests", pa.list_(pa.string())),
+                          *((c, pa.binary()) for c in MATRICES), ("keys", _LONGS), ("counts", _LONGS)])
+
+
+class Chunk:
+    """Documents as numbers of their units."""
+
+    def __init__(self, units: Units):
+        self.units, self.number = units, {}
+        self.doc_ids, self.sizes, self.codes, self.bytes = [], [], [], 0
+
+    def add(self, doc_id: int | None, text: str | None) -> None:
+        number, size = self.number, 0
+        for block in self.units.cut(text):
+            for unit in set(block).difference(number):
+                number[unit] = len(number)
+            self.codes.append(np.fromiter(map(number.__getitem__, block), np.uint32, len(block)))
+            size += len(block)
+        self.doc_ids.append(doc_id)
+        self.sizes.append(size)
+        self.bytes += len(text or "")
+
+    def row(self) -> pa.RecordBatch:
+        ids = self.units.ids(list(self.number))
+        self.number = {}
+        sizes = np.array(self.sizes, np.int64)
+        codes = np.concatenate([np.zeros(0, np.uint32), *self.codes])
+        self.codes = []
+        # a text that has a unit without tokens has none
+        none = np.fromiter((not a for a, _ in ids), bool, len(ids))
+        whole = sums_of_rows(_starts(sizes), none[codes]) == 0
+        codes, sizes = codes[np.repeat(whole, sizes)], sizes * whole
+        met = np.bincount(codes, minlength=len(ids))
+        part = Part([x if n else (b"", b"") for x, n in zip(ids, met.tolist(), strict=True)], self.units.a, self.units.b)
+        ptr, unit_sizes = _starts(sizes), np.diff(part.ptr)
+        own = [sums_of_rows(ptr, getattr(part, c)[codes]) for c in OWN]
+        digests = [_digest(part.spelled, codes[i:j]) for i, j in zip(ptr.tolist(), ptr[1:].tolist(), strict=False)]
+        counts = np.bincount(part.pair, part.n * np.repeat(met, unit_sizes), len(part.keys)).astype(np.int64)
+        cells = [uuid.uuid4().hex, self.doc_ids, *own, digests, *map(_packed, (sizes, codes, unit_sizes, part.pair, part.n)), part.keys, counts]
+        return pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(cells, CHUNK_SCHEMA, strict=True)], schema=CHUNK_SCHEMA)
 
 
 def chunks(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text",
            chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """A row a chunk of documents: each one's own figures, the chunk's distinct
-    pairs of ids with their counts, and the matrix of documents and pairs."""
-    longs = pa.list_(pa.int64())
-    schema = pa.schema([("chunk", pa.string()), ("doc_ids", longs), *((c, longs) for c in OWN), ("digests", pa.list_(pa.string())),
-                        ("sizes", longs), ("pairs", pa.binary()), ("times", pa.binary()), ("keys", longs), ("counts", longs)])
+    pairs of ids with their counts, and its matrices."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab_a, vocab_b = _vocabularies(path_a, path_b)
-        doc_ids, parts, size = [], [], 0
+        chunk = Chunk(_units(path_a, path_b))
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            ids = batch.column(0).cast(pa.int64()).to_pylist()
-            for first, last in _batches(texts):
-                a, b = zip(*_encode(texts[first:last], vocab_a, vocab_b), strict=True)
-                parts.append(Part(list(a), list(b), vocab_a, vocab_b))
-                doc_ids += ids[first:last]
-                size += sum(len(t or "") for t in texts[first:last])
-                if size >= chunk_bytes:
-                    yield _chunk_row(doc_ids, parts, schema)
-                    doc_ids, parts, size = [], [], 0
-        if doc_ids:
-            yield _chunk_row(doc_ids, parts, schema)
+            for doc, text in zip(batch.column(0).cast(pa.int64()).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                chunk.add(doc, text)
+                if chunk.bytes >= chunk_bytes:
+                    yield chunk.row()
+                    chunk = Chunk(chunk.units)
+        if chunk.doc_ids:
+            yield chunk.row()
 
     return docs.select(id_col, text_col).mapInArrow(run, CHUNK)
 
@@ -313,21 +404,22 @@ RESULT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_group
 
 def summaries(packed: DataFrame, counts: DataFrame) -> DataFrame:
     """The contract's row of every document: its own figures, and the products of
-    the chunk's matrix of documents and pairs with the counts of the pairs."""
+    the chunk's matrices with the counts of the pairs."""
     own = packed.select("chunk", F.explode("keys").alias("key")).join(counts, "key").toDF("key", "of_chunk", "count", "best")
 
     def run(chunk: pa.Table, found: pa.Table) -> pa.Table:
-        cell = {c: chunk.column(c)[0].as_py() for c in ("pairs", "times", "digests", "doc_ids")}
-        sizes = np.array(chunk.column("sizes")[0].as_py(), np.int64)
-        ptr = np.concatenate([[0], np.cumsum(sizes)])
-        pair, times = (_unpacked(cell[c], int(sizes.sum())) for c in ("pairs", "times"))
-        steps = np.concatenate([[0], np.cumsum(pair)])  # the steps of a row add up from its start
-        pair = steps[1:] - np.repeat(steps[ptr[:-1]], sizes)
+        cell = {c: chunk.column(c)[0].as_py() for c in ("digests", "doc_ids")}
+        sizes, codes, unit_sizes, pair, times = (_unpacked(chunk.column(c)[0].as_py()) for c in MATRICES)
         order = np.argsort(found.column("key").to_numpy())
         count, best = (found.column(c).to_numpy()[order].astype(np.int64) for c in ("count", "best"))
+
+        def sums(of_pair: np.ndarray) -> np.ndarray:
+            of_unit = sums_of_rows(_starts(unit_sizes), times * of_pair[pair])
+            return sums_of_rows(_starts(sizes), of_unit[codes])
+
         columns = {"doc_id": pa.array(cell["doc_ids"], pa.int64()), **{c: pa.array(chunk.column(c)[0].as_py(), pa.int64()) for c in OWN},
-                   "n_best": pa.array(sums_of_rows(ptr, times * best[pair])),
-                   "count_sum": pa.array(sums_of_rows(ptr, times * count[pair])),
+                   "n_best": pa.array(sums(best)),
+                   "count_sum": pa.array(sums(count)),
                    "groups_sha256": pa.array(cell["digests"], pa.string())}
         return pa.table([columns[c.split()[0]] for c in RESULT.split(", ")], names=[c.split()[0] for c in RESULT.split(", ")])
 
@@ -344,21 +436,20 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
            f"group_links {pair.format('')}, group_a array<long>, group_b array<long>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab_a, vocab_b = _vocabularies(path_a, path_b)
+        units = _units(path_a, path_b)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for doc, (a, b) in zip(batch.column(0).cast(pa.int64()).to_pylist(), _encode(texts, vocab_a, vocab_b), strict=True):
-                t = Aligned(np.array(a, np.int64), np.array(b, np.int64), vocab_a, vocab_b)
+            for doc, text in zip(batch.column(0).cast(pa.int64()).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                a, b = units.of_text(text)
+                t = Aligned(a, b, units.a, units.b)
                 links = [dict(zip(("a", "b", "bytes"), x, strict=True)) for p in t.links() for x in zip(*map(np.ndarray.tolist, p), strict=True)]
                 shared = [{"a": x, "b": y} for i, j, _ in t.group_links() for x, y in zip(i.tolist(), j.tolist(), strict=True)]
                 of_a, of_b, _, _ = t.groups()
-                yield pa.RecordBatch.from_pylist([{"doc_id": doc, "a": a, "b": b, "links": links, "group_links": shared,
+                yield pa.RecordBatch.from_pylist([{"doc_id": doc, "a": a.tolist(), "b": b.tolist(), "links": links, "group_links": shared,
                                                    "group_a": of_a.tolist(), "group_b": of_b.tolist()}], schema=arrow)
 
-    longs = pa.list_(pa.int64())
     ab = [("a", pa.int64()), ("b", pa.int64())]
-    arrow = pa.schema([("doc_id", pa.int64()), ("a", longs), ("b", longs), ("links", pa.list_(pa.struct([*ab, ("bytes", pa.int64())]))),
-                       ("group_links", pa.list_(pa.struct(ab))), ("group_a", longs), ("group_b", longs)])
+    arrow = pa.schema([("doc_id", pa.int64()), ("a", _LONGS), ("b", _LONGS), ("links", pa.list_(pa.struct([*ab, ("bytes", pa.int64())]))),
+                       ("group_links", pa.list_(pa.struct(ab))), ("group_a", _LONGS), ("group_b", _LONGS)])
     return docs.select(id_col, text_col).mapInArrow(run, out)
 
 

@@ -82,6 +82,8 @@ HARD = [(1000, "x<|endoftext|>y <s> </s> <unk> <0x41>", "en", "s", 0), (1001, "
         (1002, "  two  blanks \n\n\ttab", "en", "s", 0), (1003, "漢字かな交じり文🙂🙂 ünïcödé", "en", "s", 0),
         (1004, "▁under", "en", "s", 0), (1005, " ", "en", "s", 0), (1006, "\x00\x07 a", "en", "s", 0),
         (1008, "it's we'll\u2003x\u3000y\x1c z\x85\xa0 \t q\r\n\r\n  \u2028", "en", "s", 0), (1009, "a  \n", "en", "s", 0),
+        (1010, "ends with a blank ", "en", "s", 0), (1011, "with two  ", "en", "s", 0), (1012, " \t", "en", "s", 0),
+        (1013, "\n lines\n\n \n  with blanks\n", "en", "s", 0), (1014, "a▁ b", "en", "s", 0), (1015, "\u3000", "en", "s", 0),
         (1007, "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", "en", "s", 0)]
 
 
@@ -105,18 +107,44 @@ def test_the_query_on_the_given_table(spark):
 
 
 def test_parts_of_products_and_batches_give_the_same(monkeypatch):
-    """Links of a text in many parts, texts in many batches."""
-    vocab = T._vocabularies(*PATHS)
+    """Links of a unit in many parts, units in many batches, a text's units in many blocks."""
     texts = [r[1] for r in cases.rows(4, 4)[:4]] + [r[1] for r in HARD]
-    a, b = map(list, zip(*T._encode(texts, *vocab), strict=True))
-    whole = T.Part(a, b, *vocab)
+
+    def part():
+        units = T.Units(*T._vocabularies(*PATHS))
+        words = sorted({u for t in texts for block in units.cut(t) for u in block})
+        return T.Part(units.ids(words), units.a, units.b)
+
+    whole = part()
     monkeypatch.setattr(T.Aligned.links, "__defaults__", (3,))
-    cut = T.Part(a, b, *vocab)
-    for c in ("keys", "pair", "ptr", "n", "n_links", "n_group_links"):
-        assert (getattr(whole, c) == getattr(cut, c)).all(), c
     monkeypatch.setattr(T, "BATCH_BYTES", 40)
-    ranges = list(T._batches(texts))
-    assert len(ranges) > 3 and [i for f, l in ranges for i in range(f, l)] == list(range(len(texts)))
+    monkeypatch.setattr(T, "UNITS_AT_ONCE", 3)
+    cut = part()
+    for c in ("keys", "pair", "ptr", "n", "n_a", "n_b", "n_links", "n_groups", "n_group_links"):
+        assert (getattr(whole, c) == getattr(cut, c)).all(), c
+    assert whole.spelled == cut.spelled
+    long = np.arange(len(whole.spelled))
+    assert T._digest(whole.spelled, long) == hashlib.sha256("".join(whole.spelled)[:-1].encode()).hexdigest()
+    words = [f"word{i}" for i in range(100)]
+    ranges = list(T._batches(words))
+    assert len(ranges) > 3 and [i for f, l in ranges for i in range(f, l)] == list(range(len(words)))
+
+
+def test_units_and_whole_texts_give_the_same_ids():
+    """As a vocabulary whose pieces reach over units is encoded; units of small look-up tables, too."""
+    by_units, whole = (T.Units(*T._vocabularies(*PATHS)) for _ in range(2))
+    assert by_units.b.by_units
+    by_units.met.most = 3
+    plain = object.__new__(T.Pieces)
+    plain.__dict__ |= by_units.b.__dict__ | {"by_units": False}
+    whole.b = plain
+    some = 0
+    for text in [r[1] for r in cases.rows(30, 5)] + [r[1] for r in HARD] + [None, ""]:
+        a, b = by_units.of_text(text), whole.of_text(text)
+        want = brute_tokens(text)
+        assert a[0].tolist() == b[0].tolist() == list(want[0]) and a[1].tolist() == b[1].tolist() == list(want[2])
+        some += len(want[0])
+    assert some
 
 
 def test_empty_table(spark):
