@@ -29,6 +29,7 @@ its own, whose products are taken in parts.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import os
@@ -154,16 +155,20 @@ class Units:
                 yield block
 
     def _encode(self, units: list[str]) -> Iterator[tuple[bytes, bytes]]:
-        ids = self.a.encode_units(units), self.b.encode_units(units)
-        packed = []
-        for x in ids:
-            ends = np.cumsum(np.fromiter(map(len, x), np.int64, len(x))) * 4
-            data = np.fromiter(chain.from_iterable(x), np.uint32, int(ends[-1]) // 4).tobytes()
-            packed.append([data[i:j] for i, j in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)])
-        for unit, x, y, bytes_x, bytes_y in zip(units, *ids, *packed, strict=True):
-            want = utf8(unit)
-            same = b"".join(map(self.a.bytes.__getitem__, x)) == want and b"".join(map(self.b.bytes.__getitem__, y)) == want
-            yield (bytes_x, bytes_y) if same else (b"", b"")
+        wants = list(map(utf8, units))
+        whole, ends = b"".join(wants), np.cumsum(np.fromiter(map(len, wants), np.int64, len(wants)))
+        packed, same = [], np.ones(len(units), bool)
+        for vocab in (self.a, self.b):
+            ids = vocab.encode_units(units)
+            last = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+            flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(last[-1]))
+            spelled = b"".join(map(vocab.bytes.__getitem__, flat.tolist()))
+            at = _starts(vocab.lengths[flat])[last]
+            if spelled != whole or (at != ends).any():
+                same &= [spelled[i:j] == want for i, j, want in zip([0, *at[:-1].tolist()], at.tolist(), wants, strict=True)]
+            data, cuts = flat.tobytes(), (last * 4).tolist()
+            packed.append([data[i:j] for i, j in zip([0, *cuts[:-1]], cuts, strict=True)])
+        return ((x, y) if ok else (b"", b"") for x, y, ok in zip(*packed, same.tolist(), strict=True))
 
     def ids(self, units: list[str]) -> list[tuple[bytes, bytes]]:
         """Ids of each unit under A and B as unsigned 32-bit integers, none if they don't spell it out."""
@@ -376,14 +381,19 @@ def chunks(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = Chunk(_units(path_a, path_b))
-        for batch in batches:
-            for doc, text in zip(batch.column(0).cast(pa.int64()).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                chunk.add(doc, text)
-                if chunk.bytes >= chunk_bytes:
-                    yield chunk.row()
-                    chunk = Chunk(chunk.units)
-        if chunk.doc_ids:
-            yield chunk.row()
+        gc.freeze()  # the vocabularies; what a chunk makes holds no cycles, and walking it takes long
+        gc.disable()
+        try:
+            for batch in batches:
+                for doc, text in zip(batch.column(0).cast(pa.int64()).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    chunk.add(doc, text)
+                    if chunk.bytes >= chunk_bytes:
+                        yield chunk.row()
+                        chunk = Chunk(chunk.units)
+            if chunk.doc_ids:
+                yield chunk.row()
+        finally:
+            gc.enable()
 
     return docs.select(id_col, text_col).mapInArrow(run, CHUNK)
 
