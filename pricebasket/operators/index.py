@@ -7,7 +7,7 @@ import datetime as _dt
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Above every weight in millionths (decimal(12,6)); stands for none.
@@ -23,6 +23,24 @@ def _index_rows(hist: DataFrame, as_of: _dt.date, price: str = PRICE, product: s
                        & F.col("date").isNotNull() & (F.col("date") < F.lit(as_of)))
 
 
+#: Price and weight in one whole number, see ``with_packed_price``.
+PACKED = "__packed"
+
+
+def _packed(price: str, weight: str) -> Column:
+    units = (F.col(price).cast("decimal(20,6)") * F.lit(Decimal(10**6))).cast("decimal(20,0)")
+    parts = (F.col(weight).cast("decimal(12,6)") * F.lit(Decimal(10**6))).cast("decimal(12,0)")
+    packed = units * F.lit(Decimal(NO_WEIGHT * 10)) + F.coalesce(parts, F.lit(Decimal(NO_WEIGHT)).cast("decimal(14,0)"))
+    return packed.cast("decimal(38,0)")
+
+
+def with_packed_price(rows: DataFrame, price: str = PRICE, weight: str = "csu_weight") -> DataFrame:
+    """``rows`` with what ``cheapest_per_product_day`` takes the minimum of.  A
+    filled history may bring it: made once a run of days (``per_span`` of
+    ``history.fill_history``), not once a day."""
+    return rows.withColumn(PACKED, _packed(price, weight))
+
+
 def cheapest_per_product_day(hist: DataFrame, as_of: _dt.date, price: str = PRICE,
                              weight: str = "csu_weight", product: str = "csu_product") -> DataFrame:
     """(product, date, price, weight) of the cheapest filled row per product and
@@ -33,10 +51,8 @@ def cheapest_per_product_day(hist: DataFrame, as_of: _dt.date, price: str = PRIC
     aggregate whose partial sums leave each task with one row a product and day:
     the grid is not shuffled or sorted."""
     rows = _index_rows(hist, as_of, price, product)
-    units = (F.col(price).cast("decimal(20,6)") * F.lit(Decimal(10**6))).cast("decimal(20,0)")
-    parts = (F.col(weight).cast("decimal(12,6)") * F.lit(Decimal(10**6))).cast("decimal(12,0)")
-    packed = units * F.lit(Decimal(NO_WEIGHT * 10)) + F.coalesce(parts, F.lit(Decimal(NO_WEIGHT)).cast("decimal(14,0)"))
-    least = rows.groupBy(product, "date").agg(F.min(packed.cast("decimal(38,0)")).alias("__least"))
+    packed = F.col(PACKED) if PACKED in hist.columns else _packed(price, weight)
+    least = rows.groupBy(product, "date").agg(F.min(packed).alias("__least"))
     whole = F.lit(Decimal(NO_WEIGHT * 10)).cast("decimal(14,0)")
     part = F.pmod(F.col("__least"), whole)
     return least.select(
