@@ -304,14 +304,18 @@ def topics_so_far(classes: np.ndarray, sizes: np.ndarray, starts: np.ndarray, sc
 
 
 def _sums_by_row(at: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(at, kind="stable")
+    # 16-bit numbers are sorted by their digits, to the same order
+    order = np.argsort(at.astype(np.uint16) if len(at) and at.max() < 1 << 16 else at, kind="stable")
     rows = at[order]
     first = np.flatnonzero(np.diff(rows, prepend=-1))
     return rows[first], np.add.reduceat(values[order], first)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    y = np.clip(x, -30, 30)
+    np.exp(np.negative(y, out=y), out=y)
+    y += 1
+    return np.divide(1, y, out=y)
 
 
 class Params:
@@ -322,8 +326,12 @@ class Params:
         self.seen = [np.full_like(x, 1e-6) for x in self.arrays]
 
     def step(self, i: int, rows: np.ndarray | slice, gradient: np.ndarray, rate: float) -> None:
-        self.seen[i][rows] += gradient * gradient
-        self.arrays[i][rows] -= rate * gradient / np.sqrt(self.seen[i][rows])
+        """Uses up ``gradient``."""
+        squares = gradient * gradient
+        self.seen[i][rows] += squares
+        gradient *= np.float32(rate)
+        gradient /= np.sqrt(self.seen[i][rows], out=squares)
+        self.arrays[i][rows] -= gradient
 
     def scatter(self, i: int, at: np.ndarray, gradients: np.ndarray, rate: float) -> None:
         rows, sums = _sums_by_row(at, gradients)
@@ -364,11 +372,14 @@ class LogBilinear:
         r, q, pos, u, b = p.arrays
         noise = np.searchsorted(self.cumulative, rng.random(NOISE), "right")
         parts = r[one], r[two], q[topic]
-        h = sum(x * w for x, w in zip(parts, pos, strict=True))
+        h = parts[0] * pos[0]
+        h += parts[1] * pos[1]
+        h += parts[2] * pos[2]
         log_noise = np.log(NOISE * self.tree.unigram).astype(np.float32)
-        g = _sigmoid((h * u[target]).sum(1) + b[target] - log_noise[target]) - 1
+        met = u[target]
+        g = _sigmoid((h * met).sum(1) + b[target] - log_noise[target]) - 1
         gn = _sigmoid(h @ u[noise].T + b[noise] - log_noise[noise])
-        dh = g[:, None] * u[target] + gn @ u[noise]
+        dh = g[:, None] * met + gn @ u[noise]
         at = np.concatenate([target, noise])
         p.scatter(3, at, np.concatenate([g[:, None] * h, gn.T @ h]), rate)
         p.scatter(4, at, np.concatenate([g, gn.sum(0)]), rate / 4)
