@@ -17,7 +17,6 @@ the input get equal rows back.
 from __future__ import annotations
 
 import base64
-import functools
 import gc
 import hashlib
 import re
@@ -33,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricebasket.llm.common import table, utf8
+from pricebasket.llm.common import remembered, table, utf8
 
 BLOCK_BITS = 8
 BLOCK_MASK = (1 << BLOCK_BITS) - 1
@@ -251,11 +250,18 @@ def parse_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines())}
 
 
-@functools.lru_cache(maxsize=2)
 def load_codec(path: str, pattern: str) -> Codec:
-    """The codec of a rank file, once per worker; the file is installed with its library on every machine."""
-    with open(path, "rb") as f:
-        return Codec(parse_ranks(f.read()), pattern)
+    """The codec of a rank file, once per worker (two are remembered at most); the
+    file is installed with its library on every machine."""
+    codecs = remembered("bpe")
+    codec = codecs.pop((path, pattern), None)
+    if codec is None:
+        if len(codecs) > 1:
+            del codecs[next(iter(codecs))]
+        with open(path, "rb") as f:
+            codec = Codec(parse_ranks(f.read()), pattern)
+    codecs[path, pattern] = codec  # the last used comes last
+    return codec
 
 
 def encode(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN, id_col: str = "doc_id",

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,5 +43,24 @@ def words_of(text: str | None) -> list[bytes]:
     return utf8(text).lower().split()
 
 
+#: The operator whose tasks this Python worker last ran, and what it remembers for them.
+_remembered: tuple[str, dict] = ("", {})
+
+
+def remembered(operator: str) -> dict:
+    """What this worker remembers from one task of ``operator`` to the next.  Spark's
+    workers outlive an operator: where a task of another one begins, what was
+    remembered goes and its memory back to the machine, so that a job of many
+    operators holds one's at a time."""
+    global _remembered
+    if _remembered[0] != operator:
+        _remembered = (operator, {})
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps what is freed
+        if trim:
+            trim(0)
+    return _remembered[1]
+
+
 def utf8(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricebasket.llm.common import crc_mod, numbered, table, written
+from pricebasket.llm.common import crc_mod, numbered, remembered, table, written
 
 ORDER = 4
 #: Labelled documents a language (expected number of a hash sample) that its model and calibration are fitted on.
@@ -118,15 +118,13 @@ class _KnownWords:
         self.model, self.rows, self.logs = model, {}, np.zeros((0, len(model.langs)))
 
 
-_known: _KnownWords | None = None
-
-
 def _known_words(model: LanguageModels) -> _KnownWords:
     """The worker's one table, afresh for another model or when it is full."""
-    global _known
-    if _known is None or _known.model is not model or len(_known.logs) > CACHE_WORDS:
-        _known = _KnownWords(model)
-    return _known
+    own = remembered("language_id")
+    known = own.get("known")
+    if known is None or known.model is not model or len(known.logs) > CACHE_WORDS:
+        known = own["known"] = _KnownWords(model)
+    return known
 
 
 class LanguageModels:

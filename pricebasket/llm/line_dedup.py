@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricebasket.llm.common import BLANKS, numbered, table, utf8, written
+from pricebasket.llm.common import BLANKS, numbered, remembered, table, utf8, written
 from pricebasket.llm.cuckoo import CuckooFilter
 
 #: Keys per shard: a shard's keys and its filter, which has room for them all from
@@ -69,6 +69,7 @@ def postings(docs: DataFrame, min_chars: int = 10, id_col: str = "doc_id", text_
     schema = pa.schema([("key", pa.binary()), ("doc_id", pa.int64()), ("text_hash", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remembered("line_dedup")  # nothing, but other operators' things go
         for b in batches:
             keys, sizes = [], []
             for text in b.column(2).to_pylist():
@@ -124,6 +125,7 @@ class LineIndex:
                            ("filter", pa.binary())])
 
         def add(new: pa.Table, old: pa.Table) -> pa.Table:
+            remembered("line_dedup")
             stored = old.column("filter").to_pylist()
             cuckoo = CuckooFilter.from_bytes(stored[0]) if stored else CuckooFilter(max(new.num_rows, SHARD_KEYS))
             hashes = _hashes(new.column("key"))
@@ -166,6 +168,7 @@ class LineIndex:
         schema = pa.schema([("shard", pa.int64()), ("filter", pa.binary())])
 
         def build(keys: pa.Table) -> pa.Table:
+            remembered("line_dedup")
             cuckoo = CuckooFilter(max(keys.num_rows, SHARD_KEYS))
             cuckoo.insert(_hashes(keys.column("key")))
             return pa.table([keys.column("shard").slice(0, 1), pa.array([cuckoo.to_bytes()], pa.binary())], schema=schema)
@@ -178,6 +181,7 @@ class LineIndex:
         schema = pa.schema([("shard", pa.int64()), ("filter", pa.binary())])
 
         def apply(old: pa.Table, keys: pa.Table) -> pa.Table:
+            remembered("line_dedup")
             cuckoo = CuckooFilter.from_bytes(old.column("filter")[0].as_py())
             getattr(cuckoo, change)(_hashes(keys.column("key")))
             return pa.table([old.column("shard"), pa.array([cuckoo.to_bytes()], pa.binary())], schema=schema)
@@ -230,6 +234,7 @@ def drop_lines(docs: DataFrame, dups: DataFrame, min_chars: int = 10, id_col: st
         return b"\n".join(left).decode("utf-8", "surrogatepass"), len(lines), len(lines) - len(left)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remembered("line_dedup")
         for b in batches:
             cols = list(b.columns)
             dup = cols.pop().to_pylist()

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricebasket.llm.common import numbered, table, words_of, written
+from pricebasket.llm.common import numbered, remembered, table, words_of, written
 from pricebasket.llm.components import connected_components
 from pricebasket.llm.gray_index import Forest, GrayIndex, bit_count, gray_rank
 
@@ -72,6 +72,7 @@ def majority(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def _prints(texts: pa.Array, words: int) -> pa.Array:
     """Fingerprints of a column of texts as signed 64-bit integers."""
+    remembered("simhash")  # nothing, but other operators' things go
     lists = [shingle_hashes(t, words) for t in texts.to_pylist()]
     sizes = np.fromiter(map(len, lists), np.int64, len(lists))
     flat = np.concatenate(lists) if lists else np.zeros(0, np.uint64)
@@ -104,6 +105,7 @@ def _segments(max_bits: int) -> list[tuple[int, int]]:
 def _forest(table: pa.Table, members: str, asks: str, max_bits: int) -> pa.Table:
     """Links between the rows marked ``asks`` and those marked ``members`` of
     one rotation that agree on its top segment, as a forest."""
+    remembered("simhash")
     rotated, prefix = table.column("rfp").to_numpy().view(np.uint64), np.uint64(table.column("prefix")[0].as_py() % (1 << 64))
     marks = [np.asarray(table.column(c).to_numpy(zero_copy_only=False), bool) for c in (members, asks)]
     prints, at = np.unique(rotated, return_inverse=True)

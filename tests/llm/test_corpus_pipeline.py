@@ -2,10 +2,12 @@
 
 import subprocess
 import sys
+import weakref
 from collections import Counter
 from pathlib import Path
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -14,7 +16,7 @@ from llm import cases
 from llm.test_line_dedup import brute as brute_lines
 from llm.test_mixing import brute_counts
 from llm.test_simhash import brute_kept
-from pricebasket.llm import bpe, language_id, mixing
+from pricebasket.llm import bpe, language_id, line_dedup, mixing, simhash
 
 ROOT = Path(__file__).resolve().parents[2]
 
@@ -70,6 +72,38 @@ def test_run_takes_poor_tables(spark, tmp_path, rows):
     assert P.run(spark, str(tmp_path)).collect() == []
 
 
+class Task:
+    """Stands for a table: gives the function that its tasks would run."""
+
+    def select(self, *cols):
+        return self
+
+    def mapInArrow(self, run, kind):
+        return run
+
+
+def test_a_worker_holds_one_operators_memory(spark):
+    """Tables of words met, of some 100 MB a worker, stayed while later stages ran."""
+    def codec():
+        return weakref.ref(bpe.load_codec(public_tokenizers.path(bpe.VOCABULARY), public_tokenizers.PATTERN))
+
+    def words():
+        models = language_id.LanguageModels({"en": language_id.fit_language({"some": 3, "words": 2})})
+        assert models.entropies(["some words"])[1].tolist() == [11.0]
+        return weakref.ref(models)
+
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([2]), pa.array(["a line of text"])], names=["a", "b", "c"])
+    for held in (codec, words):
+        for other in (lambda: list(line_dedup.postings(Task())([batch])), lambda: simhash._prints(pa.array(["a b c"]), 3)):
+            one = held()
+            assert one() is not None  # from one task to the next
+            other()
+            assert one() is None
+    one = words()
+    again = codec()
+    assert one() is None and codec()() is again()
+
+
 def test_run_is_the_stages_in_turn(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
