@@ -37,15 +37,18 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricebasket.llm.common import crc_mod, table, words_of, written
+from pricebasket.llm.common import crc_mod, table, written
 
 MARKS = b".,;:!?\"'()[]"
 #: Class 0 is the end of text, and stands for what is before a text.
 END, LEAST_CLASSES = 0, 8
 CHUNK_TOKENS = 1_000_000
+#: Bytes of text whose words are held at once (a longer text is held alone).
+PART_BYTES = 4_000_000
 #: Words that have a leaf of their own and whose counts are broadcast (about 150 bytes each).
 BROADCAST_WORDS = 100_000
 #: Topics, and tokens between two looks at a text's topic.
@@ -58,48 +61,72 @@ WORD_STEPS = 40
 #: A task of fewer tokens goes through them several times, up to so many in all.
 LEAST_TRAINED = 200_000
 CHUNK_KIND = ("chunk long, ids array<long>, held binary, sizes binary, codes binary, words array<binary>, "
-              "endings array<int>, counts array<int>")
+              "endings binary, counts array<int>")
 
 
 def ending(word: bytes) -> int:
     """A hash of the last two letters without punctuation."""
-    return zlib.crc32(word.strip(MARKS)[-8:].decode("utf-8", "replace")[-2:].encode("utf-8")) >> 1
+    last = word.strip(MARKS)[-8:]
+    two = last[-2:]
+    return zlib.crc32(two if two.isascii() else last.decode("utf-8", "replace")[-2:].encode("utf-8")) >> 1
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts one after the other, as ``words_of`` has them, and how many each text has."""
+    # copied: of a slice, Arrow's ascii_lower takes the wrong bytes
+    own = texts.cast(pa.large_string()).fill_null("").take(pa.array(np.arange(len(texts))))
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(own))
+    words, of = lists.flatten(), pc.list_parent_indices(lists)
+    some = pc.not_equal(pc.binary_length(words), 0)  # blanks at an end of a text leave an empty one
+    words, of = words.filter(some), of.filter(some)
+    return words.cast(pa.large_binary()), np.bincount(of.to_numpy(), minlength=len(texts))
 
 
 def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modulus: int = 7, held: int = 2) -> DataFrame:
     """Documents as word numbers, a row a chunk: ids, held-out flags and sizes
-    of its documents, their words' codes (int32), the chunk's distinct words
-    and how often each occurs in its training documents; written."""
+    of its documents, their words' codes (int32), the chunk's distinct words,
+    their endings and how often each occurs in its training documents; written."""
 
     def pack(batches):
         from pyspark import TaskContext
 
         task, n = TaskContext.get().partitionId(), 0
-        ids, flags, parts, codes, tokens = [], [], [], {}, 0
+        ids, flags, sizes, parts, tokens = [], [], [], [], 0
 
         def chunk():
-            nonlocal n, ids, flags, parts, codes, tokens
-            train = [p for p, h in zip(parts, flags, strict=True) if not h]
-            counts = np.bincount(np.concatenate(train) if train else np.zeros(0, np.int32), minlength=len(codes))
-            row = [(task << 24) + n, ids, np.array(flags, np.uint8).tobytes(),
-                   np.array([len(p) for p in parts], np.int32).tobytes(), _planes(np.concatenate(parts)), list(codes),
-                   list(map(ending, codes)), counts.astype(np.int32)]
-            n, ids, flags, parts, codes, tokens = n + 1, [], [], [], {}, 0
-            kinds = [pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.int32())]
-            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)],
-                                              names=["chunk", "ids", "held", "sizes", "codes", "words", "endings", "counts"])
-
-        for b in batches:
-            for i, h, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                words = words_of(text)
-                for w in set(words).difference(codes):
-                    codes[w] = len(codes)
-                ids.append(i)
-                flags.append(h)
-                parts.append(np.fromiter(map(codes.__getitem__, words), np.int32, len(words)))
-                tokens += len(words) + 1
-                if tokens >= CHUNK_TOKENS:
-                    yield chunk()
+            nonlocal n, ids, flags, sizes, parts, tokens
+            coded = pa.concat_arrays(parts).dictionary_encode()
+            codes, words = coded.indices.to_numpy(), coded.dictionary.cast(pa.binary())
+            held, size = np.concatenate(flags), np.concatenate(sizes)
+            counts = np.bincount(codes[np.repeat(~held, size)], minlength=len(words))
+            endings = np.fromiter(map(ending, words.to_pylist()), np.int32, len(words))
+            row = [(task << 24) + n, np.concatenate(ids), held.astype(np.uint8).tobytes(), size.astype(np.int32).tobytes(),
+                   _planes(codes), None, endings.tobytes(), counts.astype(np.int32)]
+            n, ids, flags, sizes, parts, tokens = n + 1, [], [], [], [], 0
+            kinds = [pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.binary(), pa.list_(pa.int32())]
+            cols = [pa.array([v], k) for v, k in zip(row, kinds, strict=True)]
+            cols[5] = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
+            return pa.RecordBatch.from_arrays(cols, names=["chunk", "ids", "held", "sizes", "codes", "words", "endings", "counts"])
+
+        for batch in batches:
+            part = np.cumsum(pc.binary_length(batch.column(2)).fill_null(0).to_numpy().astype(np.int64)) // PART_BYTES
+            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+            for b in (batch.slice(lo, hi - lo) for lo, hi in zip(cuts, cuts[1:], strict=False)):
+                words, size = split_words(b.column(2))
+                row_ids, held = (c.to_pylist() for c in b.columns[:2])
+                ends, lo, first = np.cumsum(size), 0, 0
+                while lo < len(size):
+                    # the text that fills the chunk is its last
+                    hi = min(len(size), lo + int(np.searchsorted(np.cumsum(size[lo:] + 1), CHUNK_TOKENS - tokens)) + 1)
+                    last = int(ends[hi - 1])
+                    ids.append(np.array(row_ids[lo:hi], object))
+                    flags.append(np.array(held[lo:hi], bool))
+                    sizes.append(size[lo:hi])
+                    parts.append(words.slice(first, last - first))
+                    tokens += last - first + hi - lo
+                    lo, first = hi, last
+                    if tokens >= CHUNK_TOKENS:
+                        yield chunk()
         if ids:
             yield chunk()
 
@@ -140,6 +167,12 @@ def _from_planes(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<i4").reshape(-1)
 
 
+def _rows(batch: pa.RecordBatch):
+    """Its rows, the words of each as they lie in Arrow's memory."""
+    for i in range(batch.num_rows):
+        yield {k: c[i].values if k == "words" else c[i].as_py() for k, c in zip(batch.schema.names, batch.columns, strict=True)}
+
+
 def _arrays(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (np.frombuffer(row["held"], np.uint8).astype(bool), np.frombuffer(row["sizes"], np.int32).astype(np.int64),
             _from_planes(row["codes"]))
@@ -180,6 +213,7 @@ class Tree:
         of = {w: self.class_of(w) for w in by_count}
         words = sorted(by_count, key=lambda w: (of[w], -frequent[w], w))
         self.leaf = {w: i for i, w in enumerate(words)}
+        self.modelled = pa.array(words, pa.binary())
         self.leaf_class = np.array([of[w] for w in words], np.int64)
         self.leaf_count = np.array([frequent[w] for w in words], np.int64)
         self.first = np.searchsorted(self.leaf_class, np.arange(self.n + 1))
@@ -195,10 +229,10 @@ class Tree:
         out[own] = self.leaf_class[leaves[own]]
         return out
 
-    def leaves(self, words: list[bytes]) -> np.ndarray:
+    def leaves(self, words: list[bytes] | pa.Array) -> np.ndarray:
         """Leaf of each word, -1 for a rare one."""
-        get = self.leaf.get
-        return np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        at = pc.index_in(words if isinstance(words, pa.Array) else pa.array(words, pa.binary()), value_set=self.modelled)
+        return at.fill_null(-1).to_numpy().astype(np.int64)
 
     def fill(self, tokens: np.ndarray, distinct: np.ndarray, ends: int) -> None:
         """Shares by counts: ``tokens`` and ``distinct`` words of training by class."""
@@ -243,7 +277,7 @@ def _training(row: dict, tree: Tree) -> tuple[np.ndarray, np.ndarray, np.ndarray
     held, sizes, codes = _arrays(row)
     codes, sizes = codes[np.repeat(~held, sizes)], sizes[~held]
     leaves = tree.leaves(row["words"])
-    classes, starts = _with_ends(tree.classes(leaves, np.array(row["endings"], np.int64))[codes], sizes, END)
+    classes, starts = _with_ends(tree.classes(leaves, np.frombuffer(row["endings"], np.int32))[codes], sizes, END)
     leaves, _ = _with_ends(leaves[codes], sizes, -1)
     return classes, leaves, starts
 
@@ -253,7 +287,7 @@ def pair_totals(packed: DataFrame, tree: Tree) -> np.ndarray:
     def count(batches):
         total = np.zeros(tree.n ** 2, np.int64)
         for b in batches:
-            for row in b.to_pylist():
+            for row in _rows(b):
                 classes, _, starts = _training(row, tree)
                 if len(starts):
                     one, _ = contexts(classes, starts)
@@ -296,19 +330,31 @@ def topics_so_far(classes: np.ndarray, sizes: np.ndarray, starts: np.ndarray, sc
     parts = -(-(sizes + 1) // TOPIC_TOKENS)
     nth = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
     begin = np.repeat(starts, parts) + nth * TOPIC_TOKENS
-    sums = np.add.reduceat(scores[classes], begin, axis=0)
+    sums, left = scores.take(classes[begin], 0), np.diff(np.append(begin, len(classes)))
+    for i in range(1, TOPIC_TOKENS):  # the i-th tokens of all parts that have one
+        at = np.flatnonzero(left > i)
+        if len(at) == len(begin):
+            sums += scores.take(classes[begin + i], 0)
+        else:
+            sums[at] += scores.take(classes[begin[at] + i], 0)
     before = np.cumsum(sums, axis=0) - sums
     before -= np.repeat(before[np.cumsum(parts) - parts], parts, axis=0)
     topic = np.where(nth == 0, scores.shape[1], before.argmax(1))
-    return np.repeat(topic, np.diff(np.append(begin, len(classes))))
+    return np.repeat(topic, left)
 
 
-def _sums_by_row(at: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _by_row(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order that brings equal rows together, where each begins in it, and the distinct rows."""
     # 16-bit numbers are sorted by their digits, to the same order
     order = np.argsort(at.astype(np.uint16) if len(at) and at.max() < 1 << 16 else at, kind="stable")
     rows = at[order]
     first = np.flatnonzero(np.diff(rows, prepend=-1))
-    return rows[first], np.add.reduceat(values[order], first)
+    return order, first, rows[first]
+
+
+def _sums(by_row: tuple[np.ndarray, np.ndarray, np.ndarray], values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order, first, rows = by_row
+    return rows, np.add.reduceat(values.take(order, 0), first)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -334,8 +380,7 @@ class Params:
         self.arrays[i][rows] -= gradient
 
     def scatter(self, i: int, at: np.ndarray, gradients: np.ndarray, rate: float) -> None:
-        rows, sums = _sums_by_row(at, gradients)
-        self.step(i, rows, sums, rate)
+        self.step(i, *_sums(_by_row(at), gradients), rate)
 
 
 class LogBilinear:
@@ -371,18 +416,22 @@ class LogBilinear:
         """A step: these tokens' classes against ``NOISE`` classes drawn for all of them."""
         r, q, pos, u, b = p.arrays
         noise = np.searchsorted(self.cumulative, rng.random(NOISE), "right")
-        parts = r[one], r[two], q[topic]
-        h = parts[0] * pos[0]
-        h += parts[1] * pos[1]
-        h += parts[2] * pos[2]
+        parts = r.take(one, 0), r.take(two, 0), q.take(topic, 0)
+        h = (r * pos[0]).take(one, 0)
+        h += (r * pos[1]).take(two, 0)
+        h += (q * pos[2]).take(topic, 0)
         log_noise = np.log(NOISE * self.tree.unigram).astype(np.float32)
-        met = u[target]
+        met = u.take(target, 0)
         g = _sigmoid((h * met).sum(1) + b[target] - log_noise[target]) - 1
-        gn = _sigmoid(h @ u[noise].T + b[noise] - log_noise[noise])
-        dh = g[:, None] * met + gn @ u[noise]
-        at = np.concatenate([target, noise])
-        p.scatter(3, at, np.concatenate([g[:, None] * h, gn.T @ h]), rate)
-        p.scatter(4, at, np.concatenate([g, gn.sum(0)]), rate / 4)
+        gn = h @ u[noise].T
+        gn += b[noise]
+        gn -= log_noise[noise]
+        gn = _sigmoid(gn)
+        dh = g[:, None] * met
+        dh += gn @ u[noise]
+        rows = _by_row(np.concatenate([target, noise]))
+        p.step(3, *_sums(rows, np.concatenate([g[:, None] * h, gn.T @ h])), rate)
+        p.step(4, *_sums(rows, np.concatenate([g, gn.sum(0)])), rate / 4)
         p.scatter(0, np.concatenate([one, two]), np.concatenate([dh * pos[0], dh * pos[1]]), rate)
         p.scatter(1, topic, dh * pos[2], rate)
         p.step(2, slice(None), np.stack([(x * dh).sum(0) for x in parts]), rate / 4)
@@ -429,7 +478,13 @@ def class_logs(tables: dict, one: np.ndarray, two: np.ndarray, topic: np.ndarray
     """log10 of the normalised probability of each class in its context."""
     a, b, c = tables["one"], tables["two"], tables["three"]
     n = len(a)
-    context, at = np.unique((one * n + two) * (TOPICS + 1) + topic, return_inverse=True)
+    key = (one * n + two) * (TOPICS + 1) + topic
+    met = np.zeros(n * n * (TOPICS + 1), bool)
+    met[key] = True
+    context = np.flatnonzero(met)
+    place = np.empty(len(met), np.int32)
+    place[context] = np.arange(len(context))
+    at = place[key]
     total = np.empty(len(context))
     for lo in range(0, len(context), CONTEXTS_AT_ONCE):
         part = context[lo:lo + CONTEXTS_AT_ONCE]
@@ -455,7 +510,7 @@ def _average_classes(packed: DataFrame, model: LogBilinear) -> np.ndarray | None
         m.prepare()
         p, seen = m.params(), 0
         for b in batches:
-            for row in b.to_pylist():
+            for row in _rows(b):
                 classes, _, starts = _training(row, m.tree)
                 if not len(starts):
                     continue
@@ -499,7 +554,7 @@ def _average_words(packed: DataFrame, model: LogBilinear) -> np.ndarray:
         m.prepare()
         met, seed = np.zeros((len(m.word), TOPICS + 1)), SEED
         for b in batches:
-            for row in b.to_pylist():
+            for row in _rows(b):
                 classes, leaves, starts = _training(row, m.tree)
                 if not len(starts):
                     continue
@@ -555,13 +610,12 @@ def score_with(packed: DataFrame, counts: DataFrame, model: LogBilinear) -> Data
 
     def ask(batches):
         """The words of a chunk whose counts aren't broadcast."""
-        known = shared.value["tree"].leaf
+        tree = shared.value["tree"]
         for b in batches:
-            for chunk, words in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                at = np.array([i for i, w in enumerate(words) if w not in known], np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), chunk)), pa.array(at), pa.array([words[i] for i in at.tolist()], pa.binary())],
-                    names=["chunk", "place", "word"])
+            for row in _rows(b):
+                at = pa.array(np.flatnonzero(tree.leaves(row["words"]) < 0).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), row["chunk"])), at, row["words"].take(at)],
+                                                 names=["chunk", "place", "word"])
 
     asked = packed.select("chunk", "words").mapInArrow(ask, "chunk long, place int, word binary")
     told = asked.join(counts, "word").select(F.col("chunk").alias("of_chunk"), "place", "c")
@@ -570,9 +624,9 @@ def score_with(packed: DataFrame, counts: DataFrame, model: LogBilinear) -> Data
         """A chunk with its words' classes and leaves in place of the words."""
         tree = shared.value["tree"]
         for b in batches:
-            for row in b.to_pylist():
+            for row in _rows(b):
                 leaves = tree.leaves(row.pop("words"))
-                row["classes"] = tree.classes(leaves, np.array(row.pop("endings"), np.int64)).astype(np.int16).tobytes()
+                row["classes"] = tree.classes(leaves, np.frombuffer(row.pop("endings"), np.int32)).astype(np.int16).tobytes()
                 row["leaves"] = leaves.astype(np.int32).tobytes()
                 kinds = [pa.int64(), pa.list_(pa.int64())] + [pa.binary()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row.values(), kinds, strict=True)], names=list(row))

@@ -4,10 +4,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm import cases
 from pricebasket.llm import lm_scoring as L
+from pricebasket.llm.common import words_of
 
 
 def tokens(text):
@@ -107,6 +109,33 @@ def test_a_larger_vocabulary_has_more_classes():
     assert sorted(tree.leaf.values()) == list(range(6)) and tree.first[-1] == 6
 
 
+def test_words_of_a_column():
+    texts = ["Ab c", "a\x1cB \x85x\xa0y\x00Z \tÄÖ\n\n q", "\x0b\x0c", "", "trail ", " Lead", " k\u3000m", "z" * 50, "One TWO one"] * 4
+    for rows in (texts, [*texts, None]):
+        for lo, hi in ((0, len(rows)), (1, 9), (7, len(rows)), (3, 3)):
+            words, sizes = L.split_words(pa.array(rows).slice(lo, hi - lo))
+            own = [words_of(t) for t in rows[lo:hi]]
+            assert words.to_pylist() == [w for x in own for w in x] and sizes.tolist() == list(map(len, own))
+
+
+def test_chunks_hold_every_word_of_long_columns(spark, monkeypatch):
+    """A column larger than what is split at once, over several chunks."""
+    monkeypatch.setattr(L, "PART_BYTES", 20_000)
+    monkeypatch.setattr(L, "CHUNK_TOKENS", 5000)
+    data = [(i, f"Word{i % 7} some{i} " * (200 + i), "en", "s", None) for i in range(60)]
+    got, chunks = [], []
+    for r in L.chunks(cases.docs(spark, data).coalesce(1).sortWithinPartitions("doc_id")).orderBy("chunk").collect():
+        held, sizes, codes = L._arrays(r.asDict())
+        words = [bytes(w) for w in r["words"]]
+        assert [L.ending(w) for w in words] == np.frombuffer(r["endings"], np.int32).tolist()
+        assert r["counts"] == np.bincount(codes[np.repeat(~held, sizes)], minlength=len(words)).tolist()
+        assert len(codes) + len(sizes) - sizes[-1] - 1 < L.CHUNK_TOKENS
+        ends = np.cumsum(sizes)
+        got += [(i, [words[c] for c in codes[e - n:e]]) for i, n, e in zip(r["ids"], sizes, ends, strict=True)]
+        chunks.append(len(sizes))
+    assert len(chunks) > 4 and got == [(r[0], words_of(r[1])) for r in data]
+
+
 def test_topics_follow_the_text():
     scores = np.zeros((10, L.TOPICS))
     scores[1:5, 2], scores[5:, 3] = 1.0, 1.0
