@@ -6,6 +6,11 @@ the ranks finds the next non-empty bucket by find-first-set.  An entry is stale,
 and skipped, if the pair at its position has changed since.  So a pre-token of n
 bytes costs O(n log n) however long it is.
 
+Short pre-tokens, nearly all, are merged many at a time, by whole columns: the
+bitmap finds the lowest block of ranks, and every pre-token with entries in it
+makes the merge of its lowest rank.  The ranks of pairs are looked up by the ids
+of their two parts.
+
 Texts are cut at whitespace runs into units (a run and the word after it; no
 pre-token crosses the start of a run), and each worker remembers the ids of the
 units it has met, in a table of bounded size.
@@ -38,14 +43,19 @@ BLOCK_BITS = 8
 BLOCK_MASK = (1 << BLOCK_BITS) - 1
 #: Half of the units and pre-tokens remembered per worker, about, and the longest ones remembered.
 CACHE_UNITS, CACHE_PIECES, CACHE_CHARS = 200_000, 250_000, 64
-#: Characters of text whose units are held at once (a longer text is held alone).
+#: Bytes of text whose units are held at once (a longer text is held alone).
 PART_CHARS = 2_500_000
 #: New pre-tokens that share the queue: few enough that its lists stay in the processor's cache.
 PIECES_AT_ONCE = 2000
-#: A whitespace run with the word after it, or the run at the end of the text.
+#: Pre-tokens of at most so many bytes are merged by whole columns, so many together, in blocks of 2**SHORT_BITS ranks.
+SHORT_BYTES, SHORT_AT_ONCE, SHORT_BITS = 64, 25_000, 10
 #: White space as Unicode has it, spelled out: the standard library's \\s differs from the pattern's.
 SPACES = "\t-\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-UNIT = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
+#: Of a byte of UTF-8: 1 if it is white space, 2 if longer white space may begin with it, which is one of LONG_SPACES.
+SPACE_BYTES = np.zeros(256, np.uint8)
+LONG_SPACES = [c.encode() for c in re.findall(f"[{SPACES}]", "".join(map(chr, range(0xD800)))) if c > "\x7f"]
+SPACE_BYTES[[c[0] for c in LONG_SPACES]] = 2
+SPACE_BYTES[[c for c in range(128) if re.match(f"[{SPACES}]", chr(c))]] = 1
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -78,6 +88,48 @@ class RankQueue:
             self.top ^= 1 << block
 
 
+class PairRanks:
+    """Merge ranks by the ids of a pair's parts: open addressing, probed by whole columns."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        get, pairs = ranks.get, []
+        for piece, rank in ranks.items():
+            for k in range(1, len(piece)):
+                a = get(piece[:k])
+                if a is not None:
+                    b = get(piece[k:])
+                    if b is not None:
+                        pairs.append((a, b, rank))
+        a, b, rank = np.array(pairs, np.int64).reshape(-1, 3).T
+        self.base = max(ranks.values()) + 1
+        bits = (2 * len(pairs) + 1).bit_length()
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        keys = a * self.base + b
+        self.keys, self.ranks = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int32)
+        at, todo = self._slot(keys), np.arange(len(keys))
+        while len(todo):
+            free = todo[self.keys[at[todo]] < 0]
+            self.keys[at[free]] = keys[free]  # of those that share a slot, the last stays
+            todo = todo[self.keys[at[todo]] != keys[todo]]
+            at[todo] = at[todo] + 1 & self.mask
+        self.ranks[at] = rank
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def find(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of the pairs, -1 for those that don't merge."""
+        keys = a.astype(np.int64) * self.base + b
+        at = self._slot(keys)
+        found = self.keys[at]
+        todo = np.flatnonzero((found != keys) & (found >= 0))
+        while len(todo):
+            at[todo] = at[todo] + 1 & self.mask
+            found = self.keys[at[todo]]
+            todo = todo[(found != keys[todo]) & (found >= 0)]
+        return self.ranks[at]  # an empty slot has -1
+
+
 class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
@@ -88,8 +140,73 @@ class Codec:
         for piece, i in ranks.items():
             if len(piece) == 2:
                 self.byte_pairs[piece[0] << 8 | piece[1]] = i
+        #: Parts are known by their ids, so every byte needs one; else all pre-tokens are taken as long ones.
+        self.pairs = PairRanks(ranks) if (self.bytes_ >= 0).all() else None
+        self.names = pa.array([self.vocabulary.get(i) for i in range(max(ranks.values()) + 1)], pa.large_binary())
         self.units, self.pieces = _Recent(CACHE_UNITS), _Recent(CACHE_PIECES)
 
+    def encode_short(self, pieces: list[bytes]) -> list[bytes]:
+        """``encode_pieces`` by whole columns.  A bucket of the queue is a block of
+        ranks.  Of each pre-token with entries in the lowest block, the lowest
+        rank, leftmost, is merged: no other of its entries is lower, as all lower
+        blocks are empty.  A pre-token makes one merge at a time, hence short ones only."""
+        data = b"".join(pieces)
+        n = len(data)
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        of = np.append(np.repeat(np.arange(len(pieces)), sizes), -1)  # pre-token of each byte
+        token = np.append(self.bytes_[np.frombuffer(data, np.uint8)], 0)  # id of the part that starts here
+        end = np.arange(1, n + 2)  # part i is data[i:end[i]]
+        before = np.arange(-1, n)  # start of the part before, maybe another pre-token's; -1 wraps to the end, which is none's
+        parts = np.ones(n, bool)
+        pair = np.full(n + 1, -1, np.int64)  # rank of the pair that starts here, -1 if none
+        raw = token[:-1]
+        pair[:-2] = np.where(of[:-2] == of[1:-1], self.pairs.find(raw[:-1], raw[1:]), -1)
+        buckets: dict[int, list[np.ndarray]] = {}
+        top = 0  # bit per non-empty bucket
+        fresh = np.flatnonzero(pair >= 0)
+        while True:
+            if len(fresh):
+                blocks = (pair[fresh] >> SHORT_BITS).astype(np.uint16)
+                order = np.argsort(blocks, kind="stable")
+                fresh, blocks = fresh[order], blocks[order]
+                cuts = np.flatnonzero(blocks[1:] != blocks[:-1]) + 1
+                cuts = [0, *cuts.tolist(), len(fresh)]
+                for block, x, y in zip(blocks[cuts[:-1]].tolist(), cuts, cuts[1:], strict=False):
+                    if top >> block & 1:
+                        buckets[block].append(fresh[x:y])
+                    else:
+                        buckets[block] = [fresh[x:y]]
+                        top |= 1 << block
+            if not top:
+                break
+            block = (top & -top).bit_length() - 1
+            i = np.concatenate(buckets[block])
+            i = i[pair[i] >> SHORT_BITS == block]  # the others are stale
+            key = np.sort(((of[i] << SHORT_BITS) + (pair[i] & (1 << SHORT_BITS) - 1)) * (n + 1) + i)
+            i = key % (n + 1)
+            whose = of[i]
+            lowest = np.append(True, whose[1:] != whose[:-1])[:len(i)]
+            rest = i[~lowest & np.append(True, key[1:] != key[:-1])[:len(i)]]
+            if len(rest):
+                buckets[block] = [rest]
+            else:
+                del buckets[block]
+                top ^= 1 << block
+            i = i[lowest]
+            right = end[i]
+            stop = end[right]
+            token[i] = pair[i]
+            end[i], before[stop] = stop, i
+            pair[right], parts[right] = -1, False
+            left = before[i]
+            i = np.concatenate([i, left[of[left] == of[i]]])
+            stop = end[i]
+            pair[i] = r = np.where(of[i] == of[stop], self.pairs.find(token[i], token[stop]), -1)
+            fresh = i[r >= 0]
+        ids = token[:-1][parts].astype("<u4").tobytes()
+        stops = (4 * np.cumsum(np.bincount(of[:-1][parts], minlength=len(pieces)))).tolist()
+        return [ids[x:y] for x, y in zip([0, *stops], stops, strict=False)]
+
     def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
         """Ids of pre-tokens, each as little-endian unsigned 32-bit integers.
 
@@ -164,59 +281,78 @@ class Codec:
             out.append(array("I", ids).tobytes())
         return out
 
-    def _learn(self, units: list[str]) -> None:
+    def _learn(self, units: list[bytes]) -> None:
         """Remember the ids of units that are not in the table."""
-        split = list(map(self.pattern.findall, units))
+        find = self.pattern.findall
+        split = [find(str(u, "utf-8", "surrogatepass")) for u in units]
         known, whole = self.pieces, self.ranks
-        fresh = []
+        short, long = [], []
         for piece in known.missing({p for s in split for p in s}):
             data = utf8(piece)
             r = whole.get(data)
             if r is not None:
                 known[piece] = r.to_bytes(4, "little")
             else:
-                fresh.append((piece, data))
-        for at in range(0, len(fresh), PIECES_AT_ONCE):
-            some = fresh[at:at + PIECES_AT_ONCE]
-            known.update(zip((p for p, _ in some), self.encode_pieces([d for _, d in some]), strict=True))
-        get = known.__getitem__
-        self.units.update((u, b"".join(map(get, s))) for u, s in zip(units, split, strict=True))
-        known.trim(p for p, _ in fresh)
+                (short if len(data) <= SHORT_BYTES and self.pairs else long).append((piece, data))
+        for fresh, most, encode in ((short, SHORT_AT_ONCE, self.encode_short), (long, PIECES_AT_ONCE, self.encode_pieces)):
+            for at in range(0, len(fresh), most):
+                some = fresh[at:at + most]
+                known.update(zip((p for p, _ in some), encode([d for _, d in some]), strict=True))
+        get, join = known.__getitem__, b"".join
+        self.units.update(zip(units, [get(s[0]) if len(s) == 1 else join(map(get, s)) for s in split], strict=True))
+        known.trim(p for p, _ in short + long)
 
     def encode_all(self, texts: list[str | None]) -> Iterator[bytes]:
-        """Ids of each text, in parts of about ``PART_CHARS`` characters of text at a time."""
-        part, chars = [], 0
-        for text in texts:
-            part.append(text or "")
-            chars += len(part[-1])
-            if chars >= PART_CHARS:
-                yield from self._encode_part(part)
-                part, chars = [], 0
-        yield from self._encode_part(part)
-
-    def _encode_part(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, as ``encode``."""
+        for ids, stops in self.encode_column(pa.array(map(utf8, texts), pa.large_binary())):
+            yield from slices(ids, stops)
+
+    def encode_column(self, texts: pa.Array) -> Iterator[tuple[memoryview, np.ndarray]]:
+        """Ids of the texts, null ones empty, about ``PART_CHARS`` bytes of text at a time: the
+        ids of one text after the other, as ``encode``, and where each text's begin and end."""
+        texts = texts.cast(pa.large_binary())
+        starts, data = bounds(texts.fill_null(b"") if texts.null_count else texts)
+        a, rows = 0, len(starts) - 1
+        while a < rows:
+            b = max(a + 1, min(rows, int(np.searchsorted(starts, starts[a] + PART_CHARS))))
+            yield self._encode_part(data[starts[a]:starts[b]], starts[a:b + 1] - starts[a])
+            a = b
+
+    def _encode_part(self, data: np.ndarray, starts: np.ndarray) -> tuple[memoryview, np.ndarray]:
         collects = gc.isenabled()
         gc.disable()  # the tables hold no cycles, and walking them takes long
         try:
-            return self._encode_texts(texts)
+            return self._encode_texts(data, starts)
         finally:
             if collects:
                 gc.enable()
 
-    def _encode_texts(self, texts: list[str]) -> list[bytes]:
-        lists = list(map(UNIT.findall, texts))
-        fresh = self.units.missing(set().union(*lists))
+    def _encode_texts(self, data: np.ndarray, starts: np.ndarray) -> tuple[memoryview, np.ndarray]:
+        cuts = unit_starts(data, starts)
+        ends = np.append(cuts, len(data))
+        units = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+        coded = units.dictionary_encode()
+        texts = coded.dictionary.to_pylist()
+        fresh = self.units.missing(set(texts))
         if fresh:
             self._learn(list(fresh))
-        get = self.units.__getitem__
-        out = [b"".join(map(get, units)) for units in lists]
+        known = pa.array(list(map(self.units.__getitem__, texts)), pa.large_binary())
         self.units.trim(fresh)
-        return out
+        stops, ids = bounds(known.take(coded.indices))
+        return memoryview(ids), stops[np.searchsorted(cuts, starts)]
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
         return next(iter(self.encode_all([text])))
 
+    def decode_column(self, ids: memoryview, stops: np.ndarray) -> tuple[memoryview, np.ndarray]:
+        """The bytes of what ``encode_column`` gives, and where each text's begin and end; an unknown id is an error."""
+        pieces = self.names.take(pa.array(np.frombuffer(ids, "<u4")))
+        if pieces.null_count:
+            raise KeyError("an id without a piece")
+        ends, data = bounds(pieces)
+        return memoryview(data), ends[stops // 4]
+
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.vocabulary.__getitem__, memoryview(ids).cast("I")))
 
@@ -246,6 +382,38 @@ class _Recent(dict):
             self.clear()
 
 
+def bounds(column: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the values begin and the last one ends, and their bytes one after the other."""
+    _, at, data = column.buffers()
+    at = np.frombuffer(at, np.int64)[column.offset:column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
+    data = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+    return at - at[0], data[at[0]:at[-1]]
+
+
+def slices(data: memoryview, stops: np.ndarray) -> Iterator[bytes]:
+    stops = stops.tolist()
+    return (bytes(data[a:b]) for a, b in zip(stops, stops[1:], strict=False))
+
+
+def unit_starts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where the units of UTF-8 texts begin: with a text, and with each white space after something else."""
+    kinds = SPACE_BYTES[data]
+    space = kinds == 1
+    at = np.flatnonzero(kinds == 2)
+    if len(at):
+        space = np.append(space, [False, False])
+        seen = [data.take(at + k, mode="clip") for k in range(3)]
+        for c in LONG_SPACES:
+            here = at[np.logical_and.reduce([x == y for x, y in zip(seen, c, strict=False)])]
+            for k in range(len(c)):
+                space[here + k] = True
+        space = space[:-2]
+    begins = space.copy()
+    begins[1:] &= ~space[:-1]
+    begins[starts[:-1][starts[:-1] < starts[1:]]] = True
+    return np.flatnonzero(begins)
+
+
 def parse_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines())}
 
@@ -264,6 +432,11 @@ def load_codec(path: str, pattern: str) -> Codec:
     return codec
 
 
+def digests(data: memoryview, stops: np.ndarray) -> list[str]:
+    stops = stops.tolist()
+    return [hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(stops, stops[1:], strict=False)]
+
+
 def encode(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN, id_col: str = "doc_id",
            text_col: str = "text", keep_ids: bool = True) -> DataFrame:
     """Per row of ``docs``: doc_id, n_tokens, ids_sha256, decoded_sha256 and,
@@ -280,15 +453,17 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str = public_token
     def run(batches):
         codec = load_codec(path, pattern)
         for b in batches:
-            ids = list(codec.encode_all(b.column(1).to_pylist()))
-            sha = [hashlib.sha256(x).hexdigest() for x in ids]
-            back = [hashlib.sha256(codec.decode(x)).hexdigest() for x in ids]
-            cols = [b.column(0).cast(pa.int64()), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(sha, pa.string()),
-                    pa.array(back, pa.string())]
+            sizes, sha, back, kept = [], [], [], []
+            for ids, stops in codec.encode_column(b.column(1)):
+                sizes += (np.diff(stops) // 4).tolist()
+                sha += digests(ids, stops)
+                back += digests(*codec.decode_column(ids, stops))
+                if keep_ids:
+                    kept.append(ids)
+            cols = [b.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(sha, pa.string()), pa.array(back, pa.string())]
             if keep_ids:
-                sizes = pa.array([0, *(len(x) // 4 for x in ids)], pa.int32())
-                flat = pa.Array.from_buffers(pa.int32(), sum(map(len, ids)) // 4, [None, pa.py_buffer(b"".join(ids))])
-                cols.append(pa.ListArray.from_arrays(pc.cumulative_sum(sizes), flat))
+                flat = pa.Array.from_buffers(pa.int32(), sum(sizes), [None, pa.py_buffer(b"".join(kept))])
+                cols.append(pa.ListArray.from_arrays(pc.cumulative_sum(pa.array([0, *sizes], pa.int32())), flat))
             yield pa.RecordBatch.from_arrays(cols, schema=schema)
 
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, kind)
