@@ -281,13 +281,16 @@ class Codec:
             out.append(array("I", ids).tobytes())
         return out
 
-    def _learn(self, units: list[bytes]) -> None:
-        """Remember the ids of units that are not in the table."""
+    def _learn(self, units: list[bytes]) -> list[bytes]:
+        """Ids of units that are not in the table, which remembers them."""
         find = self.pattern.findall
         split = [find(str(u, "utf-8", "surrogatepass")) for u in units]
         known, whole = self.pieces, self.ranks
         short, long = [], []
-        for piece in known.missing({p for s in split for p in s}):
+        pieces = list({p for s in split for p in s})
+        for piece, ids in zip(pieces, known.found(pieces), strict=True):
+            if ids is not None:
+                continue
             data = utf8(piece)
             r = whole.get(data)
             if r is not None:
@@ -299,8 +302,11 @@ class Codec:
                 some = fresh[at:at + most]
                 known.update(zip((p for p, _ in some), encode([d for _, d in some]), strict=True))
         get, join = known.__getitem__, b"".join
-        self.units.update(zip(units, [get(s[0]) if len(s) == 1 else join(map(get, s)) for s in split], strict=True))
-        known.trim(p for p, _ in short + long)
+        out = [get(s[0]) if len(s) == 1 else join(map(get, s)) for s in split]
+        known.trim(p for p, _ in long)
+        self.units.update(zip(units, out, strict=True))
+        self.units.trim(units)
+        return out
 
     def encode_all(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text, as ``encode``."""
@@ -333,12 +339,12 @@ class Codec:
         units = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts), [None, pa.py_buffer(ends), pa.py_buffer(data)])
         coded = units.dictionary_encode()
         texts = coded.dictionary.to_pylist()
-        fresh = self.units.missing(set(texts))
+        known = self.units.found(texts)
+        fresh = [k for k, x in enumerate(known) if x is None]
         if fresh:
-            self._learn(list(fresh))
-        known = pa.array(list(map(self.units.__getitem__, texts)), pa.large_binary())
-        self.units.trim(fresh)
-        stops, ids = bounds(known.take(coded.indices))
+            for k, x in zip(fresh, self._learn([texts[k] for k in fresh]), strict=True):
+                known[k] = x
+        stops, ids = bounds(pa.array(known, pa.large_binary()).take(coded.indices))
         return memoryview(ids), stops[np.searchsorted(cuts, starts)]
 
     def encode(self, text: str | None) -> bytes:
@@ -374,6 +380,16 @@ class _Recent(dict):
         self.update((t, old[t]) for t in again)
         return texts - again
 
+    def found(self, texts: list[str]) -> list[bytes | None]:
+        """The ids of the texts, None of those that are not known; the others are in the table after the call."""
+        out, old = list(map(self.get, texts)), self.old
+        if old:
+            for k in [k for k, ids in enumerate(out) if ids is None]:
+                ids = old.get(texts[k])
+                if ids is not None:
+                    out[k] = self[texts[k]] = ids
+        return out
+
     def trim(self, fresh: Iterable[str]) -> None:
         for text in [t for t in fresh if len(t) > CACHE_CHARS]:
             del self[text]
