@@ -23,3 +23,14 @@ def spark():
 
     ensure_checkpoint_dir(s)
     yield s
+
+
+@pytest.fixture(autouse=True)
+def no_views_left(request):
+    """A test's temporary views go with it: others list the session's tables."""
+    yield
+    if "spark" in request.fixturenames:
+        s = request.getfixturevalue("spark")
+        for t in s.catalog.listTables():
+            if t.isTemporary:
+                s.catalog.dropTempView(t.name)
