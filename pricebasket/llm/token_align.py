@@ -33,32 +33,32 @@ import gc
 import hashlib
 import json
 import os
-import re
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricebasket.llm.bpe import SPACES, _Recent
+from pricebasket.llm.bpe import _Recent, bounds, unit_starts
 from pricebasket.llm.common import table, utf8, written
 from pricebasket.llm.csr import Csr, members, product_sizes, row_products, spans
 
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Bytes of text of a chunk, about, and terms of a product that are summed at once.
 CHUNK_BYTES, TERMS = 4_000_000, 1_000_000
-#: Text given to the tokenizers at once, in bytes, about.
-BATCH_BYTES = 250_000
-#: Half of the units whose ids a worker remembers, about (some 300 bytes each).
+#: Text given to the tokenizers at once, and in one string, in bytes, about.
+BATCH_BYTES, JOINED_BYTES = 250_000, 4000
+#: Bytes whose units are looked for at once.
+WINDOW_BYTES = 1_000_000
+#: Half of the units whose ids a worker remembers, about (some 200 bytes each).
 CACHE_UNITS = 150_000
 #: Units of a text that are held as text at once.
 UNITS_AT_ONCE = 200_000
-#: From a blank that stands after a letter to the next such: neither tokenizer merges over it.
-UNIT = re.compile(" [{0}]*[^{0}]*(?:[{1}][{0}]*[^{0}]*)*".format(SPACES, SPACES.replace(" ", "")))
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -75,8 +75,15 @@ class Tokens:
     def __init__(self, pieces: list[bytes]):
         self.bytes = pieces
         self.lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        # ids as text with the mark after them, inside a group, after its A half and after its B half
-        self.names = {mark: np.array([f"{i}{mark}" for i in range(len(pieces))], object) for mark in ",|;"}
+        self.column = pa.array(pieces, pa.large_binary())
+
+    def spell(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the pieces of ids begin and the last one ends, and their bytes one after the other."""
+        return bounds(self.column.take(pa.array(ids)))
+
+    def names(self, marks: str) -> list[str]:
+        """Ids as text with a mark after them, all ids for each mark."""
+        return [f"{i}{mark}" for mark in marks for i in range(len(self.bytes))]
 
 
 class ByteLevel(Tokens):
@@ -133,58 +140,152 @@ class Pieces(Tokens):
         return [x or [self.blank] for x in self.encode([u[1:] for u in units])]
 
 
+def unit_cuts(data: bytes, starts: np.ndarray) -> np.ndarray:
+    """Where the units of texts in UTF-8, each with a blank before it, begin: from a
+    blank that stands after a letter to the next such neither tokenizer merges."""
+    data, found = np.frombuffer(data, np.uint8), []
+    for x in range(0, len(data), WINDOW_BYTES):
+        first = max(0, x - 3)  # the longest white space before a window
+        own = starts[np.searchsorted(starts, first):np.searchsorted(starts, x + WINDOW_BYTES)]
+        at = unit_starts(data[first:x + WINDOW_BYTES], np.append(own, min(len(data), x + WINDOW_BYTES)) - first) + first
+        at = at[at >= x]
+        found.append(at[data[at] == 0x20])
+    return np.concatenate([np.zeros(0, np.int64), *found])
+
+
+@dataclass
+class Ids:
+    """Ids of units under A and B, one unit's after the other's, and how many each
+    unit has: none under both for a unit that has no tokens."""
+
+    a: np.ndarray
+    b: np.ndarray
+    n_a: np.ndarray
+    n_b: np.ndarray
+
+    @staticmethod
+    def packed(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> list[bytes]:
+        """Each unit's number of ids under A, these, and those under B, as unsigned 32-bit integers."""
+        kinds = _kinds(n_a, n_b)
+        words = np.empty(len(kinds), np.uint32)
+        words[kinds == 0], words[kinds == 1], words[kinds == 2] = n_a, a, b
+        data, ends = words.tobytes(), (4 * np.cumsum(1 + n_a + n_b)).tolist()
+        return [data[i:j] for i, j in zip([0, *ends], ends, strict=False)]
+
+    @classmethod
+    def unpacked(cls, units: list[bytes]) -> Ids:
+        starts, data = bounds(pa.array(units, pa.large_binary()))
+        starts, words = starts // 4, data.view(np.uint32)
+        n_a = words[starts[:-1]].astype(np.int64)
+        n_b = np.diff(starts) - 1 - n_a
+        kinds = _kinds(n_a, n_b)
+        return cls(words[kinds == 1].astype(np.int64), words[kinds == 2].astype(np.int64), n_a, n_b)
+
+    def only(self, kept: np.ndarray) -> Ids:
+        """The others have no tokens."""
+        return Ids(self.a[np.repeat(kept, self.n_a)], self.b[np.repeat(kept, self.n_b)], self.n_a * kept, self.n_b * kept)
+
+
+def _kinds(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Of every integer of packed units 0 if it is the number, 1 an id under A, 2 under B."""
+    return np.repeat(np.tile(np.arange(3, dtype=np.int8), len(n_a)), np.column_stack([np.ones_like(n_a), n_a, n_b]).ravel())
+
+
 class Units:
-    """Ids of units under both tokenizers; those met before are looked up."""
+    """Ids of units, in UTF-8, under both tokenizers; those met before are looked up."""
 
     def __init__(self, a: ByteLevel, b: Pieces):
         self.a, self.b = a, b
+        self.names = pa.array(a.names(",|") + b.names(",;"), pa.large_string())
         self.met = _Recent(CACHE_UNITS)
 
-    def cut(self, text: str | None) -> Iterator[list[str]]:
+    def coded(self, texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The distinct units of texts, each with a blank before it or empty, the
+        number of each unit of one text after the other, and how many each text has."""
+        data, starts = b"".join(texts), _starts(np.fromiter(map(len, texts), np.int64, len(texts)))
+        cuts = unit_cuts(data, starts[:-1]) if self.b.by_units else np.unique(starts[:-1][np.diff(starts) > 0])
+        units = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(cuts), [None, pa.py_buffer(np.append(cuts, len(data))), pa.py_buffer(data)]).dictionary_encode()
+        return units.dictionary.to_pylist(), units.indices.to_numpy(), np.diff(np.searchsorted(cuts, starts))
+
+    def cut(self, text: str | None) -> Iterator[list[bytes]]:
         """The units of blank + text, ``UNITS_AT_ONCE`` at a time."""
-        if not text:
-            return
-        if not self.b.by_units:
-            yield [" " + text]
-            return
-        found = (m.group() for m in UNIT.finditer(" " + text))
-        if len(text) < UNITS_AT_ONCE:
-            yield UNIT.findall(" " + text)
-        else:
-            while block := list(islice(found, UNITS_AT_ONCE)):
-                yield block
-
-    def _encode(self, units: list[str]) -> Iterator[tuple[bytes, bytes]]:
-        wants = list(map(utf8, units))
-        whole, ends = b"".join(wants), np.cumsum(np.fromiter(map(len, wants), np.int64, len(wants)))
-        packed, same = [], np.ones(len(units), bool)
+        units, codes, _ = self.coded([utf8(text and " " + text)])
+        for i in range(0, len(codes), UNITS_AT_ONCE):
+            yield list(map(units.__getitem__, codes[i:i + UNITS_AT_ONCE].tolist()))
+
+    def _try(self, units: list[bytes], firsts: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+        """Packed ids of units given to the tokenizers in blocks, the units from each of
+        ``firsts`` to the next as one text, and whether its block spells them out."""
+        data, ends = b"".join(units), np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))
+        lasts = np.append(firsts[1:], len(units)) - 1
+        sizes = lasts - firsts + 1
+        stops = _starts(ends[lasts] - np.append(0, ends[lasts[:-1]])).tolist()
+        texts = [str(data[i:j], "utf-8") for i, j in zip(stops, stops[1:], strict=False)]
+        good, columns = np.ones(len(firsts), bool), []
         for vocab in (self.a, self.b):
-            ids = vocab.encode_units(units)
-            last = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
-            flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(last[-1]))
-            spelled = b"".join(map(vocab.bytes.__getitem__, flat.tolist()))
-            at = _starts(vocab.lengths[flat])[last]
-            if spelled != whole or (at != ends).any():
-                same &= [spelled[i:j] == want for i, j, want in zip([0, *at[:-1].tolist()], at.tolist(), wants, strict=True)]
-            data, cuts = flat.tobytes(), (last * 4).tolist()
-            packed.append([data[i:j] for i, j in zip([0, *cuts[:-1]], cuts, strict=True)])
-        return ((x, y) if ok else (b"", b"") for x, y, ok in zip(*packed, same.tolist(), strict=True))
-
-    def ids(self, units: list[str]) -> list[tuple[bytes, bytes]]:
-        """Ids of each unit under A and B as unsigned 32-bit integers, none if they don't spell it out."""
-        fresh = list(self.met.missing(set(units)))
+            ids = vocab.encode_units(texts)
+            cuts = _starts(np.fromiter(map(len, ids), np.int64, len(ids)))
+            flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(cuts[-1]))
+            at, spelled = vocab.spell(flat)
+            got, spelled = at[cuts].tolist(), spelled.tobytes()
+            if spelled != data or got != stops:
+                good &= [spelled[i:j] == data[x:y] for i, j, x, y in zip(got, got[1:], stops, stops[1:], strict=False)]
+            # a block spells its units if a token ends where each of them does
+            want = ends + np.repeat(np.subtract(got[:-1], stops[:-1]), sizes)
+            last = np.searchsorted(at[1:], want)
+            last[lasts] = cuts[1:] - 1
+            good &= np.logical_and.reduceat(at[np.minimum(last + 1, len(flat))] == want, firsts)
+            columns.append((flat, cuts, last + 1))
+        whole = np.repeat(good, sizes)
+        numbers = []
+        for flat, cuts, last in columns:
+            n = np.diff(last, prepend=0) * whole
+            n[firsts] = (last[firsts] - cuts[:-1]) * good
+            numbers.append((flat[np.repeat(good, np.diff(cuts))], n))
+        (a, n_a), (b, n_b) = numbers
+        return Ids.packed(a, b, n_a, n_b), whole
+
+    def _encode(self, units: list[bytes]) -> list[bytes]:
+        """Packed ids of each unit, none if they don't spell it out.  Many units are one
+        text to the tokenizers, which is faster; where white space ends a unit, more of it
+        would follow, so it is a text of its own, as are the units of a text not spelled out."""
+        out, alone = [b""] * len(units), np.ones(len(units), bool)
+        if self.b.by_units:
+            ends = np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))
+            alone[:] = False
+            alone[:-1] = ~np.isin(ends[:-1], unit_cuts(b"".join(units), np.zeros(1, np.int64)), assume_unique=True)
+            joined = np.flatnonzero(~alone)
+            some = [units[k] for k in joined.tolist()]
+            firsts = np.array([i for i, _ in _batches(some, JOINED_BYTES)])
+            if len(firsts):
+                found, whole = self._try(some, firsts)
+                for k, x in zip(joined.tolist(), found, strict=True):
+                    out[k] = x
+                alone[joined[~whole]] = True
+        rest = np.flatnonzero(alone).tolist()
+        if rest:
+            for k, x in zip(rest, self._try([units[k] for k in rest], np.arange(len(rest)))[0], strict=True):
+                out[k] = x
+        return out
+
+    def ids(self, units: list[bytes]) -> Ids:
+        """Ids of each unit under A and B, none if they don't spell it out."""
+        found = self.met.found(units)
+        missing = [k for k, x in enumerate(found) if x is None]
+        fresh = list(dict.fromkeys(units[k] for k in missing))
         for first, last in _batches(fresh):
             self.met.update(zip(fresh[first:last], self._encode(fresh[first:last]), strict=True))
-        found = list(map(self.met.__getitem__, units))
+        for k in missing:
+            found[k] = self.met[units[k]]
         self.met.trim(fresh)
-        return found
+        return Ids.unpacked(found)
 
     def of_text(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a text under both, none where they don't spell it out."""
         found = self.ids(list(chain.from_iterable(self.cut(text))))
-        if not all(a for a, _ in found):
-            found = []
-        return tuple(_numbers(b"".join(x[k] for x in found)) for k in (0, 1))
+        none = np.zeros(0, np.int64)
+        return (found.a, found.b) if found.n_a.all() else (none, none)
 
 
 def _numbers(data: bytes) -> np.ndarray:
@@ -220,19 +321,16 @@ class Aligned:
         """(token of A, token of B, bytes they share), by token of A."""
         return row_products(spans(self.ends_a), spans(self.ends_b).transpose(), terms)
 
-    def cuts(self) -> np.ndarray:
-        """Byte offsets where tokens of both end."""
-        if not len(self.ends_b):
-            return self.ends_b
-        near = np.minimum(np.searchsorted(self.ends_b, self.ends_a), len(self.ends_b) - 1)
-        both = self.ends_a[self.ends_b[near] == self.ends_a]
-        return both[np.diff(both, prepend=-1) > 0]
-
     def groups(self) -> tuple[np.ndarray, np.ndarray, Csr, Csr]:
-        """Group of each token of A and of B, and their incidence matrices."""
-        cuts = self.cuts()
-        of_a, of_b = np.searchsorted(cuts, self.ends_a), np.searchsorted(cuts, self.ends_b)
-        return of_a, of_b, members(of_a, len(cuts)), members(of_b, len(cuts))
+        """Group of each token of A and of B, and their incidence matrices: a group ends at
+        a byte where tokens of both end."""
+        cut = np.zeros(int(max(self.ends_a[-1:].sum(), self.ends_b[-1:].sum())) + 1, np.int8)
+        cut[self.ends_a] = 1
+        cut[self.ends_b] += 1
+        cut = cut == 2
+        before = np.cumsum(cut)
+        of_a, of_b = (before[ends] - cut[ends] for ends in (self.ends_a, self.ends_b))
+        return of_a, of_b, members(of_a, int(before[-1])), members(of_b, int(before[-1]))
 
     def group_links(self, terms: int = TERMS) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(token of A, token of B, 1) of every two in one group."""
@@ -240,11 +338,11 @@ class Aligned:
         return row_products(in_a, in_b.transpose(), terms)
 
 
-def _batches(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of about ``BATCH_BYTES`` of text; a longer text is alone."""
-    first, size = 0, 0
+def _batches(texts: list[str] | list[bytes], most: int | None = None) -> Iterator[tuple[int, int]]:
+    """Ranges of about ``most`` bytes of text, ``BATCH_BYTES`` if not given; a longer text is alone."""
+    most, first, size = most or BATCH_BYTES, 0, 0
     for i, t in enumerate(texts):
-        if size and size + len(t) > BATCH_BYTES:
+        if size and size + len(t) > most:
             yield first, i
             first, size = i, 0
         size += len(t) + 1
@@ -252,22 +350,23 @@ def _batches(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield first, len(texts)
 
 
-def _spelled(tokens: Aligned, n_a: np.ndarray, vocab_a: Tokens, vocab_b: Tokens) -> tuple[np.ndarray, list[str]]:
-    """Per unit the number of groups and their spelling, with a mark after each."""
-    of_a, of_b, in_a, in_b = tokens.groups()
+def _spelled(tokens: Aligned, groups: tuple[np.ndarray, np.ndarray, Csr, Csr], n_a: np.ndarray, names: pa.Array,
+             size: int) -> tuple[np.ndarray, list[str]]:
+    """Per unit the number of groups and their spelling, with a mark after each;
+    ``size`` is that of vocabulary A."""
+    of_a, of_b, in_a, in_b = groups
     last_a, last_b = (np.diff(g, append=-1) != 0 for g in (of_a, of_b))
     size_a, size_b = (np.bincount(g, minlength=m.n_cols) for g, m in ((of_a, in_a), (of_b, in_b)))
     # a group's A tokens stand before its B tokens, after the groups before it
-    spelled = np.empty(len(of_a) + len(of_b), object)
-    spelled[np.arange(len(of_a)) + (np.cumsum(size_b) - size_b)[of_a]] = np.where(
-        last_a, vocab_a.names["|"][tokens.a], vocab_a.names[","][tokens.a])
-    spelled[np.arange(len(of_b)) + np.cumsum(size_a)[of_b]] = np.where(
-        last_b, vocab_b.names[";"][tokens.b], vocab_b.names[","][tokens.b])
+    name = np.empty(len(of_a) + len(of_b), np.int32)
+    name[np.arange(len(of_a)) + (np.cumsum(size_b) - size_b)[of_a]] = tokens.a + size * last_a
+    name[np.arange(len(of_b)) + np.cumsum(size_a)[of_b]] = 2 * size + tokens.b + (len(names) // 2 - size) * last_b
+    starts, data = bounds(names.take(pa.array(name)))
     ends = np.concatenate([[0], np.cumsum(n_a)])
     groups = np.concatenate([[0], np.cumsum(last_a)])[ends]  # groups up to each unit's end
-    places = np.concatenate([[0], np.cumsum(size_a + size_b)])[groups].tolist()
-    words = spelled.tolist()
-    return np.diff(groups), ["".join(words[i:j]) for i, j in zip(places, places[1:], strict=False)]
+    places = starts[np.concatenate([[0], np.cumsum(size_a + size_b)])[groups]]
+    words = pa.LargeStringArray.from_buffers(len(n_a), pa.py_buffer(places), pa.py_buffer(data))
+    return np.diff(groups), words.to_pylist()
 
 
 def _digest(spelled: list[str], codes: np.ndarray) -> str:
@@ -283,29 +382,41 @@ def _digest(spelled: list[str], codes: np.ndarray) -> str:
 
 class Part:
     """Units' own figures, and the matrix of units and pairs of ids: row ``u``
-    has the pairs ``pair[ptr[u]:ptr[u + 1]]`` of ``keys``, ``n`` links each.
-    ``ids`` are the units' ids under A and B, none for units that have no tokens."""
-
-    def __init__(self, ids: list[tuple[bytes, bytes]], vocab_a: Tokens, vocab_b: Tokens):
-        self.n_a, self.n_b = (np.fromiter((len(x[k]) for x in ids), np.int64, len(ids)) // 4 for k in (0, 1))
-        tokens = Aligned(*(_numbers(b"".join(x[k] for x in ids)) for k in (0, 1)), vocab_a, vocab_b)
-        unit_of = np.repeat(np.arange(len(ids)), self.n_a)
-        keys, cells = np.zeros(0, np.int64), []
+    has the pairs ``pair[ptr[u]:ptr[u + 1]]`` of ``keys``, ``n`` links each."""
+
+    def __init__(self, ids: Ids, vocab_a: Tokens, vocab_b: Tokens, names: pa.Array | None = None):
+        if names is None:
+            names = pa.array(vocab_a.names(",|") + vocab_b.names(",;"), pa.large_string())
+        self.n_a, self.n_b = ids.n_a, ids.n_b
+        tokens = Aligned(ids.a, ids.b, vocab_a, vocab_b)
+        unit_of = np.repeat(np.arange(len(ids.n_a)), self.n_a)
+        cells = []
         for i, j, _ in tokens.links():  # in parts of bounded size, each counted by unit and pair at once
-            own, at = np.unique(tokens.a[i] << 32 | tokens.b[j], return_inverse=True)
-            cell, n = np.unique(unit_of[i] * len(own) + at, return_counts=True)
-            cells.append((cell // len(own), own[cell % len(own)], n))
-            keys = own if not len(keys) else np.sort(np.concatenate([keys, own[~np.isin(own, keys)]]))
-        unit, key, n = (np.concatenate([c[k] for c in cells] or [np.zeros(0, np.int64)]) for k in range(3))
-        # a unit whose links lie in two parts has some pairs in both
-        cell, at = np.unique(unit * max(1, len(keys)) + np.searchsorted(keys, key), return_inverse=True)
-        self.n = np.bincount(at, n, len(cell)).astype(np.int64)
-        self.keys, self.pair = keys, cell % max(1, len(keys))
-        self.ptr = np.searchsorted(cell // max(1, len(keys)), np.arange(len(ids) + 1))
+            pairs = pa.array(tokens.a[i] << 32 | tokens.b[j]).dictionary_encode()
+            own = pairs.dictionary.to_numpy()
+            order = np.argsort(own)
+            at = np.empty(len(own), np.int64)
+            at[order] = np.arange(len(own))
+            cell = unit_of[i] * len(own) + at[pairs.indices.to_numpy()]
+            cell.sort()
+            new = np.flatnonzero(np.diff(cell, prepend=-1))
+            cells.append((own[order], cell[new], np.diff(np.append(new, len(cell)))))
+        self.keys = keys = np.unique(np.concatenate([np.zeros(0, np.int64), *(own for own, _, _ in cells)]))
+        most = max(1, len(keys))
+        cell = np.concatenate([np.zeros(0, np.int64), *(
+            cell // len(own) * most + np.searchsorted(keys, own)[cell % len(own)] for own, cell, _ in cells)])
+        n = np.concatenate([np.zeros(0, np.int64), *(n for _, _, n in cells)])
+        if len(cells) > 1:  # a unit whose links lie in two parts has some pairs in both
+            order = np.argsort(cell, kind="stable")
+            cell = cell[order]
+            new = np.flatnonzero(np.diff(cell, prepend=-1))
+            cell, n = cell[new], np.add.reduceat(n[order], new)
+        self.n, self.pair = n, cell % most
+        self.ptr = _starts(np.bincount(cell // most, minlength=len(ids.n_a)))
         self.n_links = sums_of_rows(self.ptr, self.n)
-        _, _, in_a, in_b = tokens.groups()
-        self.n_group_links = sums_of_rows(np.concatenate([[0], np.cumsum(self.n_a)]), product_sizes(in_a, in_b.transpose()))
-        self.n_groups, self.spelled = _spelled(tokens, self.n_a, vocab_a, vocab_b)
+        groups = tokens.groups()
+        self.n_group_links = sums_of_rows(_starts(self.n_a), product_sizes(groups[2], groups[3].transpose()))
+        self.n_groups, self.spelled = _spelled(tokens, groups, self.n_a, names, len(vocab_a.bytes))
 
 
 def sums_of_rows(ptr: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -340,32 +451,24 @@ class Chunk:
     """Documents as numbers of their units."""
 
     def __init__(self, units: Units):
-        self.units, self.number = units, {}
-        self.doc_ids, self.sizes, self.codes, self.bytes = [], [], [], 0
+        self.units, self.doc_ids, self.texts, self.bytes = units, [], [], 0
 
     def add(self, doc_id: int | None, text: str | None) -> None:
-        number, size = self.number, 0
-        for block in self.units.cut(text):
-            for unit in set(block).difference(number):
-                number[unit] = len(number)
-            self.codes.append(np.fromiter(map(number.__getitem__, block), np.uint32, len(block)))
-            size += len(block)
         self.doc_ids.append(doc_id)
-        self.sizes.append(size)
+        self.texts.append(utf8(text and " " + text))
         self.bytes += len(text or "")
 
     def row(self) -> pa.RecordBatch:
-        ids = self.units.ids(list(self.number))
-        self.number = {}
-        sizes = np.array(self.sizes, np.int64)
-        codes = np.concatenate([np.zeros(0, np.uint32), *self.codes])
-        self.codes = []
+        units, codes, sizes = self.units.coded(self.texts)
+        self.texts = []
+        ids = self.units.ids(units)
+        del units
         # a text that has a unit without tokens has none
-        none = np.fromiter((not a for a, _ in ids), bool, len(ids))
+        none = ids.n_a == 0
         whole = sums_of_rows(_starts(sizes), none[codes]) == 0
         codes, sizes = codes[np.repeat(whole, sizes)], sizes * whole
-        met = np.bincount(codes, minlength=len(ids))
-        part = Part([x if n else (b"", b"") for x, n in zip(ids, met.tolist(), strict=True)], self.units.a, self.units.b)
+        met = np.bincount(codes, minlength=len(none))
+        part = Part(ids if met.all() else ids.only(met > 0), self.units.a, self.units.b, self.units.names)
         ptr, unit_sizes = _starts(sizes), np.diff(part.ptr)
         own = [sums_of_rows(ptr, getattr(part, c)[codes]) for c in OWN]
         digests = [_digest(part.spelled, codes[i:j]) for i, j in zip(ptr.tolist(), ptr[1:].tolist(), strict=False)]

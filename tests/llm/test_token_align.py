@@ -1,4 +1,5 @@
 import hashlib
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -7,6 +8,7 @@ import pytest
 from llm import cases
 from pricebasket.llm import csr
 from pricebasket.llm import token_align as T
+from pricebasket.llm.bpe import SPACES
 
 PATHS = T.default_paths()
 
@@ -147,6 +149,42 @@ def test_units_and_whole_texts_give_the_same_ids():
     assert some
 
 
+def test_new_units_are_one_text_to_the_tokenizers(monkeypatch):
+    """Many of them, with the ids that each has alone; units that end in white space and ones not spelled out, too."""
+    units = T.Units(*T._vocabularies(*PATHS))
+    words = [f" wörd{i * 7919}{'.' if i % 3 else ''}" for i in range(4000)] + [" end ", " a\n", " x\u3000", "  ", " ", " q▁r", " ﬁ①"]
+    words = [w.encode() for w in dict.fromkeys(words + [u.decode() for r in HARD for b in units.cut(r[1]) for u in b])]
+    given = []
+    for v in (units.a, units.b):
+        def counted(texts, encode=v.encode_units):
+            given.append(len(texts))
+            return encode(texts)
+        monkeypatch.setattr(v, "encode_units", counted)
+    together = units.ids(words)
+    assert sum(given) < len(words) / 2  # twice as many as units, if each is given alone to both
+    assert units.ids(words[::-1]).n_a.tolist() == together.n_a.tolist()[::-1]  # remembered
+    ends = [np.append(0, np.cumsum(n)) for n in (together.n_a, together.n_b)]
+    for k, word in enumerate(words):
+        a, _, b, _ = brute_tokens(word.decode()[1:]) if word != b" " else (units.a.encode_units([" "])[0], [], [units.b.blank], [])
+        assert together.a[ends[0][k]:ends[0][k + 1]].tolist() == a, word
+        assert together.b[ends[1][k]:ends[1][k + 1]].tolist() == b, word
+    assert 0 < (together.n_a == 0).sum() < 10
+
+
+@pytest.mark.parametrize("window", [4, 7, 10**6])
+def test_units_begin_at_blanks_after_letters(monkeypatch, window):
+    monkeypatch.setattr(T, "WINDOW_BYTES", window)
+    unit = re.compile(" [{0}]*[^{0}]*(?:[{1}][{0}]*[^{0}]*)*".format(SPACES, SPACES.replace(" ", "")))
+    rng = np.random.default_rng(3)
+    letters = list("ab .é字🙂\u2014\x1c") + list("    \t\n\x85\xa0\u2003\u3000\u2028")
+    texts = ["".join(rng.choice(letters, n)) for n in rng.integers(0, 40, 300)] + ["", " ", "\u3000", "x"]
+    units, codes, sizes = T.Units(*T._vocabularies(*PATHS)).coded([(t and " " + t).encode() for t in texts])
+    want = [unit.findall(" " + t) if t else [] for t in texts]
+    assert sizes.tolist() == list(map(len, want))
+    assert [units[c].decode() for c in codes] == [u for w in want for u in w]
+    assert len(set(units)) == len(units)
+
+
 def test_empty_table(spark):
     assert T.aligned_counts(cases.docs(spark, [])).collect() == []
 
