@@ -119,6 +119,15 @@ def test_points_stay_dealt_and_sorted_for_the_selection(spark, no_broadcast):
     assert _found(out) == FLAGGED
 
 
+def test_selection_keyed_by_another_type(spark):
+    """Ids as numbers here and as wider ones there are equal, though their hashes are not."""
+    f = _facts(spark).withColumn("it_product_id_array", F.substring("it_product_id_array", 2, 1).cast("int"))
+    sel = spark.createDataFrame([("p", "a", 1, 7)], "csu_product string, itemName string, it_product_id_array long, order_cheapest int")
+    sel = sel.select("*", *[F.lit(None).cast("double").alias(c) for c in H.SELECTION_COLS if c not in sel.columns])
+    out = H.fill_and_flag(f, sel, dt.date(2020, 1, 7), dt.date(2020, 1, 1))
+    assert sorted((r.itemName, r.order_cheapest) for r in out.collect()) == [("a", 7)] * 3 + [("b", None)] * 3
+
+
 def test_selection_by_broadcast_has_the_same_rows(spark):
     assert _found(_flagged(spark)) == FLAGGED
 
